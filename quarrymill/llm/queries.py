@@ -4,10 +4,24 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import fingerprints, mixing
+from . import fingerprints, mixing, packing, token_counts
 from .common import table
 
 
+def _tokenizer(name: str) -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def op2_sum_of_squares_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack_documents(table(spark, sf_dir, "documents"), _tokenizer("byte_bpe_50k.json"))
+
+
+def op3_transducer_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.count_tokens(table(spark, sf_dir, "documents"), _tokenizer("piece_bpe_32k.model"))
+
+
 def op9_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.compare_edits(table(spark, sf_dir, "documents"))
 
@@ -17,7 +31,7 @@ def op10_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix.select("doc_id", "size", "source_size", "target", "taken", "source", "copies")
 
 
-QUERIES = {f.__name__: f for f in (op9_order_minhash, op10_mix_sources)}
+QUERIES = {f.__name__: f for f in (op2_sum_of_squares_packing, op3_transducer_token_counts, op9_order_minhash, op10_mix_sources)}
 
 #: DuckDB SQL where it can express the query.
 ORACLES: dict[str, str] = {}
