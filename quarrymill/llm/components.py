@@ -1,0 +1,29 @@
+"""Connected components of a table of edges."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from .common import scratch
+
+
+def components(edges: DataFrame) -> DataFrame:
+    """(a, b) to (node, component), the least node that each node reaches.
+
+    Rounds of hooking and pointer jumping: every node takes the least label among its own and its
+    neighbours', then the label of its label. Aggregates combine before they shuffle, so a node with
+    most edges is no hot group. Labels are checkpointed, so a lost executor costs one round.
+    """
+    scratch(edges.sparkSession)
+    both = edges.select(F.col("a").alias("node"), F.col("b").alias("to")).union(edges.select("b", "a")).where("node != to").distinct().checkpoint()
+    labels = both.groupBy("node").agg(F.least(F.min("to"), F.col("node")).alias("component")).checkpoint()
+    while True:
+        told = both.join(labels.withColumnRenamed("node", "to"), "to").select("node", "component")
+        nearest = told.unionByName(labels).groupBy("node").agg(F.min("component").alias("component"))
+        jump = labels.select(F.col("node").alias("component"), F.col("component").alias("further"))
+        new = nearest.join(jump, "component", "left").select("node", F.least("component", "further").alias("component"))
+        new = new.join(labels.withColumnRenamed("component", "old"), "node").withColumn("changed", F.col("component") != F.col("old")).drop("old").checkpoint()
+        labels = new.drop("changed")
+        if new.where("changed").limit(1).count() == 0:
+            return labels

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import fingerprints, mixing, packing, token_counts
+from . import fingerprints, mixing, near_duplicates, packing, quality_rules, token_counts
 from .common import table
 
 
@@ -22,6 +22,14 @@ def op3_transducer_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(table(spark, sf_dir, "documents"), _tokenizer("piece_bpe_32k.model"))
 
 
+def op4_suffix_array_repetition(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules.repetition_rules(table(spark, sf_dir, "documents"))
+
+
+def op8_bottom_k_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates.near_duplicates(table(spark, sf_dir, "documents"), share=(85, 100))
+
+
 def op9_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.compare_edits(table(spark, sf_dir, "documents"))
 
@@ -31,7 +39,7 @@ def op10_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix.select("doc_id", "size", "source_size", "target", "taken", "source", "copies")
 
 
-QUERIES = {f.__name__: f for f in (op2_sum_of_squares_packing, op3_transducer_token_counts, op9_order_minhash, op10_mix_sources)}
+QUERIES = {f.__name__: f for f in (op2_sum_of_squares_packing, op3_transducer_token_counts, op4_suffix_array_repetition, op8_bottom_k_near_duplicates, op9_order_minhash, op10_mix_sources)}
 
 #: DuckDB SQL where it can express the query.
 ORACLES: dict[str, str] = {}
