@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import fingerprints, mixing, near_duplicates, packing, quality_rules, token_counts
+from . import fingerprints, mixing, near_duplicates, packing, quality_rules, suffix_dedup, token_counts
 from .common import table
 
 
@@ -26,6 +26,10 @@ def op4_suffix_array_repetition(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.repetition_rules(table(spark, sf_dir, "documents"))
 
 
+def op6_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.remove_repeats(table(spark, sf_dir, "documents"))
+
+
 def op8_bottom_k_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates.near_duplicates(table(spark, sf_dir, "documents"), share=(85, 100))
 
@@ -39,7 +43,7 @@ def op10_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix.select("doc_id", "size", "source_size", "target", "taken", "source", "copies")
 
 
-QUERIES = {f.__name__: f for f in (op2_sum_of_squares_packing, op3_transducer_token_counts, op4_suffix_array_repetition, op8_bottom_k_near_duplicates, op9_order_minhash, op10_mix_sources)}
+QUERIES = {f.__name__: f for f in (op2_sum_of_squares_packing, op3_transducer_token_counts, op4_suffix_array_repetition, op6_suffix_array_dedup, op8_bottom_k_near_duplicates, op9_order_minhash, op10_mix_sources)}
 
 #: DuckDB SQL where it can express the query.
 ORACLES: dict[str, str] = {}

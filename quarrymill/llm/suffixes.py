@@ -5,28 +5,28 @@ from __future__ import annotations
 import numpy as np
 
 
-def refine(first: np.ndarray, ends: np.ndarray, depth: int | None = None, keep: bool = False) -> tuple[np.ndarray, np.ndarray, list[tuple[int, np.ndarray]]]:
+def refine(first: np.ndarray, ends: np.ndarray, keep: bool = False, length: int = 1) -> tuple[np.ndarray, np.ndarray, list[tuple[int, np.ndarray]]]:
     """Larsson-Sadakane refinement: (suffix array, ranks, ranks by length if keep).
 
-    first: integers whose order sorts the suffixes by their first symbol; ends: where the sequence
-    of each position ends, so suffixes stop there, a stop before any symbol. Ranks are group
+    first: integers whose order sorts the suffixes by their first `length` symbols; ends: where the sequence
+    of each position ends; stops are symbols below all others, and each its own. Ranks are group
     numbers: the place in the suffix array of the group's first member. Each round sorts, within
     the groups that still have several members, by the rank `length` further on, so lengths double
-    and finished suffixes are not touched again. depth: stop once groups agree on so many symbols.
+    and finished suffixes are not touched again.
     """
     n = len(first)
     sa = np.argsort(first, kind="stable")
     ranks = np.zeros(n + 1, np.int64)
     live, group = _regroup(sa, first[sa], np.zeros(n, np.int64), ranks, np.arange(n))
-    kept, length = [], 1
+    kept = []
     while True:
         if keep:
             kept.append((length, ranks.copy()))
-        if not len(live) or depth is not None and length >= depth:
+        if not len(live):
             return sa, ranks[:n], kept
         at = sa[live] + length
         inside = at < ends[sa[live]]
-        key = group * np.int64(n + 2) + np.where(inside, ranks[np.where(inside, at, 0)] + 1, 0)
+        key = group * np.int64(2 * n + 2) + np.where(inside, n + 1 + ranks[np.where(inside, at, 0)], ends[sa[live]])
         order = np.argsort(key, kind="stable")
         sa[live] = sa[live[order]]
         live, group = _regroup(sa, key[order], group, ranks, live)
