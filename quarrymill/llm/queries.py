@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import fingerprints, mixing, near_duplicates, packing, quality_rules, suffix_dedup, token_counts
+from . import fingerprints, mixing, near_duplicates, packing, quality_model, quality_rules, suffix_dedup, token_counts
 from .common import table
 
 
@@ -14,6 +15,14 @@ def _tokenizer(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op1_factorisation_machine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    labels = table(spark, sf_dir, "labels").where(~quality_model.held_out()).select("doc_id", "quality")
+    machine = quality_model.train(docs, labels, meta_cols=["n_chars"])
+    scored = quality_model.score_quality(docs, machine, meta_cols=["n_chars"])
+    return scored.select("doc_id", quality_model.held_out().alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
+
+
 def op2_sum_of_squares_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"), _tokenizer("byte_bpe_50k.json"))
 
@@ -43,7 +52,7 @@ def op10_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix.select("doc_id", "size", "source_size", "target", "taken", "source", "copies")
 
 
-QUERIES = {f.__name__: f for f in (op2_sum_of_squares_packing, op3_transducer_token_counts, op4_suffix_array_repetition, op6_suffix_array_dedup, op8_bottom_k_near_duplicates, op9_order_minhash, op10_mix_sources)}
+QUERIES = {f.__name__: f for f in (op1_factorisation_machine, op2_sum_of_squares_packing, op3_transducer_token_counts, op4_suffix_array_repetition, op6_suffix_array_dedup, op8_bottom_k_near_duplicates, op9_order_minhash, op10_mix_sources)}
 
 #: DuckDB SQL where it can express the query.
 ORACLES: dict[str, str] = {}
