@@ -19,6 +19,14 @@ def scratch(spark: SparkSession) -> None:
         sc.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or _local_folder())
 
 
+def shared_folder(spark: SparkSession) -> str:
+    """A new folder below the one that all executors share."""
+    import uuid
+
+    base = spark.conf.get("spark.checkpoint.dir", None) or _local_folder()
+    return f"{base.rstrip('/')}/{uuid.uuid4().hex}"
+
+
 def _local_folder() -> str:
     import tempfile
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import fingerprints, mixing, near_duplicates, packing, quality_model, quality_rules, suffix_dedup, token_counts
+from . import fingerprints, language_id, mixing, near_duplicates, packing, quality_model, quality_rules, secrets, suffix_dedup, token_counts
 from .common import table
 
 
@@ -35,10 +35,20 @@ def op4_suffix_array_repetition(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.repetition_rules(table(spark, sf_dir, "documents"))
 
 
+def op5_fused_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    model = language_id.train_text(table(spark, sf_dir, "documents"))
+    return language_id.identify_languages(table(spark, sf_dir, "pages"), model)
+
+
 def op6_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.remove_repeats(table(spark, sf_dir, "documents"))
 
 
+def op7_forest_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secrets.scan_secrets(table(spark, sf_dir, "documents"), path_col="source")
+    return found.select("doc_id", "start", F.length("value").alias("length"), "kind", F.sha2("value", 256).alias("value_sha256"), "score", "is_secret")
+
+
 def op8_bottom_k_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates.near_duplicates(table(spark, sf_dir, "documents"), share=(85, 100))
 
@@ -52,7 +62,7 @@ def op10_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix.select("doc_id", "size", "source_size", "target", "taken", "source", "copies")
 
 
-QUERIES = {f.__name__: f for f in (op1_factorisation_machine, op2_sum_of_squares_packing, op3_transducer_token_counts, op4_suffix_array_repetition, op6_suffix_array_dedup, op8_bottom_k_near_duplicates, op9_order_minhash, op10_mix_sources)}
+QUERIES = {f.__name__: f for f in (op1_factorisation_machine, op2_sum_of_squares_packing, op3_transducer_token_counts, op4_suffix_array_repetition, op5_fused_language, op6_suffix_array_dedup, op7_forest_secret_scan, op8_bottom_k_near_duplicates, op9_order_minhash, op10_mix_sources)}
 
 #: DuckDB SQL where it can express the query.
 ORACLES: dict[str, str] = {}
