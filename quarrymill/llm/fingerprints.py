@@ -69,7 +69,7 @@ def _let(value: Column, body) -> Column:
 
 
 def signature(text: Column, *, buckets: int = BUCKETS, take: int = TAKE, k: int = K) -> Column:
-    """array<bigint> of `buckets` values: 0 where a bucket has no element. `buckets` is a power of two."""
+    """array<int> of `buckets` values: 0 where a bucket has no element. `buckets` is a power of two."""
     bits = buckets.bit_length() - 1
 
     def chosen(s: Column) -> Column:
@@ -80,7 +80,7 @@ def signature(text: Column, *, buckets: int = BUCKETS, take: int = TAKE, k: int
 
         def value(own: Column) -> Column:
             ordered = F.sort_array(F.transform(own, lambda x: F.struct(x.bitwiseAND(low).alias("at"), F.shiftright(x, _BITS).alias("h"))))
-            return F.when(F.size(own) == 0, F.lit(0).cast("long")).otherwise(F.xxhash64(ordered["h"]))
+            return F.when(F.size(own) == 0, F.lit(0)).otherwise(F.hash(F.xxhash64(ordered["h"])).bitwiseOR(F.lit(1)))
 
         return _let(least, lambda m: F.transform(F.sequence(F.lit(0), F.lit(buckets - 1)), lambda b: value(F.filter(m, lambda x: bucket(x) == b))))
 
@@ -95,12 +95,12 @@ def likeness(a: Column, b: Column) -> Column:
 
 
 def as_hex(sig: Column) -> Column:
-    """The signature as text, 16 hex digits a bucket."""
-    return F.array_join(F.transform(sig, lambda x: F.lpad(F.lower(F.hex(x)), 16, "0")), "")
+    """The signature as text, 8 hex digits a bucket."""
+    return F.array_join(F.transform(sig, lambda x: F.lpad(F.lower(F.hex(x.cast("long").bitwiseAND(F.lit(0xFFFFFFFF)))), 8, "0")), "")
 
 
 def order_minhash(docs: DataFrame, *, text_col: str = "text", buckets: int = BUCKETS, take: int = TAKE, k: int = K) -> DataFrame:
-    """docs with the columns signature array<bigint> and fingerprint string.
+    """docs with the columns signature array<int> and fingerprint string.
 
     Null and empty texts, and texts of white space, have the signature of zeros. Texts of at most
     k words are one element. Works row by row: no shuffle, and texts may be of any length.
@@ -122,17 +122,10 @@ def compare_edits(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "t
     text = F.coalesce(F.col(text_col), F.lit(""))
     own = docs.where(F.col(id_col).isNotNull()).select(F.col(id_col).alias("doc_id"), text.alias("text"))
     ring = ranged_neighbours(own.select("doc_id", F.length("text").alias("n")), "doc_id", ["n"], parts).select("doc_id", "prev_key", F.floor(F.col("prev_n") / 3).cast("int").alias("take"))
-    # the text's own row, and its start for the document before it
+    # the start of each text goes to the document before it; texts stay where the first join put them
     placed = own.join(ring, "doc_id")
-    both = placed.select(
-        F.explode(
-            F.array(
-                F.struct(F.col("doc_id").alias("key"), F.col("text").alias("own"), F.lit(None).cast("string").alias("start"), F.col("prev_key")),
-                F.struct(F.col("prev_key").alias("key"), F.lit(None).cast("string").alias("own"), F.expr("substring(text, 1, take)").alias("start"), F.lit(None).cast("long").alias("prev_key")),
-            )
-        ).alias("r")
-    ).select("r.*")
-    merged = both.groupBy("key").agg(F.max("own").alias("text"), F.max("start").alias("start"), F.max("prev_key").alias("prev_key"))
+    starts = placed.select(F.col("prev_key").alias("doc_id"), F.expr("substring(text, 1, take)").alias("start"))
+    merged = placed.select(F.col("doc_id").alias("key"), "text", "prev_key").join(starts, F.col("key") == F.col("doc_id")).select("key", "text", "start", "prev_key")
     n = F.length("text")
     edited = F.concat(F.expr("substring(text, 1, length(text) - cast(floor(length(text) / 3) as int))"), F.col("start"))
     marked = merged.select(
@@ -141,8 +134,8 @@ def compare_edits(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "t
         F.expr("transform(array(text, concat(substring(text, 1, length(text) - cast(floor(length(text) / 3) as int)), start)), x -> x)").alias("texts"),
     )
     signed = marked.select("doc_id", "prev_key", "n_chars", "edited_sha256", F.transform("texts", lambda t: signature(t)).alias("s"))
-    own_row = F.struct(F.col("doc_id").alias("key"), F.struct("n_chars", "edited_sha256", "s").alias("own"), F.lit(None).cast("array<bigint>").alias("next"))
-    to_prev = F.struct(F.col("prev_key").alias("key"), F.lit(None).cast("struct<n_chars:bigint,edited_sha256:string,s:array<array<bigint>>>").alias("own"), F.col("s")[0].alias("next"))
+    own_row = F.struct(F.col("doc_id").alias("key"), F.struct("n_chars", "edited_sha256", "s").alias("own"), F.lit(None).cast("array<int>").alias("next"))
+    to_prev = F.struct(F.col("prev_key").alias("key"), F.lit(None).cast("struct<n_chars:bigint,edited_sha256:string,s:array<array<int>>>").alias("own"), F.col("s")[0].alias("next"))
     met = signed.select(F.explode(F.array(own_row, to_prev)).alias("r")).select("r.*").groupBy("key").agg(F.max("own").alias("own"), F.max("next").alias("next"))
     sig, edit = F.col("own.s")[0], F.col("own.s")[1]
     return met.select(
