@@ -1 +1,85 @@
-"""Queries: review."""
+"""Queries on reviews."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from quarrymill.functions import parsing, text
+from quarrymill.operators import reviews as ops
+from quarrymill.operators import upsert
+from quarrymill.session import table
+
+from .bindings import REVIEWS, reviews
+from .registry import query
+
+R6 = lambda c: F.round(c, 6)
+
+
+@query(f"""WITH {REVIEWS} SELECT source, kind, count(*) AS reviews, count(*) FILTER (sentiment = 'positive') AS positive, count(*) FILTER (sentiment = 'neutral') AS neutral, count(*) FILTER (sentiment = 'negative') AS negative, round(avg(rating), 6) AS avg_rating,
+count(*) FILTER (rating = 1) AS rating_1, count(*) FILTER (rating = 2) AS rating_2, count(*) FILTER (rating = 3) AS rating_3, count(*) FILTER (rating = 4) AS rating_4, count(*) FILTER (rating = 5) AS rating_5, round(count(*) FILTER (sentiment = 'positive') / count(*), 6) AS positive_share FROM reviews GROUP BY 1, 2""")
+def review_summary(spark: SparkSession, d: str) -> DataFrame:
+    s = ops.summary(reviews(spark, d), "source", "kind")
+    return s.withColumns({"avg_rating": R6("avg_rating"), "positive_share": R6("positive_share")})
+
+
+@query(f"""WITH {REVIEWS} SELECT area, source, count(*) AS reviews, count(*) FILTER (sentiment = 'negative') AS negatives, round(count(*) FILTER (sentiment = 'negative') / count(*), 6) AS negative_share, count(*) < 10 AS small_sample FROM reviews GROUP BY 1, 2""")
+def review_tally(spark: SparkSession, d: str) -> DataFrame:
+    return ops.tally(reviews(spark, d), "area", "source").withColumn("negative_share", R6("negative_share"))
+
+
+@query(f"""WITH {REVIEWS}, s AS (SELECT kind, source, sentiment, count(*) AS n FROM reviews GROUP BY ALL), p AS (SELECT *, n / sum(n) OVER (PARTITION BY kind, source) AS share FROM s)
+SELECT kind, sentiment, round(coalesce(max(share) FILTER (source = 'shop'), 0), 6) AS left_share, round(coalesce(max(share) FILTER (source = 'market'), 0), 6) AS right_share, round(coalesce(max(share) FILTER (source = 'shop'), 0) - coalesce(max(share) FILTER (source = 'market'), 0), 6) AS difference FROM p GROUP BY 1, 2""")
+def review_source_differences(spark: SparkSession, d: str) -> DataFrame:
+    x = ops.source_differences(reviews(spark, d), "shop", "market")
+    return x.select("kind", "sentiment", *(R6(c).alias(c) for c in ("left_share", "right_share", "difference")))
+
+
+@query(f"""WITH {REVIEWS}, t AS (SELECT uid, unnest(themes) AS theme FROM reviews WHERE sentiment = 'negative'),
+k AS (SELECT *, CASE WHEN theme LIKE 'Price%' THEN array_to_string(list_sort(['price', CASE WHEN theme LIKE '%es' THEN 'es' ELSE lower(split_part(theme, ' ', 2)) END]), ' ') WHEN theme LIKE '%deliver%' THEN 'delivery late' ELSE split_part(theme, ' ', 2) || ' size' END AS key FROM t),
+sp AS (SELECT key, theme, count(DISTINCT uid) AS n FROM k GROUP BY 1, 2), b AS (SELECT key, theme AS spelling, row_number() OVER (PARTITION BY key ORDER BY n DESC, theme) AS r FROM sp), c AS (SELECT key, count(DISTINCT uid) AS reviews FROM k GROUP BY 1)
+SELECT c.key, spelling, reviews FROM c JOIN b ON b.key = c.key AND r = 1 ORDER BY reviews DESC, c.key LIMIT 15""")
+def negative_themes(spark: SparkSession, d: str) -> DataFrame:
+    return ops.negative_themes(reviews(spark, d))
+
+
+@query(f"""WITH {REVIEWS} SELECT product, count(*) AS reviews, count(*) FILTER (sentiment = 'negative') AS negatives, round(count(*) FILTER (sentiment = 'negative') / count(*), 6) AS negative_share, count(*) < 10 AS small_sample FROM reviews GROUP BY 1 HAVING count(*) FILTER (sentiment = 'negative') >= 3 ORDER BY negatives DESC, reviews DESC, product LIMIT 10""")
+def worst_products(spark: SparkSession, d: str) -> DataFrame:
+    return ops.worst_products(reviews(spark, d)).withColumn("negative_share", R6("negative_share"))
+
+
+@query(f"""WITH {REVIEWS}, e AS (SELECT source, max(day) AS e FROM reviews GROUP BY 1), w AS (SELECT source, m, CAST(e - to_months(m) AS DATE) + 1 AS s, e FROM e, (SELECT unnest([3, 6]) AS m)), c AS (SELECT w.source, m, s, w.e, count(*) AS n FROM w JOIN reviews r ON r.source = w.source AND r.day BETWEEN s AND w.e GROUP BY ALL)
+SELECT source, CAST(m AS INTEGER) AS months, strftime(s, '%Y-%m-%d') AS start, strftime(e, '%Y-%m-%d') AS "end", n AS reviews, strftime(e - CAST(greatest(1, (e - s + 1) // 3) - 1 AS INTEGER), '%Y-%m-%d') AS recent_start, n >= 20 AS is_used FROM c""")
+def review_windows(spark: SparkSession, d: str) -> DataFrame:
+    w = ops.windows(reviews(spark, d), (3, 6), 20)
+    return w.select("source", "months", *(F.date_format(c, "yyyy-MM-dd").alias(c) for c in ("start", "end", "recent_start")), "reviews", "is_used")
+
+
+@query(f"""WITH {REVIEWS}, g AS (SELECT area, count(*) FILTER (day < DATE '2024-09-01') AS a, count(*) FILTER (day >= DATE '2024-09-01') AS b, count(*) FILTER (day < DATE '2024-09-01' AND sentiment = 'negative') AS x, count(*) FILTER (day >= DATE '2024-09-01' AND sentiment = 'negative') AS y FROM reviews GROUP BY 1)
+SELECT area, a AS earlier, b AS recent, x AS earlier_negatives, y AS recent_negatives, round(y / nullif(b, 0) - x / nullif(a, 0), 6) AS change FROM g WHERE a + b >= 5""")
+def area_trend(spark: SparkSession, d: str) -> DataFrame:
+    return ops.area_trend(reviews(spark, d), F.lit("2024-09-01").cast("date")).withColumn("change", R6("change"))
+
+
+@query(f"""WITH {REVIEWS}, b AS (SELECT * FROM reviews WHERE sentiment = 'negative'), n AS (SELECT area, count(*) AS n FROM b GROUP BY 1), r AS (SELECT b.*, n, row_number() OVER (PARTITION BY b.area ORDER BY rating DESC, uid) AS depth FROM b JOIN n ON n.area = b.area)
+SELECT CAST(row_number() OVER (ORDER BY depth, n DESC, area) AS INTEGER) AS place, area, uid FROM r QUALIFY row_number() OVER (ORDER BY depth, n DESC, area) <= 12""")
+def review_excerpts(spark: SparkSession, d: str) -> DataFrame:
+    return ops.excerpts(reviews(spark, d), 12, 160).select("place", "area", "uid")
+
+
+@query("""WITH c AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn DESC) AS r FROM conversations) SELECT conv_id, turn AS last_turn, role, length(text) AS size FROM c WHERE r = 1""")
+def last_turns(spark: SparkSession, d: str) -> DataFrame:
+    c = upsert.latest(table(spark, d, "conversations"), ["conv_id"], ["turn"])
+    return c.select("conv_id", F.col("turn").alias("last_turn"), "role", F.length("text").cast("long").alias("size"))
+
+
+@query("""SELECT doc_id, length(regexp_replace(trim(regexp_replace(coalesce(text, ''), '[ \\t\\n\\x0B\\f\\r]+', ' ', 'g')), '^ | $', '', 'g')) AS spaced, len(regexp_extract_all(regexp_replace(text, '\\d{4}-\\d{2}(-\\d{2})?', ' ', 'g'), '\\d+(?:\\.\\d+)?%?')) AS numbers,
+len(list_distinct(regexp_extract_all(text, '\\b[a-z]+(?:_[a-z0-9]+)+\\b'))) AS names FROM documents""")
+def text_measures(spark: SparkSession, d: str) -> DataFrame:
+    t = F.coalesce("text", F.lit(""))
+    return table(spark, d, "documents").select("doc_id", F.length(text.single_spaced(t)).cast("long").alias("spaced"), F.size(text.numbers_in(t)).cast("long").alias("numbers"), F.size(text.identifiers(t)).cast("long").alias("names"))
+
+
+@query("""SELECT p_partkey AS k, left(regexp_replace(regexp_replace(regexp_replace(translate(lower(trim(p_type)), '- ', '__'), '[^a-z0-9_]+', '', 'g'), '_+', '_', 'g'), '^_+|_+$', '', 'g'), 40) AS slug, CAST(round_even(p_retailprice, 1) AS DOUBLE) AS price FROM part""")
+def label_slugs(spark: SparkSession, d: str) -> DataFrame:
+    return table(spark, d, "part").select(F.col("p_partkey").alias("k"), parsing.slug(F.col("p_type")).alias("slug"), F.bround("p_retailprice", 1).alias("price"))
