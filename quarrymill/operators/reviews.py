@@ -96,6 +96,6 @@ def violations(items: DataFrame, areas: DataFrame, banned: list[str], numbers: D
     rules = F.array(
         F.when(F.length("title") > 80, "title_length"), F.when(F.length("description") > 600, "description_length"), F.when(F.col("_area").isNull(), "unknown_area"),
         F.when(~F.coalesce(F.col("strength").isin("strong", "moderate", "limited"), F.lit(False)), "unknown_strength"), F.when(F.size(words_found(text, banned)) > 0, "banned_wording"),
-        F.when(F.size(identifiers(text)) > 0, "field_name"), F.when(F.size(F.array_except(F.transform(numbers_in(text), lambda n: F.rtrim(F.lit("%"), n)), F.col("_have"))) > 0, "unsupported_number"),
+        F.when(F.size(identifiers(text)) > 0, "field_name"), F.when(F.size(F.array_except(F.transform(numbers_in(text), lambda n: F.rtrim(n, F.lit("%"))), F.col("_have"))) > 0, "unsupported_number"),
     )
     return j.select("rank", F.explode(F.filter(rules, lambda r: r.isNotNull())).alias("rule"))
