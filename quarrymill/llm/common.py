@@ -33,6 +33,19 @@ def _local_folder() -> str:
     return tempfile.mkdtemp(prefix="quarrymill-")
 
 
+def fresh(df: DataFrame, base: str) -> str:
+    """A column name that df does not have."""
+    while base in df.columns:
+        base = f"{base}_"
+    return base
+
+
+def rows_with(df: DataFrame, ids: DataFrame, id_col: str = "doc_id", how: str = "left_semi") -> DataFrame:
+    """Rows of df whose id is (left_anti: is not) in the one column of ids."""
+    name = fresh(df, "_id")
+    return df.join(ids.toDF(name).distinct(), F.col(id_col) == F.col(name), how)
+
+
 def n_words(text: Column) -> Column:
     """Number of words, 0 for null."""
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")

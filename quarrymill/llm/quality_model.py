@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .arrays import U64, prefix_hash, span_hash, text_blocks, words
+from .common import fresh
 
 BUCKETS, FACTORS = 1 << 14, 8
 STATS = ("log_words", "word_length", "longest_word", "letters", "upper", "digits", "signs", "marks", "stops", "line_breaks", "wide", "distinct", "top_word", "loud_words", "signed_words")
@@ -134,10 +135,11 @@ def train(docs: DataFrame, labels: DataFrame, *, text_col: str = "text", id_col:
     labels are left out; rows that repeat an id share its mean label. Without labels of both kinds
     the machine knows the share of label 1 only, or 0.5 without any label.
     """
-    known = labels.where(F.col(label_col).isNotNull()).groupBy(F.col(id_col).alias("_id")).agg(F.avg(F.col(label_col).cast("double")).alias("_y"))
-    known = known.orderBy(F.xxhash64("_id"), "_id").limit(max_rows)
+    key, y = fresh(docs, "_id"), fresh(docs, "_y")
+    known = labels.where(F.col(label_col).isNotNull()).groupBy(F.col(id_col).alias(key)).agg(F.avg(F.col(label_col).cast("double")).alias(y))
+    known = known.orderBy(F.xxhash64(key), key).limit(max_rows)
     n_meta = len(meta_cols)
-    rows = docs.join(F.broadcast(known), F.col(id_col) == F.col("_id")).select(F.col(text_col).cast("string"), "_y", *(F.col(c).cast("double") for c in meta_cols), F.xxhash64("_id").alias("_o"))
+    rows = docs.join(F.broadcast(known), F.col(id_col) == F.col(key)).select(F.col(text_col).cast("string"), y, *(F.col(c).cast("double") for c in meta_cols), F.xxhash64(key).alias("_o"))
 
     def fit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         parts, labels, n = [], [], 0

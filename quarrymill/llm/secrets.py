@@ -13,10 +13,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .arrays import text_blocks, words
+from .common import fresh
 
 TREES, DEPTH, MAX_FINDINGS, MAX_COMMON = 30, 8, 6000, 4000
 THRESHOLD = 0.5
@@ -280,16 +281,16 @@ def redact(docs: DataFrame, found: DataFrame, *, id_col: str = "doc_id", text_co
 
     Spans are collected by document, so their number is bounded by its text.
     """
-    spans = found.where("is_secret").groupBy(F.col("doc_id").alias("_id")).agg(F.array_sort(F.collect_set(F.struct("start", F.length("value").alias("n")))).alias("_spans"))
-    joined = docs.join(spans, F.col(id_col) == F.col("_id"), "left")
-    at = F.col(text_col)
-    pieces = F.transform(
-        "_spans",
-        lambda s, i: F.concat(
-            F.substring(at, F.when(i == 0, F.lit(1)).otherwise(F.get("_spans", i - 1)["start"] + F.get("_spans", i - 1)["n"] + 1).cast("int"), (s["start"] - F.when(i == 0, F.lit(0)).otherwise(F.get("_spans", i - 1)["start"] + F.get("_spans", i - 1)["n"])).cast("int")),
-            F.lit(mark),
-        ),
-    )
-    last = F.element_at("_spans", -1)
-    clean = F.concat(F.array_join(pieces, ""), F.substring(at, (last["start"] + last["n"] + 1).cast("int"), F.length(at)))
-    return joined.withColumn(text_col, F.when(F.col("_spans").isNotNull(), clean).otherwise(at)).select(*docs.columns)
+    key, held = fresh(docs, "_id"), fresh(docs, "_spans")
+    spans = found.where("is_secret").groupBy("doc_id").agg(F.array_sort(F.collect_set(F.struct("start", F.length("value").alias("n"))))).toDF(key, held)
+    joined = docs.join(spans, F.col(id_col) == F.col(key), "left")
+    at, own = F.col(text_col), F.col(held)
+
+    def end(i: Column) -> Column:
+        """Where the span before the i-th ends; spans do not overlap, since candidates do not."""
+        before = F.get(own, i - 1)
+        return F.when(i == 0, F.lit(0).cast("long")).otherwise(before["start"] + before["n"])
+
+    pieces = F.transform(own, lambda s, i: F.concat(F.substring(at, (end(i) + 1).cast("int"), (s["start"] - end(i)).cast("int")), F.lit(mark)))
+    clean = F.concat(F.array_join(pieces, ""), F.substring(at, (end(F.size(own)) + 1).cast("int"), F.length(at)))
+    return joined.withColumn(text_col, F.when(own.isNotNull(), clean).otherwise(at)).select(*docs.columns)
