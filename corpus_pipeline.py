@@ -10,19 +10,17 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quarrymill.llm import mixing, near_duplicates, packing, quality_rules, secrets
-from quarrymill.llm.common import shared_folder
+from quarrymill.llm.common import fresh, rows_with, shared_folder
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the repetition rules reject go; rows without an id or text go with them."""
-    kept = quality_rules.repetition_rules(docs).where("kept").select(F.col("doc_id").alias("_id")).distinct()
-    return docs.join(kept, F.col("doc_id") == F.col("_id"), "left_semi")
+    return rows_with(docs, quality_rules.repetition_rules(docs).where("kept").select("doc_id"))
 
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates (similarity 0.8 or more) stays, the least id."""
-    gone = near_duplicates.near_duplicates(docs).where("not kept").select(F.col("doc_id").alias("_id")).distinct()
-    return docs.join(gone, F.col("doc_id") == F.col("_id"), "left_anti")
+    return rows_with(docs, near_duplicates.near_duplicates(docs).where("not kept").select("doc_id"), how="left_anti")
 
 
 def secret_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -33,9 +31,10 @@ def secret_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every document is repeated as often as the mix takes it; those it doesn't take go."""
-    copies = mixing.mix_sources(docs).where("copies > 0").select(F.col("doc_id").alias("_id"), "copies")
-    joined = docs.join(copies, F.col("doc_id") == F.col("_id"))
-    return joined.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("copies")))).select(*docs.columns)
+    key, times = fresh(docs, "_id"), fresh(docs, "_copies")
+    copies = mixing.mix_sources(docs).where("copies > 0").groupBy("doc_id").agg(F.max("copies")).toDF(key, times)
+    joined = docs.join(copies, F.col("doc_id") == F.col(key))
+    return joined.withColumn(times, F.explode(F.sequence(F.lit(1), F.col(times)))).select(*docs.columns)
 
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
