@@ -75,7 +75,7 @@ def fit_models(grid: DataFrame, model: str, horizon: int = 6, min_train: int = 2
         df = df.sort_values("month")
         y = df["units"].to_numpy(float)
         if len(y) < min_train:
-            return pd.DataFrame({c.split()[0]: [] for c in RESULT.split(", ")})
+            return pd.DataFrame({c.split()[0]: pd.Series([], dtype=object) for c in RESULT.split(", ")})
         yhat, spread = fit(y, horizon)
         months = pd.date_range(pd.Timestamp(df["month"].iloc[-1]) + pd.DateOffset(months=1), periods=horizon, freq="MS")
         return pd.DataFrame({
