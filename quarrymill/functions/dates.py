@@ -45,3 +45,30 @@ def is_whole_period(kind: Column, start: Column, end: Column) -> Column:
     month = (F.day(start) == 1) & (end == F.last_day(start))
     week = (F.dayofweek(start) == 1) & (end == F.date_add(start, 6))
     return F.coalesce(F.when(kind == "MONTH", month).when(kind == "WEEK", week), F.lit(False))
+
+
+#: Month names of three languages by number.
+MONTH_NAMES = {
+    "en": ("January", "February", "March", "April", "May", "June", "July", "August", "September", "October", "November", "December"),
+    "de": ("Januar", "Februar", "März", "April", "Mai", "Juni", "Juli", "August", "September", "Oktober", "November", "Dezember"),
+    "es": ("enero", "febrero", "marzo", "abril", "mayo", "junio", "julio", "agosto", "septiembre", "octubre", "noviembre", "diciembre"),
+}
+
+
+def localised_date(text: Column) -> Column:
+    """ISO, 'May 3, 2024', '3. Mai 2024' or '3 de mayo de 2024'; what comes before 'on' or 'vom' is cut off."""
+    names = {n.lower(): i for lang in MONTH_NAMES.values() for i, n in enumerate(lang, 1)}
+    number = F.create_map(*[F.lit(x) for kv in names.items() for x in kv])
+    t = F.trim(F.regexp_replace(text, r"(?i)^.*\b(?:on|vom|el)\s+", ""))
+    day_first, month_first = r"(?i)^(\d{1,2})\.?\s+(?:de\s+)?([^\d\s]+)\s+(?:de\s+)?(\d{4})$", r"(?i)^([^\d\s]+)\s+(\d{1,2}),?\s+(\d{4})$"
+
+    def made(pattern: str, day: int, month: int) -> Column:
+        m = F.try_element_at(number, F.lower(F.regexp_extract(t, pattern, month)))
+        return F.when(t.rlike(pattern), F.try_to_date(F.format_string("%s-%02d-%02d", F.regexp_extract(t, pattern, 3), m, F.regexp_extract(t, pattern, day).try_cast("int"))))
+
+    return F.coalesce(F.when(t.rlike(r"^\d{4}-\d{2}-\d{2}"), F.try_to_date(F.left(t, F.lit(10)))), made(day_first, 1, 2), made(month_first, 2, 1))
+
+
+def another_saturday_due(end: Column, through: Column) -> Column:
+    """Is the month of the week's end the newest loaded month, with a Saturday still to come?"""
+    return (F.last_day(end) == F.last_day(through)) & (F.date_add(through, 7) <= F.last_day(through))

@@ -52,3 +52,21 @@ def slug(text: Column, size: int = 40) -> Column:
     t = F.translate(F.lower(F.trim(text)), "- ", "__")
     t = F.regexp_replace(F.regexp_replace(t, "[^a-z0-9_]+", ""), "_+", "_")
     return F.left(F.regexp_replace(t, "^_+|_+$", ""), F.lit(size))
+
+
+def truth(text: Column) -> Column:
+    """Whether a text cell is anything but empty, null, 0 or a word for no."""
+    t = F.lower(clean_text(text))
+    return ~t.isin("", "0", "false", "no", "n")
+
+
+def region_of_code(code: Column) -> Column:
+    """The region that a product code's first letter stands for."""
+    c = F.upper(F.left(F.trim(code), F.lit(1)))
+    return F.when(c == "D", "UK").when(c == "E", "EU").when(c == "U", "US").when(c == "A", "AU")
+
+
+def readable(label: Column) -> Column:
+    """snake_case as words with a capital."""
+    t = F.translate(F.coalesce(label, F.lit("")), "_", " ")
+    return F.concat(F.upper(F.left(t, F.lit(1))), F.substring(t, 2, 1000))

@@ -117,3 +117,19 @@ def forecast_is_valid(weekly: DataFrame, weeks: int = 48) -> DataFrame:
         F.count_if((F.col("mean") < 0) | (F.col("p80") > F.col("p90")) | (F.col("mean") < 0)).alias("bad"),
     )
     return g.select("key", "version", "rows", ((F.col("n") == weeks) & (F.col("rows") == weeks) & (F.col("span") == 7 * (weeks - 1)) & (F.col("bad") == 0)).alias("is_valid"))
+
+
+def ambiguous_values(rows: DataFrame, key: str, value: str) -> DataFrame:
+    """(key, n, values) of keys with several values, as one sorted text."""
+    g = rows.where(F.col(value).isNotNull()).groupBy(key).agg(F.array_sort(F.collect_set(value)).alias("v"))
+    return g.where(F.size("v") > 1).select(key, F.size("v").alias("n"), F.array_join("v", " | ").alias("values"))
+
+
+def snapshot_side(weeks: DataFrame, days: DataFrame) -> DataFrame:
+    """(compared, first_day, last_day): is a week's stock that of its first or of its last day?
+
+    weeks: (item, start, end, stock), days: (item, day, stock).
+    """
+    day = lambda on, name: days.select("item", F.col("day").alias(on), F.col("stock").alias(name))
+    j = weeks.join(day("start", "first"), ["item", "start"]).join(day("end", "last"), ["item", "end"])
+    return j.agg(F.count("*").alias("compared"), F.count_if(F.col("stock") == F.col("first")).alias("first_day"), F.count_if(F.col("stock") == F.col("last")).alias("last_day"))

@@ -181,3 +181,30 @@ def seasonal_forecast(grid: DataFrame, train_end: str, horizon: int, min_history
     return steps.withColumn("month_of_year", F.month("target_month")).join(F.broadcast(factors), "month_of_year").select(
         "key", "step", "target_month", F.greatest(F.col("level") * F.col("factor"), F.lit(0.0)).alias("predicted")
     )
+
+
+def training_tables(grid: DataFrame, train_end: str, horizon: int, min_history: int = 12) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(train, horizon, holdout) tables (series_id, ds, y) for an external trainer.
+
+    train ends with train_end; horizon has every step with y = 0, so no actual leaks; holdout has the
+    actuals after train_end. Series with fewer than min_history months are left out of all three.
+    """
+    end = F.to_date(F.lit(train_end))
+    rows = grid.where("units is not null").select(F.col("key").cast("string").alias("series_id"), F.col("month").alias("ds"), F.col("units").alias("y"))
+    past = rows.where(F.col("ds") <= end)
+    ids = past.groupBy("series_id").agg(F.count("*").alias("n")).where(F.col("n") >= min_history).select("series_id")
+    ahead = ids.select("series_id", F.explode(F.sequence(F.lit(1), F.lit(horizon))).alias("h")).select("series_id", F.add_months(end, F.col("h")).alias("ds"), F.lit(0.0).alias("y"))
+    held = rows.where((F.col("ds") > end) & (F.col("ds") <= F.add_months(end, horizon))).join(ids, "series_id", "left_semi")
+    return past.join(ids, "series_id", "left_semi"), ahead, held
+
+
+def proposed_windows(anchor: str, production: bool = False) -> dict[str, str]:
+    """Train, test and forecast months ('YYYY-MM') around an anchor month."""
+    year, month = map(int, anchor.split("-"))
+
+    def at(n: int) -> str:
+        i = year * 12 + month - 1 + n
+        return f"{i // 12}-{i % 12 + 1:02d}"
+
+    offsets = (0, 1, 0, 1, 6) if production else (-6, -5, 0, 1, 6)
+    return dict(zip(("train_end", "test_start", "test_end", "forecast_start", "forecast_end"), map(at, offsets), strict=True))

@@ -191,3 +191,32 @@ def sanity(forecast: DataFrame, grid: DataFrame, low: float = 0.5, high: float =
     total = forecast.groupBy("key").agg(F.sum("predicted").alias("total"), F.count("*").alias("steps")).join(pace, "key")
     out = total.agg(F.try_divide(F.sum("total"), F.nullif(F.sum(F.col("pace") * F.col("steps")), F.lit(0.0))).alias("ratio"))
     return out.withColumn("is_sane", F.coalesce(F.col("ratio").between(low, high), F.lit(False)))
+
+
+def simple_cover(months: DataFrame, least: int = 3, low: float = 0.5, high: float = 4.0) -> DataFrame:
+    """(key, cover): median stock by sales over at least `least` months, cut to low..high."""
+    ratio = F.when(F.col("stock").isNotNull() & (F.col("sales") > 0), F.col("stock") / F.col("sales"))
+    g = months.groupBy("key").agg(F.count(ratio).alias("n"), F.median(ratio).alias("r"))
+    return g.where(F.col("n") >= least).select("key", F.least(F.greatest("r", F.lit(low)), F.lit(high)).alias("cover"))
+
+
+def simple_orders(demand: Column, stock: Column, open_po: Column, cover: Column) -> Column:
+    """array<double>: orders that bring stock to cover x demand each month; open orders arrive in month 1."""
+
+    def step(acc: Column, h: Column) -> Column:
+        now = F.get(demand, h)
+        left = acc["stock"] - now + F.when(h == 0, open_po).otherwise(0.0)
+        order = F.greatest(cover * now - left, F.lit(0.0))
+        return F.struct(F.greatest(left + order, F.lit(0.0)).cast("double").alias("stock"), F.concat(acc["orders"], F.array(order.cast("double"))).alias("orders"))
+
+    start = F.struct(stock.cast("double").alias("stock"), F.array().cast("array<double>").alias("orders"))
+    return F.aggregate(F.sequence(F.lit(0), F.size(demand) - 1), start, step)["orders"]
+
+
+def blend_open_orders(forecast: DataFrame, months: DataFrame, fit: DataFrame) -> DataFrame:
+    """forecast (key, step, predicted) with the first step replaced by the fitted blend of open orders and
+    forecast, where the key's newest month has a reading of open orders."""
+    newest = months.where("i = n and open_po is not null").select("key", "open_po")
+    j = forecast.join(newest, "key", "left").crossJoin(F.broadcast(fit.select("a", "b")))  # one row
+    first = (F.col("step") == 1) & F.col("open_po").isNotNull()
+    return j.select("key", "step", F.when(first, F.col("a") * F.col("open_po") + F.col("b") * F.col("predicted")).otherwise(F.col("predicted")).alias("predicted"))

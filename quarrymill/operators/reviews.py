@@ -99,3 +99,44 @@ def violations(items: DataFrame, areas: DataFrame, banned: list[str], numbers: D
         F.when(F.size(identifiers(text)) > 0, "field_name"), F.when(F.size(F.array_except(F.transform(numbers_in(text), lambda n: F.rtrim(n, F.lit("%"))), F.col("_have"))) > 0, "unsupported_number"),
     )
     return j.select("rank", F.explode(F.filter(rules, lambda r: r.isNotNull())).alias("rule"))
+
+
+def overall(rows: DataFrame) -> DataFrame:
+    """One row of sentiment shares in percent."""
+    share = lambda s: F.round(100 * F.try_divide(F.count_if(F.col("sentiment") == s), F.count("*")), 1).alias(s)
+    return rows.agg(F.count("*").alias("reviews"), share("positive"), share("neutral"), share("negative"))
+
+
+def failure_reasons(rows: DataFrame, error: str) -> DataFrame:
+    """(reason, rows), most frequent first, of the first 120 characters of an error."""
+    return rows.where(F.col(error).isNotNull()).groupBy(F.left(F.col(error), F.lit(120)).alias("reason")).agg(F.count("*").alias("rows")).orderBy(F.desc("rows"), "reason")
+
+
+def in_scope(rows: DataFrame, scopes: DataFrame) -> DataFrame:
+    """rows by scope (name, source, kind), where a null source or kind takes any; scopes are a short list."""
+    s = scopes.select("name", F.col("source").alias("_source"), F.col("kind").alias("_kind"))
+    on = (F.col("_source").isNull() | (F.col("source") == F.col("_source"))) & (F.col("_kind").isNull() | (F.col("kind") == F.col("_kind")))
+    return rows.join(F.broadcast(s.limit(1000)), on).drop("_source", "_kind")
+
+
+def latest_generation(items: DataFrame, by: tuple[str, ...], generated: str, aliases: dict[str, str]) -> DataFrame:
+    """The items of the newest generation of each group, and again under the aliases of their scope."""
+    newest = F.max(generated).over(Window.partitionBy(*by))
+    own = items.withColumn("_n", newest).where(F.col(generated) == F.col("_n")).drop("_n")
+    out = own
+    for name, alias in aliases.items():
+        out = out.unionByName(own.where(F.col("scope") == name).withColumn("scope", F.lit(alias)))
+    return out
+
+
+def placeholder(windows: DataFrame) -> DataFrame:
+    """windows that are not used, with a sentence that says why."""
+    text = F.format_string("%s: %d reviews in %d months are too few for action items", "source", "reviews", "months")
+    return windows.where("not is_used").withColumn("title", text)
+
+
+def document(rows: DataFrame) -> DataFrame:
+    """(source, json): counts and the area tallies of a source as one JSON document."""
+    areas = tally(rows, "source", "area").groupBy("source").agg(F.array_sort(F.collect_list(F.struct("area", "reviews", "negatives"))).alias("areas"))
+    totals = rows.groupBy("source").agg(F.count("*").alias("reviews"), F.count_if(F.col("sentiment") == "negative").alias("negatives"))
+    return totals.join(areas, "source").select("source", F.to_json(F.struct("reviews", "negatives", "areas")).alias("json"))

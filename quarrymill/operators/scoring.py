@@ -93,3 +93,56 @@ def spearman(df: DataFrame, x: str, y: str) -> DataFrame:
 
     both = df.join(ranks(x), F.col(x) == F.col(f"_{x}")).join(ranks(y), F.col(y) == F.col(f"_{y}"))
     return both.agg(F.corr(f"rank_{x}", f"rank_{y}").alias("rho"), F.count("*").alias("n"))
+
+
+def two_grain_accuracy(rows: DataFrame, item: str = "item", family: str = "family") -> DataFrame:
+    """(grain, name, rows, wape, bias) of items and of families, in one grouping-sets pass.
+
+    A family's errors are those of its monthly totals, so rows are summed by family and month first.
+    """
+    by_item = rows.groupBy(F.lit("item").alias("grain"), F.col(item).cast("string").alias("name"), "month").agg(F.sum("actual").alias("actual"), F.sum("predicted").alias("predicted"))
+    by_family = rows.groupBy(F.lit("family").alias("grain"), F.col(family).cast("string").alias("name"), "month").agg(F.sum("actual").alias("actual"), F.sum("predicted").alias("predicted"))
+    return by_item.unionByName(by_family).groupBy("grain", "name").agg(F.count("*").alias("rows"), wape(F.col("actual"), F.col("predicted")).alias("wape"), bias(F.col("actual"), F.col("predicted")).alias("bias"))
+
+
+def split_error(rows: DataFrame) -> DataFrame:
+    """(family, as_is, perfect_share, family_level): how much of a family's error its split makes.
+
+    rows: (family, item, month, actual, predicted). perfect_share divides the family's forecast by the
+    items' real shares of the month, so its error is that of the family's level alone.
+    """
+    w = Window.partitionBy("family", "month")
+    r = rows.select("*", F.sum("actual").over(w).alias("fa"), F.sum("predicted").over(w).alias("fp"))
+    perfect = F.when(F.col("fa") != 0, F.col("fp") * F.col("actual") / F.col("fa")).otherwise(F.col("predicted"))
+    items = r.groupBy("family").agg(wape(F.col("actual"), F.col("predicted")).alias("as_is"), wape(F.col("actual"), perfect).alias("perfect_share"))
+    level = rows.groupBy("family", "month").agg(F.sum("actual").alias("a"), F.sum("predicted").alias("p")).groupBy("family").agg(wape(F.col("a"), F.col("p")).alias("family_level"))
+    return items.join(level, "family")
+
+
+def bucket_curve(rows: DataFrame, value: str, count: str, cuts: tuple[int, ...]) -> DataFrame:
+    """(bucket, items, mean, median) of a value by ranges of a count: up to each cut, and above."""
+    bucket = F.when(F.col(count) <= cuts[0], F.lit(f"0-{cuts[0]}"))
+    for a, b in zip(cuts, cuts[1:], strict=False):
+        bucket = bucket.when(F.col(count) <= b, F.lit(f"{a + 1}-{b}"))
+    return rows.groupBy(bucket.otherwise(f"{cuts[-1] + 1}+").alias("bucket")).agg(F.count("*").alias("items"), F.avg(value).alias("mean"), F.median(value).alias("median"))
+
+
+def shrinkage(folds: DataFrame, near_zero: float = 0.5) -> DataFrame:
+    """(method, bias_ratio, near_zero_share, lost_share): does a method hide in small forecasts?"""
+    g = folds.groupBy("method", "key", "train_end").agg(F.sum("predicted").alias("p"), F.sum("actual").alias("a"), wape(F.col("actual"), F.col("predicted")).alias("w"))
+    return g.groupBy("method").agg(
+        F.try_divide(F.sum("p"), F.nullif(F.sum("a"), F.lit(0.0))).alias("bias_ratio"), F.avg((F.col("p") < near_zero).cast("double")).alias("near_zero_share"), F.avg((F.round("w", 9) == 1).cast("double")).alias("lost_share")
+    )
+
+
+def score_deliveries(batches: DataFrame, actual: DataFrame, complete: DataFrame) -> DataFrame:
+    """Delivered forecasts (key, month, yhat, run) with horizon, actual and whether the month can be scored.
+
+    The newest run of each first month counts; an absent actual of a complete month is 0, of others null.
+    """
+    first = batches.withColumn("first_month", F.min("month").over(Window.partitionBy("run")))
+    newest = first.withColumn("newest", F.max("run").over(Window.partitionBy("first_month"))).where("run = newest").drop("newest")
+    j = newest.join(actual.select("key", "month", F.col("units").alias("actual")), ["key", "month"], "left").join(complete.select("month", "is_complete"), "month", "left")
+    done = F.coalesce("is_complete", F.lit(False))
+    horizon = (F.months_between("month", "first_month") + 1).cast("int")
+    return j.select("key", "month", "run", "first_month", horizon.alias("horizon"), "yhat", F.when(done, F.coalesce("actual", F.lit(0.0))).alias("actual"), done.alias("month_complete"))

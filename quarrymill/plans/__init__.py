@@ -3,8 +3,8 @@
 
 def all_queries() -> tuple[dict, dict]:
     """(queries by name, SQL by name)."""
-    from . import demand, ingest, replenishment, review
+    from . import demand, ingest, more, replenishment, review
     from .registry import ORACLES, QUERIES
 
-    del demand, ingest, replenishment, review  # importing them registers their queries
+    del demand, ingest, more, replenishment, review  # importing them registers their queries
     return dict(QUERIES), dict(ORACLES)
