@@ -131,7 +131,7 @@ def shrinkage(folds: DataFrame, near_zero: float = 0.5) -> DataFrame:
     """(method, bias_ratio, near_zero_share, lost_share): does a method hide in small forecasts?"""
     g = folds.groupBy("method", "key", "train_end").agg(F.sum("predicted").alias("p"), F.sum("actual").alias("a"), wape(F.col("actual"), F.col("predicted")).alias("w"))
     return g.groupBy("method").agg(
-        F.try_divide(F.sum("p"), F.nullif(F.sum("a"), F.lit(0.0))).alias("bias_ratio"), F.avg((F.col("p") < near_zero).cast("double")).alias("near_zero_share"), F.avg((F.round("w", 9) == 1).cast("double")).alias("lost_share")
+        F.try_divide(F.sum("p"), F.nullif(F.sum("a"), F.lit(0.0))).alias("bias_ratio"), F.avg((F.round("p", 9) < near_zero).cast("double")).alias("near_zero_share"), F.avg((F.round("w", 9) == 1).cast("double")).alias("lost_share")
     )
 
 

@@ -46,7 +46,7 @@ def error_by_occurrences(spark: SparkSession, d: str) -> DataFrame:
     return scoring.bucket_curve(e, "w", "n", (10, 20, 30)).withColumns({"mean": R6("mean"), "median": R6("median")})
 
 
-@query(f"""WITH {_FOLDS}, g AS (SELECT method, key, train_end, sum(predicted) AS p, sum(actual) AS a, round(sum(abs(predicted - actual)) / nullif(sum(actual), 0), 9) AS w FROM scored GROUP BY ALL) SELECT method, round(sum(p) / sum(a), 6) AS bias_ratio, round(avg((p < 0.5)::INTEGER), 6) AS near_zero_share, round(avg((w = 1)::INTEGER), 6) AS lost_share FROM g GROUP BY 1""")
+@query(f"""WITH {_FOLDS}, g AS (SELECT method, key, train_end, sum(predicted) AS p, sum(actual) AS a, round(sum(abs(predicted - actual)) / nullif(sum(actual), 0), 9) AS w FROM scored GROUP BY ALL) SELECT method, round(sum(p) / sum(a), 6) AS bias_ratio, round(avg((round(p, 9) < 0.5)::INTEGER), 6) AS near_zero_share, round(avg((w = 1)::INTEGER), 6) AS lost_share FROM g GROUP BY 1""")
 def method_shrinkage(spark: SparkSession, d: str) -> DataFrame:
     s = scoring.shrinkage(_folds(spark, d))
     return s.select("method", *(R6(c).alias(c) for c in ("bias_ratio", "near_zero_share", "lost_share")))
