@@ -23,8 +23,9 @@ from .arrays import LOWER, mix, prefix_hash, shingles, span_hash, text_blocks, w
 from .common import scratch
 from .components import components
 
-K, LISTS, WIDTH = 64, 20, 5
+K, LISTS, WIDTH = 128, 20, 5
 GROUP = 1000  # documents that one copy of a leader's set is compared with
+PAIRS = 1 << 14  # pairs of a list that are compared at a time
 LIST_BLOCK = 2048  # members of a list that one task compares with as many others
 MARGIN = 4.0  # standard errors below the threshold at which an estimate rules a pair out
 NONE = np.uint32(0xFFFFFFFF)
@@ -74,6 +75,14 @@ def _matrix(col: pa.Array) -> np.ndarray:
     return np.frombuffer(b"".join(col.to_pylist()), np.uint32).reshape(len(col), K)
 
 
+def _padded(col: pa.Array) -> np.ndarray:
+    """The lists of each row as a matrix, short ones filled up with 0."""
+    n = col.value_lengths().to_numpy()
+    out = np.zeros((len(col), LISTS), np.int64)
+    out[np.arange(LISTS) < n[:, None]] = col.flatten().to_numpy()
+    return out
+
+
 def estimate(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(similarity, values it rests on) of sketches a and b, row by row, from the sketch of the union."""
     both = np.sort(np.concatenate([a, b], axis=1), axis=1)
@@ -91,27 +100,43 @@ def may_link(a: np.ndarray, b: np.ndarray, size_a: np.ndarray, size_b: np.ndarra
     out = np.minimum(size_a, size_b) >= least * np.maximum(size_a, size_b) - 1e-9
     at = np.flatnonzero(out)
     share, n = estimate(a[at], b[at])
-    exact = (size_a[at] + size_b[at] <= K) | (n < K)
-    out[at] = np.where(exact, share >= least - 1e-9, share >= least - MARGIN * np.sqrt(least * (1 - least) / np.maximum(n, 1)))
+    # the sketch is drawn without replacement from the union, whose size the threshold gives
+    union = np.maximum((size_a[at] + size_b[at]) / (1 + least), 2)
+    left = np.clip((union - n) / (union - 1), 0, 1)
+    error = np.sqrt(least * (1 - least) / np.maximum(n, 1) * left)
+    out[at] = share >= least - MARGIN * error - 1 / np.maximum(n, 1)
     return out
 
 
 def _cross_pairs(batches: Iterator[pa.RecordBatch], least: float) -> Iterator[pa.RecordBatch]:
-    """Rows (key, doc, component, n, sketch, side) sorted by key to pairs of one key that may link."""
+    """Rows (key, doc, component, n, sketch, side, reach, list, lists) sorted by key to pairs that may link.
+
+    reach bounds what a set can have in common with any other, and so the similarity of each pair.
+    A pair of several lists comes out of the first of them only.
+    """
 
     def pairs(t: pa.Table) -> Iterator[pa.RecordBatch]:
         key = t.column(0).to_numpy()
-        doc, comp, n, side = (t.column(i).to_numpy() for i in (1, 2, 3, 5))
+        doc, comp, n, side, reach = (t.column(i).to_numpy() for i in (1, 2, 3, 5, 6))
         low = _matrix(t.column(4).combine_chunks())
+        own, lists = t.column(7).to_numpy(), _padded(t.column(8).combine_chunks())
         ends = np.searchsorted(key, key, side="right")
         later = ends - np.arange(len(key)) - 1
         lo = 0
-        while lo < len(key):  # some 200,000 pairs at a time
-            hi = max(lo + 1, int(np.searchsorted(np.cumsum(later[lo:]), 200_000)) + lo)
+        total = np.concatenate([[0], np.cumsum(later)])
+        while lo < len(key):  # some PAIRS pairs at a time
+            hi = max(lo + 1, int(np.searchsorted(total, total[lo] + PAIRS, side="right")) - 1)
             i = np.repeat(np.arange(lo, min(hi, len(key))), later[lo:hi])
             j = i + 1 + np.arange(len(i)) - np.repeat(np.cumsum(later[lo:hi]) - later[lo:hi], later[lo:hi])
             ok = (comp[i] != comp[j]) & ((side[i] != side[j]) | (side[i] < 0))
             i, j = i[ok], j[ok]
+            most = np.minimum(reach[i], reach[j])
+            ok = most >= least * (n[i] + n[j] - most) - 1e-9
+            i, j = i[ok], j[ok]
+            common = (lists[i][:, :, None] == lists[j][:, None, :]).any(axis=2)
+            first = np.where(common & (lists[i] != 0), lists[i], np.iinfo(np.int64).max).min(axis=1)
+            ok = first == own[i]
+            i, j = i[ok], j[ok]
             ok = may_link(low[i], low[j], n[i], n[j], least)
             i, j = i[ok], j[ok]
             yield pa.RecordBatch.from_arrays([pa.array(np.minimum(doc[i], doc[j])), pa.array(np.maximum(doc[i], doc[j]))], names=["a", "b"])
@@ -130,6 +155,15 @@ def _cross_pairs(batches: Iterator[pa.RecordBatch], least: float) -> Iterator[pa
         yield from pairs(pa.Table.from_batches(held))
 
 
+def _set_rows(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[pa.RecordBatch]:
+    """(doc, text) to a row (shingle, doc) for each member of the sets."""
+    for b in batches:
+        docs = b.column(0).to_numpy()
+        for lo, hi, buf, offsets in text_blocks(b.column(1)):
+            h, at = sets_of(buf, offsets, width)
+            yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(np.repeat(docs[lo:hi], np.diff(at)))], names=["shingle", "doc"])
+
+
 def _verify(batches: Iterator[pa.RecordBatch], share: tuple[int, int]) -> Iterator[pa.RecordBatch]:
     """Rows (leader, part, doc, set) sorted, a leader's own set first; out come its linked documents."""
     leader, own = None, np.zeros(0, np.uint64)
@@ -196,7 +230,7 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     shared = listed.groupBy("key").agg(F.min("doc").alias("leader"), F.max("doc").alias("last"), F.count("*").alias("members")).where("leader < last")
     lists = listed.join(shared.select("key", "leader", "members"), "key").checkpoint()
 
-    one = classes.groupBy(F.col("rep").alias("doc")).agg(F.min(F.struct("n_shingles", "sketch")).alias("s")).select("doc", F.col("s.n_shingles").alias("n"), F.col("s.sketch").alias("sketch"))
+    one = classes.groupBy(F.col("rep").alias("doc")).agg(F.min(F.struct("n_shingles", "sketch", "keys")).alias("s")).select("doc", F.col("s.n_shingles").alias("n"), F.col("s.sketch").alias("sketch"), F.col("s.keys").alias("lists"))
     texts = source.join(lists.select(F.col("doc").alias("doc_id")).distinct(), "doc_id", "left_semi").groupBy(F.col("doc_id").alias("doc")).agg(F.min("text").alias("text")).checkpoint()
 
     def filtered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -206,18 +240,25 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1)], names=["a", "b"]).filter(pa.array(ok))
 
     stars = lists.where("doc != leader").select(F.col("leader").alias("a"), F.col("doc").alias("b")).distinct()
-    stars = stars.join(one.toDF("a", "n_a", "sketch_a"), "a").join(one.toDF("b", "n_b", "sketch_b"), "b").select("a", "b", "n_a", "n_b", "sketch_a", "sketch_b").mapInArrow(filtered, "a long, b long").checkpoint()
+    stars = stars.join(one.select("doc", "n", "sketch").toDF("a", "n_a", "sketch_a"), "a").join(one.select("doc", "n", "sketch").toDF("b", "n_b", "sketch_b"), "b").select("a", "b", "n_a", "n_b", "sketch_a", "sketch_b").mapInArrow(filtered, "a long, b long").checkpoint()
     links = _links(stars, texts, width, share, parts).checkpoint()
     found = components(links)
 
-    # lists whose members are still in several components: all of their pairs that may link
+    # lists whose members are still in several components: all of their pairs that may link, by what
+    # sets can share at most, then by the sketch of the union
     placed = lists.join(found.withColumnRenamed("node", "doc"), "doc", "left").withColumn("component", F.coalesce("component", "doc"))
     split = placed.groupBy("key").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x < y").select("key")
+    open_lists = placed.join(split, "key").checkpoint()
+    # shingles of no other document in these lists: what is left bounds any intersection
+    members = texts.join(open_lists.select("doc").distinct(), "doc", "left_semi").select("doc", "text")
+    alone = members.mapInArrow(lambda it: _set_rows(it, width), "shingle long, doc long").groupBy("shingle").agg(F.min("doc").alias("doc"), F.max("doc").alias("other")).where("doc = other")
+    alone = alone.groupBy("doc").agg(F.count("*").alias("alone"))
+    able = one.join(alone, "doc", "left").withColumn("reach", F.col("n") - F.coalesce("alone", F.lit(0))).where(F.col("reach") >= least * F.col("n")).drop("alone")
     blocks = F.ceil(F.col("members") / LIST_BLOCK).cast("int")
     mine = F.pmod(F.xxhash64("doc"), blocks).cast("int")
-    rest = placed.join(split, "key").join(one, "doc").select(
-        "key", "doc", "component", "n", "sketch", mine.alias("mine"), F.explode(F.sequence(F.lit(0), blocks - 1)).alias("other")
-    ).select(F.xxhash64("key", F.least("mine", "other"), F.greatest("mine", "other")).alias("key"), "doc", "component", "n", "sketch", F.when(F.col("mine") == F.col("other"), -1).otherwise(F.col("mine")).alias("side"))
+    rest = open_lists.join(able, "doc").select("*", mine.alias("mine"), F.explode(F.sequence(F.lit(0), blocks - 1)).alias("other"))
+    side = F.when(F.col("mine") == F.col("other"), -1).otherwise(F.col("mine"))
+    rest = rest.select(F.xxhash64("key", F.least("mine", "other"), F.greatest("mine", "other")).alias("key"), "doc", "component", "n", "sketch", side.alias("side"), "reach", F.col("key").alias("list"), "lists")
     # a block meets itself among its rows with side -1; rows of two blocks meet only those of the other
     again = rest.repartition(parts, "key").sortWithinPartitions("key").mapInArrow(lambda it: _cross_pairs(it, least), "a long, b long").distinct()
     again = again.join(stars, ["a", "b"], "left_anti").checkpoint()
