@@ -64,5 +64,15 @@ def op10_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (op1_factorisation_machine, op2_sum_of_squares_packing, op3_transducer_token_counts, op4_suffix_array_repetition, op5_fused_language, op6_suffix_array_dedup, op7_forest_secret_scan, op8_bottom_k_near_duplicates, op9_order_minhash, op10_mix_sources)}
 
-#: DuckDB SQL where it can express the query.
-ORACLES: dict[str, str] = {}
+_NEAR = r"""WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+s AS (SELECT doc_id, CASE WHEN len(w) >= 5 THEN list_distinct(list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' '))) WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END AS g FROM w),
+e AS (SELECT doc_id, len(g) AS n, unnest(g) AS g FROM s),
+p AS (SELECT a.doc_id AS a, b.doc_id AS b FROM e a JOIN e b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY a.doc_id, b.doc_id, a.n, b.n HAVING 100 * count(*) >= 85 * (a.n + b.n - count(*))),
+l AS (SELECT a, b FROM p UNION ALL SELECT b, a FROM p),
+r AS (SELECT doc_id AS a, doc_id AS b FROM s UNION SELECT r.a, l.b FROM r JOIN l ON l.a = r.b),
+c AS (SELECT a AS doc_id, min(b) AS component_id FROM r GROUP BY 1)
+SELECT s.doc_id, CAST(len(g) AS BIGINT) AS n_shingles, component_id, s.doc_id = component_id AS kept FROM s JOIN c ON c.doc_id = s.doc_id"""
+
+#: DuckDB SQL where it can express the query. The others hold numbers of a fitted model, of a
+#: tokenizer, of seeded hashes or of suffix arrays; tests/llm compares them with brute force.
+ORACLES: dict[str, str] = {"op8_bottom_k_near_duplicates": _NEAR}
