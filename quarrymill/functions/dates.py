@@ -72,3 +72,9 @@ def localised_date(text: Column) -> Column:
 def another_saturday_due(end: Column, through: Column) -> Column:
     """Is the month of the week's end the newest loaded month, with a Saturday still to come?"""
     return (F.last_day(end) == F.last_day(through)) & (F.date_add(through, 7) <= F.last_day(through))
+
+
+def iso_instant(text: Column, with_time: bool = True) -> Column:
+    """'YYYY-MM-DDTHH:mm:ss.SSSZ' (UTC) or 'YYYY-MM-DD' of a timestamp text; null where it is none."""
+    at = F.try_to_timestamp(F.trim(text))
+    return F.date_format(at, "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'" if with_time else "yyyy-MM-dd")
