@@ -137,3 +137,11 @@ def forecast_sanity(spark: SparkSession, d: str) -> DataFrame:
     g = month_grid(spark, d)
     s = replenish.sanity(forecast.forecast(forecast.histories(g), 6, ["mean3"]), g)
     return s.select(R6("ratio").alias("ratio"), "is_sane")
+
+
+@query()
+def replenishment_plan(spark: SparkSession, d: str) -> DataFrame:
+    """The whole forecast of orders: demand, market blend, habits, three replays, reasons and confidence."""
+    weekly = weekly_forecast(spark, d).withColumn("week_end", F.add_months("week_end", 2))
+    p = replenish.plan(inventory(spark, d), weekly, ANCHOR, 4)
+    return p.withColumn("month", F.date_format("month", "yyyy-MM"))
