@@ -57,59 +57,96 @@ def anchors(buf: np.ndarray, offsets: np.ndarray, width: int = WIDTH, gram: int
     return starts, p, h[p]
 
 
-def _ask(batch: pa.RecordBatch) -> pa.RecordBatch:
-    """Texts (tag, text) to rows (x, y): an even x is an anchor asked about and y its text; an odd x is
-    a text, whose anchor y this batch has already seen in another text as well."""
+def _anchor_ids(h: np.ndarray) -> np.ndarray:
+    """Anchors as 48 bits; a clash marks windows that do not repeat, which later steps find out."""
+    return h >> U64(16)
+
+
+_ASKED = "bucket int, anchors binary, asking binary, told binary"
+
+
+def _ask(batch: pa.RecordBatch, buckets: int) -> pa.RecordBatch:
+    """Texts (tag, text) to rows by bucket of anchors: packed anchors (6 bytes each) and their texts.
+
+    A batch asks once about an anchor. Where it has seen the anchor in several texts already, these
+    are told so at once (texts and anchors, packed in the last row), so a passage that most texts
+    share is asked about once a batch.
+    """
     buf, offsets = text_bytes(batch.column(1))
-    tags = batch.column(0).to_numpy().view(U64) | U64(1)
-    hs, own = [], []
+    tags = batch.column(0).to_numpy().view(U64)
+    ids, own = [np.zeros(0, U64)], [np.zeros(0, U64)]
     for lo, hi in blocks(offsets):
-        part = buf[offsets[lo] : offsets[hi]]
-        _, p, h = anchors(part, offsets[lo : hi + 1] - offsets[lo])
+        off = offsets[lo : hi + 1] - offsets[lo]
+        _, p, h = anchors(buf[offsets[lo] : offsets[hi]], off)
         new = np.ones(len(p), bool)
         new[1:] = p[1:] != p[:-1]
-        hs.append(h[new] & ~U64(1))
-        own.append(tags[lo + rows_of(offsets[lo : hi + 1] - offsets[lo], p[new])])
-    h, t = np.concatenate([np.zeros(0, U64), *hs]), np.concatenate([np.zeros(0, U64), *own])
-    order = np.lexsort((t, h))
-    h, t = h[order], t[order]
-    head = np.ones(len(h), bool)
-    head[1:] = h[1:] != h[:-1]
+        ids.append(_anchor_ids(h[new]))
+        own.append(tags[lo + rows_of(off, p[new])])
+    a, t = np.concatenate(ids), np.concatenate(own)
+    order = np.lexsort((t, a))
+    a, t = a[order], t[order]
+    head = np.ones(len(a), bool)
+    head[1:] = a[1:] != a[:-1]
     other = head.copy()
     other[1:] |= t[1:] != t[:-1]
-    h, t, head = h[other], t[other], head[other]  # one row for an anchor and a text
-    several = np.zeros(len(h), bool)
+    a, t, head = a[other], t[other], head[other]  # one row for an anchor and a text
+    several = ~head
     several[:-1] |= ~head[1:]
-    several |= ~head
-    x = np.concatenate([h[head], t[several]])
-    y = np.concatenate([t[head], h[several]])
-    return pa.RecordBatch.from_arrays([pa.array(x.view(np.int64)), pa.array(y.view(np.int64))], names=["x", "y"])
+    told = t[several].tobytes() + a[several].tobytes()
+    a, t = a[head], t[head]
+    bucket = (a % U64(buckets)).astype(np.int32)
+    order = np.argsort(bucket, kind="stable")
+    bucket, t = bucket[order], t[order]
+    packed = np.ascontiguousarray(a[order].astype("<u8").view(np.uint8).reshape(-1, 8)[:, :6])
+    first = np.flatnonzero(np.concatenate([[True], bucket[1:] != bucket[:-1]])) if len(bucket) else np.zeros(0, np.int64)
+    last = np.append(first[1:], len(bucket))
+    where = int(mix(tags[:1].sum(keepdims=True) + U64(len(tags)))[0] % U64(buckets)) if len(tags) else 0
+    cols = [
+        pa.array([*bucket[first].tolist(), where], pa.int32()),
+        pa.array([*(packed[i:j].tobytes() for i, j in zip(first, last, strict=True)), b""], pa.binary()),
+        pa.array([*(t[i:j].tobytes() for i, j in zip(first, last, strict=True)), b""], pa.binary()),
+        pa.array([b""] * len(first) + [told], pa.binary()),
+    ]
+    return pa.RecordBatch.from_arrays(cols, names=[c.split()[0] for c in _ASKED.split(", ")])
 
 
 def _answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows (x, y) sorted to (tag, anchor) of anchors in several texts."""
-    held = np.zeros((2, 0), np.int64)
-
-    def told(x: np.ndarray, y: np.ndarray) -> pa.RecordBatch:
-        known = (x & 1) == 1
-        a, t = x[~known], y[~known]
-        head = np.ones(len(a) + 1, bool)
-        head[1:-1] = a[1:] != a[:-1]
-        first = np.flatnonzero(head[:-1])
-        group = np.cumsum(head[:-1]) - 1
-        differs = t != t[first][group] if len(a) else np.zeros(0, bool)
+    """Rows of _ask, sorted by bucket, to (tag, anchor) of anchors in several texts."""
+
+    def rows(tag: np.ndarray, anchor: np.ndarray) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(tag.view(np.int64)), pa.array(anchor.view(np.int64))], names=["tag", "anchor"])
+
+    def flush(held: list[tuple[bytes, bytes]]) -> pa.RecordBatch:
+        six = np.frombuffer(b"".join(x for x, _ in held), np.uint8).reshape(-1, 6)
+        a = np.zeros((len(six), 8), np.uint8)
+        a[:, :6] = six
+        a, t = a.view("<u8").ravel().astype(U64), np.frombuffer(b"".join(x for _, x in held), U64)
+        order = np.argsort(a, kind="stable")
+        a, t = a[order], t[order]
+        head = np.ones(len(a), bool)
+        head[1:] = a[1:] != a[:-1]
+        first = np.flatnonzero(head)
+        group = np.cumsum(head) - 1
         many = np.zeros(len(first), bool)
-        many[group[differs]] = True
+        many[group[t != t[first][group]]] = True
         ok = many[group]
-        return pa.RecordBatch.from_arrays([pa.array(np.concatenate([x[known], t[ok]])), pa.array(np.concatenate([y[known], a[ok]]))], names=["tag", "anchor"])
+        return rows(t[ok], a[ok])
 
+    held: list[tuple[bytes, bytes]] = []
+    bucket = None
     for b in batches:
-        if b.num_rows:
-            rows = np.concatenate([held, [b.column(0).to_numpy(), b.column(1).to_numpy()]], axis=1)
-            whole = int(np.searchsorted(rows[0], rows[0, -1]))
-            yield told(rows[0, :whole], rows[1, :whole])
-            held = rows[:, whole:]
-    yield told(*held)
+        for k, x, y, told in zip(*(c.to_pylist() for c in b.columns), strict=True):
+            if k != bucket:
+                if held:
+                    yield flush(held)
+                held, bucket = [], k
+            if x:
+                held.append((x, y))
+            if told:
+                both = np.frombuffer(told, U64)
+                yield rows(both[: len(both) // 2], both[len(both) // 2 :])
+    if held:
+        yield flush(held)
 
 
 _PIECE = "key long, doc long, start int, n int, bytes binary"
@@ -171,7 +208,7 @@ def _shard(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         rows = rows_of(off, starts)
         salt = lambda r: mix(r.astype(U64) + U64(1))
         known = flat[list_at[lo] : list_at[hi]] ^ salt(np.repeat(np.arange(hi - lo), np.diff(list_at[lo : hi + 1])))
-        ok = np.isin((h & ~U64(1)) ^ salt(rows), known)
+        ok = np.isin(_anchor_ids(h) ^ salt(rows), known)
         starts, p, rows = starts[ok], p[ok], rows[ok]
         if not len(starts):
             continue
@@ -329,15 +366,12 @@ def remove_repeats(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "
     source = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
     named = source.where("doc_id is not null")
 
-    def each(f):
-        return lambda batches: (f(b) for b in batches)
-
-    asked = named.select(F.xxhash64("text").alias("tag"), "text").mapInArrow(each(_ask), "x long, y long")
-    told = asked.repartition(parts, "x").sortWithinPartitions("x").mapInArrow(_answer, "tag long, anchor long")
+    asked = named.select(F.xxhash64("text").alias("tag"), "text").mapInArrow(lambda batches: (_ask(b, 4 * parts) for b in batches), _ASKED)
+    told = asked.repartition(parts, "bucket").sortWithinPartitions("bucket").mapInArrow(_answer, "tag long, anchor long")
     several = told.groupBy("tag").agg(F.collect_set("anchor").alias("anchors"))
 
     # the first document of each text; partial aggregates make a text with many copies a few rows
-    firsts = named.select("doc_id", F.sha2("text", 256).alias("sha"), F.xxhash64("text").bitwiseOR(F.lit(1)).alias("text_tag"))
+    firsts = named.select("doc_id", F.sha2("text", 256).alias("sha"), F.xxhash64("text").alias("text_tag"))
     firsts = firsts.groupBy("sha", "text_tag").agg(F.min("doc_id").alias("first"))
     marked = firsts.join(several, F.col("text_tag") == F.col("tag")).select(F.col("first").alias("doc_id"), "anchors")
 
