@@ -2,7 +2,8 @@
 
 1. Equal texts are one: all but the first copy go as wholes.
 2. Every 50-byte window has an anchor, its least 20-byte string by hash, so equal windows have equal
-   anchors. Windows whose anchor occurs in one text only cannot repeat and are left out.
+   anchors, and equal bytes on the longer side of it. Windows for which only one text has these
+   cannot repeat and are left out.
 3. A shard (the texts of an Arrow batch, block by block) sorts the suffixes of its remaining windows
    by Larsson-Sadakane refinement; Kasai's common prefixes cut the suffix array into classes of
    equal windows. Within a class the windows of all but its least document are removed at once; the
@@ -27,6 +28,8 @@ from . import suffixes
 from .arrays import U64, blocks, mix, prefix_hash, rows_of, span_hash, text_bytes
 
 WIDTH, GRAM = 50, 20
+SIDE = 15  # of a window's bytes beside its anchor, so many at least are on one side
+TAG = (1 << 48) - 1
 STEP = 16  # windows of a segment at most; they share WIDTH - STEP + 1 bytes
 RUNS = 8  # sorted runs that are merged at a time
 _POS = 27  # bits of a sliding key that hold the position
@@ -62,86 +65,112 @@ def _anchor_ids(h: np.ndarray) -> np.ndarray:
     return h >> U64(16)
 
 
-_ASKED = "bucket int, anchors binary, asking binary, told binary"
+def _tags(col: pa.Array) -> np.ndarray:
+    return col.to_numpy().view(U64) & U64(TAG)
+
+
+def _sides(a: np.ndarray, codes: np.ndarray, t: np.ndarray) -> np.ndarray:
+    """For each row: does another text have its anchor with the same code? (code 0: there is none)"""
+    key = a << U64(12) | codes
+    order = np.lexsort((t, key))
+    k, tag = key[order], t[order]
+    head = np.ones(len(k), bool)
+    head[1:] = k[1:] != k[:-1]
+    first = np.flatnonzero(head)
+    group = np.cumsum(head) - 1
+    many = np.zeros(len(first), bool)
+    many[group[tag != tag[first][group]]] = True
+    out = np.zeros(len(k), bool)
+    out[order] = many[group]
+    return out & (codes > 0)
+
+
+def _told(a: np.ndarray, left: np.ndarray, right: np.ndarray, t: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(text, anchor << 2 | sides) where another text has the anchor and the bytes left (1) or right (2) of it."""
+    sides = _sides(a, left, t).astype(U64) | _sides(a, right, t).astype(U64) << U64(1)
+    at = np.flatnonzero(sides)
+    return t[at], a[at] << U64(2) | sides[at]
+
+
+_ASKED = "bucket int, asked binary, told binary"
 
 
 def _ask(batch: pa.RecordBatch, buckets: int) -> pa.RecordBatch:
-    """Texts (tag, text) to rows by bucket of anchors: packed anchors (6 bytes each) and their texts.
+    """Texts (tag, text) to rows by bucket of anchors: each anchor with codes of the bytes beside it, and its text.
 
-    A batch asks once about an anchor. Where it has seen the anchor in several texts already, these
-    are told so at once (texts and anchors, packed in the last row), so a passage that most texts
-    share is asked about once a batch.
+    Windows that share an anchor and repeat share SIDE bytes left or right of it as well. A batch asks
+    once about an anchor and its codes. Where it has seen them in several texts already, these are told
+    so at once (in the last row), so a passage that most texts share is asked about once a batch.
     """
     buf, offsets = text_bytes(batch.column(1))
-    tags = batch.column(0).to_numpy().view(U64)
-    ids, own = [np.zeros(0, U64)], [np.zeros(0, U64)]
+    tags = _tags(batch.column(0))
+    rows = [np.zeros((4, 0), U64)]
     for lo, hi in blocks(offsets):
-        off = offsets[lo : hi + 1] - offsets[lo]
-        _, p, h = anchors(buf[offsets[lo] : offsets[hi]], off)
+        off, part = offsets[lo : hi + 1] - offsets[lo], buf[offsets[lo] : offsets[hi]]
+        _, p, h = anchors(part, off)
         new = np.ones(len(p), bool)
         new[1:] = p[1:] != p[:-1]
-        ids.append(_anchor_ids(h[new]))
-        own.append(tags[lo + rows_of(off, p[new])])
-    a, t = np.concatenate(ids), np.concatenate(own)
-    order = np.lexsort((t, a))
-    a, t = a[order], t[order]
-    head = np.ones(len(a), bool)
-    head[1:] = a[1:] != a[:-1]
-    other = head.copy()
-    other[1:] |= t[1:] != t[:-1]
-    a, t, head = a[other], t[other], head[other]  # one row for an anchor and a text
-    several = ~head
-    several[:-1] |= ~head[1:]
-    told = t[several].tobytes() + a[several].tobytes()
-    a, t = a[head], t[head]
+        p, h = p[new], h[new]
+        row = rows_of(off, p)
+        sums = prefix_hash(part)
+
+        def code(start: np.ndarray, ok: np.ndarray, sums: np.ndarray = sums) -> np.ndarray:
+            start = np.where(ok, start, 0)
+            return np.where(ok, span_hash(sums, start, np.minimum(start + SIDE, len(sums) - 1)) % U64(4095) + U64(1), U64(0))
+
+        left, right = code(p - SIDE, p - SIDE >= off[row]), code(p + GRAM, p + GRAM + SIDE <= off[row + 1])
+        rows.append(np.stack([_anchor_ids(h), left, right, tags[lo + row]]))
+    a, left, right, t = np.concatenate(rows, axis=1)
+    told = np.concatenate(_told(a, left, right, t)).tobytes()
+    codes = left << U64(12) | right
+    order = np.lexsort((codes, a, a % U64(buckets)))
+    a, codes, t = a[order], codes[order], t[order]
+    new = np.ones(len(a), bool)
+    new[1:] = (a[1:] != a[:-1]) | (codes[1:] != codes[:-1])
+    a, codes, t = a[new], codes[new], t[new]
     bucket = (a % U64(buckets)).astype(np.int32)
-    order = np.argsort(bucket, kind="stable")
-    bucket, t = bucket[order], t[order]
-    packed = np.ascontiguousarray(a[order].astype("<u8").view(np.uint8).reshape(-1, 8)[:, :6])
-    first = np.flatnonzero(np.concatenate([[True], bucket[1:] != bucket[:-1]])) if len(bucket) else np.zeros(0, np.int64)
-    last = np.append(first[1:], len(bucket))
-    where = int(mix(tags[:1].sum(keepdims=True) + U64(len(tags)))[0] % U64(buckets)) if len(tags) else 0
+    low = lambda x, n: x.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :n]
+    packed = np.concatenate([low(a, 6), low(codes, 3), low(t, 6)], axis=1) if len(a) else np.zeros((0, 15), np.uint8)
+    head = np.ones(len(bucket), bool)
+    head[1:] = bucket[1:] != bucket[:-1]
+    first = np.flatnonzero(head)
+    last = np.append(first[1:], len(bucket))[: len(first)]
+    where = int(mix(tags[:1] + U64(len(tags)))[0] % U64(buckets)) if len(tags) else 0
     cols = [
         pa.array([*bucket[first].tolist(), where], pa.int32()),
         pa.array([*(packed[i:j].tobytes() for i, j in zip(first, last, strict=True)), b""], pa.binary()),
-        pa.array([*(t[i:j].tobytes() for i, j in zip(first, last, strict=True)), b""], pa.binary()),
         pa.array([b""] * len(first) + [told], pa.binary()),
     ]
     return pa.RecordBatch.from_arrays(cols, names=[c.split()[0] for c in _ASKED.split(", ")])
 
 
 def _answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows of _ask, sorted by bucket, to (tag, anchor) of anchors in several texts."""
+    """Rows of _ask, sorted by bucket, to (tag, anchor << 2 | sides) of anchors in several texts."""
 
     def rows(tag: np.ndarray, anchor: np.ndarray) -> pa.RecordBatch:
         return pa.RecordBatch.from_arrays([pa.array(tag.view(np.int64)), pa.array(anchor.view(np.int64))], names=["tag", "anchor"])
 
-    def flush(held: list[tuple[bytes, bytes]]) -> pa.RecordBatch:
-        six = np.frombuffer(b"".join(x for x, _ in held), np.uint8).reshape(-1, 6)
-        a = np.zeros((len(six), 8), np.uint8)
-        a[:, :6] = six
-        a, t = a.view("<u8").ravel().astype(U64), np.frombuffer(b"".join(x for _, x in held), U64)
-        order = np.argsort(a, kind="stable")
-        a, t = a[order], t[order]
-        head = np.ones(len(a), bool)
-        head[1:] = a[1:] != a[:-1]
-        first = np.flatnonzero(head)
-        group = np.cumsum(head) - 1
-        many = np.zeros(len(first), bool)
-        many[group[t != t[first][group]]] = True
-        ok = many[group]
-        return rows(t[ok], a[ok])
-
-    held: list[tuple[bytes, bytes]] = []
+    def flush(held: list[bytes]) -> pa.RecordBatch:
+        packed = np.frombuffer(b"".join(held), np.uint8).reshape(-1, 15)
+
+        def wide(lo: int, hi: int) -> np.ndarray:
+            out = np.zeros((len(packed), 8), np.uint8)
+            out[:, : hi - lo] = packed[:, lo:hi]
+            return out.view("<u8").ravel().astype(U64)
+
+        codes = wide(6, 9)
+        return rows(*_told(wide(0, 6), codes >> U64(12), codes & U64(4095), wide(9, 15)))
+
+    held: list[bytes] = []
     bucket = None
     for b in batches:
-        for k, x, y, told in zip(*(c.to_pylist() for c in b.columns), strict=True):
+        for k, asked, told in zip(*(c.to_pylist() for c in b.columns), strict=True):
             if k != bucket:
                 if held:
                     yield flush(held)
                 held, bucket = [], k
-            if x:
-                held.append((x, y))
+            if asked:
+                held.append(asked)
             if told:
                 both = np.frombuffer(told, U64)
                 yield rows(both[: len(both) // 2], both[len(both) // 2 :])
@@ -207,8 +236,11 @@ def _shard(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         starts, p, h = anchors(part, off)
         rows = rows_of(off, starts)
         salt = lambda r: mix(r.astype(U64) + U64(1))
-        known = flat[list_at[lo] : list_at[hi]] ^ salt(np.repeat(np.arange(hi - lo), np.diff(list_at[lo : hi + 1])))
-        ok = np.isin(_anchor_ids(h) ^ salt(rows), known)
+        told = flat[list_at[lo] : list_at[hi]]
+        mine = (told >> U64(2)) ^ salt(np.repeat(np.arange(hi - lo), np.diff(list_at[lo : hi + 1])))
+        own = _anchor_ids(h) ^ salt(rows)
+        on_left = p - starts >= STEP  # such windows have SIDE bytes left of the anchor, the others right of it
+        ok = np.where(on_left, np.isin(own, mine[(told & U64(1)) > 0]), np.isin(own, mine[(told & U64(2)) > 0]))
         starts, p, rows = starts[ok], p[ok], rows[ok]
         if not len(starts):
             continue
@@ -371,7 +403,7 @@ def remove_repeats(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "
     several = told.groupBy("tag").agg(F.collect_set("anchor").alias("anchors"))
 
     # the first document of each text; partial aggregates make a text with many copies a few rows
-    firsts = named.select("doc_id", F.sha2("text", 256).alias("sha"), F.xxhash64("text").alias("text_tag"))
+    firsts = named.select("doc_id", F.sha2("text", 256).alias("sha"), F.xxhash64("text").bitwiseAND(F.lit(TAG)).alias("text_tag"))
     firsts = firsts.groupBy("sha", "text_tag").agg(F.min("doc_id").alias("first"))
     marked = firsts.join(several, F.col("text_tag") == F.col("tag")).select(F.col("first").alias("doc_id"), "anchors")
 
