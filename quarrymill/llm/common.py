@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -56,6 +58,27 @@ def unit(*cols: Column) -> Column:
     return F.shiftrightunsigned(F.xxhash64(*cols), 11).cast("double") / F.lit(float(1 << 53))
 
 
+def first_rows(df: DataFrame, n: int, keys: list[tuple[str, str]]) -> DataFrame:
+    """The n first rows by (column, 'ascending' or 'descending'), which no two rows share.
+
+    Partitions keep their own first n, then so do groups of them, about the root of their number, so
+    the last step sees n rows of each group and not of each partition.
+    """
+    import pyarrow as pa
+
+    def top(batches):
+        held = None
+        for b in batches:
+            t = pa.Table.from_batches([b]) if held is None else pa.concat_tables([held, pa.Table.from_batches([b])])
+            held = t.sort_by(keys).slice(0, n)
+        if held is not None:
+            yield from held.combine_chunks().to_batches()
+
+    groups = max(1, math.isqrt(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))))
+    few = df.mapInArrow(top, df.schema).repartition(groups).mapInArrow(top, df.schema)
+    return few.orderBy(*(F.asc(c) if how == "ascending" else F.desc(c) for c, how in keys)).limit(n)
+
+
 def ranged_neighbours(df: DataFrame, key: str, carry: list[str], parts: int) -> DataFrame:
     """Each row of (key, *carry) with the row before it in descending order of key (prev_*) and
     the key after it (next_key); the order is a ring. Rows are sorted by range, so no task sees

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .arrays import U64, prefix_hash, span_hash, text_blocks, words
-from .common import fresh
+from .common import first_rows, fresh
 
 BUCKETS, FACTORS = 1 << 14, 8
 STATS = ("log_words", "word_length", "longest_word", "letters", "upper", "digits", "signs", "marks", "stops", "line_breaks", "wide", "distinct", "top_word", "loud_words", "signed_words")
@@ -137,7 +137,8 @@ def train(docs: DataFrame, labels: DataFrame, *, text_col: str = "text", id_col:
     """
     key, y = fresh(docs, "_id"), fresh(docs, "_y")
     known = labels.where(F.col(label_col).isNotNull()).groupBy(F.col(id_col).alias(key)).agg(F.avg(F.col(label_col).cast("double")).alias(y))
-    known = known.orderBy(F.xxhash64(key), key).limit(max_rows)
+    order = fresh(docs, "_h")
+    known = first_rows(known.withColumn(order, F.xxhash64(key)), max_rows, [(order, "ascending"), (key, "ascending")]).drop(order)
     n_meta = len(meta_cols)
     rows = docs.join(F.broadcast(known), F.col(id_col) == F.col(key)).select(F.col(text_col).cast("string"), y, *(F.col(c).cast("double") for c in meta_cols), F.xxhash64(key).alias("_o"))
 

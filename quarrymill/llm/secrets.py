@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .arrays import text_blocks, words
-from .common import fresh
+from .common import first_rows, fresh
 
 TREES, DEPTH, MAX_FINDINGS, MAX_COMMON = 30, 8, 6000, 4000
 THRESHOLD = 0.5
@@ -218,7 +218,7 @@ def common_words(docs: DataFrame, *, text_col: str = "text", most: int = MAX_COM
             yield pa.RecordBatch.from_arrays([pa.array([w.decode() for w in held], pa.string()), pa.array(list(held.values()), pa.int64())], names=["word", "n"])
 
     counts = docs.select(F.col(text_col).cast("string")).mapInArrow(run, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
-    return [(r[0], r[1]) for r in counts.orderBy(F.desc("n"), "word").limit(most).collect()]
+    return [(r[0], r[1]) for r in first_rows(counts, most, [("n", "descending"), ("word", "ascending")]).collect()]
 
 
 def labelled_findings(found: DataFrame) -> DataFrame:
@@ -240,7 +240,8 @@ def train_forest(findings: DataFrame, language: Language, *, max_findings: int =
     cols = ["path", "value", "before", "after", "kind", "label"]
     rows = []
     for label in (0, 1):
-        rows += findings.where(F.col("label") == label).select(*cols).distinct().orderBy(F.xxhash64(*cols[:5]), *cols[:5]).limit(half).collect()
+        of_label = findings.where(F.col("label") == label).select(F.xxhash64(*cols[:5]).alias("h"), *cols).distinct()
+        rows += first_rows(of_label, half, [(c, "ascending") for c in ("h", *cols[:5])]).collect()
     y = np.array([r["label"] for r in rows], float)
     x = np.array([language.features(r["value"], r["before"] or "", r["after"] or "", r["kind"], r["path"] or "") for r in rows]).reshape(len(rows), len(FEATURES))
     return Forest().fit(x, y) if len(rows) else Forest()
