@@ -30,7 +30,8 @@ from .arrays import U64, blocks, mix, prefix_hash, rows_of, span_hash, text_byte
 WIDTH, GRAM = 50, 20
 SIDE = 15  # of a window's bytes beside its anchor, so many at least are on one side
 TAG = (1 << 48) - 1
-STEP = 16  # windows of a segment at most; they share WIDTH - STEP + 1 bytes
+STEP = 31  # windows of a segment at most, all that have one anchor; they share WIDTH - STEP + 1 bytes
+SPLIT = 16  # windows that start so far before their anchor have SIDE bytes left of it, others right
 RUNS = 8  # sorted runs that are merged at a time
 _POS = 27  # bits of a sliding key that hold the position
 
@@ -214,10 +215,12 @@ def window_classes(buf: np.ndarray, starts: np.ndarray, ends: np.ndarray, width:
     stop = np.repeat(np.append(first[1:], len(used)), np.diff(np.append(first, len(used))))
     symbols = buf[used] + np.uint8(1)  # no byte of UTF-8 is 255, so 0 is free for "past the end"
     packed = np.zeros(len(used), U64)
+    room = stop - np.arange(len(used))
     for j in range(8):
-        at = np.arange(j, len(used) + j)
-        inside = at < stop
-        packed = packed << U64(8) | np.where(inside, symbols[np.where(inside, at, 0)], 0).astype(U64)
+        ahead = np.zeros(len(used), np.uint8)
+        ahead[: len(used) - j] = symbols[j:]
+        ahead[room <= j] = 0
+        packed = packed << U64(8) | ahead
     sa, ranks, _ = suffixes.refine(packed, stop, length=8)
     lcp = suffixes.kasai(symbols, sa, ranks, stop, width)
     number = np.zeros(len(used), np.int64)
@@ -234,14 +237,16 @@ def _shard(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
     for lo, hi in blocks(offsets):
         part, off = buf[offsets[lo] : offsets[hi]], offsets[lo : hi + 1] - offsets[lo]
         starts, p, h = anchors(part, off)
-        rows = rows_of(off, starts)
+        turn = np.flatnonzero(np.concatenate([[True], p[1:] != p[:-1]])) if len(p) else np.zeros(0, np.int64)
+        count = np.diff(np.append(turn, len(p)))
         salt = lambda r: mix(r.astype(U64) + U64(1))
         told = flat[list_at[lo] : list_at[hi]]
         mine = (told >> U64(2)) ^ salt(np.repeat(np.arange(hi - lo), np.diff(list_at[lo : hi + 1])))
-        own = _anchor_ids(h) ^ salt(rows)
-        on_left = p - starts >= STEP  # such windows have SIDE bytes left of the anchor, the others right of it
-        ok = np.where(on_left, np.isin(own, mine[(told & U64(1)) > 0]), np.isin(own, mine[(told & U64(2)) > 0]))
-        starts, p, rows = starts[ok], p[ok], rows[ok]
+        own = _anchor_ids(h[turn]) ^ salt(rows_of(off, p[turn]))
+        left, right = (np.repeat(np.isin(own, mine[(told & U64(side)) > 0]), count) for side in (1, 2))
+        ok = np.where(p - starts >= SPLIT, left, right)
+        starts, p = starts[ok], p[ok]
+        rows = rows_of(off, starts)
         if not len(starts):
             continue
         doc = docs[lo:hi][rows]
@@ -300,11 +305,9 @@ def _meet(doc: np.ndarray, sizes: np.ndarray, buf: np.ndarray) -> np.ndarray:
     while True:
         runs = []
         for part in np.array_split(np.arange(len(own)), min(RUNS, max(1, len(own)))):
-            order = part[np.lexsort((docs[part], keys[part]))]
-            head = np.ones(len(order), bool)
-            head[1:] = keys[order][1:] != keys[order][:-1]
-            order = order[head]
-            runs.append((keys[order], docs[order], places[order]))
+            order = part[np.argsort(keys[part], kind="stable")]
+            first = np.flatnonzero(np.concatenate([[True], keys[order][1:] != keys[order][:-1]]))
+            runs.append((keys[order[first]], np.minimum.reduceat(docs[order], first), places[order[first]]))
         key, least, place = merge_sorted(runs)
         at = np.searchsorted(key, keys)
         gone = least[at] < docs
@@ -411,11 +414,13 @@ def remove_repeats(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "
         for b in batches:
             yield from _shard(b)
 
-    segments = marked.join(source, "doc_id").select("doc_id", "anchors", "text").mapInArrow(shard, _PIECE)
+    # the same rows meet by id for the shards and for the cutting, so their exchange is used twice
+    segments = marked.join(named, "doc_id").select("doc_id", "anchors", "text").mapInArrow(shard, _PIECE)
     removed = segments.repartition(parts, "key").sortWithinPartitions("key").mapInArrow(_merge, "doc long, start int, n int")
     spans = removed.groupBy(F.col("doc").alias("doc_id")).agg(F.collect_list(F.struct("start", "n")).alias("spans"))
     firsts_only = firsts.select(F.col("first").alias("doc_id"), F.lit(False).alias("copy"))
-    joined = source.join(spans, "doc_id", "left").join(firsts_only, "doc_id", "left")
-    whole = F.col("doc_id").isNotNull() & F.col("copy").isNull()
+    joined = named.join(spans, "doc_id", "left").join(firsts_only, "doc_id", "left")
+    nameless = source.where("doc_id is null").select("doc_id", "text", F.lit(False).alias("whole"), F.lit(None).cast("array<struct<start:int,n:int>>").alias("spans"))
     cut = lambda batches: (_cut(b, WIDTH) for b in batches)
-    return joined.select("doc_id", "text", whole.alias("whole"), "spans").mapInArrow(cut, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
+    rows = joined.select("doc_id", "text", F.col("copy").isNull().alias("whole"), "spans").unionByName(nameless)
+    return rows.mapInArrow(cut, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
