@@ -29,7 +29,7 @@ from .arrays import U64, blocks, mix, prefix_hash, rows_of, span_hash, text_byte
 
 WIDTH, GRAM = 50, 20
 SIDE = 15  # of a window's bytes beside its anchor, so many at least are on one side
-TAG = (1 << 48) - 1
+TAG = (1 << 40) - 1
 STEP = 31  # windows of a segment at most, all that have one anchor; they share WIDTH - STEP + 1 bytes
 SPLIT = 16  # windows that start so far before their anchor have SIDE bytes left of it, others right
 RUNS = 8  # sorted runs that are merged at a time
@@ -131,7 +131,7 @@ def _ask(batch: pa.RecordBatch, buckets: int) -> pa.RecordBatch:
     a, codes, t = a[new], codes[new], t[new]
     bucket = (a % U64(buckets)).astype(np.int32)
     low = lambda x, n: x.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :n]
-    packed = np.concatenate([low(a, 6), low(codes, 3), low(t, 6)], axis=1) if len(a) else np.zeros((0, 15), np.uint8)
+    packed = np.concatenate([low(a, 6), low(codes, 3), low(t, 5)], axis=1) if len(a) else np.zeros((0, 14), np.uint8)
     head = np.ones(len(bucket), bool)
     head[1:] = bucket[1:] != bucket[:-1]
     first = np.flatnonzero(head)
@@ -152,7 +152,7 @@ def _answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         return pa.RecordBatch.from_arrays([pa.array(tag.view(np.int64)), pa.array(anchor.view(np.int64))], names=["tag", "anchor"])
 
     def flush(held: list[bytes]) -> pa.RecordBatch:
-        packed = np.frombuffer(b"".join(held), np.uint8).reshape(-1, 15)
+        packed = np.frombuffer(b"".join(held), np.uint8).reshape(-1, 14)
 
         def wide(lo: int, hi: int) -> np.ndarray:
             out = np.zeros((len(packed), 8), np.uint8)
@@ -160,7 +160,7 @@ def _answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             return out.view("<u8").ravel().astype(U64)
 
         codes = wide(6, 9)
-        return rows(*_told(wide(0, 6), codes >> U64(12), codes & U64(4095), wide(9, 15)))
+        return rows(*_told(wide(0, 6), codes >> U64(12), codes & U64(4095), wide(9, 14)))
 
     held: list[bytes] = []
     bucket = None
@@ -415,11 +415,12 @@ def remove_repeats(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "
             yield from _shard(b)
 
     # the same rows meet by id for the shards and for the cutting, so their exchange is used twice
-    segments = marked.join(named, "doc_id").select("doc_id", "anchors", "text").mapInArrow(shard, _PIECE)
+    placed = named.repartition(parts, "doc_id")
+    segments = marked.join(placed, "doc_id").select("doc_id", "anchors", "text").mapInArrow(shard, _PIECE)
     removed = segments.repartition(parts, "key").sortWithinPartitions("key").mapInArrow(_merge, "doc long, start int, n int")
     spans = removed.groupBy(F.col("doc").alias("doc_id")).agg(F.collect_list(F.struct("start", "n")).alias("spans"))
     firsts_only = firsts.select(F.col("first").alias("doc_id"), F.lit(False).alias("copy"))
-    joined = named.join(spans, "doc_id", "left").join(firsts_only, "doc_id", "left")
+    joined = placed.join(spans, "doc_id", "left").join(firsts_only, "doc_id", "left")
     nameless = source.where("doc_id is null").select("doc_id", "text", F.lit(False).alias("whole"), F.lit(None).cast("array<struct<start:int,n:int>>").alias("spans"))
     cut = lambda batches: (_cut(b, WIDTH) for b in batches)
     rows = joined.select("doc_id", "text", F.col("copy").isNull().alias("whole"), "spans").unionByName(nameless)
