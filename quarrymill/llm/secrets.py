@@ -1,7 +1,7 @@
 """Secrets in texts: wide candidate search, then a random forest that removes false positives.
 
 Candidates are words that could hold a credential (digits or mixed case in a long run, a value after
-a credential's name). The forest sees their length, character transitions, how much of them common
+a credential's name), their parts between quotes, ';', ',' and '=', and every known format in them. The forest sees their length, character transitions, how much of them common
 words cover, the document's path and the neighbouring words. It is trained from labelled findings;
 where no table of them is given, findings whose format or context settles the question serve.
 """
@@ -13,7 +13,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .arrays import text_blocks, words
@@ -25,7 +25,10 @@ MIN_LENGTH = 8
 
 #: Names after which a value is a credential.
 NAMES = ("password", "passwd", "pwd", "secret", "token", "api_key", "apikey", "access_key", "auth", "credential", "private_key")
-_ASSIGNED = re.compile(r"(?i)(?:" + "|".join(NAMES) + r")[\"']?\s*[:=]\s*[\"']?([^\s\"',;]+)")
+_NAME = r"(?:" + "|".join(NAMES) + r")\\*[\"'`]?"
+#: A value after a name; a chain of names (token=secret=...) counts from its last.
+_ASSIGNED = re.compile(rf"(?i){_NAME}\s*[:=]+>?\s*\\*[\"'`]?(?!{_NAME}[:=])([^\s\"',;]+)")
+_PART = re.compile(r"[^;,=]+")
 _CORE = re.compile(r"[^\s\"'`.,;:!?()\[\]<>#*$%&|](?:[^\s\"'`]*[^\s\"'`.,;:!?()\[\]<>#*$%&|])?")
 _NAMED = re.compile(r"(?i)(?:" + "|".join(NAMES) + r")$")
 #: Public formats of credentials.
@@ -35,26 +38,65 @@ PLAIN = re.compile(r"[^@\s]+@[^@\s]+\.\w+|\(?\+?[\d().:/-]+\)?|https?://\S+|v?\d
 FEATURES = ("length", "digits", "upper", "lower", "other", "kinds", "transitions", "distinct", "entropy", "hex", "rarity", "covered", "assigned", "named", "quoted", "path_depth", "path_test", "before_known", "after_known", "before_length")
 
 
-def candidates(text: str, found: np.ndarray | None = None) -> Iterator[tuple[int, str, str, str, str]]:
-    """(start, value, word before, word after, kind) of each candidate; start counts characters."""
+def candidates(text: str) -> Iterator[tuple[int, str, str, str, str]]:
+    """(start, value, word before, word after, kind) of each candidate; start counts characters.
+
+    Spans of one word may overlap: a format is searched for within longer values as well.
+    """
+    low = text.lower()
+    named = [m.span(1) for m in _ASSIGNED.finditer(text)] if any(x in low for x in NAMES) else []
+    at = 0
     for m in re.finditer(r"[^\x20\x09-\x0D]+", text):
+        first = at
+        while at < len(named) and named[at][0] < m.end():
+            at += 1
         word = m.group()
         if not _possible(word):
             continue
-        start, kind, value = m.start(), "word", word
-        assigned = _ASSIGNED.search(word)
-        if assigned:
-            start, value, kind = m.start() + assigned.start(1), assigned.group(1), "assigned"
-        core = _CORE.search(value)
-        core = core.group() if core else ""
-        if len(core) < MIN_LENGTH:
+        spans = _spans(word, [(a - m.start(), b - m.start()) for a, b in named[first:at]])
+        if not spans:
             continue
-        start += value.index(core)
         before = text[max(0, m.start() - 60) : m.start()].split()
         after = text[m.end() : m.end() + 40].split()
-        if kind == "word" and len(before) > 1 and before[-1] in ("=", ":", ":=", "=>") and _NAMED.search(before[-2]):
-            kind, before = "assigned", before[:-1]
-        yield start, core, before[-1] if before else "", after[0] if after else "", kind
+        name = before[:-1] if before and before[-1] in ("=", ":", ":=", "=>") else before
+        for (a, b), kind in sorted(spans.items()):
+            own = name if kind == "assigned" else before
+            yield m.start() + a, word[a:b], own[-1] if own else "", after[0] if after else "", kind
+
+
+def _spans(word: str, named: list[tuple[int, int]]) -> dict[tuple[int, int], str]:
+    """Spans of the candidates in a word, with their kind; named: spans of values after a name, in order.
+
+    These are the named values, known formats, what quotes part, and what ';', ',' and '=' part within that.
+    """
+    out: dict[tuple[int, int], str] = {}
+
+    def add(span: tuple[int, int], kind: str) -> None:
+        if span[1] - span[0] >= MIN_LENGTH:
+            out.setdefault(span, kind)
+
+    for a, b in named:
+        for core in _CORE.finditer(word, a, b):
+            add(core.span(), "assigned")
+    for m in FORMATS.finditer(word):
+        add(m.span(), "word")
+    at = 0
+    for run in _CORE.finditer(word):
+        lo, end = run.span()
+        while at < len(named) and named[at][1] <= lo:
+            at += 1
+        k = at
+        while k < len(named) and named[k][0] < end:
+            k += 1
+        if k == at:
+            add((lo, end), "word")
+        for a, b in [*named[at:k], (end, end)]:
+            for part in _PART.finditer(word, lo, max(lo, a)):
+                core = _CORE.search(word, *part.span())
+                if core and core.group().lower() not in NAMES:
+                    add(core.span(), "word")
+            lo = b
+    return out
 
 
 def _possible(word: str) -> bool:
@@ -280,15 +322,20 @@ def scan_secrets(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "te
 def redact(docs: DataFrame, found: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", mark: str = "[secret]") -> DataFrame:
     """docs with every secret of found replaced by mark in its text; all rows and columns stay.
 
-    Spans are collected by document, so their number is bounded by its text.
+    Spans that overlap are one. They are collected by document, so their number is bounded by its text.
     """
     key, held = fresh(docs, "_id"), fresh(docs, "_spans")
-    spans = found.where("is_secret").groupBy("doc_id").agg(F.array_sort(F.collect_set(F.struct("start", F.length("value").alias("n"))))).toDF(key, held)
+    own = found.where("is_secret").select("doc_id", "start", (F.col("start") + F.length("value")).alias("end")).distinct()
+    ordered = Window.partitionBy("doc_id").orderBy("start", "end")
+    own = own.withColumn("reach", F.max("end").over(ordered.rowsBetween(Window.unboundedPreceding, -1)))
+    own = own.withColumn("span", F.sum(F.when(F.col("start") < F.col("reach"), 0).otherwise(1)).over(ordered.rowsBetween(Window.unboundedPreceding, 0)))
+    own = own.groupBy("doc_id", "span").agg(F.min("start").alias("start"), F.max("end").alias("end"))
+    spans = own.groupBy("doc_id").agg(F.array_sort(F.collect_list(F.struct("start", (F.col("end") - F.col("start")).alias("n"))))).toDF(key, held)
     joined = docs.join(spans, F.col(id_col) == F.col(key), "left")
     at, own = F.col(text_col), F.col(held)
 
     def end(i: Column) -> Column:
-        """Where the span before the i-th ends; spans do not overlap, since candidates do not."""
+        """Where the span before the i-th ends; those that overlap were joined."""
         before = F.get(own, i - 1)
         return F.when(i == 0, F.lit(0).cast("long")).otherwise(before["start"] + before["n"])
 
