@@ -13,6 +13,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -28,11 +29,14 @@ NAMES = ("password", "passwd", "pwd", "secret", "token", "api_key", "apikey", "a
 _NAME = r"(?:" + "|".join(NAMES) + r")\\*[\"'`]?"
 #: A value after a name; a chain of names (token=secret=...) counts from its last.
 _ASSIGNED = re.compile(rf"(?i){_NAME}\s*[:=]+>?\s*\\*[\"'`]?(?!{_NAME}[:=])([^\s\"',;]+)")
+_MARK = re.compile(rf"(?i){_NAME}\s*[:=]")
 _PART = re.compile(r"[^;,=]+")
 _CORE = re.compile(r"[^\s\"'`.,;:!?()\[\]<>#*$%&|](?:[^\s\"'`]*[^\s\"'`.,;:!?()\[\]<>#*$%&|])?")
 _NAMED = re.compile(r"(?i)(?:" + "|".join(NAMES) + r")$")
 #: Public formats of credentials.
 FORMATS = re.compile(r"(?:AKIA|ASIA)[0-9A-Z]{12,16}|gh[pousr]_[0-9A-Za-z]{36}|xox[abpr]-[0-9A-Za-z-]{10,}|AIza[0-9A-Za-z_-]{35}|sk_live_[0-9A-Za-z]{16,}|eyJ[0-9A-Za-z_-]{10,}\.[0-9A-Za-z_-]{10,}\.[0-9A-Za-z_-]*")
+#: What a text holds, besides words that look random, if it has candidates: names and beginnings of formats.
+_HINTS = "(?i)" + "|".join((*NAMES, "AKIA", "ASIA", "gh[pousr]_", "xox[abpr]-", "AIza", "sk_live_", "eyJ"))
 #: Formats of what is no credential: addresses, numbers, dates, versions, placeholders.
 PLAIN = re.compile(r"[^@\s]+@[^@\s]+\.\w+|\(?\+?[\d().:/-]+\)?|https?://\S+|v?\d+(?:\.\d+)+\w*|[a-z]+\d{1,4}|x+|\*+|<[^>]*>|\$?\{[^}]*\}|[A-Za-z]+(?:[-'/][A-Za-z]+)*", re.IGNORECASE)
 FEATURES = ("length", "digits", "upper", "lower", "other", "kinds", "transitions", "distinct", "entropy", "hex", "rarity", "covered", "assigned", "named", "quoted", "path_depth", "path_test", "before_known", "after_known", "before_length")
@@ -44,14 +48,18 @@ def candidates(text: str) -> Iterator[tuple[int, str, str, str, str]]:
     Spans of one word may overlap: a format is searched for within longer values as well.
     """
     low = text.lower()
-    named = [m.span(1) for m in _ASSIGNED.finditer(text)] if any(x in low for x in NAMES) else []
-    at = 0
+    names = any(x in low for x in NAMES)
+    named = [m.span(1) for m in _ASSIGNED.finditer(text)] if names else []
+    marks = [m.end() for m in _MARK.finditer(text)] if names else []
+    at = mark = near = 0
     for m in re.finditer(r"[^\x20\x09-\x0D]+", text):
         first = at
         while at < len(named) and named[at][0] < m.end():
             at += 1
-        word = m.group()
-        if not _possible(word):
+        word, near = m.group(), near - 1
+        while mark < len(marks) and marks[mark] <= m.end():
+            mark, near = mark + 1, 2
+        if not (_possible(word) or near >= 0 or at > first):
             continue
         spans = _spans(word, [(a - m.start(), b - m.start()) for a, b in named[first:at]])
         if not spans:
@@ -100,13 +108,19 @@ def _spans(word: str, named: list[tuple[int, int]]) -> dict[tuple[int, int], str
 
 
 def _possible(word: str) -> bool:
-    return len(word) >= MIN_LENGTH and (any(c.isdigit() for c in word) or "=" in word or sum(a.islower() and b.isupper() for a, b in zip(word, word[1:], strict=False)) >= 2)
+    """Does a word look like a credential by itself? The two words after a name's ':' or '=' need not."""
+    return len(word) >= MIN_LENGTH and (any(c.isdigit() for c in word) or "=" in word or sum(a.islower() and b.isupper() for a, b in zip(word, word[1:], strict=False)) >= 2 or FORMATS.search(word) is not None)
 
 
 def settled(value: str, kind: str) -> int | None:
-    """1 for a known format or an assigned value that no plain format explains, 0 for a plain format."""
+    """1 for a known format or an assigned value that no plain format explains, 0 for a plain format.
+
+    A value of letters after a name may be either, so it settles nothing.
+    """
     if FORMATS.fullmatch(value):
         return 1
+    if kind == "assigned" and value.isalpha():
+        return None
     if PLAIN.fullmatch(value):
         return 0
     return 1 if kind == "assigned" else None
@@ -224,7 +238,7 @@ def find_candidates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
 
 
 def _rows_with_candidates(buf: np.ndarray, offsets: np.ndarray) -> np.ndarray:
-    """Rows with a word that _possible may accept."""
+    """Rows with a word that _possible may accept, or with a credential's name."""
     starts, ends, rows = words(buf, offsets)
     upper = (buf >= 65) & (buf <= 90) | (buf >= 0xC3)
     marks = (buf >= 48) & (buf <= 57) | (buf == 0x3D)
@@ -233,7 +247,9 @@ def _rows_with_candidates(buf: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     if len(buf):
         rises[2:] = np.cumsum(upper[1:] & ~upper[:-1])
     ok = (ends - starts >= MIN_LENGTH) & ((sums[ends] > sums[starts]) | (rises[ends] - rises[np.minimum(starts + 1, len(buf))] >= 2))
-    return np.unique(rows[ok])
+    held = pa.LargeStringArray.from_buffers(len(offsets) - 1, pa.py_buffer(np.ascontiguousarray(offsets, np.int64)), pa.py_buffer(np.ascontiguousarray(buf)))
+    hinted = pc.match_substring_regex(held, _HINTS).to_numpy(zero_copy_only=False)
+    return np.union1d(rows[ok], np.flatnonzero(hinted))
 
 
 def common_words(docs: DataFrame, *, text_col: str = "text", most: int = MAX_COMMON) -> list[tuple[str, int]]:
