@@ -8,6 +8,7 @@ where no table of them is given, findings whose format or context settles the qu
 
 from __future__ import annotations
 
+import math
 import re
 from collections.abc import Iterator
 
@@ -20,7 +21,7 @@ from pyspark.sql import functions as F
 from .arrays import text_blocks, words
 from .common import first_rows, fresh
 
-TREES, DEPTH, MAX_FINDINGS, MAX_COMMON = 30, 8, 6000, 4000
+TREES, DEPTH, MAX_FINDINGS = 30, 8, 6000
 THRESHOLD = 0.5
 MIN_LENGTH = 8
 
@@ -30,6 +31,7 @@ _NAME = r"(?:" + "|".join(NAMES) + r")\\*[\"'`]?"
 #: A value after a name; a chain of names (token=secret=...) counts from its last.
 _ASSIGNED = re.compile(rf"(?i){_NAME}\s*[:=]+>?\s*\\*[\"'`]?(?!{_NAME}[:=])([^\s\"',;]+)")
 _MARK = re.compile(rf"(?i){_NAME}\s*[:=]")
+_LETTERS = re.compile(r"[a-z\x80-\U0010FFFF]+")  # what words that are counted consist of
 _PART = re.compile(r"[^;,=]+")
 _CORE = re.compile(r"[^\s\"'`.,;:!?()\[\]<>#*$%&|](?:[^\s\"'`]*[^\s\"'`.,;:!?()\[\]<>#*$%&|])?")
 _NAMED = re.compile(r"(?i)(?:" + "|".join(NAMES) + r")$")
@@ -126,17 +128,33 @@ def settled(value: str, kind: str) -> int | None:
     return 1 if kind == "assigned" else None
 
 
+def pair_counts(counts: list[tuple[str, int]]) -> np.ndarray:
+    """Transitions between the characters of words and the blanks around them; all beyond ASCII are one."""
+    pairs = np.zeros((128, 128))
+    for w, n in counts:
+        for a, b in zip(" " + w, w + " ", strict=True):
+            pairs[min(ord(a), 127), min(ord(b), 127)] += n
+    return pairs
+
+
 class Language:
-    """Character transitions and common words of ordinary text."""
-
-    def __init__(self, counts: list[tuple[str, int]]):
-        self.common = {w for w, _ in counts}
-        pairs = np.ones((128, 128))
-        for w, n in counts:
-            for a, b in zip(" " + w, w + " ", strict=True):
-                pairs[min(ord(a), 127), min(ord(b), 127)] += n
+    """Character transitions of ordinary text, and its common words as a sorted array of bytes."""
+
+    def __init__(self, counts: list[tuple[str, int]], pairs: np.ndarray | None = None):
+        """counts: the common words; pairs: counts of transitions, from counts where not given."""
+        words_ = sorted(w.encode() for w, _ in counts)
+        self.common = np.array(words_, f"S{max(map(len, words_), default=1)}")
+        self.longest = max((len(w) for w, _ in counts), default=0)
+        pairs = np.ones((128, 128)) + (pair_counts(counts) if pairs is None else pairs)
         self.logs = np.log(pairs / pairs.sum(axis=1, keepdims=True))
-        self.longest = max(map(len, self.common), default=0)
+
+    def known(self, pieces: list[str]) -> np.ndarray:
+        """Which of the pieces are common words?"""
+        if not len(self.common) or not pieces:
+            return np.zeros(len(pieces), bool)
+        asked = np.array([p.encode(errors="replace") for p in pieces])
+        at = np.minimum(np.searchsorted(self.common, asked), len(self.common) - 1)
+        return self.common[at] == asked
 
     def rarity(self, value: str) -> float:
         """Mean negative log probability of a transition."""
@@ -145,11 +163,15 @@ class Language:
 
     def covered(self, value: str) -> float:
         """Share of the characters in common words of three letters or more, longest first."""
-        v, i, n = value.lower(), 0, 0
-        while i < len(v):
-            size = next((k for k in range(min(self.longest, len(v) - i), 2, -1) if v[i : i + k] in self.common), 0)
-            n += size
-            i += size or 1
+        v, n = value.lower(), 0
+        for run in _LETTERS.finditer(v):
+            text, i = run.group(), 0
+            for lo in range(0, len(text), 1000):
+                spans = [(j, k) for j in range(lo, min(lo + 1000, len(text))) for k in range(3, min(self.longest, len(text) - j) + 1)]
+                size = {j: k for (j, k), ok in zip(spans, self.known([text[j : j + k] for j, k in spans]), strict=True) if ok}  # the longest comes last
+                while i < min(lo + 1000, len(text)):
+                    n += size.get(i, 0)
+                    i += size.get(i, 1)
         return n / max(1, len(v))
 
     def features(self, value: str, before: str, after: str, kind: str, path: str) -> list[float]:
@@ -162,7 +184,7 @@ class Language:
             float(min(n, 200)), *share, float(len(set(kinds))), sum(a != b for a, b in zip(kinds, kinds[1:], strict=False)) / n, len(p) / n,
             float(-(p * np.log2(p)).sum()), float(bool(re.fullmatch(r"[0-9a-fA-F]+", value))), self.rarity(value), self.covered(value), float(kind == "assigned"),
             float(bool(_NAMED.search(before.rstrip(":=\"'")))), float(before[-1:] in "\"'=:" and before != ""), float(path.count("/")), float("test" in path.lower() or "example" in path.lower()),
-            float(clean(before) in self.common), float(clean(after) in self.common), float(min(len(before), 40)),
+            *map(float, self.known([clean(before), clean(after)])), float(min(len(before), 40)),
         ]
 
 
@@ -252,8 +274,8 @@ def _rows_with_candidates(buf: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     return np.union1d(rows[ok], np.flatnonzero(hinted))
 
 
-def common_words(docs: DataFrame, *, text_col: str = "text", most: int = MAX_COMMON) -> list[tuple[str, int]]:
-    """The most frequent words of letters, over all texts; `most` bounds what reaches the driver.
+def word_counts(docs: DataFrame, *, text_col: str = "text") -> DataFrame:
+    """(word, n) of all words of letters, over all texts.
 
     Batches count before anything is shuffled, so a frequent word is a row a batch.
     """
@@ -275,8 +297,41 @@ def common_words(docs: DataFrame, *, text_col: str = "text", most: int = MAX_COM
                     held[w] = held.get(w, 0) + c
             yield pa.RecordBatch.from_arrays([pa.array([w.decode() for w in held], pa.string()), pa.array(list(held.values()), pa.int64())], names=["word", "n"])
 
-    counts = docs.select(F.col(text_col).cast("string")).mapInArrow(run, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
-    return [(r[0], r[1]) for r in first_rows(counts, most, [("n", "descending"), ("word", "ascending")]).collect()]
+    return docs.select(F.col(text_col).cast("string")).mapInArrow(run, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
+
+
+def common_from(total: int) -> int:
+    """How often a word must occur to be common, in a corpus of so many words.
+
+    It grows with the root of the corpus: words that occur by chance stay out, while those of any
+    source or language come in as it grows, however small its share.
+    """
+    return max(3, math.isqrt(total) // 500)
+
+
+def train_language(docs: DataFrame, *, text_col: str = "text") -> Language:
+    """Transitions over all words of all texts, and every word that is common by common_from.
+
+    The driver receives 128 x 128 sums and the common words, whose number grows with the corpus: at
+    most total / common_from(total).
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        pairs = np.zeros((128, 128))
+        for b in batches:
+            pairs += pair_counts(list(zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True)))
+        at = np.flatnonzero(pairs)
+        yield pa.RecordBatch.from_arrays([pa.array(at, pa.int32()), pa.array(pairs.ravel()[at].astype(np.int64))], names=["pair", "n"])
+
+    counts = word_counts(docs, text_col=text_col).persist()
+    pairs = np.zeros(128 * 128)
+    for pair, n in counts.mapInArrow(run, "pair int, n long").groupBy("pair").agg(F.sum("n")).collect():
+        pairs[pair] = n
+    pairs = pairs.reshape(128, 128)
+    least = common_from(int(pairs[ord(" ")].sum()))  # a word has one transition from the blank
+    common = counts.where(F.col("n") >= least).toArrow()
+    counts.unpersist()
+    return Language(list(zip(common["word"].to_pylist(), common["n"].to_pylist(), strict=True)), pairs)
 
 
 def labelled_findings(found: DataFrame) -> DataFrame:
@@ -326,10 +381,10 @@ def scan_secrets(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "te
 
     start counts characters from 0. findings: labelled rows (path, value, before, after, kind,
     label) to train from; without them those that settle themselves. Null and empty texts have no
-    findings; rows that repeat an id give their own. Common words are counted over all texts; the
-    training sample and the words that reach the driver are bounded by MAX_FINDINGS and MAX_COMMON.
+    findings; rows that repeat an id give their own. Words are counted over all texts, without a
+    bound; the training sample is bounded by MAX_FINDINGS.
     """
-    language = Language(common_words(docs, text_col=text_col))
+    language = train_language(docs, text_col=text_col)
     found = find_candidates(docs, id_col=id_col, text_col=text_col, path_col=path_col).persist()
     forest = train_forest(findings if findings is not None else labelled_findings(found), language)
     return score_findings(found, forest, language).withColumn("is_secret", F.col("score") >= threshold)

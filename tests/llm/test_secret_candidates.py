@@ -49,3 +49,18 @@ def test_values_after_a_name_need_not_look_random(spark):
         assert got[i, v] == ("assigned" if i < 6 else "word"), texts[i]
     assert {i for i, _ in got} == set(range(len(want)))
     assert secrets.settled("correcthorsebattery", "assigned") is None and secrets.settled("correcthorsebattery", "word") == 0
+
+
+def test_language_is_counted_over_all_words(spark):
+    import numpy as np
+
+    # 5,000 frequent words of one language, and a small one whose words are all less frequent
+    large = ["".join(chr(97 + i // 26**k % 26) for k in range(4)) for i in range(5000)]
+    small = ["žluťoučký", "quokka", "zyzzyva"]
+    docs = spark.createDataFrame([(k, " ".join(large)) for k in range(8)] + [(10 + k, " ".join(small)) for k in range(4)] + [(20, "onlyonce 4711 ab")], "doc_id long, text string")
+    language = secrets.train_language(docs.repartition(3))
+    assert language.known([*small, large[0], large[-1], "onlyonce", "absent", ""]).tolist() == [True] * 5 + [False] * 3
+    assert language.covered("4quokka-zyzzyva4") == 13 / 16
+    counts = [(w, 8) for w in large] + [(w, 4) for w in small] + [("onlyonce", 1)]
+    assert np.allclose(language.logs, secrets.Language(counts).logs)
+    assert secrets.common_from(10**10) > secrets.common_from(10**8) > secrets.common_from(10**4)
