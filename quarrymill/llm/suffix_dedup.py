@@ -7,7 +7,8 @@
 3. A shard (the texts of an Arrow batch, block by block) sorts the suffixes of its remaining windows
    by Larsson-Sadakane refinement; Kasai's common prefixes cut the suffix array into classes of
    equal windows. Within a class the windows of all but its least document are removed at once; the
-   others go on, as short segments keyed by the bytes that all windows of a segment share.
+   others go on, as short segments keyed by the bytes that all windows of a segment share. Where
+   many texts have an anchor, each of its windows is a segment, keyed by all of its bytes.
 4. Shards meet by that key: sorted runs of windows are merged by binary search to the least document
    of each window, and every run looks its own windows up there.
 5. Each document removes the union of its removed windows.
@@ -32,6 +33,7 @@ SIDE = 15  # of a window's bytes beside its anchor, so many at least are on one
 TAG = (1 << 40) - 1
 STEP = 31  # windows of a segment at most, all that have one anchor; they share WIDTH - STEP + 1 bytes
 SPLIT = 16  # windows that start so far before their anchor have SIDE bytes left of it, others right
+MOST_TEXTS, MOST_ASKS = 32, 1024  # of a batch that are told of an anchor, of all batches that ask: with more, its windows meet one by one
 RUNS = 8  # sorted runs that are merged at a time
 _POS = 27  # bits of a sliding key that hold the position
 
@@ -86,6 +88,12 @@ def _sides(a: np.ndarray, codes: np.ndarray, t: np.ndarray) -> np.ndarray:
     return out & (codes > 0)
 
 
+def _marks(a: np.ndarray, most: int) -> np.ndarray:
+    """Anchors in more than `most` rows, as rows of _told for no text and no side."""
+    anchor, n = np.unique(a, return_counts=True)
+    return anchor[n > most] << U64(2)
+
+
 def _told(a: np.ndarray, left: np.ndarray, right: np.ndarray, t: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(text, anchor << 2 | sides) where another text has the anchor and the bytes left (1) or right (2) of it."""
     sides = _sides(a, left, t).astype(U64) | _sides(a, right, t).astype(U64) << U64(1)
@@ -102,6 +110,7 @@ def _ask(batch: pa.RecordBatch, buckets: int) -> pa.RecordBatch:
     Windows that share an anchor and repeat share SIDE bytes left or right of it as well. A batch asks
     once about an anchor and its codes. Where it has seen them in several texts already, these are told
     so at once (in the last row), so a passage that most texts share is asked about once a batch.
+    Anchors of many texts are marked there.
     """
     buf, offsets = text_bytes(batch.column(1))
     tags = _tags(batch.column(0))
@@ -122,7 +131,9 @@ def _ask(batch: pa.RecordBatch, buckets: int) -> pa.RecordBatch:
         left, right = code(p - SIDE, p - SIDE >= off[row]), code(p + GRAM, p + GRAM + SIDE <= off[row + 1])
         rows.append(np.stack([_anchor_ids(h), left, right, tags[lo + row]]))
     a, left, right, t = np.concatenate(rows, axis=1)
-    told = np.concatenate(_told(a, left, right, t)).tobytes()
+    known, sides = _told(a, left, right, t)
+    many = _marks(sides >> U64(2), MOST_TEXTS)
+    told = np.concatenate([known, np.zeros(len(many), U64), sides, many]).tobytes()
     codes = left << U64(12) | right
     order = np.lexsort((codes, a, a % U64(buckets)))
     a, codes, t = a[order], codes[order], t[order]
@@ -146,7 +157,7 @@ def _ask(batch: pa.RecordBatch, buckets: int) -> pa.RecordBatch:
 
 
 def _answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows of _ask, sorted by bucket, to (tag, anchor << 2 | sides) of anchors in several texts."""
+    """Rows of _ask, sorted by bucket, to (tag, anchor << 2 | sides) of anchors in several texts; marks have no sides."""
 
     def rows(tag: np.ndarray, anchor: np.ndarray) -> pa.RecordBatch:
         return pa.RecordBatch.from_arrays([pa.array(tag.view(np.int64)), pa.array(anchor.view(np.int64))], names=["tag", "anchor"])
@@ -159,8 +170,10 @@ def _answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             out[:, : hi - lo] = packed[:, lo:hi]
             return out.view("<u8").ravel().astype(U64)
 
-        codes = wide(6, 9)
-        return rows(*_told(wide(0, 6), codes >> U64(12), codes & U64(4095), wide(9, 14)))
+        anchor, codes = wide(0, 6), wide(6, 9)
+        known, sides = _told(anchor, codes >> U64(12), codes & U64(4095), wide(9, 14))
+        many = _marks(anchor, MOST_ASKS)
+        return rows(np.concatenate([known, np.zeros(len(many), U64)]), np.concatenate([sides, many]))
 
     held: list[bytes] = []
     bucket = None
@@ -229,7 +242,7 @@ def window_classes(buf: np.ndarray, starts: np.ndarray, ends: np.ndarray, width:
 
 
 def _shard(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-    """Texts (doc_id, anchors in several texts, text): windows removed within the block, and segments."""
+    """Texts (doc_id, anchors in several texts as anchor << 3 | is it marked? << 2 | sides, text): windows removed within the block, and segments."""
     buf, offsets = text_bytes(batch.column(2))
     docs = batch.column(0).to_numpy()
     lists = batch.column(1)
@@ -241,11 +254,11 @@ def _shard(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         count = np.diff(np.append(turn, len(p)))
         salt = lambda r: mix(r.astype(U64) + U64(1))
         told = flat[list_at[lo] : list_at[hi]]
-        mine = (told >> U64(2)) ^ salt(np.repeat(np.arange(hi - lo), np.diff(list_at[lo : hi + 1])))
+        mine = (told >> U64(3)) ^ salt(np.repeat(np.arange(hi - lo), np.diff(list_at[lo : hi + 1])))
         own = _anchor_ids(h[turn]) ^ salt(rows_of(off, p[turn]))
-        left, right = (np.repeat(np.isin(own, mine[(told & U64(side)) > 0]), count) for side in (1, 2))
+        left, right, many = (np.repeat(np.isin(own, mine[(told & U64(bit)) > 0]), count) for bit in (1, 2, 4))
         ok = np.where(p - starts >= SPLIT, left, right)
-        starts, p = starts[ok], p[ok]
+        starts, p, many = starts[ok], p[ok], many[ok]
         rows = rows_of(off, starts)
         if not len(starts):
             continue
@@ -262,10 +275,10 @@ def _shard(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         yield _rows(doc[at], starts[at] - off[rows[at]], n, salted.view(np.int64))
         left = np.flatnonzero(doc == least)
         turn = (p[left] - starts[left]) // STEP
-        at, n = _runs(p[left] * 4 + turn, starts[left])
+        at, n = _runs(np.where(many[left], -1 - starts[left], p[left] * 4 + turn), starts[left])
         at = left[at]
-        core = p[at] - (p[at] - starts[at]) // STEP * STEP
-        key = span_hash(prefix_hash(part), core, core + (WIDTH - STEP + 1)).view(np.int64)
+        core = np.where(many[at], starts[at], p[at] - (p[at] - starts[at]) // STEP * STEP)
+        key = span_hash(prefix_hash(part), core, core + np.where(many[at], WIDTH, WIDTH - STEP + 1)).view(np.int64)
         size = n + (WIDTH - 1)
         end = np.cumsum(size)
         data = part[np.repeat(starts[at] - (end - size), size) + np.arange(end[-1] if len(end) else 0)]
@@ -350,7 +363,7 @@ def _merge(batches: Iterator[pa.RecordBatch], most: int = 1 << 20) -> Iterator[p
             continue
         held.append(b)
         size += b.column(4).nbytes
-        if size > most:
+        if size > most and held[0].column(0)[0] != b.column(0)[-1]:
             t = pa.Table.from_batches(held)
             key = t.column(0).to_numpy()
             whole = int(np.searchsorted(key, key[-1]))
@@ -388,6 +401,24 @@ def _cut(batch: pa.RecordBatch, least: int) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(cols, names=["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"])
 
 
+def _segments(named: DataFrame, placed: DataFrame, firsts: DataFrame, parts: int) -> DataFrame:
+    """Rows of _shard over the first document of each text; placed: named, dealt out by id."""
+    asked = named.select(F.xxhash64("text").alias("tag"), "text").mapInArrow(lambda batches: (_ask(b, 4 * parts) for b in batches), _ASKED)
+    told = asked.repartition(parts, "bucket").sortWithinPartitions("bucket").mapInArrow(_answer, "tag long, anchor long")
+    # marked anchors are a small share of all, since each stands for many rows; all texts see the same
+    marked = told.where("anchor & 3 = 0").select(F.shiftright("anchor", 2).alias("hot")).distinct()
+    several = told.where("anchor & 3 > 0").join(F.broadcast(marked), F.shiftright("anchor", 2) == F.col("hot"), "left")
+    several = several.select("tag", F.expr("shiftleft(shiftright(anchor, 2), 3) | if(hot is null, 0, 4) | (anchor & 3)").alias("anchor"))
+    several = several.groupBy("tag").agg(F.collect_set("anchor").alias("anchors"))
+    sharing = firsts.join(several, F.col("text_tag") == F.col("tag")).select(F.col("first").alias("doc_id"), "anchors")
+
+    def shard(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            yield from _shard(b)
+
+    return sharing.join(placed, "doc_id").select("doc_id", "anchors", "text").mapInArrow(shard, _PIECE)
+
+
 def remove_repeats(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, n_bytes, n_removed, n_spans, kept_sha256) of each row.
 
@@ -401,22 +432,13 @@ def remove_repeats(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "
     source = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
     named = source.where("doc_id is not null")
 
-    asked = named.select(F.xxhash64("text").alias("tag"), "text").mapInArrow(lambda batches: (_ask(b, 4 * parts) for b in batches), _ASKED)
-    told = asked.repartition(parts, "bucket").sortWithinPartitions("bucket").mapInArrow(_answer, "tag long, anchor long")
-    several = told.groupBy("tag").agg(F.collect_set("anchor").alias("anchors"))
-
     # the first document of each text; partial aggregates make a text with many copies a few rows
     firsts = named.select("doc_id", F.sha2("text", 256).alias("sha"), F.xxhash64("text").bitwiseAND(F.lit(TAG)).alias("text_tag"))
     firsts = firsts.groupBy("sha", "text_tag").agg(F.min("doc_id").alias("first"))
-    marked = firsts.join(several, F.col("text_tag") == F.col("tag")).select(F.col("first").alias("doc_id"), "anchors")
-
-    def shard(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            yield from _shard(b)
 
     # the same rows meet by id for the shards and for the cutting, so their exchange is used twice
     placed = named.repartition(parts, "doc_id")
-    segments = marked.join(placed, "doc_id").select("doc_id", "anchors", "text").mapInArrow(shard, _PIECE)
+    segments = _segments(named, placed, firsts, parts)
     removed = segments.repartition(parts, "key").sortWithinPartitions("key").mapInArrow(_merge, "doc long, start int, n int")
     spans = removed.groupBy(F.col("doc").alias("doc_id")).agg(F.collect_list(F.struct("start", "n")).alias("spans"))
     firsts_only = firsts.select(F.col("first").alias("doc_id"), F.lit(False).alias("copy"))
