@@ -41,7 +41,7 @@ def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     """Token sequences of 1024, as their pieces."""
     import public_tokenizers
 
-    return packing.pack_documents(docs, public_tokenizers.path("byte_bpe_50k.json"))
+    return packing.pack_documents(docs, public_tokenizers.path("byte_bpe_50k.json"), added_tokens=True)
 
 
 STAGES = [

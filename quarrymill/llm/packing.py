@@ -9,6 +9,7 @@ padding.
 
 from __future__ import annotations
 
+import re
 import unicodedata
 from collections.abc import Callable, Iterator
 from zlib import crc32
@@ -95,11 +96,16 @@ class Encoder:
 
     PROOF = 500  # words on which the faster merges are held against the library
 
-    def __init__(self, model: str):
+    def __init__(self, model: str, added_tokens: bool = False):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(model)
-        self.tokenizer.encode_special_tokens = True
+        added = self.tokenizer.get_added_tokens_decoder()
+        if added_tokens and any(t.lstrip or t.rstrip or t.single_word for t in added.values()):
+            raise ValueError("added tokens that take blanks or stand for whole words only are not supported")
+        self.added = {t.content.encode(): i for i, t in added.items() if t.content and added_tokens}
+        self.pattern = re.compile(b"|".join(re.escape(t) for t in sorted(self.added, key=len, reverse=True))) if self.added else None
+        self.tokenizer.encode_special_tokens = True  # those that count are cut out before, by block()
         self.kinds = _classes()
         self.fast, self.proven = _fast_merges(self.tokenizer), 0
         self._clear()
@@ -132,7 +138,31 @@ class Encoder:
         return [e.ids for e in self.tokenizer.encode_batch_fast(pieces, add_special_tokens=False)]
 
     def block(self, buf: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(ids of all rows, tokens of each row)."""
+        """(ids of all rows, tokens of each row). With added_tokens, these are cut out first and have their own ids."""
+        spans = self._added_spans(buf.tobytes(), offsets)
+        if not spans:
+            return self._words(buf, offsets)
+        starts, ends, own = (np.array(x, np.int64) for x in zip(*spans, strict=True))
+        bounds = np.unique(np.concatenate([offsets, starts, ends]))
+        special = np.isin(bounds[:-1], starts)
+        size = np.diff(bounds)
+        ids, counts = self._words(buf[np.repeat(~special, size)], np.concatenate([[0], np.cumsum(np.where(special, 0, size))]))
+        ids = np.insert(ids, np.cumsum(counts)[special], own.astype(np.int32))
+        return ids, np.bincount(rows_of(offsets, bounds[:-1]), counts + special, len(offsets) - 1).astype(np.int64)
+
+    def _added_spans(self, data: bytes, offsets: np.ndarray) -> list[tuple[int, int, int]]:
+        """(start, end, id) of the added tokens, leftmost and longest first, none across the border of a row."""
+        out, m = [], self.pattern and self.pattern.search(data)
+        while m:
+            a, b = m.span()
+            first, last = rows_of(offsets, np.array([a, b - 1]))
+            if first == last:
+                out.append((a, b, self.added[m.group()]))
+            m = self.pattern.search(data, b if first == last else a + 1)
+        return out
+
+    def _words(self, buf: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The same without regard to added tokens, by words."""
         n_rows = len(offsets) - 1
         if len(buf) == 0:
             return np.zeros(0, np.int32), np.zeros(n_rows, np.int64)
@@ -236,21 +266,23 @@ class SumOfSquares:
         return out
 
 
-_encoders: dict[str, Encoder] = {}
+_encoders: dict[tuple[str, bool], Encoder] = {}
 
 
-def pack_documents(docs: DataFrame, model: str, *, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW, end_id: int = 0) -> DataFrame:
+def pack_documents(docs: DataFrame, model: str, *, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW, end_id: int = 0, added_tokens: bool = False) -> DataFrame:
     """One row a piece: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset.
 
     A document is its token ids and end_id; null texts are empty. Rows are documents, so repeated
     rows and ids are packed each on their own. Partitions are packed as they are read, without a
     shuffle; a sequence never spans two of them, and a partition that is read again gives the same
-    pieces. An empty table gives no pieces. Other columns are not read.
+    pieces. An empty table gives no pieces. Other columns are not read. added_tokens: strings of the
+    vocabulary's added tokens, such as <|endoftext|>, have their own ids, as the library gives by
+    default; without it they are text like any other.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         packer = SumOfSquares(window, TaskContext.get().partitionId() << 40)
-        encoder = _encoders.get(model) or _encoders.setdefault(model, Encoder(model))
+        encoder = _encoders.get((model, added_tokens)) or _encoders.setdefault((model, added_tokens), Encoder(model, added_tokens))
 
         def batch(kind: pa.DataType) -> pa.RecordBatch:
             cols = list(zip(*packer.take(), strict=True)) or [()] * 7

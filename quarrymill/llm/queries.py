@@ -24,7 +24,7 @@ def op1_factorisation_machine(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_sum_of_squares_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return packing.pack_documents(table(spark, sf_dir, "documents"), _tokenizer("byte_bpe_50k.json"))
+    return packing.pack_documents(table(spark, sf_dir, "documents"), _tokenizer("byte_bpe_50k.json"), added_tokens=True)
 
 
 def op3_transducer_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
