@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .arrays import LOWER, SPACE, U64, prefix_hash, span_hash, text_blocks, words
+from .arrays import LOWER, SPACE, U64, mix, span_hash, text_blocks, words
 
 BUCKETS = 1 << 15
 KAPPA = 5.0  # pseudo-pages that a parent's prior counts as
@@ -37,7 +37,6 @@ def _features(buf: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndar
     """(row, bucket) of every word and of every trigram of bytes within words."""
     low = LOWER[buf]
     starts, ends, rows = words(low, offsets)
-    sums = prefix_hash(low)
     at = np.arange(max(0, len(low) - 2))
     blank = SPACE[low]
     edge = np.zeros(len(low) + 1, bool)
@@ -45,7 +44,8 @@ def _features(buf: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndar
     inside = ~(blank[:-2] | blank[1:-1] | blank[2:] | edge[1 : len(low) - 1] | edge[2 : len(low)]) if len(at) else np.zeros(0, bool)
     at = at[inside]
     row = np.concatenate([rows, np.searchsorted(offsets, at, side="right") - 1])
-    h = np.concatenate([span_hash(sums, starts, ends), span_hash(sums, at, at + 3)])
+    trigram = low[at].astype(U64) | low[at + 1].astype(U64) << U64(8) | low[at + 2].astype(U64) << U64(16)
+    h = np.concatenate([span_hash(low, starts, ends), mix(trigram + U64(1 << 24))])
     return row, (h & U64(BUCKETS - 1)).astype(np.int64)
 
 

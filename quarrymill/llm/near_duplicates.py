@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .arrays import LOWER, mix, prefix_hash, shingles, span_hash, text_blocks, words
+from .arrays import LOWER, mix, shingles, span_hash, text_blocks, words
 from .common import scratch
 from .components import components
 
@@ -35,7 +35,7 @@ def sets_of(buf: np.ndarray, offsets: np.ndarray, width: int) -> tuple[np.ndarra
     """Distinct shingle hashes of each row of a block, in order: (hashes, where each row's begin)."""
     low = LOWER[buf]
     starts, ends, rows = words(low, offsets)
-    h, own = shingles(span_hash(prefix_hash(low), starts, ends), rows, len(offsets) - 1, width)
+    h, own = shingles(span_hash(low, starts, ends), rows, len(offsets) - 1, width)
     order = np.lexsort((h, own))
     h, own = h[order], own[order]
     new = np.ones(len(h), bool)

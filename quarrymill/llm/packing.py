@@ -9,6 +9,7 @@ padding.
 
 from __future__ import annotations
 
+import json
 import re
 import unicodedata
 from collections.abc import Callable, Iterator
@@ -20,7 +21,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .arrays import memoised, prefix_hash, rows_of, span_hash, text_blocks
+from .arrays import Memo, number_spans, rows_of, text_blocks
 
 WINDOW = 1024
 MOST_OPEN = 4096
@@ -76,17 +77,38 @@ def _byte_of() -> dict[str, int]:
     return {chr(b): b for b in plain} | {chr(256 + i): b for i, b in enumerate(rest)}
 
 
-def _fast_merges(tokenizer) -> Callable[[list[str]], list[list[int]]] | None:
-    """The same merges in a faster library, where ids are in the order of merges; None where not."""
-    import tiktoken
+def _merges_are_ids(model: str, tokenizer) -> bool:
+    """Does merging by the least id of a joined pair give what the listed merges give?
 
+    It does where every token of several characters has one listed merge, ids follow the list, and
+    each token by itself is merged to itself. Then two neighbours that join to a token t are what
+    the merges before t's make of t's text, for no earlier merge crossed its borders; by itself
+    that text is then the pair of t's one merge, so the neighbours are that pair.
+    """
+    with open(model, encoding="utf-8") as f:
+        held = json.load(f)["model"]
+    if held.get("type") != "BPE" or any(held.get(k) for k in ("dropout", "byte_fallback", "ignore_merges", "continuing_subword_prefix", "end_of_word_suffix")):
+        return False
+    vocab, merges = held["vocab"], [m.split(" ") if isinstance(m, str) else m for m in held["merges"]]
+    made = [a + b for a, b in merges]
+    ids = [vocab.get(t, -1) for t in made]
+    added = {t.content for t in tokenizer.get_added_tokens_decoder().values()}
+    if min(ids, default=0) < 0 or any(x >= y for x, y in zip(ids, ids[1:], strict=False)) or {t for t in vocab if len(t) > 1} - added != set(made):
+        return False
+    return all([x.id for x in tokenizer.model.tokenize(t)] == [i] for t, i in zip(made, ids, strict=True))
+
+
+def _fast_merges(model: str, tokenizer) -> Callable[[list[str]], list[list[int]]] | None:
+    """The same merges in a faster library, where that is there and the vocabulary proves them the same."""
+    try:
+        import tiktoken
+    except ImportError:
+        return None
     byte_of = _byte_of()
-    vocab = {t: i for t, i in tokenizer.get_vocab(with_added_tokens=True).items() if all(c in byte_of for c in t)}
-    ranks = {bytes(byte_of[c] for c in t): i for t, i in vocab.items()}
-    if any(bytes([b]) not in ranks for b in range(256)):
+    special = {x.content for x in tokenizer.get_added_tokens_decoder().values()}
+    ranks = {bytes(byte_of[c] for c in t): i for t, i in tokenizer.get_vocab(with_added_tokens=False).items() if t not in special and all(c in byte_of for c in t)}
+    if any(bytes([b]) not in ranks for b in range(256)) or not _merges_are_ids(model, tokenizer):
         return None
-    special = {t: i for t, i in tokenizer.get_vocab(with_added_tokens=True).items() if t in {x.content for x in tokenizer.get_added_tokens_decoder().values()}}
-    ranks = {b: i for b, i in ranks.items() if i not in special.values()}
     merged = tiktoken.Encoding("merges", pat_str=r"(?s).+", mergeable_ranks=ranks, special_tokens={})
     return lambda pieces: [merged.encode_ordinary(p) for p in pieces]
 
@@ -94,8 +116,6 @@ def _fast_merges(tokenizer) -> Callable[[list[str]], list[list[int]]] | None:
 class Encoder:
     """Token ids of whole texts; one for each Python worker and vocabulary file."""
 
-    PROOF = 500  # words on which the faster merges are held against the library
-
     def __init__(self, model: str, added_tokens: bool = False):
         from tokenizers import Tokenizer
 
@@ -107,11 +127,11 @@ class Encoder:
         self.pattern = re.compile(b"|".join(re.escape(t) for t in sorted(self.added, key=len, reverse=True))) if self.added else None
         self.tokenizer.encode_special_tokens = True  # those that count are cut out before, by block()
         self.kinds = _classes()
-        self.fast, self.proven = _fast_merges(self.tokenizer), 0
+        self.fast = _fast_merges(model, self.tokenizer)
         self._clear()
 
     def _clear(self) -> None:
-        self.cache: dict[str, np.ndarray] = {}
+        self.cache = Memo(1 << 62)
         self.store, self.used = np.zeros(1 << 20, np.int32), 0
 
     def _fill(self, pieces: list[str]) -> list[int]:
@@ -127,12 +147,6 @@ class Encoder:
         return out
 
     def _encode(self, pieces: list[str]) -> list[list[int]]:
-        if self.fast and self.proven < self.PROOF:
-            some = pieces[: self.PROOF]
-            if self.fast(some) == [e.ids for e in self.tokenizer.encode_batch_fast(some, add_special_tokens=False)]:
-                self.proven += len(some)
-            else:
-                self.fast = None
         if self.fast:
             return self.fast(pieces)
         return [e.ids for e in self.tokenizer.encode_batch_fast(pieces, add_special_tokens=False)]
@@ -166,7 +180,7 @@ class Encoder:
         n_rows = len(offsets) - 1
         if len(buf) == 0:
             return np.zeros(0, np.int32), np.zeros(n_rows, np.int64)
-        if len(self.cache.get("keys", ())) > MOST_WORDS:
+        if len(self.cache.keys) > MOST_WORDS:
             self._clear()
         data = buf.tobytes()
         cp = np.frombuffer(data.decode().encode("utf-32-le"), np.uint32)
@@ -175,12 +189,12 @@ class Encoder:
         edge[np.searchsorted(at, offsets)] = True
         starts = at[word_starts(cp, edge[:-1], self.kinds)]
         ends = np.append(starts[1:], len(buf))
-        keys, first, back = np.unique(span_hash(prefix_hash(buf), starts, ends), return_index=True, return_inverse=True)
+        back, first = number_spans(buf, starts, ends)
 
         def fill(miss: np.ndarray) -> list[int]:
             return self._fill([data[a:b].decode() for a, b in zip(starts[first[miss]].tolist(), ends[first[miss]].tolist(), strict=True)])
 
-        place = memoised(self.cache, keys, fill, 1 << 62)[back]
+        place = self.cache.get(buf, starts[first], ends[first], fill)[back]
         lengths = place & 0xFFFFFFFF
         total = np.concatenate([[0], np.cumsum(lengths)])
         ids = self.store[np.repeat((place >> 32) - total[:-1], lengths) + np.arange(total[-1])]
@@ -269,7 +283,7 @@ class SumOfSquares:
 _encoders: dict[tuple[str, bool], Encoder] = {}
 
 
-def pack_documents(docs: DataFrame, model: str, *, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW, end_id: int = 0, added_tokens: bool = False) -> DataFrame:
+def pack_documents(docs: DataFrame, model: str, *, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW, end_id: int = 0, added_tokens: bool = False, most_open: int = MOST_OPEN) -> DataFrame:
     """One row a piece: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset.
 
     A document is its token ids and end_id; null texts are empty. Rows are documents, so repeated
@@ -277,11 +291,13 @@ def pack_documents(docs: DataFrame, model: str, *, id_col: str = "doc_id", text_
     shuffle; a sequence never spans two of them, and a partition that is read again gives the same
     pieces. An empty table gives no pieces. Other columns are not read. added_tokens: strings of the
     vocabulary's added tokens, such as <|endoftext|>, have their own ids, as the library gives by
-    default; without it they are text like any other.
+    default; without it they are text like any other. most_open bounds a task's memory: beyond so
+    many open windows all of them are joined and cut, as at the end of a partition; every id is
+    packed either way.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        packer = SumOfSquares(window, TaskContext.get().partitionId() << 40)
+        packer = SumOfSquares(window, TaskContext.get().partitionId() << 40, most_open)
         encoder = _encoders.get((model, added_tokens)) or _encoders.setdefault((model, added_tokens), Encoder(model, added_tokens))
 
         def batch(kind: pa.DataType) -> pa.RecordBatch:

@@ -13,7 +13,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .arrays import U64, prefix_hash, span_hash, text_blocks, words
+from .arrays import U64, span_hash, text_blocks, words
 from .common import first_rows, fresh
 
 BUCKETS, FACTORS = 1 << 14, 8
@@ -27,7 +27,7 @@ def features(buf: np.ndarray, offsets: np.ndarray, meta: np.ndarray) -> tuple[np
     """(row, bucket, value) of the hashed words, each row's of length 1, and the dense columns."""
     n = len(offsets) - 1
     starts, ends, rows = words(buf, offsets)
-    h = span_hash(prefix_hash(buf), starts, ends)
+    h = span_hash(buf, starts, ends)
     key, counts = np.unique(rows * np.int64(BUCKETS) + (h & U64(BUCKETS - 1)).astype(np.int64), return_counts=True)
     row, bucket = key // BUCKETS, key % BUCKETS
     value = np.log1p(counts)

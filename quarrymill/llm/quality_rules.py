@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import suffixes
-from .arrays import U64, counts_by_row, mix, prefix_hash, rows_of, span_hash, text_blocks, words
+from .arrays import counts_by_row, number_pairs, number_spans, rows_of, text_blocks, words
 
 MIN_REPEAT = 8
 MAX_COVERED = 0.45
@@ -38,13 +38,13 @@ def _covered(starts: np.ndarray, lengths: np.ndarray, n: int) -> np.ndarray:
 def maximal_repeats(symbols: np.ndarray, rows: np.ndarray, n_rows: int, least: int) -> tuple[np.ndarray, np.ndarray]:
     """(starts, lengths) of the occurrences of maximal repeats of at least `least` symbols within a row.
 
-    symbols: 64-bit codes of the words, rows: their documents. Places of the suffix array that share
+    symbols: numbers of the words, rows: their documents. Places of the suffix array that share
     `least` symbols are its longest-common-prefix intervals of that depth; the longest repeat at a
     suffix is the larger of its common prefixes with its two neighbours. An occurrence counts unless
     the one that starts a symbol earlier reaches as far, so what is left cannot be extended.
     """
     ends = np.searchsorted(rows, rows, side="right")
-    sa, _, kept = suffixes.refine(mix(symbols ^ (rows.astype(U64) * U64(0x9E3779B97F4A7C15))), ends, keep=True)
+    sa, _, kept = suffixes.refine(number_pairs(rows, symbols), ends, keep=True)
     length, ranks = next(((d, r) for d, r in reversed(kept) if d <= least), kept[0])
     near = np.flatnonzero(ranks[sa[1:]] == ranks[sa[:-1]]) if len(sa) > 1 else np.zeros(0, np.int64)
     a, b = sa[near], sa[near + 1]
@@ -70,8 +70,7 @@ def measure(buf: np.ndarray, offsets: np.ndarray, least: int) -> dict[str, np.nd
     out = {"n_words": counts_by_row(rows, n_rows)}
     out["word_chars"] = _per_row((np.cumsum(inside[:-1]) > 0) & ((buf & 0xC0) != 0x80), offsets)
     out["n_symbols"] = _per_row(SYMBOLS[buf], offsets)
-    sums = prefix_hash(buf)
-    h = span_hash(sums, starts, ends)
+    word, _ = number_spans(buf, starts, ends)
 
     # lines with a word that equal an earlier one
     breaks = np.flatnonzero(buf == 0x0A)
@@ -81,17 +80,16 @@ def measure(buf: np.ndarray, offsets: np.ndarray, least: int) -> dict[str, np.nd
     line_ends = np.minimum(np.append(breaks, len(buf))[np.searchsorted(breaks, line_starts)], offsets[line_rows + 1])
     wordy = np.searchsorted(starts, line_ends) > np.searchsorted(starts, line_starts)
     line_starts, line_ends, line_rows = line_starts[wordy], line_ends[wordy], line_rows[wordy]
-    key = mix(span_hash(sums, line_starts, line_ends) ^ (line_rows.astype(U64) * U64(0x9E3779B97F4A7C15)))
-    _, firsts = np.unique(key, return_index=True)
+    _, firsts = np.unique(number_pairs(number_spans(buf, line_starts, line_ends)[0], line_rows), return_index=True)
     out["n_dup_lines"] = counts_by_row(line_rows, n_rows) - counts_by_row(line_rows[firsts], n_rows)
 
     # words in windows of three that are found again
-    n = len(h)
+    n = len(word)
     repeated = np.zeros(n, bool)
     if n > 2:
-        key = mix(mix(mix(h[:-2] ^ (rows[:-2].astype(U64) * U64(0x9E3779B97F4A7C15))) + h[1:-1]) + h[2:])
+        key = number_pairs(number_pairs(number_pairs(word[:-2], rows[:-2]), word[1:-1]), word[2:])
         at = np.flatnonzero(rows[:-2] == rows[2:])
-        order = np.argsort(key[at])
+        order = np.argsort(key[at], kind="stable")
         s = key[at][order]
         same = np.zeros(len(s) + 1, bool)
         same[1:-1] = s[1:] == s[:-1]
@@ -100,7 +98,7 @@ def measure(buf: np.ndarray, offsets: np.ndarray, least: int) -> dict[str, np.nd
             repeated[again + j] = True
     out["n_repeat_words"] = counts_by_row(rows[repeated], n_rows)
 
-    at, length = maximal_repeats(h, rows, n_rows, least) if n else (np.zeros(0, np.int64),) * 2
+    at, length = maximal_repeats(word, rows, n_rows, least) if n else (np.zeros(0, np.int64),) * 2
     out["n_covered"] = counts_by_row(rows[_covered(at, length, n)], n_rows)
     out["longest_repeat"] = np.zeros(n_rows, np.int64)
     np.maximum.at(out["longest_repeat"], rows[at], length)

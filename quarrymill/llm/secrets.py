@@ -18,7 +18,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .arrays import text_blocks, words
+from .arrays import LOWER, number_spans, text_blocks, words
 from .common import first_rows, fresh
 
 TREES, DEPTH, MAX_FINDINGS = 30, 8, 6000
@@ -281,8 +281,6 @@ def word_counts(docs: DataFrame, *, text_col: str = "text") -> DataFrame:
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from .arrays import LOWER, prefix_hash, span_hash
-
         for b in batches:
             held: dict[bytes, int] = {}
             for *_, buf, offsets in text_blocks(b.column(0)):
@@ -291,7 +289,8 @@ def word_counts(docs: DataFrame, *, text_col: str = "text") -> DataFrame:
                 odd = np.concatenate([[0], np.cumsum(~(((low >= 97) & (low <= 122)) | (low >= 128)))])
                 ok = (odd[ends] == odd[starts]) & (ends - starts >= 3) & (ends - starts <= 24)
                 starts, ends = starts[ok], ends[ok]
-                _, at, n = np.unique(span_hash(prefix_hash(low), starts, ends), return_index=True, return_counts=True)
+                number, at = number_spans(low, starts, ends)
+                n = np.bincount(number, minlength=len(at))
                 for s, e, c in zip(starts[at].tolist(), ends[at].tolist(), n.tolist(), strict=True):
                     w = low[s:e].tobytes()
                     held[w] = held.get(w, 0) + c

@@ -7,14 +7,17 @@ each with the last piece before it and its count relative to now. A transition c
 of tokens it adds to the count. States are compiled when a text first reaches them.
 
 No piece goes from another character to a space, so the state returns to the start before each run
-of spaces. A chunk of a text is thus a small state map: the characters before its first return
-(they depend on the state it is entered in), the count of what lies between, and the exit state.
-Maps of neighbouring chunks compose, and a parallel prefix scan composes those of a long text.
+of spaces. A text is cut into chunks; each is a state map, from the state it is entered in to the
+state it is left in and the tokens between. Maps are held for the entry states that occur: a chunk
+starts with a guess, the state that its own last characters before it lead to, and reads on from
+another state only until that meets a state which it has passed at the same place. Neighbouring maps
+compose in the tree of a parallel prefix scan, whose root gives the count. Texts, marks and maps take
+memory in proportion to the text.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator, Sequence
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -22,10 +25,13 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .arrays import counts_by_row, memoised, prefix_hash, rows_of, span_hash, text_blocks
+from .arrays import Memo, counts_by_row, number_spans, rows_of, text_blocks
 
 CHUNK_BYTES = 1 << 16
-MOST_STATES, MOST_PAIRS, MOST_SEGMENTS = 250_000, 500_000, 1_000_000
+MOST_STATES, MOST_PAIRS, MOST_SEGMENTS = 100_000, 500_000, 1_000_000
+STRIDE = 256  # characters between the states that a chunk remembers
+WARM = 128  # characters before a chunk from which its entry state is guessed
+START = (("", None, 0),)
 SPACE_MARK = "▁"
 
 
@@ -39,8 +45,7 @@ class Transducer:
         self.clear()
 
     def clear(self) -> None:
-        start = (("", None, 0),)
-        self.states, self.ids = [start], {start: 0}
+        self.states, self.ids = [START], {START: 0}
         self.entries: dict[tuple, tuple] = {}  # one object for equal entries of all states
         self.moves: list[dict[str, tuple[int, int]]] = [{}]
 
@@ -73,14 +78,18 @@ class Transducer:
         piece, now = last
         to = tuple(self.entries.setdefault(e, e) for e in ((text, before, count - now) for text, before, count in [*live, ("", piece if piece in self.scores else None, now)]))
         if piece not in self.scores and not live:
-            to = (("", None, 0),)
-        if to not in self.ids:
-            self.ids[to] = len(self.states)
-            self.states.append(to)
-            self.moves.append({})
-        move = self.moves[state][c] = (self.ids[to], now)
+            to = START
+        move = self.moves[state][c] = (self.place(to), now)
         return move
 
+    def place(self, state: tuple) -> int:
+        """The number of a state."""
+        if state not in self.ids:
+            self.ids[state] = len(self.states)
+            self.states.append(state)
+            self.moves.append({})
+        return self.ids[state]
+
     def run(self, text: str, state: int = 0) -> tuple[int, int]:
         """(state, tokens added) after reading text."""
         count, moves = 0, self.moves
@@ -90,43 +99,88 @@ class Transducer:
             count += move[1]
         return state, count
 
-    def count(self, text: str) -> int:
+    def read(self, text: str, state: tuple) -> tuple[tuple, int]:
+        """(state, tokens added) after reading text from a state, which stays good when numbers are cleared."""
         if len(self.states) > MOST_STATES:
             self.clear()
-        return self.run(text)[1]
+        to, count = self.run(text, self.place(state))
+        return self.states[to], count
+
+    def count(self, text: str) -> int:
+        """Tokens of a whole text, in slices, between which states may be cleared."""
+        state, count = START, 0
+        for lo in range(0, len(text), CHUNK_BYTES):
+            state, n = self.read(text[lo : lo + CHUNK_BYTES], state)
+            count += n
+        return count
 
 
 class ChunkMap:
-    """What a chunk does to a state: head is read from the entry state; then `count` tokens, then `exit`.
+    """From an entry state to (exit state, tokens), for the entry states asked for so far."""
+
+    def __init__(self):
+        self.known: dict[tuple, tuple[tuple, int]] = {}
+
+    def enter(self, state: tuple) -> tuple[tuple, int]:
+        if state not in self.known:
+            self.known[state] = self._read(state)
+        return self.known[state]
+
 
-    exit is None where the chunk never returns to the start, so that head is all of it.
+class RunMap(ChunkMap):
+    """The map of a chunk without a return to the start state.
+
+    The first reading leaves its state at every STRIDE characters; another ends where it meets one.
     """
 
-    __slots__ = ("count", "exit", "head")
+    def __init__(self, machine: Transducer, text: str):
+        super().__init__()
+        self.machine, self.text, self.marks = machine, text, []
+
+    def _read(self, state: tuple) -> tuple[tuple, int]:
+        first, count = not self.marks, 0
+        for i, lo in enumerate(range(0, len(self.text), STRIDE)):
+            state, n = self.machine.read(self.text[lo : lo + STRIDE], state)
+            count += n
+            if first:
+                self.marks.append((state, count))
+            elif self.marks[i][0] == state:
+                return self.marks[-1][0], count + self.marks[-1][1] - self.marks[i][1]
+        return state, count
+
+
+class ReturningMap(ChunkMap):
+    """The map of a chunk that returns to the start: only the head before depends on the entry state."""
+
+    def __init__(self, machine: Transducer, head: str, inner: int, tail: str):
+        super().__init__()
+        self.machine, self.head = machine, head
+        self.exit, n = machine.read(tail, START)
+        self.rest = inner + n
 
-    def __init__(self, head: str, count: int, exit: str | None):
-        self.head, self.count, self.exit = head, count, exit
+    def _read(self, state: tuple) -> tuple[tuple, int]:
+        return self.exit, self.machine.read(self.head, state)[1] + self.rest
 
-    def then(self, other: ChunkMap, counted: Callable[[str], int]) -> ChunkMap:
-        """This chunk and the next as one; counted(segment) gives the tokens of a whole segment."""
-        if self.exit is None:
-            return ChunkMap(self.head + other.head, other.count, other.exit)
-        if other.exit is None:
-            return ChunkMap(self.head, self.count, self.exit + other.head)
-        return ChunkMap(self.head, self.count + counted(self.exit + other.head) + other.count, other.exit)
 
-    def total(self, counted: Callable[[str], int]) -> int:
-        """Tokens when entered in the start state, at the end of the text."""
-        return counted(self.head) + self.count + (counted(self.exit) if self.exit else 0)
+class JoinedMap(ChunkMap):
+    """Two neighbouring maps, one after the other."""
 
+    def __init__(self, left: ChunkMap, right: ChunkMap):
+        super().__init__()
+        self.left, self.right = left, right
 
-def prefix_scan(maps: Sequence[ChunkMap], counted: Callable[[str], int]) -> list[ChunkMap]:
-    """All prefix compositions, in rounds of doubling distance; a round's compositions are independent."""
-    maps, step = list(maps), 1
-    while step < len(maps):
-        maps = [m if i < step else maps[i - step].then(m, counted) for i, m in enumerate(maps)]
-        step *= 2
-    return maps
+    def _read(self, state: tuple) -> tuple[tuple, int]:
+        middle, n = self.left.enter(state)
+        out, m = self.right.enter(middle)
+        return out, n + m
+
+
+def compose(maps: Sequence[ChunkMap]) -> ChunkMap:
+    """All maps as one: the tree of a prefix scan, in which the joins of a level are independent."""
+    maps = list(maps)
+    while len(maps) > 1:
+        maps = [JoinedMap(*maps[i : i + 2]) if i + 1 < len(maps) else maps[i] for i in range(0, len(maps), 2)]
+    return maps[0]
 
 
 class Counter:
@@ -143,7 +197,7 @@ class Counter:
         if sp.encode("a  b") != sp.encode(SPACE_MARK * 0 + "a" + SPACE_MARK * 2 + "b"):
             raise ValueError("this vocabulary folds white space")
         self.machine = Transducer(scores)
-        self.cache: dict[str, np.ndarray] = {}
+        self.cache = Memo(MOST_SEGMENTS)
 
     def counted(self, segment: str) -> int:
         return self.machine.count(segment.replace(" ", SPACE_MARK))
@@ -166,7 +220,7 @@ class Counter:
         plain = np.flatnonzero(~split)
         out = self._plain(buf, starts[plain], ends[plain], rows[plain], len(lengths))
         for i in long:
-            out[i] = self._composed(buf, edges[(edges >= offsets[i]) & (edges <= offsets[i + 1])], space)
+            out[i] = self._composed(buf, edges[(edges >= offsets[i]) & (edges <= offsets[i + 1])])
         return out
 
     @staticmethod
@@ -180,28 +234,36 @@ class Counter:
 
     def _plain(self, buf: np.ndarray, starts: np.ndarray, ends: np.ndarray, rows: np.ndarray, n_rows: int) -> np.ndarray:
         """Texts of one chunk: every segment is entered in the start state."""
-        keys, at, back = np.unique(span_hash(prefix_hash(buf), starts, ends), return_index=True, return_inverse=True)
+        back, at = number_spans(buf, starts, ends)
         data = buf.tobytes()
 
         def fill(miss: np.ndarray) -> list[int]:
             lo, hi = starts[at[miss]], ends[at[miss]]
             return [self.counted(data[a:b].decode()) for a, b in zip(lo.tolist(), hi.tolist(), strict=True)]
 
-        counts = memoised(self.cache, keys, fill, MOST_SEGMENTS)
+        counts = self.cache.get(buf, starts[at], ends[at], fill)
         return counts_by_row(rows, n_rows, counts[back])
 
-    def _composed(self, buf: np.ndarray, edges: np.ndarray, space: np.ndarray) -> int:
+    def chunk_map(self, buf: np.ndarray, lo: int, hi: int, warm: str = "") -> ChunkMap:
+        """The map of a chunk; warm: what stands before it."""
+        space = buf[lo:hi] == 0x20
+        back = np.flatnonzero(space[1:] & ~space[:-1]) + lo + 1  # returns to the start state
+        marked = lambda a, b: buf[a:b].tobytes().decode().replace(" ", SPACE_MARK)
+        if len(back) == 0:
+            out: ChunkMap = RunMap(self.machine, marked(lo, hi))
+        else:
+            inner = int(self._plain(buf[back[0] : back[-1]], back[:-1] - back[0], back[1:] - back[0], np.zeros(len(back) - 1, np.int64), 1)[0]) if len(back) > 1 else 0
+            out = ReturningMap(self.machine, marked(lo, back[0]), inner, marked(back[-1], hi))
+        out.enter(self.machine.read(warm.replace(" ", SPACE_MARK), START)[0])
+        return out
+
+    def _composed(self, buf: np.ndarray, edges: np.ndarray) -> int:
         """A long text: the map of each chunk, then their composition."""
         maps = []
         for lo, hi in zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True):
-            back = np.flatnonzero(space[lo + 1 : hi] & ~space[lo : hi - 1]) + lo + 1  # returns to the start state
-            text = buf[lo:hi].tobytes()
-            if len(back) == 0:
-                maps.append(ChunkMap(text.decode(), 0, None))
-                continue
-            whole = int(self._plain(buf[back[0] : back[-1]], back[:-1] - back[0], back[1:] - back[0], np.zeros(len(back) - 1, np.int64), 1)[0]) if len(back) > 1 else 0
-            maps.append(ChunkMap(text[: back[0] - lo].decode(), whole, text[back[-1] - lo :].decode()))
-        return prefix_scan(maps, self.counted)[-1].total(self.counted)
+            warm = buf[max(int(edges[0]), lo - 4 * WARM) : lo].tobytes().decode(errors="ignore")
+            maps.append(self.chunk_map(buf, lo, hi, warm[-WARM:]))
+        return compose(maps).enter(START)[1]
 
 
 _counters: dict[str, Counter] = {}

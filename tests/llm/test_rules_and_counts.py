@@ -5,7 +5,7 @@ import pyarrow as pa
 import pytest
 from corpus import frame, texts, words
 
-from quarrymill.llm import packing, quality_rules, suffixes, token_counts
+from quarrymill.llm import near_duplicates, packing, quality_rules, suffixes, token_counts
 
 public_tokenizers = pytest.importorskip("public_tokenizers")
 
@@ -24,19 +24,82 @@ def test_token_counts_are_the_librarys(spark):
 
 def test_chunk_maps_compose_in_any_grouping():
     counter = token_counts.Counter(public_tokenizers.path("piece_bpe_32k.model"))
-    text = " the quick brown  foxes\njumped over" * 3
-    for size in (1, 3, 7):
-        maps = []
-        for lo in range(0, len(text), size):
-            part = text[lo : lo + size]
-            back = [i for i in range(1, len(part)) if part[i] == " " and part[i - 1] != " "]
-            if not back:
-                maps.append(token_counts.ChunkMap(part, 0, None))
-            else:
-                inner = sum(counter.counted(part[a:b]) for a, b in zip(back[:-1], back[1:], strict=True))
-                maps.append(token_counts.ChunkMap(part[: back[0]], inner, part[back[-1] :]))
-        scanned = token_counts.prefix_scan(maps, counter.counted)
-        assert scanned[-1].total(counter.counted) == counter.counted(text)
+    for text in (" the quick brown  foxes\njumped over" * 3, "thequickbrownfoxesjumpedover日本語テ" * 9):
+        data = np.frombuffer(text.encode(), np.uint8)
+        for size in (1, 3, 7, 40):
+            cuts = np.append(np.unique(counter._to_borders(data, np.arange(0, len(data), size))), len(data)).tolist()
+            for warm in ("", "x", text[:20]):  # a wrong guess of the entry state costs time only
+                maps = [counter.chunk_map(data, a, b, warm) for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
+                assert token_counts.compose(maps).enter(token_counts.START)[1] == counter.counted(text)
+                left = maps[0]
+                for m in maps[1:]:
+                    left = token_counts.JoinedMap(left, m)
+                assert left.enter(token_counts.START) == token_counts.compose(maps).enter(token_counts.START)
+
+
+def test_memory_of_a_long_run_is_linear(monkeypatch):
+    import tracemalloc
+
+    import sentencepiece
+
+    monkeypatch.setattr(token_counts, "MOST_STATES", 2_000)  # states are cleared on the way
+    monkeypatch.setattr(token_counts, "CHUNK_BYTES", 4096)
+    model = public_tokenizers.path("piece_bpe_32k.model")
+    rng, sp = np.random.default_rng(4), sentencepiece.SentencePieceProcessor(model_file=model)
+    peak = []
+    for n in (40_000, 160_000):
+        text = "".join(rng.choice(list("abcdefghijklmnopqrst中文é"), n))
+        counter = token_counts.Counter(model)
+        data = np.frombuffer(f" {text}".encode(), np.uint8)
+        tracemalloc.start()
+        assert counter.block(data, np.array([0, len(data)])).tolist() == [len(sp.encode(text))]
+        peak.append(tracemalloc.get_traced_memory()[1])
+        tracemalloc.stop()
+    assert peak[1] < 5 * peak[0]
+
+
+def thue_morse(n: int, a: str, b: str) -> str:
+    return "".join(b if i.bit_count() % 2 else a for i in range(n))
+
+
+def test_strings_on_which_polynomial_hashes_meet(spark):
+    """Thue-Morse words and their complements have equal polynomial hashes modulo 2**64 for any root."""
+    import sentencepiece
+    from tokenizers import Tokenizer
+
+    values = [thue_morse(n, *ab) for n in (1024, 2048) for ab in ("aq", "qa", "中x", "x中")]
+    sp = sentencepiece.SentencePieceProcessor(model_file=(model := public_tokenizers.path("piece_bpe_32k.model")))
+    got = {r.doc_id: r.n_tokens for r in token_counts.count_tokens(frame(spark, values).coalesce(1), model).collect()}
+    assert got == {i: len(sp.encode(t)) for i, t in enumerate(values)}
+
+    bpe = public_tokenizers.path("byte_bpe_50k.json")
+    tok, data = Tokenizer.from_file(bpe), [v.encode() for v in values]
+    ids, counts = packing.Encoder(bpe).block(np.frombuffer(b"".join(data), np.uint8), np.concatenate([[0], np.cumsum([len(d) for d in data])]))
+    want = [tok.encode(v, add_special_tokens=False).ids for v in values]
+    assert counts.tolist() == [len(w) for w in want] and ids.tolist() == [i for w in want for i in w]
+
+    a, b = values[:2]
+    lines = [f"{a}\n{b}\n{a} {b}", f"{a} {b} {a} {b} {b} {a}", f"{a}\n{a}"]
+    for r in quality_rules.repetition_rules(frame(spark, lines)).collect():
+        assert (r.n_words, r.word_chars, r.n_symbols, r.n_dup_lines, r.n_repeat_words, r.n_covered, r.longest_repeat) == brute_rules(lines[r.doc_id], quality_rules.MIN_REPEAT)
+
+    near = {r.doc_id: r.component_id for r in near_duplicates.near_duplicates(frame(spark, values)).collect()}
+    assert near == {i: i for i in range(len(values))}
+
+
+def test_equal_hashes_are_told_apart_by_bytes(monkeypatch):
+    from quarrymill.llm import arrays
+
+    monkeypatch.setattr(arrays, "span_hash", lambda buf, starts, ends: np.zeros(len(starts), np.uint64))
+    data = b"one two one three two" + b"x" * 70 + b"y" * 70 + b"x" * 70
+    buf, starts, ends = np.frombuffer(data, np.uint8), np.array([0, 4, 8, 12, 18, 21, 91, 161]), np.array([3, 7, 11, 17, 21, 91, 161, 231])
+    number, first = arrays.number_spans(buf, starts, ends)
+    words_ = [data[a:b] for a, b in zip(starts, ends, strict=True)]
+    assert all((number[i] == number[j]) == (words_[i] == words_[j]) for i in range(8) for j in range(8)) and len(first) == 5
+    memo = arrays.Memo(100)
+    for _ in range(2):
+        at = np.array([0, 1, 3])
+        assert memo.get(buf, starts[at], ends[at], lambda miss: [len(words_[at[i]]) * 10 + words_[at[i]][1] for i in miss]).tolist() == [30 + ord("n"), 30 + ord("w"), 50 + ord("h")]
 
 
 def test_packing_is_a_partition_of_every_documents_ids(spark):
