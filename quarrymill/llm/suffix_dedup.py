@@ -1,16 +1,18 @@
 """Removal of byte strings that occur in an earlier document, by suffix arrays of shards.
 
 1. Equal texts are one: all but the first copy go as wholes.
-2. Every 50-byte window has an anchor, its least 20-byte string by hash, so equal windows have equal
-   anchors, and equal bytes on the longer side of it. Windows for which only one text has these
-   cannot repeat and are left out.
-3. A shard (the texts of an Arrow batch, block by block) sorts the suffixes of its remaining windows
-   by Larsson-Sadakane refinement; Kasai's common prefixes cut the suffix array into classes of
-   equal windows. Within a class the windows of all but its least document are removed at once; the
-   others go on, as short segments keyed by the bytes that all windows of a segment share. Where
-   many texts have an anchor, each of its windows is a segment, keyed by all of its bytes.
-4. Shards meet by that key: sorted runs of windows are merged by binary search to the least document
-   of each window, and every run looks its own windows up there.
+2. Texts are dealt out by their ids into groups, and groups are cut into shards of some megabytes.
+   Every 50-byte window has an anchor, its least 20-byte string by hash, so equal windows have equal
+   anchors, and equal bytes on the longer side of it. A shard asks which of its anchors, with codes
+   of the bytes beside them, other shards have; anchors are sent by range of their hashes, sorted,
+   and the answer is a flag for each.
+3. A shard sorts the suffixes of the windows that may repeat, in it or elsewhere, by Larsson-Sadakane
+   refinement; Kasai's common prefixes cut the suffix array into classes of equal windows. Within a
+   class the windows of all but its least document are removed at once; those of the least document
+   go on where other shards may have them, as segments: the windows of one anchor.
+4. Shards meet by anchor: sorted runs of windows are merged by binary search to the least document of
+   each window, and every run looks its own windows up there. Anchors that very many windows have
+   are hot: each of their windows goes by itself, keyed by all of its bytes.
 5. Each document removes the union of its removed windows.
 """
 
@@ -18,6 +20,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from functools import partial
 
 import numpy as np
 import pyarrow as pa
@@ -26,16 +29,24 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import suffixes
-from .arrays import U64, blocks, mix, prefix_hash, rows_of, span_hash, text_bytes
+from .arrays import BLOCK_BYTES, U64, blocks, eights, mix, rows_of, span_hash, text_bytes
 
 WIDTH, GRAM = 50, 20
 SIDE = 15  # of a window's bytes beside its anchor, so many at least are on one side
-TAG = (1 << 40) - 1
-STEP = 31  # windows of a segment at most, all that have one anchor; they share WIDTH - STEP + 1 bytes
 SPLIT = 16  # windows that start so far before their anchor have SIDE bytes left of it, others right
-MOST_TEXTS, MOST_ASKS = 32, 1024  # of a batch that are told of an anchor, of all batches that ask: with more, its windows meet one by one
+UNIT_BYTES = 1 << 22  # of texts in a shard, about
+HOT_FROM = 1 << 16  # anchors found so often are hot; counts of a shard are rounded up to powers of two
 RUNS = 8  # sorted runs that are merged at a time
+LEFT, RIGHT, HOT = 1, 2, 4
 _POS = 27  # bits of a sliding key that hold the position
+_ID, _LOW, _CODE = 48, 32, 14  # bits: of an anchor's id, of its part that is sent as it is, of a code
+
+
+def _gram_hashes(buf: np.ndarray) -> np.ndarray:
+    """A hash of the GRAM bytes from each place on that has so many."""
+    w, n = eights(buf), len(buf) - GRAM + 1
+    h = w[:n] * U64(0x9E3779B97F4A7C15) + w[8 : n + 8] * U64(0xC2B2AE3D27D4EB4F) + (w[16 : n + 16] & U64(0xFFFFFFFF)) * U64(0xD6E8FEB86659FD93)
+    return mix(h)
 
 
 def anchors(buf: np.ndarray, offsets: np.ndarray, width: int = WIDTH, gram: int = GRAM) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -44,161 +55,157 @@ def anchors(buf: np.ndarray, offsets: np.ndarray, width: int = WIDTH, gram: int
     n, span = len(buf) - gram + 1, width - gram + 1
     if len(buf) < width:
         return empty, empty, empty.view(U64)
-    at = np.arange(n)
-    h = span_hash(prefix_hash(buf), at, at + gram)
+    h = _gram_hashes(buf)
     bits = U64(max(_POS, len(buf).bit_length()))
-    key = (h >> bits << bits) | at.astype(U64)
     padded = np.full(-(-n // span) * span, ~U64(0), U64)
-    padded[:n] = key
+    padded[:n] = h >> bits << bits
+    padded[:n] |= np.arange(n, dtype=U64)
     grid = padded.reshape(-1, span)
     ahead = np.minimum.accumulate(grid, axis=1).ravel()
     behind = np.minimum.accumulate(grid[:, ::-1], axis=1)[:, ::-1].ravel()
     least = np.minimum(behind[: n - span + 1], ahead[span - 1 : n])
-    starts = np.arange(n - span + 1)
-    inside = np.ones(len(starts), bool)
+    inside = np.ones(len(least), bool)
     for end in offsets[1:-1].tolist():  # windows across a border
         inside[max(0, end - width + 1) : end] = False
-    starts = starts[inside]
-    p = (least[inside] & ((U64(1) << bits) - U64(1))).astype(np.int64)
+    starts = np.flatnonzero(inside)
+    p = (least[starts] & ((U64(1) << bits) - U64(1))).astype(np.int64)
     return starts, p, h[p]
 
 
-def _anchor_ids(h: np.ndarray) -> np.ndarray:
-    """Anchors as 48 bits; a clash marks windows that do not repeat, which later steps find out."""
-    return h >> U64(16)
-
-
-def _tags(col: pa.Array) -> np.ndarray:
-    return col.to_numpy().view(U64) & U64(TAG)
-
-
-def _sides(a: np.ndarray, codes: np.ndarray, t: np.ndarray) -> np.ndarray:
-    """For each row: does another text have its anchor with the same code? (code 0: there is none)"""
-    key = a << U64(12) | codes
-    order = np.lexsort((t, key))
-    k, tag = key[order], t[order]
-    head = np.ones(len(k), bool)
-    head[1:] = k[1:] != k[:-1]
-    first = np.flatnonzero(head)
-    group = np.cumsum(head) - 1
-    many = np.zeros(len(first), bool)
-    many[group[tag != tag[first][group]]] = True
-    out = np.zeros(len(k), bool)
-    out[order] = many[group]
-    return out & (codes > 0)
-
-
-def _marks(a: np.ndarray, most: int) -> np.ndarray:
-    """Anchors in more than `most` rows, as rows of _told for no text and no side."""
-    anchor, n = np.unique(a, return_counts=True)
-    return anchor[n > most] << U64(2)
-
-
-def _told(a: np.ndarray, left: np.ndarray, right: np.ndarray, t: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(text, anchor << 2 | sides) where another text has the anchor and the bytes left (1) or right (2) of it."""
-    sides = _sides(a, left, t).astype(U64) | _sides(a, right, t).astype(U64) << U64(1)
-    at = np.flatnonzero(sides)
-    return t[at], a[at] << U64(2) | sides[at]
-
-
-_ASKED = "bucket int, asked binary, told binary"
+class Shard:
+    """Some texts (or pieces of long ones): where they come from, their bytes, and their anchors.
 
-
-def _ask(batch: pa.RecordBatch, buckets: int) -> pa.RecordBatch:
-    """Texts (tag, text) to rows by bucket of anchors: each anchor with codes of the bytes beside it, and its text.
-
-    Windows that share an anchor and repeat share SIDE bytes left or right of it as well. A batch asks
-    once about an anchor and its codes. Where it has seen them in several texts already, these are told
-    so at once (in the last row), so a passage that most texts share is asked about once a batch.
-    Anchors of many texts are marked there.
+    Windows of one anchor follow each other; `first`, `count` and `place` say which and where the
+    anchor is. A record is an anchor's id with the codes of the bytes beside it (0: there are none).
     """
-    buf, offsets = text_bytes(batch.column(1))
-    tags = _tags(batch.column(0))
-    rows = [np.zeros((4, 0), U64)]
-    for lo, hi in blocks(offsets):
-        off, part = offsets[lo : hi + 1] - offsets[lo], buf[offsets[lo] : offsets[hi]]
-        _, p, h = anchors(part, off)
-        new = np.ones(len(p), bool)
-        new[1:] = p[1:] != p[:-1]
-        p, h = p[new], h[new]
-        row = rows_of(off, p)
-        sums = prefix_hash(part)
-
-        def code(start: np.ndarray, ok: np.ndarray, sums: np.ndarray = sums) -> np.ndarray:
-            start = np.where(ok, start, 0)
-            return np.where(ok, span_hash(sums, start, np.minimum(start + SIDE, len(sums) - 1)) % U64(4095) + U64(1), U64(0))
-
-        left, right = code(p - SIDE, p - SIDE >= off[row]), code(p + GRAM, p + GRAM + SIDE <= off[row + 1])
-        rows.append(np.stack([_anchor_ids(h), left, right, tags[lo + row]]))
-    a, left, right, t = np.concatenate(rows, axis=1)
-    known, sides = _told(a, left, right, t)
-    many = _marks(sides >> U64(2), MOST_TEXTS)
-    told = np.concatenate([known, np.zeros(len(many), U64), sides, many]).tobytes()
-    codes = left << U64(12) | right
-    order = np.lexsort((codes, a, a % U64(buckets)))
-    a, codes, t = a[order], codes[order], t[order]
-    new = np.ones(len(a), bool)
-    new[1:] = (a[1:] != a[:-1]) | (codes[1:] != codes[:-1])
-    a, codes, t = a[new], codes[new], t[new]
-    bucket = (a % U64(buckets)).astype(np.int32)
-    low = lambda x, n: x.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :n]
-    packed = np.concatenate([low(a, 6), low(codes, 3), low(t, 5)], axis=1) if len(a) else np.zeros((0, 14), np.uint8)
-    head = np.ones(len(bucket), bool)
-    head[1:] = bucket[1:] != bucket[:-1]
-    first = np.flatnonzero(head)
-    last = np.append(first[1:], len(bucket))[: len(first)]
-    where = int(mix(tags[:1] + U64(len(tags)))[0] % U64(buckets)) if len(tags) else 0
-    cols = [
-        pa.array([*bucket[first].tolist(), where], pa.int32()),
-        pa.array([*(packed[i:j].tobytes() for i, j in zip(first, last, strict=True)), b""], pa.binary()),
-        pa.array([b""] * len(first) + [told], pa.binary()),
-    ]
-    return pa.RecordBatch.from_arrays(cols, names=[c.split()[0] for c in _ASKED.split(", ")])
-
 
-def _answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows of _ask, sorted by bucket, to (tag, anchor << 2 | sides) of anchors in several texts; marks have no sides."""
-
-    def rows(tag: np.ndarray, anchor: np.ndarray) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([pa.array(tag.view(np.int64)), pa.array(anchor.view(np.int64))], names=["tag", "anchor"])
-
-    def flush(held: list[bytes]) -> pa.RecordBatch:
-        packed = np.frombuffer(b"".join(held), np.uint8).reshape(-1, 14)
-
-        def wide(lo: int, hi: int) -> np.ndarray:
-            out = np.zeros((len(packed), 8), np.uint8)
-            out[:, : hi - lo] = packed[:, lo:hi]
-            return out.view("<u8").ravel().astype(U64)
-
-        anchor, codes = wide(0, 6), wide(6, 9)
-        known, sides = _told(anchor, codes >> U64(12), codes & U64(4095), wide(9, 14))
-        many = _marks(anchor, MOST_ASKS)
-        return rows(np.concatenate([known, np.zeros(len(many), U64)]), np.concatenate([sides, many]))
-
-    held: list[bytes] = []
-    bucket = None
+    def __init__(self, docs: np.ndarray, copies: np.ndarray, bases: np.ndarray, texts: list[memoryview]):
+        self.docs, self.copies, self.bases = docs, copies, bases
+        self.offsets = np.concatenate([[0], np.cumsum([len(t) for t in texts], dtype=np.int64)])
+        self.buf = np.frombuffer(b"".join(texts), np.uint8)
+        parts = [(np.zeros(0, np.int64),) * 3 + (np.zeros(0, U64),) * 3]
+        for lo, hi in blocks(self.offsets):
+            at, off = self.offsets[lo], self.offsets[lo : hi + 1] - self.offsets[lo]
+            part = self.buf[at : self.offsets[hi]]
+            starts, p, h = anchors(part, off)
+            turn = np.flatnonzero(np.concatenate([[True], p[1:] != p[:-1]])) if len(p) else np.zeros(0, np.int64)
+            count, starts, p, h = np.diff(np.append(turn, len(p))), starts[turn], p[turn], h[turn]
+            row = rows_of(off, p)
+            left, right = (self._code(part, x, (x >= off[row]) & (x + SIDE <= off[row + 1])) for x in (p - SIDE, p + GRAM))
+            parts.append((starts + at, count, p + at, h, left, right))
+        self.first, self.count, self.place, self.hash, self.left, self.right = (np.concatenate(x) for x in zip(*parts, strict=True))
+        self.row = rows_of(self.offsets, self.place)
+        self.id = self.hash >> U64(64 - _ID)
+        codes = self.left << U64(_CODE) | self.right
+        order = np.lexsort((codes, self.id))
+        new = np.ones(len(order), bool)
+        new[1:] = (np.diff(self.id[order]) != 0) | (np.diff(codes[order]) != 0)
+        self.record = np.empty(len(order), np.int64)  # of each anchor
+        self.record[order] = np.cumsum(new) - 1
+        heads = order[new]
+        times = np.ceil(np.log2(np.maximum(np.bincount(self.record), 1))).astype(U64)
+        self.ids, self.codes = self.id[heads], (codes[heads] | np.minimum(times, U64(15)) << U64(2 * _CODE)).astype(np.uint32)
+
+    @staticmethod
+    def _code(part: np.ndarray, start: np.ndarray, ok: np.ndarray) -> np.ndarray:
+        start = np.where(ok, start, 0)
+        return np.where(ok, span_hash(part, start, start + np.where(ok, SIDE, 0)) % U64((1 << _CODE) - 1) + U64(1), U64(0))
+
+    def bucket_slices(self, buckets: int) -> Iterator[tuple[int, int, int]]:
+        """(bucket, first record, end) for ranges of the ids."""
+        edges = np.searchsorted(bucket_of(self.ids, buckets), np.arange(buckets + 1))
+        for b in np.flatnonzero(np.diff(edges)).tolist():
+            yield b, int(edges[b]), int(edges[b + 1])
+
+
+def bucket_of(ids: np.ndarray, buckets: int) -> np.ndarray:
+    """The range that an id lies in; ranges do not cut the part that _pack sends as it is."""
+    return (ids >> U64(_LOW)) * U64(buckets) >> U64(_ID - _LOW)
+
+
+def _base(bucket: int, buckets: int) -> int:
+    return -(-(bucket << (_ID - _LOW)) // buckets)
+
+
+def pack_ids(ids: np.ndarray, codes: np.ndarray, bucket: int, buckets: int) -> bytes:
+    """Sorted ids of a bucket: low parts, codes, and the high parts in unary."""
+    ones = ((ids >> U64(_LOW)).astype(np.int64) - _base(bucket, buckets)) + np.arange(len(ids))
+    bits = np.zeros(int(ones[-1]) + 1, np.uint8)
+    bits[ones] = 1
+    return len(ids).to_bytes(4, "little") + (ids & U64(0xFFFFFFFF)).astype("<u4").tobytes() + codes.astype("<u4").tobytes() + np.packbits(bits).tobytes()
+
+
+def unpack_ids(data: bytes, bucket: int, buckets: int) -> tuple[np.ndarray, np.ndarray]:
+    n = int.from_bytes(data[:4], "little")
+    low, codes = np.frombuffer(data, "<u4", n, 4).astype(U64), np.frombuffer(data, "<u4", n, 4 + 4 * n)
+    ones = np.flatnonzero(np.unpackbits(np.frombuffer(data, np.uint8, offset=4 + 8 * n)))[:n]
+    return (ones - np.arange(n) + _base(bucket, buckets)).astype(U64) << U64(_LOW) | low, codes
+
+
+def _in_several(key: np.ndarray, owner: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """For each row: has another owner the same key? Also the order by key, and where each key begins there."""
+    order = np.argsort(key)
+    k, own = key[order], owner[order]
+    first = np.flatnonzero(np.concatenate([[True], k[1:] != k[:-1]])) if len(k) else np.zeros(0, np.int64)
+    out = np.zeros(len(k), bool)
+    if len(k):
+        several = np.minimum.reduceat(own, first) != np.maximum.reduceat(own, first)
+        out[order] = np.repeat(several, np.diff(np.append(first, len(k))))
+    return out, order, first
+
+
+def sides(ids: np.ndarray, left: np.ndarray, right: np.ndarray, owner: np.ndarray) -> np.ndarray:
+    """LEFT and RIGHT where another owner has the id and the code on that side."""
+    a, b = (_in_several(ids << U64(_CODE) | code, owner)[0] & (code > 0) for code in (left, right))
+    return a * np.uint8(LEFT) | b * np.uint8(RIGHT)
+
+
+_ASKED = "bucket int, unit long, asked binary"
+_TOLD = "unit long, bucket int, flags binary"
+
+
+def _answer(batches: Iterator[pa.RecordBatch], buckets: int, hot_from: int) -> Iterator[pa.RecordBatch]:
+    """Rows _ASKED sorted by bucket to rows _TOLD: a byte of flags for each record, where any is set."""
+
+    def flush(bucket: int, units: list[int], asked: list[bytes]) -> pa.RecordBatch:
+        both = [unpack_ids(x, bucket, buckets) for x in asked]
+        ids, codes = (np.concatenate(x) for x in zip(*both, strict=True))
+        ends = np.cumsum([len(x[0]) for x in both])
+        owner = np.repeat(np.arange(len(both)), np.diff(ends, prepend=0))
+        mask = np.uint32((1 << _CODE) - 1)
+        flags = sides(ids, (codes >> np.uint32(_CODE) & mask).astype(U64), (codes & mask).astype(U64), owner)
+        _, order, first = _in_several(ids, owner)
+        often = np.add.reduceat((1 << (codes[order] >> np.uint32(2 * _CODE)).astype(np.int64)), first) >= hot_from
+        flags[order] |= np.repeat(often, np.diff(np.append(first, len(ids)))) * np.uint8(HOT)
+        cut = [x.tobytes() for x in np.split(flags, ends[:-1])]
+        some = [i for i, x in enumerate(cut) if x.strip(b"\0")]
+        cols = [pa.array([units[i] for i in some], pa.int64()), pa.array([bucket] * len(some), pa.int32()), pa.array([cut[i] for i in some], pa.binary())]
+        return pa.RecordBatch.from_arrays(cols, names=["unit", "bucket", "flags"])
+
+    held: tuple[list[int], list[bytes]] = ([], [])
+    last = None
     for b in batches:
-        for k, asked, told in zip(*(c.to_pylist() for c in b.columns), strict=True):
-            if k != bucket:
-                if held:
-                    yield flush(held)
-                held, bucket = [], k
-            if asked:
-                held.append(asked)
-            if told:
-                both = np.frombuffer(told, U64)
-                yield rows(both[: len(both) // 2], both[len(both) // 2 :])
-    if held:
-        yield flush(held)
+        for bucket, unit, asked in zip(*(c.to_pylist() for c in b.columns), strict=True):
+            if bucket != last and held[0]:
+                yield flush(last, *held)
+                held = ([], [])
+            last = bucket
+            held[0].append(unit)
+            held[1].append(asked)
+    if held[0]:
+        yield flush(last, *held)
 
 
-_PIECE = "key long, doc long, start int, n int, bytes binary"
+_PIECE = "key long, doc long, copy int, start int, n int, bytes binary"
+_SPAN = ["doc", "copy", "start", "n"]
 
 
-def _rows(doc, start, n, key=None, data=None) -> pa.RecordBatch:
+def _rows(doc, copy, start, n, key=None, data=None) -> pa.RecordBatch:
+    """Rows _PIECE; without data, windows that are removed already. n is 0 for a hot window."""
     key = np.zeros(len(doc), np.int64) if key is None else key
     data = pa.nulls(len(doc), pa.binary()) if data is None else data
-    return pa.RecordBatch.from_arrays([pa.array(key), pa.array(doc), pa.array(start.astype(np.int32)), pa.array(n.astype(np.int32)), data], names=[c.split()[0] for c in _PIECE.split(", ")])
+    cols = [pa.array(key), pa.array(doc), *(pa.array(x.astype(np.int32)) for x in (copy, start, n)), data]
+    return pa.RecordBatch.from_arrays(cols, names=[c.split()[0] for c in _PIECE.split(", ")])
 
 
 def _runs(group: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -241,49 +248,47 @@ def window_classes(buf: np.ndarray, starts: np.ndarray, ends: np.ndarray, width:
     return number[np.searchsorted(used, starts)]
 
 
-def _shard(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-    """Texts (doc_id, anchors in several texts as anchor << 3 | is it marked? << 2 | sides, text): windows removed within the block, and segments."""
-    buf, offsets = text_bytes(batch.column(2))
-    docs = batch.column(0).to_numpy()
-    lists = batch.column(1)
-    flat, list_at = lists.flatten().to_numpy().view(U64), np.concatenate([[0], np.cumsum(lists.value_lengths().to_numpy())])
-    for lo, hi in blocks(offsets):
-        part, off = buf[offsets[lo] : offsets[hi]], offsets[lo : hi + 1] - offsets[lo]
-        starts, p, h = anchors(part, off)
-        turn = np.flatnonzero(np.concatenate([[True], p[1:] != p[:-1]])) if len(p) else np.zeros(0, np.int64)
-        count = np.diff(np.append(turn, len(p)))
-        salt = lambda r: mix(r.astype(U64) + U64(1))
-        told = flat[list_at[lo] : list_at[hi]]
-        mine = (told >> U64(3)) ^ salt(np.repeat(np.arange(hi - lo), np.diff(list_at[lo : hi + 1])))
-        own = _anchor_ids(h[turn]) ^ salt(rows_of(off, p[turn]))
-        left, right, many = (np.repeat(np.isin(own, mine[(told & U64(bit)) > 0]), count) for bit in (1, 2, 4))
-        ok = np.where(p - starts >= SPLIT, left, right)
-        starts, p, many = starts[ok], p[ok], many[ok]
-        rows = rows_of(off, starts)
-        if not len(starts):
-            continue
-        doc = docs[lo:hi][rows]
-        number = window_classes(part, starts, off[rows + 1])
-        order = np.argsort(number, kind="stable")
-        first = np.flatnonzero(np.concatenate([[True], number[order][1:] != number[order][:-1]]))
-        least = np.empty(len(starts), np.int64)
-        least[order] = np.repeat(np.minimum.reduceat(doc[order], first), np.diff(np.append(first, len(order))))
-        gone = np.flatnonzero(doc > least)
-        at, n = _runs(rows[gone], starts[gone])
-        at = gone[at]
-        salted = mix(at.astype(U64) + docs[lo:hi][rows[at]].astype(U64) * U64(0x9E3779B97F4A7C15))
-        yield _rows(doc[at], starts[at] - off[rows[at]], n, salted.view(np.int64))
-        left = np.flatnonzero(doc == least)
-        turn = (p[left] - starts[left]) // STEP
-        at, n = _runs(np.where(many[left], -1 - starts[left], p[left] * 4 + turn), starts[left])
-        at = left[at]
-        core = np.where(many[at], starts[at], p[at] - (p[at] - starts[at]) // STEP * STEP)
-        key = span_hash(prefix_hash(part), core, core + np.where(many[at], WIDTH, WIDTH - STEP + 1)).view(np.int64)
-        size = n + (WIDTH - 1)
-        end = np.cumsum(size)
-        data = part[np.repeat(starts[at] - (end - size), size) + np.arange(end[-1] if len(end) else 0)]
-        segments = pa.BinaryArray.from_buffers(pa.binary(), len(at), [None, pa.py_buffer(np.concatenate([[0], end]).astype(np.int32)), pa.py_buffer(data)])
-        yield _rows(doc[at], starts[at] - off[rows[at]], n, key, segments)
+def _shard(shard: Shard, flags: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """Windows removed within the shard, and segments for the others that flags (of its records) ask for."""
+    buf, docs = shard.buf, shard.docs
+    away = flags[shard.record]
+    here = sides(shard.id, shard.left, shard.right, docs[shard.row])
+    turn = np.flatnonzero((away | here) & (LEFT | RIGHT))
+    n = shard.count[turn]
+    turn = np.repeat(turn, n)
+    starts = shard.first[turn] + np.arange(len(turn)) - np.repeat(np.cumsum(n) - n, n)
+    side = np.where(shard.place[turn] - starts >= SPLIT, LEFT, RIGHT)
+    ok = ((away | here)[turn] & side) > 0
+    starts, turn, side = starts[ok], turn[ok], side[ok]
+    if not len(starts):
+        return
+    rows = shard.row[turn]
+    doc = docs[rows]
+    number = window_classes(buf, starts, shard.offsets[rows + 1])
+    order = np.argsort(number, kind="stable")
+    first = np.flatnonzero(np.concatenate([[True], number[order][1:] != number[order][:-1]]))
+    least = np.empty(len(starts), np.int64)
+    least[order] = np.repeat(np.minimum.reduceat(doc[order], first), np.diff(np.append(first, len(order))))
+
+    def made(at: np.ndarray, n: np.ndarray, key=None, data=None) -> pa.RecordBatch:
+        row = rows[at]
+        return _rows(docs[row], shard.copies[row], starts[at] - shard.offsets[row] + shard.bases[row], n, key, data)
+
+    gone = np.flatnonzero(doc > least)
+    at, n = _runs(rows[gone], starts[gone])
+    at = gone[at]
+    yield made(at, n, mix(starts[at].astype(U64) + docs[rows[at]].astype(U64) * U64(0x9E3779B97F4A7C15)).view(np.int64))
+    left = np.flatnonzero((doc == least) & ((away[turn] & side) > 0))
+    hot = (away[turn[left]] & HOT) > 0
+    at, n = _runs(np.where(hot, -1 - np.arange(len(left)), turn[left]), starts[left])
+    at, hot = left[at], hot[at]
+    key = np.where(hot, U64(0), shard.hash[turn[at]])
+    key[hot] = span_hash(buf, starts[at[hot]], starts[at[hot]] + WIDTH)
+    size = n + (WIDTH - 1)
+    end = np.cumsum(size)
+    data = buf[np.repeat(starts[at] - (end - size), size) + np.arange(end[-1] if len(end) else 0)]
+    segments = pa.BinaryArray.from_buffers(pa.binary(), len(at), [None, pa.py_buffer(np.concatenate([[0], end]).astype(np.int32)), pa.py_buffer(data)])
+    yield made(at, np.where(hot, 0, n), key.view(np.int64), segments)
 
 
 def merge_sorted(runs: list[tuple[np.ndarray, np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -313,7 +318,7 @@ def _meet(doc: np.ndarray, sizes: np.ndarray, buf: np.ndarray) -> np.ndarray:
     ends = np.cumsum(sizes)
     own = np.repeat(np.arange(len(n)), n)
     places = np.arange(len(own)) - np.repeat(np.cumsum(n) - n, n) + (ends - sizes)[own]
-    keys = span_hash(prefix_hash(buf), places, places + WIDTH)
+    keys = span_hash(buf, places, places + WIDTH)
     docs = doc[own]
     while True:
         runs = []
@@ -336,33 +341,63 @@ def _meet(doc: np.ndarray, sizes: np.ndarray, buf: np.ndarray) -> np.ndarray:
         keys = number.astype(U64)
 
 
+def _gone_of_hot(key: np.ndarray, doc: np.ndarray, window: np.ndarray, state: dict) -> np.ndarray:
+    """For hot windows sorted by (key, doc): does a lesser document have it? state: what the last key began with."""
+    head = np.ones(len(key), bool)
+    head[1:] = key[1:] != key[:-1]
+    run = np.cumsum(head) - 1
+    heads = np.flatnonzero(head)
+    own_doc, own = doc[heads], window[heads]
+    if state.get("key") == key[0]:
+        own_doc[0], own[0] = state["doc"], state["window"]
+    same = np.ones(len(key), bool)
+    for lo in range(0, len(key), 200_000):
+        same[lo : lo + 200_000] = (window[lo : lo + 200_000] == own[run[lo : lo + 200_000]]).all(axis=1)
+    gone = same & (doc > own_doc[run])
+    for i in np.flatnonzero(~same).tolist():  # another window with the same hash
+        if state.get("odd_key") != key[i]:
+            state["odd_key"], state["odd"] = key[i], {}
+        gone[i] = doc[i] > state["odd"].setdefault(window[i].tobytes(), doc[i])
+    state.update(key=key[-1], doc=own_doc[-1], window=own[-1])
+    return gone
+
+
 def _merge(batches: Iterator[pa.RecordBatch], most: int = 1 << 20) -> Iterator[pa.RecordBatch]:
-    """Rows of _shard, sorted by key: windows known to be removed pass, segments of one key meet."""
+    """Rows of _shard, sorted by key and doc: removed windows pass, segments of one key meet.
+
+    Hot windows are decided as they come; a key that is not hot has fewer than hot_from segments.
+    """
 
     def flush(t: pa.Table) -> Iterator[pa.RecordBatch]:
-        data = t.column(4).combine_chunks()
+        data = t.column(5).combine_chunks()
         sizes = pc.binary_length(data).to_numpy(zero_copy_only=False).astype(np.int64)
-        doc, start = t.column(1).to_numpy(), t.column(2).to_numpy()
+        doc, copy, start = (t.column(i).to_numpy() for i in (1, 2, 3))
         buf = np.frombuffer(b"".join(data.to_pylist()), np.uint8)
         gone = np.flatnonzero(_meet(doc, sizes, buf))
         n = sizes - (WIDTH - 1)
         own = np.repeat(np.arange(len(n)), n)[gone]
         at = start[own] + gone - (np.cumsum(n) - n)[own]
         first, count = _runs(own, at)
-        yield _rows(doc[own[first]], at[first], count).select(["doc", "start", "n"])
+        yield _rows(doc[own[first]], copy[own[first]], at[first], count).select(_SPAN)
 
     held: list[pa.RecordBatch] = []
-    size = 0
+    size, state = 0, {}
     for b in batches:
-        known = b.column(4).is_null()
-        done = b.filter(known)
-        if done.num_rows:
-            yield done.select(["doc", "start", "n"])
+        known = b.column(5).is_null()
+        if (done := b.filter(known)).num_rows:
+            yield done.select(_SPAN)
         b = b.filter(pc.invert(known))
+        hot = pc.equal(b.column(4), 0)
+        if (one := b.filter(hot)).num_rows:
+            window = np.frombuffer(b"".join(one.column(5).to_pylist()), np.uint8).reshape(-1, WIDTH)
+            doc = one.column(1).to_numpy()
+            at = np.flatnonzero(_gone_of_hot(one.column(0).to_numpy(), doc, window, state))
+            yield _rows(doc[at], one.column(2).to_numpy()[at], one.column(3).to_numpy()[at], np.ones(len(at))).select(_SPAN)
+        b = b.filter(pc.invert(hot))
         if not b.num_rows:
             continue
         held.append(b)
-        size += b.column(4).nbytes
+        size += b.column(5).nbytes
         if size > most and held[0].column(0)[0] != b.column(0)[-1]:
             t = pa.Table.from_batches(held)
             key = t.column(0).to_numpy()
@@ -370,80 +405,166 @@ def _merge(batches: Iterator[pa.RecordBatch], most: int = 1 << 20) -> Iterator[p
             if whole:
                 yield from flush(t.slice(0, whole))
                 held = t.slice(whole).combine_chunks().to_batches()
-                size = sum(x.column(4).nbytes for x in held)
+                size = sum(x.column(5).nbytes for x in held)
     if held:
         yield from flush(pa.Table.from_batches(held))
 
 
-def _cut(batch: pa.RecordBatch, least: int) -> pa.RecordBatch:
-    """(doc_id, text, whole, spans): what is left of each text."""
-    keys, texts, whole, spans = (batch.column(i) for i in range(4))
+def _texts(rows: pa.Table) -> tuple[np.ndarray, list[memoryview], list[bytes], np.ndarray]:
+    """(doc, text, digest, copy) of the rows of a group; copy numbers the different texts of a doc."""
+    doc = rows.column("doc_id").to_numpy()
+    buf, offsets = text_bytes(rows.column("text"))
+    data = memoryview(np.ascontiguousarray(buf))
+    texts = [data[a:b] for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist(), strict=True)]
+    digests = [hashlib.sha256(t).digest() for t in texts]
+    copy, numbers = np.zeros(len(doc), np.int64), {}
+    if len(np.unique(doc)) < len(doc):
+        for d, x in sorted(set(zip(doc.tolist(), digests, strict=True))):
+            own = numbers.setdefault(d, {})
+            own[x] = len(own)
+        copy = np.array([numbers[d][x] for d, x in zip(doc.tolist(), digests, strict=True)])
+    return doc, texts, digests, copy
+
+
+def _is_first(doc: np.ndarray, digests: list[bytes], side: pa.Table) -> np.ndarray:
+    """Which rows are the first with their text, as the side rows with a sha say?"""
+    firsts = side.filter(side.column("sha").is_valid())
+    known = set(zip(firsts.column("doc").to_pylist(), firsts.column("sha").to_pylist(), strict=True))
+    return np.array([x in known for x in zip(doc.tolist(), digests, strict=True)], bool)
+
+
+def _shards(g: int, rows: pa.Table, side: pa.Table) -> Iterator[tuple[int, Shard]]:
+    """The shards of a group, in an order that depends on its ids and texts only."""
+    doc, texts, digests, copy = _texts(rows)
+    at = np.flatnonzero(_is_first(doc, digests, side))
+    at = at[np.lexsort((copy[at], doc[at]))]
+    if len(at):
+        at = at[np.concatenate([[True], (np.diff(doc[at]) != 0) | (np.diff(copy[at]) != 0)])]
+    step = BLOCK_BYTES - WIDTH + 1  # pieces of a long text overlap, so that each window is in one
+    pieces = [(i, base, texts[i][base : base + BLOCK_BYTES]) for i in at.tolist() for base in range(0, max(1, len(texts[i]) - WIDTH + 1), step)]
+    sizes = np.cumsum([len(x[2]) for x in pieces], dtype=np.int64)
+    unit = -(-int(sizes[-1]) // max(1, round(sizes[-1] / UNIT_BYTES))) if len(pieces) and sizes[-1] else 1
+    number = (sizes - 1) // unit if len(pieces) else sizes
+    for k in np.unique(number).tolist():
+        own = [pieces[i] for i in np.flatnonzero(number == k).tolist()]
+        row = np.array([x[0] for x in own])
+        yield g << 20 | int(k), Shard(doc[row], copy[row], np.array([x[1] for x in own]), [x[2] for x in own])
+
+
+def _ask_group(key: tuple, rows: pa.Table, side: pa.Table, buckets: int) -> pa.Table:
+    out: list[tuple] = []
+    for unit, shard in _shards(key[0].as_py(), rows, side):
+        out += [(b, unit, pack_ids(shard.ids[i:j], shard.codes[i:j], b, buckets)) for b, i, j in shard.bucket_slices(buckets)]
+    cols = list(zip(*out, strict=True)) or [()] * 3
+    return pa.table([pa.array(c, t) for c, t in zip(cols, (pa.int32(), pa.int64(), pa.binary()), strict=True)], names=["bucket", "unit", "asked"])
+
+
+def _shard_group(key: tuple, rows: pa.Table, side: pa.Table, buckets: int) -> pa.Table:
+    told: dict[int, dict[int, bytes]] = {}
+    answers = side.filter(side.column("flags").is_valid())
+    for unit, bucket, flags in zip(*(answers.column(c).to_pylist() for c in ("unit", "bucket", "flags")), strict=True):
+        told.setdefault(unit, {})[bucket] = flags
+    none = np.zeros(0, np.int64)
+    out = [_rows(none, none, none, none)]
+    for unit, shard in _shards(key[0].as_py(), rows, side):
+        flags, own = np.zeros(len(shard.ids), np.uint8), told.get(unit, {})
+        for b, i, j in shard.bucket_slices(buckets):
+            if b in own:
+                flags[i:j] = np.frombuffer(own[b], np.uint8)
+        out += _shard(shard, flags)
+    return pa.Table.from_batches(out)
+
+
+def _measured(keys: pa.Array | pa.ChunkedArray, cuts: Iterator[tuple[int, list[bytes], int]]) -> list[pa.Array]:
+    """The result's columns from (length, what is left, number of spans) of each text."""
     n_bytes, n_removed, n_spans, digests = [], [], [], []
-    for text, all_of_it, own in zip(texts, whole.to_pylist(), spans.to_pylist(), strict=True):
-        data = (text.as_py() or "").encode() if text.is_valid else b""
-        kept, at, count = [], 0, 0
-        if all_of_it and len(data) >= least:
-            own = [{"start": 0, "n": len(data) - least + 1}]
-        end = -1
-        for s in sorted((x["start"], x["n"]) for x in own or ()):
-            if s[0] > end:
-                kept.append(data[at : s[0]])
-                count += 1
-            end = max(end, s[0] + s[1] + least - 1)
-            at = max(at, end)
-        kept.append(data[at:])
-        left = b"".join(kept)
-        n_bytes.append(len(data))
-        n_removed.append(len(data) - len(left))
-        n_spans.append(count)
-        digests.append(hashlib.sha256(left).hexdigest())
-    cols = [keys, *(pa.array(x, pa.int64()) for x in (n_bytes, n_removed, n_spans)), pa.array(digests, pa.string())]
-    return pa.RecordBatch.from_arrays(cols, names=["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"])
-
-
-def _segments(named: DataFrame, placed: DataFrame, firsts: DataFrame, parts: int) -> DataFrame:
-    """Rows of _shard over the first document of each text; placed: named, dealt out by id."""
-    asked = named.select(F.xxhash64("text").alias("tag"), "text").mapInArrow(lambda batches: (_ask(b, 4 * parts) for b in batches), _ASKED)
-    told = asked.repartition(parts, "bucket").sortWithinPartitions("bucket").mapInArrow(_answer, "tag long, anchor long")
-    # marked anchors are a small share of all, since each stands for many rows; all texts see the same
-    marked = told.where("anchor & 3 = 0").select(F.shiftright("anchor", 2).alias("hot")).distinct()
-    several = told.where("anchor & 3 > 0").join(F.broadcast(marked), F.shiftright("anchor", 2) == F.col("hot"), "left")
-    several = several.select("tag", F.expr("shiftleft(shiftright(anchor, 2), 3) | if(hot is null, 0, 4) | (anchor & 3)").alias("anchor"))
-    several = several.groupBy("tag").agg(F.collect_set("anchor").alias("anchors"))
-    sharing = firsts.join(several, F.col("text_tag") == F.col("tag")).select(F.col("first").alias("doc_id"), "anchors")
-
-    def shard(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            yield from _shard(b)
-
-    return sharing.join(placed, "doc_id").select("doc_id", "anchors", "text").mapInArrow(shard, _PIECE)
-
-
-def remove_repeats(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    for n, kept, spans in cuts:
+        digest = hashlib.sha256()
+        for x in kept:
+            digest.update(x)
+        n_bytes.append(n)
+        n_removed.append(n - sum(map(len, kept)))
+        n_spans.append(spans)
+        digests.append(digest.hexdigest())
+    return [keys, *(pa.array(x, pa.int64()) for x in (n_bytes, n_removed, n_spans)), pa.array(digests, pa.string())]
+
+
+_RESULT = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
+_NAMES = [c.split()[0] for c in _RESULT.split(", ")]
+
+
+def _cut_group(rows: pa.Table, side: pa.Table) -> pa.Table:
+    """What is left of each text of a group; side: first documents, and removed windows as spans."""
+    doc, texts, digests, copy = _texts(rows)
+    first = _is_first(doc, digests, side)
+    spans = side.filter(side.column("n").is_valid())
+    s_doc, s_copy, s_start, s_n = (spans.column(c).to_numpy() for c in _SPAN)
+    order = np.lexsort((s_start, s_copy, s_doc))
+    s_doc, s_copy, s_start, s_n = (x[order] for x in (s_doc, s_copy, s_start, s_n))
+
+    def cuts() -> Iterator[tuple[int, list[bytes], int]]:
+        for i, text in enumerate(texts):
+            if not first[i] and len(text) >= WIDTH:
+                yield len(text), [], 1
+                continue
+            lo, hi = np.searchsorted(s_doc, [doc[i], doc[i] + 1])
+            lo, hi = lo + np.searchsorted(s_copy[lo:hi], [copy[i], copy[i] + 1])
+            kept, at, end, count = [], 0, -1, 0
+            for start, n in zip(s_start[lo:hi].tolist(), s_n[lo:hi].tolist(), strict=True) if first[i] else ():
+                if start > end:
+                    kept.append(text[at:start])
+                    count += 1
+                end = max(end, start + n + WIDTH - 1)
+                at = max(at, end)
+            kept.append(text[at:])
+            yield len(text), kept, count
+
+    return pa.table(_measured(pa.array(doc), cuts()), names=_NAMES)
+
+
+def _uncut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for b in batches:
+        buf, offsets = text_bytes(b.column(1))
+        data = buf.tobytes()
+        whole = ((j - i, [data[i:j]], 0) for i, j in zip(offsets[:-1].tolist(), offsets[1:].tolist(), strict=True))
+        yield pa.RecordBatch.from_arrays(_measured(b.column(0), whole), names=_NAMES)
+
+
+def _segments(placed: DataFrame, firsts: DataFrame, parts: int, hot_from: int) -> DataFrame:
+    """Rows _PIECE of all shards; placed: (g, doc_id, text) dealt out by g; firsts: (g, doc, sha)."""
+    buckets = min(2 * parts, 1 << (_ID - _LOW))
+    texts = placed.groupBy("g")
+    asked = texts.cogroup(firsts.groupBy("g")).applyInArrow(partial(_ask_group, buckets=buckets), _ASKED)
+    told = asked.repartition(parts, "bucket").sortWithinPartitions("bucket").mapInArrow(partial(_answer, buckets=buckets, hot_from=hot_from), _TOLD)
+    told = told.withColumn("g", F.shiftright("unit", 20).cast("int"))
+    both = firsts.unionByName(told, allowMissingColumns=True)
+    return texts.cogroup(both.groupBy("g")).applyInArrow(partial(_shard_group, buckets=buckets), _PIECE)
+
+
+def remove_repeats(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", hot_from: int = HOT_FROM) -> DataFrame:
     """(doc_id, n_bytes, n_removed, n_spans, kept_sha256) of each row.
 
     A byte goes if a 50-byte string over it also starts in a document with a smaller id. Null texts
-    are empty. Ids are unique integers; a row without an id takes part in nothing and keeps its text.
-    Other columns are not read. An empty table gives an empty table. Texts are shuffled once, by id,
-    for both the shards and the cutting; what else moves are anchors and segments.
+    are empty. Ids are integers; rows that repeat an id are documents of the same rank, which remove
+    nothing of each other; a row without an id takes part in nothing and keeps its text. Other
+    columns are not read. An empty table gives an empty table. Texts are shuffled once, by groups of
+    ids; what else moves are anchors and segments. A task holds one group of texts, one shard of
+    UNIT_BYTES of it with its arrays, one range of anchors, or the segments of one anchor, of which
+    there are fewer than hot_from.
     """
     spark = docs.sparkSession
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     source = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
-    named = source.where("doc_id is not null")
+    group = lambda c: F.pmod(F.xxhash64(c), F.lit(2 * parts)).cast("int").alias("g")
+    named = source.where("doc_id is not null").select(group("doc_id"), "doc_id", "text")
 
     # the first document of each text; partial aggregates make a text with many copies a few rows
-    firsts = named.select("doc_id", F.sha2("text", 256).alias("sha"), F.xxhash64("text").bitwiseAND(F.lit(TAG)).alias("text_tag"))
-    firsts = firsts.groupBy("sha", "text_tag").agg(F.min("doc_id").alias("first"))
-
-    # the same rows meet by id for the shards and for the cutting, so their exchange is used twice
-    placed = named.repartition(parts, "doc_id")
-    segments = _segments(named, placed, firsts, parts)
-    removed = segments.repartition(parts, "key").sortWithinPartitions("key").mapInArrow(_merge, "doc long, start int, n int")
-    spans = removed.groupBy(F.col("doc").alias("doc_id")).agg(F.collect_list(F.struct("start", "n")).alias("spans"))
-    firsts_only = firsts.select(F.col("first").alias("doc_id"), F.lit(False).alias("copy"))
-    joined = placed.join(spans, "doc_id", "left").join(firsts_only, "doc_id", "left")
-    nameless = source.where("doc_id is null").select("doc_id", "text", F.lit(False).alias("whole"), F.lit(None).cast("array<struct<start:int,n:int>>").alias("spans"))
-    cut = lambda batches: (_cut(b, WIDTH) for b in batches)
-    rows = joined.select("doc_id", "text", F.col("copy").isNull().alias("whole"), "spans").unionByName(nameless)
-    return rows.mapInArrow(cut, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
+    firsts = named.groupBy(F.unhex(F.sha2("text", 256)).alias("sha")).agg(F.min("doc_id").alias("doc")).select(group("doc"), "doc", "sha")
+
+    # the same exchange of the texts serves the questions, the shards and the cutting
+    placed = named.repartition(parts, "g")
+    segments = _segments(placed, firsts, parts, hot_from)
+    removed = segments.repartition(parts, "key").sortWithinPartitions("key", "doc").mapInArrow(_merge, "doc long, copy int, start int, n int")
+    both = firsts.unionByName(removed.select(group("doc"), *_SPAN), allowMissingColumns=True)
+    cut = placed.groupBy("g").cogroup(both.groupBy("g")).applyInArrow(_cut_group, _RESULT)
+    return cut.unionByName(source.where("doc_id is null").mapInArrow(_uncut, _RESULT))
