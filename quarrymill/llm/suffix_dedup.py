@@ -29,12 +29,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import suffixes
-from .arrays import BLOCK_BYTES, U64, blocks, eights, mix, rows_of, span_hash, text_bytes
+from .arrays import U64, blocks, eights, mix, rows_of, span_hash, text_bytes
 
 WIDTH, GRAM = 50, 20
 SIDE = 15  # of a window's bytes beside its anchor, so many at least are on one side
 SPLIT = 16  # windows that start so far before their anchor have SIDE bytes left of it, others right
-UNIT_BYTES = 1 << 22  # of texts in a shard, about
+UNIT_BYTES = 1 << 21  # of texts in a shard, about
+PIECE_BYTES, ANCHOR_BYTES = 1 << 20, 1 << 19  # of a long text; of texts whose anchors are found at a time
 HOT_FROM = 1 << 16  # anchors found so often are hot; counts of a shard are rounded up to powers of two
 RUNS = 8  # sorted runs that are merged at a time
 LEFT, RIGHT, HOT = 1, 2, 4
@@ -84,7 +85,7 @@ class Shard:
         self.offsets = np.concatenate([[0], np.cumsum([len(t) for t in texts], dtype=np.int64)])
         self.buf = np.frombuffer(b"".join(texts), np.uint8)
         parts = [(np.zeros(0, np.int64),) * 3 + (np.zeros(0, U64),) * 3]
-        for lo, hi in blocks(self.offsets):
+        for lo, hi in blocks(self.offsets, ANCHOR_BYTES):
             at, off = self.offsets[lo], self.offsets[lo : hi + 1] - self.offsets[lo]
             part = self.buf[at : self.offsets[hi]]
             starts, p, h = anchors(part, off)
@@ -440,8 +441,8 @@ def _shards(g: int, rows: pa.Table, side: pa.Table) -> Iterator[tuple[int, Shard
     at = at[np.lexsort((copy[at], doc[at]))]
     if len(at):
         at = at[np.concatenate([[True], (np.diff(doc[at]) != 0) | (np.diff(copy[at]) != 0)])]
-    step = BLOCK_BYTES - WIDTH + 1  # pieces of a long text overlap, so that each window is in one
-    pieces = [(i, base, texts[i][base : base + BLOCK_BYTES]) for i in at.tolist() for base in range(0, max(1, len(texts[i]) - WIDTH + 1), step)]
+    step = PIECE_BYTES - WIDTH + 1  # pieces of a long text overlap, so that each window is in one
+    pieces = [(i, base, texts[i][base : base + PIECE_BYTES]) for i in at.tolist() for base in range(0, max(1, len(texts[i]) - WIDTH + 1), step)]
     sizes = np.cumsum([len(x[2]) for x in pieces], dtype=np.int64)
     unit = -(-int(sizes[-1]) // max(1, round(sizes[-1] / UNIT_BYTES))) if len(pieces) and sizes[-1] else 1
     number = (sizes - 1) // unit if len(pieces) else sizes
