@@ -96,7 +96,7 @@ class Shard:
             parts.append((starts + at, count, p + at, h, left, right))
         self.first, self.count, self.place, self.hash, self.left, self.right = (np.concatenate(x) for x in zip(*parts, strict=True))
         self.row = rows_of(self.offsets, self.place)
-        self.id = self.hash >> U64(64 - _ID)
+        self.id = mix(self.hash ^ U64(0xA0761D6478BD642F)) >> U64(64 - _ID)  # anchors have small hashes; ids are spread evenly
         codes = self.left << U64(_CODE) | self.right
         order = np.lexsort((codes, self.id))
         new = np.ones(len(order), bool)
