@@ -1,30 +1,30 @@
-"""Connected components of small code graphs."""
+"""Connected components of a table of edges."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import use_checkpoints
 
-def connected_components(edges: DataFrame, max_rounds: int = 40) -> DataFrame:
+
+def connected_components(edges: DataFrame) -> DataFrame:
     """(a, b) to (node, component): the least node that each one reaches.
 
-    Least-label propagation with pointer jumping; each round is two joins on the node.
+    Rounds of hooking and pointer jumping: every node takes the least label among its own and its
+    neighbours', then the label of its label, until none changes. Aggregates combine before they
+    shuffle, so a node with most edges is no hot group. Labels are checkpointed, so a lost executor
+    costs one round. Edges with a null end are left out.
     """
-    sc = edges.sparkSession.sparkContext
-    if sc.getCheckpointDir() is None:
-        import tempfile
-
-        sc.setCheckpointDir(tempfile.mkdtemp(prefix="quarrymill-"))
-    both = edges.select(F.col("a").alias("node"), F.col("b").alias("to")).union(edges.select("b", "a")).distinct().checkpoint()
+    use_checkpoints(edges.sparkSession)
+    both = edges.select(F.col("a").alias("node"), F.col("b").alias("to")).union(edges.select("b", "a")).where("node is not null and to is not null").distinct().checkpoint()
     labels = both.groupBy("node").agg(F.least(F.min("to"), F.col("node")).alias("component")).checkpoint()
-    for _ in range(max_rounds):
-        near = both.join(labels.withColumnRenamed("node", "to"), "to").select("node", "component").unionByName(labels)
-        near = near.groupBy("node").agg(F.min("component").alias("component"))
+    while True:
+        told = both.where("node != to").join(labels.withColumnRenamed("node", "to"), "to").select("node", "component")
+        nearest = told.unionByName(labels).groupBy("node").agg(F.min("component").alias("component"))
         jump = labels.select(F.col("node").alias("component"), F.col("component").alias("further"))
-        new = near.join(jump, "component", "left").select("node", F.least("component", "further").alias("component"))
+        new = nearest.join(jump, "component", "left").select("node", F.least("component", "further").alias("component"))
         new = new.join(labels.withColumnRenamed("component", "old"), "node").withColumn("changed", F.col("component") != F.col("old")).drop("old").checkpoint()
         labels = new.drop("changed")
         if new.where("changed").isEmpty():
             return labels
-    raise RuntimeError("components did not settle")

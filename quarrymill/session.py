@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import tempfile
+
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -21,3 +23,23 @@ def local_session(cores: str = "*", shuffle_partitions: int = 8, **conf: str) ->
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def shared_base(spark: SparkSession) -> str:
+    """The folder that all executors share, for tables that cut a lineage.
+
+    It is the one of spark.checkpoint.dir, or the session's own. A local one is made only where driver
+    and executors are one process, as in tests.
+    """
+    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if base:
+        return base.rstrip("/")
+    if not spark.sparkContext.master.startswith("local"):
+        raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
+    return tempfile.mkdtemp(prefix="quarrymill-")
+
+
+def use_checkpoints(spark: SparkSession) -> None:
+    """Make checkpoint() usable, in the shared folder, where the session has set none."""
+    if spark.sparkContext.getCheckpointDir() is None:
+        spark.sparkContext.setCheckpointDir(shared_base(spark))
