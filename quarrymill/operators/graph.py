@@ -14,13 +14,13 @@ def connected_components(edges: DataFrame) -> DataFrame:
     Rounds of hooking and pointer jumping: every node takes the least label among its own and its
     neighbours', then the label of its label, until none changes. Aggregates combine before they
     shuffle, so a node with most edges is no hot group. Labels are checkpointed, so a lost executor
-    costs one round. Edges with a null end are left out.
+    costs one round. Edges with a null end, or to the same node, are left out.
     """
     use_checkpoints(edges.sparkSession)
-    both = edges.select(F.col("a").alias("node"), F.col("b").alias("to")).union(edges.select("b", "a")).where("node is not null and to is not null").distinct().checkpoint()
+    both = edges.select(F.col("a").alias("node"), F.col("b").alias("to")).union(edges.select("b", "a")).where("node != to").distinct().checkpoint()
     labels = both.groupBy("node").agg(F.least(F.min("to"), F.col("node")).alias("component")).checkpoint()
     while True:
-        told = both.where("node != to").join(labels.withColumnRenamed("node", "to"), "to").select("node", "component")
+        told = both.join(labels.withColumnRenamed("node", "to"), "to").select("node", "component")
         nearest = told.unionByName(labels).groupBy("node").agg(F.min("component").alias("component"))
         jump = labels.select(F.col("node").alias("component"), F.col("component").alias("further"))
         new = nearest.join(jump, "component", "left").select("node", F.least("component", "further").alias("component"))
