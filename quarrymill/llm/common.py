@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
-import math
+import uuid
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ..session import shared_base
+
 WORD = r"[^\x20\x09-\x0D]+"
 
 
@@ -14,25 +17,9 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def scratch(spark: SparkSession) -> None:
-    """Make checkpoint() usable: keep the cluster's folder, set a local one only where none is set."""
-    sc = spark.sparkContext
-    if sc.getCheckpointDir() is None:
-        sc.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or _local_folder())
-
-
 def shared_folder(spark: SparkSession) -> str:
     """A new folder below the one that all executors share."""
-    import uuid
-
-    base = spark.conf.get("spark.checkpoint.dir", None) or _local_folder()
-    return f"{base.rstrip('/')}/{uuid.uuid4().hex}"
-
-
-def _local_folder() -> str:
-    import tempfile
-
-    return tempfile.mkdtemp(prefix="quarrymill-")
+    return f"{shared_base(spark)}/{uuid.uuid4().hex}"
 
 
 def fresh(df: DataFrame, base: str) -> str:
@@ -58,25 +45,20 @@ def unit(*cols: Column) -> Column:
     return F.shiftrightunsigned(F.xxhash64(*cols), 11).cast("double") / F.lit(float(1 << 53))
 
 
-def first_rows(df: DataFrame, n: int, keys: list[tuple[str, str]]) -> DataFrame:
-    """The n first rows by (column, 'ascending' or 'descending'), which no two rows share.
+def first_rows(df: DataFrame, n: int, order: str, ties: Sequence[str] = ()) -> DataFrame:
+    """The n first rows by a column of 64-bit hashes, then by ties.
 
-    Partitions keep their own first n, then so do groups of them, about the root of their number, so
-    the last step sees n rows of each group and not of each partition.
+    Counts by the first 12 bits of the hashes tell the range that holds the n-th row; only the rows
+    up to its end are sorted, whatever number of partitions df has. df is read twice.
     """
-    import pyarrow as pa
-
-    def top(batches):
-        held = None
-        for b in batches:
-            t = pa.Table.from_batches([b]) if held is None else pa.concat_tables([held, pa.Table.from_batches([b])])
-            held = t.sort_by(keys).slice(0, n)
-        if held is not None:
-            yield from held.combine_chunks().to_batches()
-
-    groups = max(1, math.isqrt(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))))
-    few = df.mapInArrow(top, df.schema).repartition(groups).mapInArrow(top, df.schema)
-    return few.orderBy(*(F.asc(c) if how == "ascending" else F.desc(c) for c, how in keys)).limit(n)
+    top = F.shiftright(F.col(order), 52)
+    seen, last = 0, None
+    for last, count in sorted(tuple(r) for r in df.groupBy(top.alias("top")).count().collect()):  # 4,096 rows at most
+        seen += count
+        if seen >= n:
+            break
+    few = df.where(F.lit(False) if last is None else top <= last)
+    return few.orderBy(order, *ties).limit(n)
 
 
 def ranged_neighbours(df: DataFrame, key: str, carry: list[str], parts: int) -> DataFrame:

@@ -1,6 +1,7 @@
 """Order MinHash fingerprints (DataFrame functions only).
 
-A text's k-mers are runs of k words (long words count as several pieces). The j-th copy of a k-mer
+A text's k-mers are runs of k words; each character of scripts without spaces, and of runs too long
+for a word, counts as a word, so an edit there moves no border further on. The j-th copy of a k-mer
 in the text is an element of its own. One hash deals all elements over the buckets of a signature;
 each bucket keeps its `take` least elements, puts them back into text order and hashes that tuple.
 Texts share a bucket's value only where they share the least k-mers and their order, so the share
@@ -15,8 +16,9 @@ from pyspark.sql import functions as F
 from .common import ranged_neighbours
 
 BUCKETS, TAKE, K = 32, 2, 3
-PIECE = r"[^\x20\x09-\x0D]{1,24}"
-_BITS = 24  # for positions; the hash has the other 40
+WIDE = r"\u0E00-\u0EFF\u1000-\u109F\u1780-\u17FF\u2E80-\uA4CF\uAC00-\uD7FF\uF900-\uFAFF\uFE30-\uFE4F\uFF00-\uFFEF"  # written without spaces
+PIECE = rf"[^\x20\x09-\x0D{WIDE}]{{1,24}}+(?![^\x20\x09-\x0D{WIDE}])|[^\x20\x09-\x0D]"
+_BITS = 31  # for positions, as many as an array has; the hash has the other 33
 
 
 def _elements(text: Column, k: int) -> Column:
@@ -113,33 +115,37 @@ def compare_edits(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "t
     """Fingerprints of each text, of its edited text, and how near both and the next document are.
 
     The edited text ends with the start of the next document, in descending order of id, instead
-    of its own last third. Ids are unique and not null; other rows are left out of the ring and of
-    the result. A table of one document is its own next document. Texts are shuffled once, by id;
-    besides them only the starts that edits take from the next document move.
+    of its own last third. Rows that repeat an id are documents that follow each other, by a hash of
+    their texts; rows that repeat both stand at one place and each keep their row. Null ids come
+    last. A table of one document is its own next document. Texts are shuffled once; besides them
+    only the starts that edits take from the next document move.
     """
     spark = docs.sparkSession
     parts = parts or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    text = F.coalesce(F.col(text_col), F.lit(""))
-    own = docs.where(F.col(id_col).isNotNull()).select(F.col(id_col).alias("doc_id"), text.alias("text"))
-    ring = ranged_neighbours(own.select("doc_id", F.length("text").alias("n")), "doc_id", ["n"], parts).select("doc_id", "prev_key", F.floor(F.col("prev_n") / 3).cast("int").alias("take"))
+    own = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
+    key = F.struct("id", F.xxhash64("text").alias("h")).alias("key")
+    narrow = own.select(key, F.length("text").alias("n")).groupBy("key").agg(F.max("n").alias("n"))
+    ring = ranged_neighbours(narrow, "key", ["n"], parts).select("key", "prev_key", F.floor(F.col("prev_n") / 3).cast("int").alias("take"))
     # the start of each text goes to the document before it; texts stay where the first join put them
-    placed = own.join(ring, "doc_id")
-    starts = placed.select(F.col("prev_key").alias("doc_id"), F.expr("substring(text, 1, take)").alias("start"))
-    merged = placed.select(F.col("doc_id").alias("key"), "text", "prev_key").join(starts, F.col("key") == F.col("doc_id")).select("key", "text", "start", "prev_key")
+    placed = own.select(key, "text").join(ring, "key")
+    starts = placed.select(F.col("prev_key").alias("to"), F.expr("substring(text, 1, take)").alias("start")).groupBy("to").agg(F.max("start").alias("start"))
+    merged = placed.join(starts, F.col("key") == F.col("to")).select("key", "text", "start", "prev_key")
     n = F.length("text")
     edited = F.concat(F.expr("substring(text, 1, length(text) - cast(floor(length(text) / 3) as int))"), F.col("start"))
     marked = merged.select(
-        F.col("key").alias("doc_id"), "prev_key", n.cast("long").alias("n_chars"),
+        "key", "prev_key", n.cast("long").alias("n_chars"),
         F.sha2(F.encode(edited, "UTF-8"), 256).alias("edited_sha256"),
         F.expr("transform(array(text, concat(substring(text, 1, length(text) - cast(floor(length(text) / 3) as int)), start)), x -> x)").alias("texts"),
     )
-    signed = marked.select("doc_id", "prev_key", "n_chars", "edited_sha256", F.transform("texts", lambda t: signature(t)).alias("s"))
-    own_row = F.struct(F.col("doc_id").alias("key"), F.struct("n_chars", "edited_sha256", "s").alias("own"), F.lit(None).cast("array<int>").alias("next"))
+    signed = marked.select("key", "prev_key", "n_chars", "edited_sha256", F.transform("texts", lambda t: signature(t)).alias("s"))
+    own_row = F.struct("key", F.struct("n_chars", "edited_sha256", "s").alias("own"), F.lit(None).cast("array<int>").alias("next"))
     to_prev = F.struct(F.col("prev_key").alias("key"), F.lit(None).cast("struct<n_chars:bigint,edited_sha256:string,s:array<array<int>>>").alias("own"), F.col("s")[0].alias("next"))
-    met = signed.select(F.explode(F.array(own_row, to_prev)).alias("r")).select("r.*").groupBy("key").agg(F.max("own").alias("own"), F.max("next").alias("next"))
+    met = signed.select(F.explode(F.array(own_row, to_prev)).alias("r")).select("r.*")
+    met = met.groupBy("key").agg(F.max("own").alias("own"), F.max("next").alias("next"), F.count("own").alias("rows"))
+    met = met.select("key", "own", "next", F.explode(F.sequence(F.lit(1).cast("long"), F.col("rows"))))
     sig, edit = F.col("own.s")[0], F.col("own.s")[1]
     return met.select(
-        F.col("key").alias("doc_id"), F.col("own.n_chars").alias("n_chars"), F.col("own.edited_sha256").alias("edited_sha256"),
+        F.col("key.id").alias("doc_id"), F.col("own.n_chars").alias("n_chars"), F.col("own.edited_sha256").alias("edited_sha256"),
         as_hex(sig).alias("fingerprint"), as_hex(edit).alias("edited_fingerprint"),
         likeness(sig, edit).alias("near_edited"), likeness(sig, F.col("next")).alias("near_next"),
     )

@@ -5,7 +5,8 @@ log P(language | page) = log prior(host) + log P(text | language) + log P(declar
 Text likelihoods are naive Bayes over hashed words and character trigrams, counted over all labelled
 documents. A first decision from the text alone is then counted over all pages, by declared markup
 language, by address suffix and by host. Priors are smoothed down the hierarchy: a suffix towards all
-pages, a host towards its suffix; all counts are grouped aggregates.
+pages, a host towards its suffix; all counts are grouped aggregates. A page's own first decision is
+taken out of all counts that it meets, so its text is not evidence twice.
 """
 
 from __future__ import annotations
@@ -19,6 +20,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..session import use_checkpoints
 from .arrays import LOWER, SPACE, U64, mix, span_hash, text_blocks, words
 
 BUCKETS = 1 << 15
@@ -61,10 +63,11 @@ class TextModel:
         return np.stack([np.bincount(row, m[bucket], len(offsets) - 1) for m in self.logs], axis=1)
 
 
-def train_text(docs: DataFrame, *, text_col: str = "text", lang_col: str = "lang", max_languages: int = 200) -> TextModel:
+def train_text(docs: DataFrame, *, text_col: str = "text", lang_col: str = "lang", max_languages: int = 500) -> TextModel:
     """Counts over all documents with a language; what reaches the driver is languages x BUCKETS numbers.
 
-    Batches add up their own counts before the shuffle. The most frequent max_languages are kept.
+    Batches add up their own counts before the shuffle. More than max_languages languages are an
+    error: the model, which every task holds, would grow with them.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -80,10 +83,11 @@ def train_text(docs: DataFrame, *, text_col: str = "text", lang_col: str = "lang
             yield pa.RecordBatch.from_arrays([pa.array([own[k] for k in i], pa.string()), pa.array(j.astype(np.int32)), pa.array(held[i, j])], names=["lang", "bucket", "n"])
 
     rows = docs.where(F.col(lang_col).isNotNull()).select(F.col(text_col).cast("string"), F.col(lang_col).cast("string"))
-    langs = [r[0] for r in rows.groupBy(F.col(lang_col).alias("l")).count().orderBy(F.desc("count"), "l").limit(max_languages).collect()]
-    langs.sort()
+    langs = sorted(r[0] for r in rows.select(F.col(lang_col)).distinct().limit(max_languages + 1).collect())
+    if len(langs) > max_languages:
+        raise ValueError(f"more than {max_languages} languages")
     counts = np.zeros((len(langs), BUCKETS))
-    summed = rows.mapInArrow(run, "lang string, bucket int, n long").where(F.col("lang").isin(langs)).groupBy("lang", "bucket").agg(F.sum("n").alias("n"))
+    summed = rows.mapInArrow(run, "lang string, bucket int, n long").groupBy("lang", "bucket").agg(F.sum("n").alias("n"))
     for r in summed.groupBy("lang").agg(F.collect_list("bucket").alias("b"), F.collect_list("n").alias("n")).toLocalIterator():
         counts[langs.index(r["lang"])][np.array(r["b"])] = r["n"]
     return TextModel(langs, counts)
@@ -103,8 +107,8 @@ def identify_languages(pages: DataFrame, model: TextModel, *, id_col: str = "pag
 
     Pages without text or address, and null columns, lean on what evidence there is; without any, on
     the share of each language. Rows keep their number, repeated ids included. An empty model gives
-    null languages. Other columns are not read. Hosts meet pages in a shuffled join of narrow rows,
-    which adaptive execution may split where a host has most pages.
+    null languages. Other columns are not read. What is read of the pages is checkpointed; hosts
+    meet it in a join of narrow rows, which adaptive execution may split where a host has most pages.
     """
     langs = model.languages
     held = pages.sparkSession.sparkContext.broadcast(model)
@@ -123,31 +127,38 @@ def identify_languages(pages: DataFrame, model: TextModel, *, id_col: str = "pag
     kind = pages.schema[id_col].dataType.simpleString()
     host = host_of(F.col(url_col))
     rows = pages.select(F.col(id_col), host.alias("host"), F.substring_index(host, ".", -1).alias("suffix"), declared_language(F.col(html_col)).alias("declared"), F.col(html_col).cast("string"))
-    read = rows.mapInArrow(run, f"page_id {kind}, host string, suffix string, declared string, text_lang string, logs array<double>").persist()
-    told = read.where("text_lang is not null")
-
-    def shares(keys: list[str]) -> DataFrame:
-        """Pages of each language by key, as array<long> n in the model's order."""
-        return told.groupBy(*keys).agg(F.array(*(F.sum((F.col("text_lang") == x).cast("long")) for x in langs)).alias("n"))
-
-    def smoothed(n: Column, prior: Column) -> Column:
-        total = F.aggregate(n, F.lit(0).cast("long"), lambda a, x: a + x)
-        return F.zip_with(n, prior, lambda x, p: (x + p * kappa) / (total + kappa))
-
+    read = rows.mapInArrow(run, f"page_id {kind}, host string, suffix string, declared string, text_lang string, logs array<double>")
     if not langs:
         return read.select("page_id", "host", "suffix", "declared", "text_lang", F.lit(None).cast("string").alias("lang"), F.lit(None).cast("double").alias("confidence"))
-    flat = F.array(*[F.lit(1.0 / len(langs))] * len(langs))
-    whole = shares([]).select(smoothed(F.coalesce("n", F.array(*[F.lit(0).cast("long")] * len(langs))), flat).alias("p_all"))
-    suffixes = shares(["suffix"]).crossJoin(F.broadcast(whole)).select("suffix", smoothed(F.col("n"), F.col("p_all")).alias("p_suffix"))  # whole is one row
-    hosts = shares(["host", "suffix"]).join(suffixes, "suffix").select("host", smoothed(F.col("n"), F.col("p_suffix")).alias("p_host"))
-    by_markup = shares(["declared"]).crossJoin(F.broadcast(told.groupBy().agg(F.array(*(F.sum((F.col("text_lang") == x).cast("long")) for x in langs)).alias("of")))).select(
-        "declared", F.zip_with("n", "of", lambda x, t: (x + 0.5) / (t + 1.0)).alias("p_declared")
-    )
-    fused = read.join(hosts, "host", "left").join(suffixes, "suffix", "left").join(by_markup, "declared", "left").crossJoin(F.broadcast(whole))
-    prior = F.coalesce("p_host", "p_suffix", "p_all")
-    ones = F.array(*[F.lit(1.0)] * len(langs))
-    logs = F.zip_with(F.zip_with("logs", prior, lambda a, p: a + F.log(p)), F.coalesce("p_declared", ones), lambda a, p: a + F.log(p))
-    fused = fused.withColumn("l", logs).withColumn("top", F.array_max("l"))
-    best = F.element_at(F.array(*map(F.lit, langs)), F.array_position("l", F.col("top")).cast("int"))
+    use_checkpoints(pages.sparkSession)
+    read = read.checkpoint()
+    told, names = read.where("text_lang is not null"), F.array(*map(F.lit, langs))
+
+    def counts(name: str, *keys: str) -> DataFrame:
+        """Pages of each language by key, as array<long> in the model's order."""
+        by = told.groupBy(*keys, "text_lang").agg(F.count("*").alias("n"))
+        by = by.groupBy(*keys).agg(F.map_from_entries(F.collect_list(F.struct("text_lang", "n"))).alias("m"))
+        return by.select(*keys, F.transform(names, lambda x: F.coalesce(F.try_element_at("m", x), F.lit(0).cast("long"))).alias(name))
+
+    def others(n: str) -> Column:
+        """The counts without the page's own first decision."""
+        held = F.coalesce(n, F.array_repeat(F.lit(0).cast("long"), len(langs)))
+        return F.zip_with(held, names, lambda x, lang: x - F.coalesce(lang == F.col("text_lang"), F.lit(False)).cast("long")).alias(n)
+
+    def smoothed(n: str, prior: str, name: str) -> Column:
+        total = F.aggregate(n, F.lit(0).cast("long"), lambda a, x: a + x)
+        return F.zip_with(n, prior, lambda x, p: (x + p * kappa) / (total + kappa)).alias(name)
+
+    met = read.join(counts("by_host", "host"), "host", "left").join(counts("by_suffix", "suffix"), "suffix", "left").join(counts("by_declared", "declared"), "declared", "left")
+    met = met.crossJoin(F.broadcast(counts("of_all")))  # one row
+    met = met.select("page_id", "host", "suffix", "declared", "text_lang", "logs", *map(others, ("by_host", "by_suffix", "by_declared", "of_all")))
+    met = met.withColumn("flat", F.array_repeat(F.lit(1.0 / len(langs)), len(langs)))
+    for n, prior, name in (("of_all", "flat", "p_all"), ("by_suffix", "p_all", "p_suffix"), ("by_host", "p_suffix", "p_host")):
+        met = met.withColumn(name, smoothed(n, prior, name))
+    seen = F.exists("by_declared", lambda x: x > 0)
+    declared_logs = F.zip_with("by_declared", "of_all", lambda x, t: F.when(seen, F.log((x + 0.5) / (t + 1.0))).otherwise(0.0))
+    logs = F.zip_with(F.zip_with("logs", "p_host", lambda a, p: a + F.log(p)), declared_logs, lambda a, d: a + d)
+    fused = met.withColumn("l", logs).withColumn("top", F.array_max("l"))
+    best = F.element_at(names, F.array_position("l", F.col("top")).cast("int"))
     mass = F.aggregate("l", F.lit(0.0), lambda a, x: a + F.exp(x - F.col("top")))
     return fused.select("page_id", "host", "suffix", "declared", "text_lang", best.alias("lang"), (1 / mass).alias("confidence"))

@@ -16,7 +16,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import n_words, scratch, unit
+from ..session import use_checkpoints
+from .common import n_words, unit
 
 BLOCK = 256
 SEED = 20_240_601
@@ -54,10 +55,10 @@ def source_targets(sizes: DataFrame, weights: Sequence[float] = (1.0, 2.0, 3.0),
     return t.select("source", "source_size", F.least(F.col("cap"), F.coalesce(level * F.col("w"), F.col("cap"))).alias("target"))
 
 
-def _fold(items: Column, seed: int, level: int) -> Column:
+def _fold(items: Column, seed: int, level: int, kind: str) -> Column:
     """array<struct<id, cap, mass>> to struct(done array<struct<id, full>>, rest struct<id, cap, mass>)."""
-    done = "array<struct<id:bigint,full:boolean>>"
-    rest = "struct<id:bigint,cap:double,mass:double>"
+    done = f"array<struct<id:{kind},full:boolean>>"
+    rest = f"struct<id:{kind},cap:double,mass:double>"
 
     def step(acc: Column, x: Column) -> Column:
         a, cap_a, m_a = acc["rest"]["id"], acc["rest"]["cap"], acc["rest"]["mass"]
@@ -83,11 +84,12 @@ def _fold(items: Column, seed: int, level: int) -> Column:
 def pivotal_round(df: DataFrame, group: str, cap: str, mass: str, *, block: int = BLOCK, seed: int = SEED) -> DataFrame:
     """(id, group, cap, mass) to (id, full): full says that the mass became the cap, else it became 0.
 
-    0 < mass < cap is asked for. Blocks are dealt by a hash of the id, at most about `block` rows
+    Ids are unique and of any type that has an order; 0 < mass < cap is asked for. Blocks are dealt by a hash of the id, at most about `block` rows
     each, so a group that holds most rows is many blocks; level after level the residuals are
     folded in blocks that are `block` times fewer, and each level's tables are checkpointed.
     """
-    scratch(df.sparkSession)
+    use_checkpoints(df.sparkSession)
+    kind = df.schema["id"].dataType.simpleString()
     left = df.select("id", F.col(group).alias("g"), F.col(cap).cast("double").alias("cap"), F.col(mass).cast("double").alias("mass"))
     most = left.groupBy("g").count().agg(F.max("count")).first()[0] or 0
     blocks, level, out = -(-most // block), 0, []
@@ -95,7 +97,7 @@ def pivotal_round(df: DataFrame, group: str, cap: str, mass: str, *, block: int
         blocks = max(1, blocks)
         own = F.pmod(F.xxhash64(F.lit(seed), F.lit(level), "id"), F.lit(blocks)).cast("int")
         items = F.sort_array(F.collect_list(F.struct("id", "cap", "mass")))
-        folded = left.groupBy("g", own.alias("b")).agg(items.alias("x")).select("g", _fold(F.col("x"), seed, level).alias("f")).checkpoint()
+        folded = left.groupBy("g", own.alias("b")).agg(items.alias("x")).select("g", _fold(F.col("x"), seed, level, kind).alias("f")).checkpoint()
         out.append(folded.select(F.explode("f.done").alias("d")).select("d.id", "d.full"))
         left = folded.select("g", "f.rest.id", "f.rest.cap", "f.rest.mass")
         if blocks == 1:
@@ -112,13 +114,16 @@ def mix_sources(docs: DataFrame, *, weights: Sequence[float] = (1.0, 2.0, 3.0),
     """Number of copies of each document in the mix: (doc_id, size, source_size, target, copies, taken).
 
     size is the number of words; taken = copies * size. Documents without words have no mass: they
-    get the whole copies only. A null source is a source of its own, after all others. Rows that
-    share a doc_id each keep a row; they share the rounding of that id. An empty table gives an
-    empty table. Other columns are not read. The same table and seed give the same copies.
+    get the whole copies only. A null source is a source of its own, after all others. Ids may be of
+    any type, and null; rows that repeat an id are documents of their own. An empty table gives an
+    empty table. Other columns are not read. The same rows and seed give the same copies. Sources
+    are ranked in one task, a row a source.
     """
     sized = docs.select(F.col(id_col).alias("doc_id"), F.col(source_col).alias("source"), n_words(F.col(text_col)).alias("size"))
-    scratch(docs.sparkSession)
-    sized = sized.checkpoint()
+    use_checkpoints(docs.sparkSession)
+    # rows that agree in all of these are interchangeable, so their numbers may go either way
+    alike = Window.partitionBy("doc_id", "source", "size").orderBy(F.lit(0))
+    sized = sized.withColumn("row", F.struct("doc_id", "source", "size", F.row_number().over(alike).alias("n"))).checkpoint()
     sizes = sized.groupBy("source").agg(F.sum("size").alias("source_size"))
     targets = source_targets(sizes, weights, max_copies)
     asked = F.when(F.col("source_size") > 0, F.least(F.col("target") / F.col("source_size"), F.lit(float(max_copies)))).otherwise(0.0)
@@ -126,13 +131,13 @@ def mix_sources(docs: DataFrame, *, weights: Sequence[float] = (1.0, 2.0, 3.0),
     # one row a source: as many rows as the mix has sources, which Spark may broadcast or shuffle
     targets = targets.withColumnRenamed("source", "_source")
     rows = sized.join(targets, F.col("source").eqNullSafe(F.col("_source")), "left").select(
-        "doc_id", "source", "size", "source_size", "target", whole.alias("whole"), F.greatest(asked - whole, F.lit(0.0)).alias("part")
+        "row", "doc_id", "source", "size", "source_size", "target", whole.alias("whole"), F.greatest(asked - whole, F.lit(0.0)).alias("part")
+    )
+    parts = rows.where((F.col("size") > 0) & (F.col("part") > 1e-12)).select(
+        F.col("row").alias("id"), "source", F.col("size").cast("double").alias("cap"), (F.col("part") * F.col("size")).alias("mass")
     )
-    parts = rows.where((F.col("size") > 0) & (F.col("part") > 1e-12)).groupBy(F.col("doc_id").alias("id")).agg(
-        F.max(F.struct(F.col("size"), "source", "part")).alias("m")
-    ).select("id", "m.source", F.col("m.size").cast("double").alias("cap"), (F.col("m.part") * F.col("m.size")).alias("mass"))
     full = pivotal_round(parts, "source", "cap", "mass", block=block, seed=seed)
     copies = F.col("whole") + F.coalesce(F.col("full").cast("int"), F.lit(0))
-    return rows.join(full, F.col("doc_id") == F.col("id"), "left").select(
+    return rows.join(full, F.col("row") == F.col("id"), "left").select(
         "doc_id", "source", "size", "source_size", "target", copies.alias("copies"), (copies * F.col("size")).cast("long").alias("taken")
     )

@@ -2,16 +2,17 @@
 
 A document is the set of the hashes of its word shingles; its sketch is the k least of them. Texts
 with equal sets are one class from the start. Retained values that follow each other in a sketch
-make the keys of inverted lists; two sets of the asked similarity share such a key but for odds of
-about 1e-8 (for certain, if their union has up to 60 shingles). A list links its members with its
+make the keys of inverted lists, as many as the asked similarity needs for two such sets to share one
+but for odds of LOST, 1e-7 (for certain, if their union has up to 60 shingles). A list links its members with its
 least one; lists whose members are still in several components after that compare all members of
 different components. The sketch of the union (the k least values of both) estimates the similarity
-of a pair; what is clearly below the threshold goes, and the exact similarity of the full sets
-decides on the rest.
+of a pair; what is six standard errors below the threshold goes (odds of about 1e-8 for a pair at
+it), and the exact similarity of the full sets decides on the rest.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -19,15 +20,16 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..operators.graph import connected_components as components
+from ..session import use_checkpoints
 from .arrays import LOWER, mix, shingles, span_hash, text_blocks, words
-from .common import scratch
-from .components import components
 
-K, LISTS, WIDTH = 128, 20, 5
+K, WIDTH = 128, 5
+LOST = 1e-7  # odds that two sets of the asked similarity share no list
 GROUP = 1000  # documents that one copy of a leader's set is compared with
 PAIRS = 1 << 14  # pairs of a list that are compared at a time
 LIST_BLOCK = 2048  # members of a list that one task compares with as many others
-MARGIN = 4.0  # standard errors below the threshold at which an estimate rules a pair out
+MARGIN = 6.0  # standard errors below the threshold at which an estimate rules a pair out
 NONE = np.uint32(0xFFFFFFFF)
 
 
@@ -44,30 +46,40 @@ def sets_of(buf: np.ndarray, offsets: np.ndarray, width: int) -> tuple[np.ndarra
     return h, np.searchsorted(own, np.arange(len(offsets)))
 
 
-def _sketches(h: np.ndarray, at: np.ndarray) -> dict[str, np.ndarray]:
+def lists_for(least: float) -> int:
+    """Number of lists for which LOST holds at a similarity.
+
+    The least values of a union are shared with odds of `least` each; x**n is about the share of
+    runs of n of them without two shared neighbours.
+    """
+    x = (1 - least + math.sqrt((1 - least) ** 2 + 4 * least * (1 - least))) / 2
+    return min(K - 1, max(1, math.ceil(math.log(LOST) / math.log(x)))) if x > 0 else 1
+
+
+def _sketches(h: np.ndarray, at: np.ndarray, lists: int) -> dict[str, np.ndarray]:
     n = len(at) - 1
     sizes = np.diff(at)
     wide = at[:-1, None] + np.arange(K)
     has = np.arange(K) < sizes[:, None]
     own = np.where(has, h[np.where(has, wide, 0)] if len(h) else np.uint64(0), np.uint64(0))
     low = np.where(has, (own >> np.uint64(32)).astype(np.uint32), NONE)
-    pair = mix(own[:, :LISTS] + mix(own[:, 1 : LISTS + 1]))
+    pair = mix(own[:, :lists] + mix(own[:, 1 : lists + 1]))
     sums = np.zeros((2, len(h) + 1), np.uint64)
     for i, x in enumerate((mix(h), mix(h ^ np.uint64(0xA5A5A5A5A5A5A5A5)))):
         np.cumsum(x, out=sums[i, 1:])
     a, b = sums[:, at[1:]] - sums[:, at[:-1]]
-    return {"sizes": sizes, "low": low, "keys": pair, "n_keys": np.clip(sizes - 1, 0, LISTS), "a": a.view(np.int64), "b": b.view(np.int64), "n": n}
+    return {"sizes": sizes, "low": low, "keys": pair, "n_keys": np.clip(sizes - 1, 0, lists), "a": a.view(np.int64), "b": b.view(np.int64), "n": n}
 
 
-def _sketch_batch(batch: pa.RecordBatch, width: int) -> pa.RecordBatch:
-    parts = [_sketches(*sets_of(buf, offsets, width)) for *_, buf, offsets in text_blocks(batch.column(1))]
+def _sketch_batch(batch: pa.RecordBatch, width: int, lists: int) -> pa.RecordBatch:
+    parts = [_sketches(*sets_of(buf, offsets, width), lists) for *_, buf, offsets in text_blocks(batch.column(1))]
     cat = lambda c, e: np.concatenate([p[c] for p in parts]) if parts else e
     low = cat("low", np.zeros((0, K), np.uint32))
-    n_keys, keys = cat("n_keys", np.zeros(0, np.int64)), cat("keys", np.zeros((0, LISTS), np.uint64))
-    flat = keys[np.arange(LISTS) < n_keys[:, None]].view(np.int64)
+    n_keys, keys = cat("n_keys", np.zeros(0, np.int64)), cat("keys", np.zeros((0, lists), np.uint64))
+    flat = keys[np.arange(lists) < n_keys[:, None]].view(np.int64)
     sketch = pa.FixedSizeBinaryArray.from_buffers(pa.binary(4 * K), len(low), [None, pa.py_buffer(np.ascontiguousarray(low))]).cast(pa.binary())
-    lists = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(n_keys)]), pa.int32()), pa.array(flat, pa.int64()))
-    cols = [batch.column(0), pa.array(cat("sizes", n_keys), pa.int64()), pa.array(cat("a", n_keys), pa.int64()), pa.array(cat("b", n_keys), pa.int64()), sketch, lists]
+    held = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(n_keys)]), pa.int32()), pa.array(flat, pa.int64()))
+    cols = [batch.column(0), pa.array(cat("sizes", n_keys), pa.int64()), pa.array(cat("a", n_keys), pa.int64()), pa.array(cat("b", n_keys), pa.int64()), sketch, held]
     return pa.RecordBatch.from_arrays(cols, names=["doc_id", "n_shingles", "set_a", "set_b", "sketch", "keys"])
 
 
@@ -78,8 +90,8 @@ def _matrix(col: pa.Array) -> np.ndarray:
 def _padded(col: pa.Array) -> np.ndarray:
     """The lists of each row as a matrix, short ones filled up with 0."""
     n = col.value_lengths().to_numpy()
-    out = np.zeros((len(col), LISTS), np.int64)
-    out[np.arange(LISTS) < n[:, None]] = col.flatten().to_numpy()
+    out = np.zeros((len(col), max(1, n.max(initial=0))), np.int64)
+    out[np.arange(out.shape[1]) < n[:, None]] = col.flatten().to_numpy()
     return out
 
 
@@ -209,17 +221,18 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     shingles, A-Z lower-cased; fewer words are one shingle. component_id is the least doc_id that
     links reach, kept says that it is the row's own. Rows without words are linked with nothing. Ids
     are integers; rows without an id keep their place, with a null component, and are kept. Rows that
-    repeat an id are one node. Other columns are not read. An empty table gives an empty table.
+    repeat an id are one node, whose links are those of the least of their texts by code point. Other columns are not read. An empty table gives an empty table.
     """
     spark = docs.sparkSession
-    scratch(spark)
+    use_checkpoints(spark)
     least = share[0] / share[1]
+    n_lists = lists_for(least)
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     source = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
 
     def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            yield _sketch_batch(b, width)
+            yield _sketch_batch(b, width, n_lists)
 
     sketched = source.mapInArrow(sketch, "doc_id long, n_shingles long, set_a long, set_b long, sketch binary, keys array<long>").checkpoint()
     sets = ["n_shingles", "set_a", "set_b"]

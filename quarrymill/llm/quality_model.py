@@ -6,6 +6,7 @@ gives all pairwise interactions in time linear in the features of the text.
 
 from __future__ import annotations
 
+import pickle
 from collections.abc import Iterator, Sequence
 
 import numpy as np
@@ -129,41 +130,46 @@ def _meta(batch: pa.RecordBatch, first: int, count: int) -> np.ndarray:
 
 
 def train(docs: DataFrame, labels: DataFrame, *, text_col: str = "text", id_col: str = "doc_id", label_col: str = "quality", meta_cols: Sequence[str] = (), max_rows: int = 8192, epochs: int = 12) -> FactorisationMachine:
-    """Fit on at most max_rows of the labelled rows, taken by a hash of the id.
+    """Fit on at most max_rows labelled ids, taken by a hash of the id.
 
-    The bound makes the sample small enough for one task and the labels for a broadcast. Null
-    labels are left out; rows that repeat an id share its mean label. Without labels of both kinds
+    The bound makes the labels small enough for a broadcast and the sample for one task. Features are
+    made where the texts are read; only those move. Null labels are left out; labels that repeat an
+    id count as their mean; of documents that repeat an id one is taken. Without labels of both kinds
     the machine knows the share of label 1 only, or 0.5 without any label.
     """
     key, y = fresh(docs, "_id"), fresh(docs, "_y")
     known = labels.where(F.col(label_col).isNotNull()).groupBy(F.col(id_col).alias(key)).agg(F.avg(F.col(label_col).cast("double")).alias(y))
     order = fresh(docs, "_h")
-    known = first_rows(known.withColumn(order, F.xxhash64(key)), max_rows, [(order, "ascending"), (key, "ascending")]).drop(order)
+    known = first_rows(known.withColumn(order, F.xxhash64(key)), max_rows, order, [key]).drop(order)
     n_meta = len(meta_cols)
-    rows = docs.join(F.broadcast(known), F.col(id_col) == F.col(key)).select(F.col(text_col).cast("string"), y, *(F.col(c).cast("double") for c in meta_cols), F.xxhash64(key).alias("_o"))
+    rows = docs.join(F.broadcast(known), F.col(id_col) == F.col(key)).select(F.col(text_col).cast("string"), y, *(F.col(c).cast("double") for c in meta_cols), F.col(key).cast("string"))
 
-    def fit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        parts, labels, n = [], [], 0
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             meta = _meta(b, 2, n_meta)
-            labels.append(b.column(1).to_numpy() >= 0.5)
             for lo, hi, buf, offsets in text_blocks(b.column(0)):
                 row, bucket, value, dense = features(buf, offsets, meta[lo:hi])
-                parts.append((row + n, bucket, value, dense))
-                n += hi - lo
-        y = np.concatenate([np.zeros(0), *labels])
+                at = np.searchsorted(row, np.arange(hi - lo + 1)).tolist()
+                cut = lambda x: [x[i:j].tobytes() for i, j in zip(at[:-1], at[1:], strict=True)]  # noqa: E731, B023
+                cols = [b.column(2 + n_meta).slice(lo, hi - lo), b.column(1).slice(lo, hi - lo), *(pa.array(x, pa.binary()) for x in (cut(bucket.astype("<u2")), cut(value.astype("<f4")), [d.astype("<f8").tobytes() for d in dense]))]
+                yield pa.RecordBatch.from_arrays(cols, names=["id", "y", "bucket", "value", "dense"])
+
+    def fit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = pa.Table.from_batches(list(batches))
+        y = held.column("y").to_numpy() >= 0.5
+        parts = [held.column(c).to_pylist() for c in ("bucket", "value", "dense")]
         machine = FactorisationMachine(len(STATS) + n_meta)
         if 0 < y.sum() < len(y):
-            machine.fit(*(np.concatenate(p) for p in zip(*parts, strict=True)), y, epochs)
+            bucket, value, dense = (np.frombuffer(b"".join(p), t) for p, t in zip(parts, ("<u2", "<f4", "<f8"), strict=True))
+            row = np.repeat(np.arange(len(y)), [len(p) // 2 for p in parts[0]])
+            machine.fit(row, bucket.astype(np.int64), value.astype(np.float64), dense.reshape(len(y), -1), y, epochs)
         elif len(y):
             machine.w0 = 4.0 if y[0] else -4.0
-        import pickle
-
         yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(machine)], pa.binary())], names=["model"])
 
-    import pickle
-
-    ordered = rows.repartition(1).sortWithinPartitions("_o")  # max_rows rows: one task, in an order that reruns repeat
+    read_rows = rows.mapInArrow(read, "id string, y double, bucket binary, value binary, dense binary")
+    one = read_rows.groupBy("id").agg(F.min(F.struct("y", "bucket", "value", "dense")).alias("x")).select(F.xxhash64("id").alias("o"), "id", "x.*")
+    ordered = one.repartition(1).sortWithinPartitions("o", "id").drop("o")  # max_rows rows: one task, in an order that reruns repeat
     made = ordered.mapInArrow(fit, "model binary").collect()
     return pickle.loads(made[0][0]) if made else FactorisationMachine(len(STATS) + n_meta)
 

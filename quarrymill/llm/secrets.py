@@ -1,16 +1,22 @@
 """Secrets in texts: wide candidate search, then a random forest that removes false positives.
 
 Candidates are words that could hold a credential (digits or mixed case in a long run, a value after
-a credential's name), their parts between quotes, ';', ',' and '=', and every known format in them. The forest sees their length, character transitions, how much of them common
-words cover, the document's path and the neighbouring words. It is trained from labelled findings;
-where no table of them is given, findings whose format or context settles the question serve.
+a credential's name), their parts between quotes, ';', ',' and '=', every known format in them, and
+blocks of private keys. The forest sees their length, character transitions, how much of them common
+words cover, the document's path and the neighbouring words. It is trained from labelled findings.
+
+Where no table of them is given, findings that settle themselves serve: known formats and random
+values after a credential's name are secrets; addresses, numbers, placeholders, and values after the
+name of a digest or an id are none; the rest is left to the forest. How a finding came up is no
+feature, and findings are scored by a forest that was fitted on the documents of the other half.
 """
 
 from __future__ import annotations
 
 import math
+import pickle
 import re
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -38,40 +44,50 @@ _NAMED = re.compile(r"(?i)(?:" + "|".join(NAMES) + r")$")
 #: Public formats of credentials.
 FORMATS = re.compile(r"(?:AKIA|ASIA)[0-9A-Z]{12,16}|gh[pousr]_[0-9A-Za-z]{36}|xox[abpr]-[0-9A-Za-z-]{10,}|AIza[0-9A-Za-z_-]{35}|sk_live_[0-9A-Za-z]{16,}|eyJ[0-9A-Za-z_-]{10,}\.[0-9A-Za-z_-]{10,}\.[0-9A-Za-z_-]*")
 #: What a text holds, besides words that look random, if it has candidates: names and beginnings of formats.
-_HINTS = "(?i)" + "|".join((*NAMES, "AKIA", "ASIA", "gh[pousr]_", "xox[abpr]-", "AIza", "sk_live_", "eyJ"))
+_HINTS = "(?i)" + "|".join((*NAMES, "PRIVATE KEY-----", "AKIA", "ASIA", "gh[pousr]_", "xox[abpr]-", "AIza", "sk_live_", "eyJ"))
+#: A private key in armour, with or without its last line.
+BLOCK = re.compile(r"-----BEGIN (?:[A-Z0-9]+ )*PRIVATE KEY-----(?:[^-]{0,20000}-----END (?:[A-Z0-9]+ )*PRIVATE KEY-----|(?:\s+[A-Za-z0-9+/=]{16,})*)")
+#: Names before a value that is a digest, an id or a version.
+OTHER_NAMES = ("commit", "sha", "sha1", "sha256", "sha512", "md5", "checksum", "digest", "hash", "etag", "revision", "uuid", "guid", "id", "build", "version", "fingerprint", "isbn", "doi")
+_OTHER = re.compile(r"(?i)(?:^|[^a-z0-9])(?:" + "|".join(OTHER_NAMES) + r")$")
+_OWN_NAME = re.compile(r"([A-Za-z][\w.-]*)[:=]+\S")
+_UNSPOKEN = re.compile(r"(?i)[bcdfghjklmnpqrstvwxz]{6}")  # letters of no language
+_KEY = re.compile(r"([A-Za-z][\w.-]*)[\\\"'`]*\s*(?:[:=]+>?)\s*[\\\"'`]*$")
 #: Formats of what is no credential: addresses, numbers, dates, versions, placeholders.
 PLAIN = re.compile(r"[^@\s]+@[^@\s]+\.\w+|\(?\+?[\d().:/-]+\)?|https?://\S+|v?\d+(?:\.\d+)+\w*|[a-z]+\d{1,4}|x+|\*+|<[^>]*>|\$?\{[^}]*\}|[A-Za-z]+(?:[-'/][A-Za-z]+)*", re.IGNORECASE)
-FEATURES = ("length", "digits", "upper", "lower", "other", "kinds", "transitions", "distinct", "entropy", "hex", "rarity", "covered", "assigned", "named", "quoted", "path_depth", "path_test", "before_known", "after_known", "before_length")
+FEATURES = ("length", "digits", "upper", "lower", "other", "kinds", "transitions", "distinct", "entropy", "hex", "rarity", "covered", "named", "other_name", "quoted", "path_depth", "path_test", "before_known", "after_known", "before_length")
 
 
 def candidates(text: str) -> Iterator[tuple[int, str, str, str, str]]:
     """(start, value, word before, word after, kind) of each candidate; start counts characters.
 
-    Spans of one word may overlap: a format is searched for within longer values as well.
+    Spans of one word may overlap: a format is searched for within longer values as well. The word
+    before is the name that a value is given to, where it has one.
     """
     low = text.lower()
     names = any(x in low for x in NAMES)
     named = [m.span(1) for m in _ASSIGNED.finditer(text)] if names else []
     marks = [m.end() for m in _MARK.finditer(text)] if names else []
     at = mark = near = 0
+    before: tuple[str, str] = ("", "")
+    follow = re.finditer(r"[^\x20\x09-\x0D]+", text)
+    next(follow, None)
     for m in re.finditer(r"[^\x20\x09-\x0D]+", text):
-        first = at
+        first, after = at, next(follow, None)
         while at < len(named) and named[at][0] < m.end():
             at += 1
         word, near = m.group(), near - 1
         while mark < len(marks) and marks[mark] <= m.end():
             mark, near = mark + 1, 2
-        if not (_possible(word) or near >= 0 or at > first):
-            continue
-        spans = _spans(word, [(a - m.start(), b - m.start()) for a, b in named[first:at]])
-        if not spans:
-            continue
-        before = text[max(0, m.start() - 60) : m.start()].split()
-        after = text[m.end() : m.end() + 40].split()
-        name = before[:-1] if before and before[-1] in ("=", ":", ":=", "=>") else before
-        for (a, b), kind in sorted(spans.items()):
-            own = name if kind == "assigned" else before
-            yield m.start() + a, word[a:b], own[-1] if own else "", after[0] if after else "", kind
+        if _possible(word) or near >= 0 or at > first:
+            last = before[0] if before[1] in ("=", ":", ":=", "=>") else before[1]
+            for (a, b), kind in sorted(_spans(word, [(a - m.start(), b - m.start()) for a, b in named[first:at]]).items()):
+                key = _KEY.search(word, max(0, a - 100), a)
+                yield m.start() + a, word[a:b], key[1] if key else last, after.group() if after else "", kind
+        before = (before[1], word)
+    if "PRIVATE KEY-----" in text:
+        for m in BLOCK.finditer(text):
+            yield m.start(), m.group(), "", "", "block"
 
 
 def _spans(word: str, named: list[tuple[int, int]]) -> dict[tuple[int, int], str]:
@@ -114,18 +130,26 @@ def _possible(word: str) -> bool:
     return len(word) >= MIN_LENGTH and (any(c.isdigit() for c in word) or "=" in word or sum(a.islower() and b.isupper() for a, b in zip(word, word[1:], strict=False)) >= 2 or FORMATS.search(word) is not None)
 
 
-def settled(value: str, kind: str) -> int | None:
-    """1 for a known format or an assigned value that no plain format explains, 0 for a plain format.
-
-    A value of letters after a name may be either, so it settles nothing.
+def settled(value: str, kind: str, before: str = "") -> int | None:
+    """1 for a known format or a random value after a credential's name, 0 for a plain format or a
+    value after the name of a digest or an id (in front of it or in it); None where that leaves it open, as for letters that could
+    be read, or short values, after a name.
     """
-    if FORMATS.fullmatch(value):
+    if kind == "block" or FORMATS.fullmatch(value):
         return 1
     if kind == "assigned" and value.isalpha():
-        return None
-    if PLAIN.fullmatch(value):
+        return 1 if _UNSPOKEN.search(value) else None
+    own = _OWN_NAME.match(value)
+    if PLAIN.fullmatch(value) or _OTHER.search(own[1] if own else _bare(before)):
         return 0
-    return 1 if kind == "assigned" else None
+    if kind != "assigned":
+        return None
+    kinds = sum(any(f(c) for c in value) for f in (str.isdigit, str.isupper, str.islower))
+    return 1 if kinds > 1 and len(set(value)) >= 8 else None
+
+
+def _bare(word: str) -> str:
+    return word.rstrip(":=>\"'`\\")
 
 
 def pair_counts(counts: list[tuple[str, int]]) -> np.ndarray:
@@ -174,7 +198,7 @@ class Language:
                     i += size.get(i, 1)
         return n / max(1, len(v))
 
-    def features(self, value: str, before: str, after: str, kind: str, path: str) -> list[float]:
+    def features(self, value: str, before: str, after: str, path: str) -> list[float]:
         n = len(value)
         kinds = ["d" if c.isdigit() else "u" if c.isupper() else "l" if c.islower() else "o" for c in value]
         share = [kinds.count(k) / n for k in "dulo"]
@@ -182,8 +206,8 @@ class Language:
         clean = lambda w: w.lower().strip("\"'.,;:!?()")
         return [
             float(min(n, 200)), *share, float(len(set(kinds))), sum(a != b for a, b in zip(kinds, kinds[1:], strict=False)) / n, len(p) / n,
-            float(-(p * np.log2(p)).sum()), float(bool(re.fullmatch(r"[0-9a-fA-F]+", value))), self.rarity(value), self.covered(value), float(kind == "assigned"),
-            float(bool(_NAMED.search(before.rstrip(":=\"'")))), float(before[-1:] in "\"'=:" and before != ""), float(path.count("/")), float("test" in path.lower() or "example" in path.lower()),
+            float(-(p * np.log2(p)).sum()), float(bool(re.fullmatch(r"[0-9a-fA-F]+", value))), self.rarity(value), self.covered(value),
+            float(bool(_NAMED.search(_bare(before)))), float(bool(_OTHER.search(_bare(before)))), float(before[-1:] in "\"'=:" and before != ""), float(path.count("/")), float("test" in path.lower() or "example" in path.lower()),
             *map(float, self.known([clean(before), clean(after)])), float(min(len(before), 40)),
         ]
 
@@ -338,7 +362,7 @@ def labelled_findings(found: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            labels = [settled(v, k) for v, k in zip(b.column(3).to_pylist(), b.column(6).to_pylist(), strict=True)]
+            labels = [settled(v, k, w) for v, w, k in zip(*(b.column(i).to_pylist() for i in (3, 4, 6)), strict=True)]
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array(labels, pa.int32())], names=[*b.schema.names, "label"])
 
     names = ["doc_id", "path", "start", "value", "before", "after", "kind"]
@@ -346,47 +370,76 @@ def labelled_findings(found: DataFrame) -> DataFrame:
     return found.select(*names).mapInArrow(run, f"{fields}, label int").where("label is not null")
 
 
+def half_of(value) -> Column:
+    """0 or 1: the half of the documents that an id is in."""
+    return F.pmod(F.xxhash64(F.lit("half"), value), F.lit(2)).cast("int")
+
+
 def train_forest(findings: DataFrame, language: Language, *, max_findings: int = MAX_FINDINGS) -> Forest:
-    """From rows (path, value, before, after, kind, label), at most max_findings / 2 of each label, by hash."""
-    half = max_findings // 2
-    cols = ["path", "value", "before", "after", "kind", "label"]
-    rows = []
-    for label in (0, 1):
-        of_label = findings.where(F.col("label") == label).select(F.xxhash64(*cols[:5]).alias("h"), *cols).distinct()
-        rows += first_rows(of_label, half, [(c, "ascending") for c in ("h", *cols[:5])]).collect()
-    y = np.array([r["label"] for r in rows], float)
-    x = np.array([language.features(r["value"], r["before"] or "", r["after"] or "", r["kind"], r["path"] or "") for r in rows]).reshape(len(rows), len(FEATURES))
-    return Forest().fit(x, y) if len(rows) else Forest()
-
-
-def score_findings(found: DataFrame, forest: Forest, language: Language) -> DataFrame:
-    """found with the column score, the share of votes for a secret; 0 from a forest without trees."""
-    held = found.sparkSession.sparkContext.broadcast((forest, language))
+    """From rows (path, value, before, after, label), at most max_findings / 2 of each label, by hash.
+
+    That bound makes the sample small enough for one task, which makes the features and fits.
+    """
+    cols = ["path", "value", "before", "after"]
+    named = findings.select(*(F.coalesce(c, F.lit("")).alias(c) for c in cols), "label").distinct().withColumn("h", F.xxhash64(*cols))
+    few = [first_rows(named.where(F.col("label") == x), max_findings // 2, "h", cols) for x in (0, 1)]
+    held = findings.sparkSession.sparkContext.broadcast(language)
+
+    def fit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        t = pa.Table.from_batches(list(batches))
+        if t.num_rows:
+            path, value, before, after, y = (c.to_pylist() for c in t.columns)
+            x = np.array([held.value.features(*r) for r in zip(value, before, after, path, strict=True)])
+            yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(Forest().fit(x, np.array(y, float)))], pa.binary())], names=["forest"])
+
+    one = few[0].unionByName(few[1]).repartition(1).sortWithinPartitions("label", "h", *cols).select(*cols, "label")
+    made = one.mapInArrow(fit, "forest binary").collect()
+    return pickle.loads(made[0][0]) if made else Forest()
+
+
+def score_findings(found: DataFrame, forests: Sequence[Forest], language: Language) -> DataFrame:
+    """found with the column score, the share of votes for a secret; 0 from a forest without trees.
+
+    Of several forests a document's half_of says which one scores its findings.
+    """
+    held = found.sparkSession.sparkContext.broadcast((forests, language))
+    names = ["doc_id", "path", "start", "value", "before", "after", "kind"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            model, lang = held.value
-            cols = [b.column(i).to_pylist() for i in range(7)]
-            x = np.array([lang.features(v, w, a, k, p) for p, v, w, a, k in zip(cols[1], *cols[3:7], strict=True)]).reshape(b.num_rows, len(FEATURES))
-            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(model.score(x))], names=[*b.schema.names, "score"])
+            models, lang = held.value
+            path, value, before, after = (b.column(i).to_pylist() for i in (1, 3, 4, 5))
+            x = np.array([lang.features(*r) for r in zip(value, before, after, path, strict=True)]).reshape(b.num_rows, len(FEATURES))
+            turn = b.column(7).to_numpy() % len(models)
+            score = np.zeros(b.num_rows)
+            for k, model in enumerate(models):
+                score[turn == k] = model.score(x[turn == k])
+            yield pa.RecordBatch.from_arrays([*b.columns[:7], pa.array(score)], names=[*names, "score"])
 
-    names = ["doc_id", "path", "start", "value", "before", "after", "kind"]
     fields = ", ".join(f"{c} {found.schema[c].dataType.simpleString()}" for c in names)
-    return found.select(*names).mapInArrow(run, f"{fields}, score double")
+    return found.select(*names, half_of(F.col("doc_id")).alias("half")).mapInArrow(run, f"{fields}, score double")
 
 
 def scan_secrets(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", path_col: str | None = None, findings: DataFrame | None = None, threshold: float = THRESHOLD) -> DataFrame:
     """One row a finding: doc_id, path, start, value, before, after, kind, score, is_secret.
 
-    start counts characters from 0. findings: labelled rows (path, value, before, after, kind,
-    label) to train from; without them those that settle themselves. Null and empty texts have no
-    findings; rows that repeat an id give their own. Words are counted over all texts, without a
-    bound; the training sample is bounded by MAX_FINDINGS.
+    start counts characters from 0. findings: labelled rows (path, value, before, after, label) to
+    train from; without them those that settle themselves, each half of the documents scored by the
+    forest of the other. Null and empty texts have no findings; rows that repeat an id give their
+    own. Words are counted over all texts, without a bound; a training sample is bounded by
+    MAX_FINDINGS.
     """
     language = train_language(docs, text_col=text_col)
     found = find_candidates(docs, id_col=id_col, text_col=text_col, path_col=path_col).persist()
-    forest = train_forest(findings if findings is not None else labelled_findings(found), language)
-    return score_findings(found, forest, language).withColumn("is_secret", F.col("score") >= threshold)
+    if findings is not None:
+        forests = [train_forest(findings, language)]
+    else:
+        known = labelled_findings(found).withColumn("half", half_of(F.col("doc_id"))).persist()
+        forests = [train_forest(known.where(F.col("half") != k), language) for k in (0, 1)]
+        if not all(f.trees for f in forests):  # too few findings for two halves
+            forests = [train_forest(known, language)]
+        known.unpersist()
+    return score_findings(found, forests, language).withColumn("is_secret", F.col("score") >= threshold)
 
 
 def redact(docs: DataFrame, found: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", mark: str = "[secret]") -> DataFrame:

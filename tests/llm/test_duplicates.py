@@ -5,7 +5,7 @@ import pytest
 from corpus import frame, texts, words
 
 from quarrymill.llm import fingerprints, near_duplicates, suffix_dedup
-from quarrymill.llm.components import components
+from quarrymill.operators.graph import connected_components as components
 
 
 def shingle_set(t):

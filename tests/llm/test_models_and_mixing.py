@@ -62,7 +62,43 @@ def test_factorisation_machine_identity_and_learning(spark):
     assert len(out) == len(values) and all(0 <= s <= 1 for s in out.values())
     assert np.mean([(out[i] >= 0.5) == bool(i % 2) for i in range(150, 200)]) > 0.95
     none = quality_model.train(docs, labels.limit(0))
-    assert set(r.score for r in quality_model.score_quality(docs, none).collect()) <= {0.5} | {r.score for r in quality_model.score_quality(docs, none).collect()}
+    assert none.w0 == 0 and not none.w.any()
+    scores = [r.score for r in quality_model.score_quality(docs, none).collect()]
+    assert len(scores) == len(values) and all(abs(s - 0.5) < 0.05 for s in scores)
+
+
+def test_quality_query_holds_rows_out(spark, tmp_path):
+    import zlib
+
+    from quarrymill.llm.queries import op1_factorisation_machine
+
+    held = lambda i: zlib.crc32(str(i).encode()) % 5 == 0
+    values = [f"{'good clear text' if i % 2 else 'spam###$$ BUY NOW!!'} {i} " * 6 for i in range(300)] + [None, ""]
+    docs = frame(spark, [*values, values[7]], [*range(302), 7])  # a repeated row
+    docs.write.parquet(f"{tmp_path}/a/documents.parquet")
+    docs.write.parquet(f"{tmp_path}/b/documents.parquet")
+    label = lambda flip: [(i, (i % 2) ^ (flip and held(i))) for i in range(300) if i % 7]
+    scores = []
+    for name, flip in (("a", False), ("b", True)):
+        spark.createDataFrame(label(flip), "doc_id long, quality int").write.parquet(f"{tmp_path}/{name}/labels.parquet")
+        out = op1_factorisation_machine(spark, f"{tmp_path}/{name}").collect()
+        assert len(out) == 303 and all(r.held_out == held(r.doc_id) and r.predicted == (r.score >= 0.3) and 0 <= r.score <= 1 for r in out)
+        scores.append(sorted((r.doc_id, r.score) for r in out))
+        assert np.mean([(r.score >= 0.5) == bool(r.doc_id % 2) for r in out if r.held_out and r.doc_id < 300]) > 0.95
+    assert scores[0] == scores[1]  # labels of held-out rows teach nothing
+
+
+def test_first_rows_are_exact_whatever_the_partitions(spark):
+    from pyspark.sql import functions as F
+
+    from quarrymill.llm.common import first_rows
+
+    df = spark.range(5000).select(F.xxhash64((F.col("id") / 3).cast("long")).alias("h"), "id")
+    want = sorted((r.h, r.id) for r in df.collect())
+    for n in (0, 1, 700, 9000):
+        for parts in (1, 13):
+            assert [(r.h, r.id) for r in first_rows(df.repartition(parts), n, "h", ["id"]).collect()] == want[:n]
+    assert first_rows(df.limit(0), 5, "h").count() == 0
 
 
 def test_secrets_are_found_and_redacted(spark):
@@ -89,7 +125,7 @@ def test_labelled_findings_train_the_forest(spark):
     rows = [("p", f"{i:016x}deadbeef{i}", "key", "", "assigned", 1) for i in range(60)] + [("p", f"report-2024-{i}", "see", "", "word", 0) for i in range(60)]
     findings = spark.createDataFrame(rows, "path string, value string, before string, after string, kind string, label int")
     forest = secrets.train_forest(findings, language)
-    x = np.array([language.features(v, b, a, k, p) for p, v, b, a, k, _ in rows])
+    x = np.array([language.features(v, b, a, p) for p, v, b, a, _, _ in rows])
     assert ((forest.score(x) >= 0.5) == np.array([r[5] for r in rows])).mean() > 0.97
     assert secrets.Forest().score(x).tolist() == [0.0] * len(rows)
 
