@@ -78,3 +78,11 @@ def iso_instant(text: Column, with_time: bool = True) -> Column:
     """'YYYY-MM-DDTHH:mm:ss.SSSZ' (UTC) or 'YYYY-MM-DD' of a timestamp text; null where it is none."""
     at = F.try_to_timestamp(F.trim(text))
     return F.date_format(at, "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'" if with_time else "yyyy-MM-dd")
+
+
+def month_of(year: Column, name: Column) -> Column:
+    """'YYYY-MM' of a year and an English month name, in full or its first three letters; null where either cannot be read."""
+    names = {n.lower()[:k]: i for i, n in enumerate(MONTH_NAMES["en"], 1) for k in (3, len(n))}
+    number = F.try_element_at(F.create_map(*[F.lit(x) for kv in names.items() for x in kv]), F.lower(F.trim(name)))
+    y = year.try_cast("double").try_cast("int")
+    return F.concat(y.cast("string"), F.lit("-"), F.lpad(number.cast("string"), 2, "0"))

@@ -8,7 +8,11 @@ from pyspark.sql import functions as F
 #: Plural forms that the suffix rules would miss.
 IRREGULAR = {"batteries": "battery", "people": "person", "children": "child", "lenses": "lens"}
 #: Patterns that an excerpt must not show.
-EMAIL, PHONE = r"[\w.+-]+@[\w-]+\.[\w.-]+", r"\+?\d[\d ()-]{7,}\d"
+EMAIL, PHONE = r"[\w.+-]+@[\w-]+(\.[\w-]+)+", r"\+?\d[\d ()-]{7,}\d"
+#: What stands in their place.
+EMAIL_MASK, PHONE_MASK = "[email removed]", "[number removed]"
+#: What a shortened text does not end with before its dots.
+LOOSE_ENDS = " ,;:-"
 
 
 def single_spaced(t: Column) -> Column:
@@ -20,13 +24,19 @@ def shorten(t: Column, size: int) -> Column:
     cut = F.left(t, F.lit(size - 3))
     at_border = F.substring(t, size - 2, 1) == " "
     whole = F.when(at_border, cut).otherwise(F.regexp_replace(cut, r" [^ ]*$", ""))
-    return F.when(F.length(t) <= size, t).otherwise(F.concat(F.rtrim(whole), F.lit("...")))
+    return F.when(F.length(t) <= size, t).otherwise(F.concat(F.rtrim(whole, F.lit(LOOSE_ENDS)), F.lit("...")))
 
 
 def excerpt(t: Column, size: int) -> Column:
-    """Contact data masked, single-spaced, shortened."""
-    masked = F.regexp_replace(F.regexp_replace(t, EMAIL, "[email]"), PHONE, "[phone]")
-    return shorten(single_spaced(masked), size)
+    """Single-spaced, contact data masked, shortened."""
+    masked = F.regexp_replace(F.regexp_replace(single_spaced(t), EMAIL, EMAIL_MASK), PHONE, PHONE_MASK)
+    return shorten(masked, size)
+
+
+def trim_codes(detail: Column, width: int = 500) -> Column:
+    """A list of codes joined by '|', cut after its last whole code within `width` characters."""
+    cut = F.left(detail, F.lit(width))
+    return F.when(F.length(detail) <= width, detail).otherwise(F.regexp_replace(cut, r"\|[^|]*$", ""))
 
 
 def theme_stem(w: Column) -> Column:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -13,11 +15,12 @@ def monthly_series(df: DataFrame, key: str, when: str, value: str) -> DataFrame:
     return df.groupBy(F.col(key).alias("key"), month_start(F.col(when)).alias("month")).agg(F.sum(F.col(value).cast("double")).alias("units"))
 
 
-def dense_grid(series: DataFrame, *, before_first: str = "drop", empty: float | None = 0.0) -> DataFrame:
+def dense_grid(series: DataFrame, *, before_first: str = "drop", empty: float | None = 0.0, carry: Sequence[str] = ()) -> DataFrame:
     """(key, month, units, i, n): every month to the last month of the table.
 
     before_first: 'drop' starts a key at its first month, 'null' shows the months before it as null.
     empty: the value of a month without a row after the first (None keeps it null). i counts from 1.
+    carry: further columns of series, null in a month without a row.
     """
     bounds = series.agg(F.min("month").alias("lo"), F.max("month").alias("hi"))
     keys = series.groupBy("key").agg(F.min("month").alias("first"))
@@ -26,7 +29,7 @@ def dense_grid(series: DataFrame, *, before_first: str = "drop", empty: float |
     w = Window.partitionBy("key").orderBy("month")
     return months.join(series, ["key", "month"], "left").select(
         "key", "month", F.when(F.col("month") >= F.col("first"), units).alias("units"),
-        F.row_number().over(w).alias("i"), F.count("*").over(Window.partitionBy("key")).alias("n"),
+        *carry, F.row_number().over(w).alias("i"), F.count("*").over(Window.partitionBy("key")).alias("n"),
     )
 
 

@@ -52,10 +52,15 @@ def raw_habits(months: DataFrame) -> DataFrame:
 
 
 def learn_habits(months: DataFrame) -> DataFrame:
-    """(key, cover, lot, events, per_year, source): own habits, drawn to the market's median by few events."""
+    """(key, cover, lot, events, per_year, source, own_cover, default_cover, default_lot): own habits, drawn
+    to the market's median by few events; default_*: the market has no median of it, so a constant serves."""
     raw = raw_habits(months)
     usable = (F.col("events") >= 3) & F.col("lot").isNotNull() & (F.col("recent_sales") > 0)
-    market = raw.agg(F.coalesce(F.median("cover"), F.lit(DEFAULT_COVER)).alias("m_cover"), F.coalesce(F.median(F.when(usable, F.col("lot") / F.col("recent_sales"))), F.lit(DEFAULT_LOT_MONTHS)).alias("m_ratio"))
+    pooled = raw.agg(F.median("cover").alias("c"), F.median(F.when(usable, F.col("lot") / F.col("recent_sales"))).alias("r"))
+    market = pooled.select(
+        F.coalesce("c", F.lit(DEFAULT_COVER)).alias("m_cover"), F.coalesce("r", F.lit(DEFAULT_LOT_MONTHS)).alias("m_ratio"),
+        F.col("c").isNull().alias("default_cover"), F.col("r").isNull().alias("default_lot"),
+    )
     w = F.least(F.col("events") / FULL_TRUST, F.lit(1.0))
     pooled_lot = F.col("m_ratio") * F.coalesce("recent_sales", F.lit(0.0))
     joined = raw.crossJoin(F.broadcast(market))  # one row
@@ -63,6 +68,7 @@ def learn_habits(months: DataFrame) -> DataFrame:
         "key", F.when(F.col("cover").isNull(), F.col("m_cover")).otherwise(w * F.col("cover") + (1 - w) * F.col("m_cover")).alias("cover"),
         F.greatest(F.when(F.col("lot").isNull(), pooled_lot).otherwise(w * F.col("lot") + (1 - w) * pooled_lot), F.lit(0.0)).alias("lot"),
         "events", "per_year", F.when(F.col("events") == 0, "pooled").when(w >= 1, "own").otherwise("blended").alias("source"),
+        F.col("cover").isNotNull().alias("own_cover"), "default_cover", "default_lot",
     )
 
 
@@ -220,55 +226,3 @@ def blend_open_orders(forecast: DataFrame, months: DataFrame, fit: DataFrame) ->
     j = forecast.join(newest, "key", "left").crossJoin(F.broadcast(fit.select("a", "b")))  # one row
     first = (F.col("step") == 1) & F.col("open_po").isNotNull()
     return j.select("key", "step", F.when(first, F.col("a") * F.col("open_po") + F.col("b") * F.col("predicted")).otherwise(F.col("predicted")).alias("predicted"))
-
-
-def plan(months: DataFrame, weekly: DataFrame, train_end: str, horizon: int = 6, weight: float = 0.4, min_history: int = 12) -> DataFrame:
-    """(key, month, units, p80, p90, reason, detail, confidence): expected orders of each month and why.
-
-    months: a grid (key, month, sales, stock, received, open_po, i, n) up to train_end; weekly: the
-    market's forecast. Own demand is the seasonal forecast, or for series with fewer than min_history
-    months the mean of the last three. Each scenario is replayed from the last known stock; without a
-    reading in three months the orders follow the demand. Every key is one row until the months are
-    exploded at the end.
-    """
-    from .forecast import seasonal_forecast
-    from .grid import last_known
-
-    end = F.to_date(F.lit(train_end))
-    past = months.where(F.col("month") <= end)
-    sales = past.select("key", "month", F.col("sales").alias("units"))
-    back = F.row_number().over(Window.partitionBy("key").orderBy(F.col("month").desc()))
-    held = past.select("*", last_known(F.col("stock")).alias("known_stock"), back.alias("back"), F.count("*").over(Window.partitionBy("key")).alias("m"))
-    start = held.groupBy("key").agg(
-        F.max(F.when(F.col("back") == 1, F.col("known_stock"))).alias("stock0"), F.coalesce(F.max(F.when(F.col("back") == 1, F.col("open_po"))), F.lit(0.0)).alias("po0"),
-        F.avg(F.when(F.col("back") <= 3, F.col("sales"))).alias("recent"), F.max("m").alias("m"),
-    )
-    grown = seasonal_forecast(sales, train_end, horizon, min_history, 0.5).select("key", F.col("target_month").alias("month"), F.col("predicted").alias("own"))
-    young = start.where(F.col("m") < min_history).select("key", F.explode(F.sequence(F.add_months(end, 1), F.add_months(end, horizon), F.expr("interval 1 month"))).alias("month"), F.coalesce("recent", F.lit(0.0)).alias("own"))
-    market = weekly_to_monthly(weekly)
-    own = grown.unionByName(young)
-    covered = own.join(market.select("key", "month", F.lit(True).alias("in_market")), ["key", "month"], "left")
-    demand = scenarios(own, market, weight).join(covered.select("key", "month", F.coalesce("in_market", F.lit(False)).alias("in_market")), ["key", "month"])
-    rows = demand.groupBy("key").agg(F.array_sort(F.collect_list(F.struct("month", "mean", "p80", "p90", "in_market"))).alias("d"))
-    rows = rows.join(start, "key").join(learn_habits(past.select("key", "month", "sales", "stock", "received")), "key").crossJoin(F.broadcast(po_share(past)))  # one row
-
-    def case(name: str) -> Column:
-        values = F.transform("d", lambda x: x[name])
-        return replay(values, F.coalesce("stock0", F.lit(0.0)), F.col("po0"), F.col("cover"), F.col("lot"), F.col("po_share"))
-
-    made = rows.select("key", "d", "source", "m", F.col("stock0").isNull().alias("blind"), *(case(c).alias(f"r_{c}") for c in ("mean", "p80", "p90")))
-    flat = made.select("key", "source", "m", "blind", F.explode(F.arrays_zip("d", "r_mean", "r_p80", "r_p90")).alias("z"))
-    units = lambda c: F.bround(F.greatest(F.when(F.col("blind"), F.col(f"z.d.{c}")).otherwise(F.col(f"z.r_{c}.known") + F.col(f"z.r_{c}.new")), F.lit(0.0)), 2)
-    flat = flat.select("*", units("mean").alias("units"), units("p80").alias("p80"), units("p90").alias("p90"))
-    young_code, high = F.col("m") < min_history, F.greatest("p80", "p90")
-    reason = F.when(young_code, "YOUNG_PRODUCT_BACKUP").when(F.col("blind"), "SALES_ONLY_NO_STOCK").otherwise(month_reason(F.col("z.r_mean")))
-    more = F.array(
-        F.when(F.col("z.d.in_market") & F.lit(weight > 0), "DEMAND_AMAZON_BLEND").when(F.lit(weight > 0), "DEMAND_OWN_NO_AMAZON").otherwise("DEMAND_OWN_AMAZON_OFF"),
-        F.when(F.col("source") == "own", "HABIT_OWN").when(F.col("source") == "blended", "HABIT_BLENDED").otherwise("HABIT_POOLED"),
-        F.when((F.col("units") <= 0) & (high > 0), "HIGH_CASE_ORDER_ONLY"), F.when((F.col("z.r_mean.po_in") > 1e-9) & ~F.col("blind"), "OPEN_PO_DELIVERY"),
-    )
-    codes = F.filter(F.concat(F.array(reason), more), lambda c: c.isNotNull())
-    return flat.select(
-        "key", F.col("z.d.month").alias("month"), "units", F.greatest("p80", "units").alias("p80"), F.greatest("p90", "p80", "units").alias("p90"), reason.alias("reason"),
-        F.concat_ws("|", reason, F.nullif(in_order(F.array_remove(F.array_except(codes, F.array(reason)), "")), F.lit(""))).alias("detail"), confidence(codes).alias("confidence"),
-    )

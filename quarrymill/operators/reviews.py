@@ -113,10 +113,15 @@ def failure_reasons(rows: DataFrame, error: str) -> DataFrame:
 
 
 def in_scope(rows: DataFrame, scopes: DataFrame) -> DataFrame:
-    """rows by scope (name, source, kind), where a null source or kind takes any; scopes are a short list."""
-    s = scopes.select("name", F.col("source").alias("_source"), F.col("kind").alias("_kind"))
-    on = (F.col("_source").isNull() | (F.col("source") == F.col("_source"))) & (F.col("_kind").isNull() | (F.col("kind") == F.col("_kind")))
-    return rows.join(F.broadcast(s.limit(1000)), on).drop("_source", "_kind")
+    """rows by scope (name, source, kind), where a null source or kind takes any.
+
+    A row asks with each of the four keys that a scope may have, so the join is one on equality
+    whatever the number of scopes.
+    """
+    asked = F.array(*(F.struct(a.alias("_source"), b.alias("_kind")) for a in (F.col("source"), F.lit(None)) for b in (F.col("kind"), F.lit(None))))
+    keyed = rows.withColumn("_key", F.explode(F.array_distinct(asked))).withColumn("_ask", F.to_json("_key"))
+    s = scopes.select("name", F.to_json(F.struct(F.col("source").alias("_source"), F.col("kind").alias("_kind"))).alias("_ask"))
+    return keyed.join(s, "_ask").drop("_ask", "_key")
 
 
 def latest_generation(items: DataFrame, by: tuple[str, ...], generated: str, aliases: dict[str, str]) -> DataFrame:

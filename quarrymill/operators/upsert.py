@@ -81,3 +81,20 @@ def not_stored(new: DataFrame, stored: DataFrame, key: str, done: str) -> DataFr
 def already_delivered(first_month: str, stored: DataFrame, month: str) -> DataFrame:
     """One row (delivered): is the batch's first month not after the newest stored one?"""
     return stored.agg(F.coalesce(F.lit(first_month) <= F.max(month), F.lit(False)).alias("delivered"))
+
+
+def fill_column(stored: DataFrame, updates: DataFrame, key: str, columns: Sequence[str]) -> DataFrame:
+    """stored with `columns` taken from updates where these have a value; nothing else changes.
+
+    updates holds a key once; keys that are not stored are passed over.
+    """
+    new = updates.select(F.col(key).alias("_key"), *(F.col(c).alias(f"_{c}") for c in columns))
+    joined = stored.join(new, F.col(key) == F.col("_key"), "left")
+    return joined.select(*(F.coalesce(f"_{c}", c).alias(c) if c in columns else F.col(c) for c in stored.columns))
+
+
+def split_keys(rows: DataFrame, key: str, width: int = 10) -> tuple[DataFrame, DataFrame]:
+    """(rows whose trimmed key has `width` characters, the keys of the others)."""
+    trimmed = rows.withColumn(key, F.trim(F.col(key).cast("string")))
+    fits = F.coalesce(F.length(key) == width, F.lit(False))
+    return trimmed.where(fits), trimmed.where(~fits).select(key)

@@ -3,8 +3,8 @@
 
 def all_queries() -> tuple[dict, dict]:
     """(queries by name, SQL by name)."""
-    from . import demand, ingest, more, replenishment, review, scoping
+    from . import assembly, demand, ingest, more, replenishment, review, scoping
     from .registry import ORACLES, QUERIES
 
-    del demand, ingest, more, replenishment, review, scoping  # importing them registers their queries
+    del assembly, demand, ingest, more, replenishment, review, scoping  # importing them registers their queries
     return dict(QUERIES), dict(ORACLES)

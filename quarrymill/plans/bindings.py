@@ -41,12 +41,13 @@ def _index(month: Column) -> Column:
 
 def inventory(spark: SparkSession, d: str) -> DataFrame:
     """(key, month, sales, received, stock, open_po) on the grid; stock is null in one month of eleven."""
-    lines = table(spark, d, "lineitem").where("l_linestatus = 'F'")
-    received = monthly_series(lines, "l_partkey", "l_shipdate", "l_quantity").withColumnRenamed("units", "received")
+    line = table(spark, d, "lineitem").groupBy(F.col("l_partkey").alias("key"), month_start(F.col("l_shipdate")).alias("month"))
+    units = F.col("l_quantity").cast("double")
+    both = line.agg(F.sum(units).alias("units"), F.sum(F.when(F.col("l_linestatus") == "F", units)).alias("received"))
     i = _index(F.col("month"))
     stock = F.when((F.col("key") + i) % 11 != 0, ((F.col("key") * 7 + i * 13) % 50).cast("double"))
     po = ((F.col("key") * 3 + i * 5) % 40).cast("double")
-    return grid(spark, d).join(received, ["key", "month"], "left").select("key", "month", F.col("units").alias("sales"), "received", stock.alias("stock"), po.alias("open_po"), "i", "n")
+    return dense_grid(both, carry=("received",)).select("key", "month", F.col("units").alias("sales"), "received", stock.alias("stock"), po.alias("open_po"), "i", "n")
 
 
 INVENTORY = GRID + """, got AS (SELECT l_partkey AS key, CAST(date_trunc('month', l_shipdate) AS DATE) AS month,

@@ -152,20 +152,23 @@ def report_calendar(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
-_STORED = "st AS (SELECT DISTINCT 'M' || (l_suppkey % 3) AS market, CAST(l_shipdate AS DATE) + 6 - CAST(dayofweek(l_shipdate) AS INTEGER) AS w FROM lineitem WHERE l_orderkey % 40 = 0)"
+#: Every line; a market is a supplier and its line's return flag, so weeks without such lines are gaps.
+_STORED = "st AS (SELECT DISTINCT l_suppkey || l_returnflag AS market, CAST(l_shipdate AS DATE) + 6 - CAST(dayofweek(l_shipdate) AS INTEGER) AS w FROM lineitem)"
+
+
+def _stored_weeks(spark: SparkSession, d: str) -> DataFrame:
+    return table(spark, d, "lineitem").select(F.concat(F.col("l_suppkey").cast("string"), "l_returnflag").alias("market"), dates.week_end(F.col("l_shipdate")).alias("week_end"))
 
 
 @query(f"""WITH {_STORED}, a AS (SELECT *, CASE WHEN w - lag(w) OVER (PARTITION BY market ORDER BY w) = 7 THEN 0 ELSE 1 END AS nw FROM st), b AS (SELECT *, sum(nw) OVER (PARTITION BY market ORDER BY w) AS run FROM a), c AS (SELECT *, (row_number() OVER (PARTITION BY market, run ORDER BY w) - 1) // 7 AS part FROM b)
 SELECT market, strftime(min(w), '%Y-%m-%d') AS first_week, strftime(max(w), '%Y-%m-%d') AS last_week, count(*) AS weeks FROM c GROUP BY market, run, part""")
 def week_request_windows(spark: SparkSession, d: str) -> DataFrame:
-    st = table(spark, d, "lineitem").where("l_orderkey % 40 = 0").select(F.concat(F.lit("M"), (F.col("l_suppkey") % 3).cast("string")).alias("market"), dates.week_end(F.col("l_shipdate")).alias("week_end"))
-    return vendor.week_windows(st).select("market", DAY("first_week").alias("first_week"), DAY("last_week").alias("last_week"), "weeks")
+    return vendor.week_windows(_stored_weeks(spark, d)).select("market", DAY("first_week").alias("first_week"), DAY("last_week").alias("last_week"), "weeks")
 
 
 @query(f"""WITH {_STORED}, x AS (SELECT DATE '2001-06-30' - 7 * CAST(i AS INTEGER) AS w FROM (SELECT unnest(range(6)) AS i)) SELECT m.market, strftime(x.w, '%Y-%m-%d') AS week_end FROM (SELECT DISTINCT market FROM st) m, x WHERE NOT EXISTS (SELECT 1 FROM st WHERE st.market = m.market AND st.w = x.w)""")
 def weeks_still_to_fetch(spark: SparkSession, d: str) -> DataFrame:
-    st = table(spark, d, "lineitem").where("l_orderkey % 40 = 0").select(F.concat(F.lit("M"), (F.col("l_suppkey") % 3).cast("string")).alias("market"), dates.week_end(F.col("l_shipdate")).alias("week_end"))
-    return vendor.weeks_to_fetch(st, "2001-06-30").select("market", DAY("week_end").alias("week_end"))
+    return vendor.weeks_to_fetch(_stored_weeks(spark, d), "2001-06-30").select("market", DAY("week_end").alias("week_end"))
 
 
 @query("""WITH p AS (SELECT o_custkey AS k, month(o_orderdate) AS m, CAST(sum(o_totalprice) AS DOUBLE) AS v FROM orders WHERE year(o_orderdate) = 1998 GROUP BY 1, 2) SELECT k, m AS month_no, round(v, 2) AS qty FROM p""")

@@ -31,12 +31,12 @@ def channel_split(spark: SparkSession, d: str) -> DataFrame:
     return kept.select(F.lit("kept").alias("side")).unionByName(out.select(F.lit("excluded").alias("side"))).groupBy("side").agg(F.count("*").alias("rows"))
 
 
-@query("""WITH m AS (SELECT CAST(p_partkey % 50 AS VARCHAR) AS code, arg_min(CASE WHEN p_size % 5 = 0 THEN 'Unknown' ELSE p_brand END, p_partkey) AS family FROM part WHERE p_partkey % 50 < 40 GROUP BY 1)
-SELECT coalesce(family, 'Unknown') AS family, count(*) AS "rows", count(*) FILTER (code IS NULL) AS unmatched FROM lineitem LEFT JOIN m ON code = CAST(l_partkey % 50 AS VARCHAR) GROUP BY 1""")
+@query("""WITH m AS (SELECT CAST(p_partkey % 50 AS VARCHAR) AS code, arg_min(CASE WHEN p_size % 5 = 0 THEN 'Unknown' ELSE p_brand END, p_partkey) AS family FROM part GROUP BY 1)
+SELECT coalesce(family, 'Unknown') AS family, count(*) AS "rows", count(*) FILTER (code IS NULL) AS unmatched FROM lineitem LEFT JOIN m ON code = CAST(l_partkey % 60 AS VARCHAR) GROUP BY 1""")
 def family_tags(spark: SparkSession, d: str) -> DataFrame:
-    p = table(spark, d, "part").where("p_partkey % 50 < 40").select(F.concat(F.lit(" "), (F.col("p_partkey") % 50).cast("string"), F.lit(" ")).alias("c"), F.when(F.col("p_size") % 5 == 0, " ").otherwise(F.col("p_brand")).alias("f"), "p_partkey")
+    p = table(spark, d, "part").select(F.concat(F.lit(" "), (F.col("p_partkey") % 50).cast("string"), F.lit(" ")).alias("c"), F.when(F.col("p_size") % 5 == 0, " ").otherwise(F.col("p_brand")).alias("f"), "p_partkey")
     m = scope.family_map(p, "c", "f", "p_partkey")
-    rows = table(spark, d, "lineitem").select((F.col("l_partkey") % 50).cast("string").alias("code"))
+    rows = table(spark, d, "lineitem").select((F.col("l_partkey") % 60).cast("string").alias("code"))
     tagged = scope.tag_family(rows, m, "code")
     missing = scope.unmatched(rows, m, "code").withColumn("u", F.lit(1))
     return tagged.join(missing, "code", "left").groupBy("family").agg(F.count("*").alias("rows"), F.count("u").alias("unmatched"))

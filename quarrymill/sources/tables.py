@@ -5,7 +5,7 @@ from __future__ import annotations
 import json
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -93,3 +93,13 @@ def content_version(df: DataFrame) -> DataFrame:
     """One row (version): a digest of the table's rows that does not depend on their order."""
     row = F.xxhash64(*(F.coalesce(F.col(c).cast("string"), F.lit("\0")) for c in sorted(df.columns)))
     return df.agg(F.sha2(F.concat_ws(":", F.count("*").cast("string"), F.coalesce(F.sum(row.cast("decimal(38,0)")), F.lit(0)).cast("string")), 256).alias("version"))
+
+
+def reload_table(df: DataFrame, path: str) -> int:
+    """Replace a table and count its rows by a new read; another count than was written is an error."""
+    written = Observation()
+    df.observe(written, F.count(F.lit(1)).alias("rows")).write.mode("overwrite").parquet(path)
+    found = df.sparkSession.read.parquet(path).count()
+    if found != written.get["rows"]:
+        raise RuntimeError(f"{path}: {written.get['rows']} rows written, {found} found")
+    return found

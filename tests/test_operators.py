@@ -164,7 +164,9 @@ def test_small_functions(spark):
     assert one(spark, parsing.slug(F.lit(" Big -Red  box! "))) == "big_red_box"
     assert one(spark, text.theme_key(F.lit("Late Deliveries"))) == one(spark, text.theme_key(F.lit("delivery  late"))) == "delivery late"
     assert one(spark, text.shorten(F.lit("one two three four"), 12)) == "one two..."
-    assert one(spark, text.excerpt(F.lit("mail a.b@c.de or  +44 1234 567890 now"), 80)) == "mail [email] or [phone] now"
+    assert one(spark, text.shorten(F.lit("one two, - three four"), 14)) == "one two..."
+    assert one(spark, text.excerpt(F.lit("write to a.b@c.de. Thanks"), 80)) == "write to [email removed]. Thanks"
+    assert one(spark, text.excerpt(F.lit("mail a.b@c.de or  +44 1234 567890 now"), 80)) == "mail [email removed] or [number removed] now"
     assert one(spark, text.numbers_in(F.lit("3 of 40% since 2024-05 and 7.5"))) == ["3", "40%", "7.5"]
     assert one(spark, text.words_found(F.lit("Huge and HUGE win"), ["huge", "win"])) == ["huge", "win"]
 
