@@ -12,9 +12,8 @@ PRODUCT_CODE = r"(?i)^(DN|UN|EN|AN|DL|UL|EL|D|E|U|A)\d"
 def invoice_date(text: Column) -> Column:
     """The last ten characters as YYYY-MM-DD or DD/MM/YYYY."""
     tail = F.right(F.trim(text), F.lit(10))
-    iso = F.when(tail.rlike(r"^\d{4}-\d{2}-\d{2}$"), F.try_to_date(tail, "yyyy-MM-dd"))
-    day_first = F.when(tail.rlike(r"^\d{2}/\d{2}/\d{4}$"), F.try_to_date(tail, "dd/MM/yyyy"))
-    return F.coalesce(iso, day_first)
+    shape = F.translate(tail, "123456789", "000000000")
+    return F.when(shape == "0000-00-00", F.try_to_date(tail, "yyyy-MM-dd")).when(shape == "00/00/0000", F.try_to_date(tail, "dd/MM/yyyy"))
 
 
 def quantity(text: Column) -> Column:

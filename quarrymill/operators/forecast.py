@@ -22,17 +22,18 @@ def origins(n_months: int, min_train: int, horizon: int, stride: int) -> list[in
 def histories(grid: DataFrame, train_ends: Sequence[str] | None = None, min_history: int = 12) -> DataFrame:
     """(key, train_end, ys) for each origin, a month start as text; without origins, the last month.
 
-    Months after an origin are left out before anything is aggregated.
+    A key's months are collected once and cut at each origin.
     """
     at = grid.where("units is not null")
+    held = at.groupBy("key").agg(F.array_sort(F.collect_list(F.struct("month", "units"))).alias("x"))
     if train_ends is None:
         last = at.agg(F.max("month").alias("train_end"))
-        joined = at.crossJoin(F.broadcast(last))  # one row
+        joined = held.crossJoin(F.broadcast(last))  # one row
     else:
-        dates = at.sparkSession.createDataFrame([(x,) for x in train_ends], "d string").select(F.to_date("d").alias("train_end"))
-        joined = at.join(F.broadcast(dates), F.col("month") <= F.col("train_end"))  # the origins of a back-test
-    ys = F.transform(F.array_sort(F.collect_list(F.struct("month", "units"))), lambda x: x["units"])
-    return joined.groupBy("key", "train_end").agg(ys.alias("ys")).where(F.size("ys") >= min_history)
+        ends = F.array(*(F.lit(x).cast("date") for x in train_ends))
+        joined = held.select("key", "x", F.explode(ends).alias("train_end"))
+    ys = F.transform(F.filter("x", lambda x: x["month"] <= F.col("train_end")), lambda x: x["units"])
+    return joined.select("key", "train_end", ys.alias("ys")).where(F.size("ys") >= min_history)
 
 
 def _repeat(level: Column, horizon: int) -> Column:

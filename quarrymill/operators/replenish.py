@@ -8,6 +8,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import use_checkpoints
+from .ordered import exact_median
+
 EVENT_SHARE, FULL_TRUST = 0.3, 4
 COVER_MIN, COVER_MAX, DEFAULT_COVER, DEFAULT_LOT_MONTHS = 0.25, 4.0, 1.0, 3.0
 MIN_ORDER_SHARE = 0.25
@@ -54,9 +57,10 @@ def raw_habits(months: DataFrame) -> DataFrame:
 def learn_habits(months: DataFrame) -> DataFrame:
     """(key, cover, lot, events, per_year, source, own_cover, default_cover, default_lot): own habits, drawn
     to the market's median by few events; default_*: the market has no median of it, so a constant serves."""
-    raw = raw_habits(months)
+    use_checkpoints(months.sparkSession)
+    raw = raw_habits(months).checkpoint()  # a row an item, read three times
     usable = (F.col("events") >= 3) & F.col("lot").isNotNull() & (F.col("recent_sales") > 0)
-    pooled = raw.agg(F.median("cover").alias("c"), F.median(F.when(usable, F.col("lot") / F.col("recent_sales"))).alias("r"))
+    pooled = exact_median(raw, F.col("cover"), "c").crossJoin(exact_median(raw, F.when(usable, F.col("lot") / F.col("recent_sales")), "r"))  # each is one row
     market = pooled.select(
         F.coalesce("c", F.lit(DEFAULT_COVER)).alias("m_cover"), F.coalesce("r", F.lit(DEFAULT_LOT_MONTHS)).alias("m_ratio"),
         F.col("c").isNull().alias("default_cover"), F.col("r").isNull().alias("default_lot"),
@@ -152,7 +156,8 @@ def weekly_to_monthly(weekly: DataFrame, shrink: float = 1.0, min_coverage: floa
 def uplift_ratios(monthly: DataFrame) -> DataFrame:
     """One row (r80, r90): median percentile by mean, or the defaults."""
     ok = monthly.where("mean > 0")
-    return ok.agg(F.coalesce(F.median(F.col("p80") / F.col("mean")), F.lit(DEFAULT_RATIOS[0])).alias("r80"), F.coalesce(F.median(F.col("p90") / F.col("mean")), F.lit(DEFAULT_RATIOS[1])).alias("r90"))
+    found = exact_median(ok, F.col("p80") / F.col("mean"), "a").crossJoin(exact_median(ok, F.col("p90") / F.col("mean"), "b"))  # each is one row
+    return found.select(F.coalesce("a", F.lit(DEFAULT_RATIOS[0])).alias("r80"), F.coalesce("b", F.lit(DEFAULT_RATIOS[1])).alias("r90"))
 
 
 def scenarios(own: DataFrame, market: DataFrame, weight: float) -> DataFrame:

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .ordered import ordered_counts
+
 
 def wape(actual: Column, predicted: Column) -> Column:
     """Sum of absolute errors by sum of absolute actuals; null where the actuals are all 0."""
@@ -83,15 +85,14 @@ def tournament(scores: DataFrame, current: str, min_folds: int = 3, margin: floa
 def spearman(df: DataFrame, x: str, y: str) -> DataFrame:
     """Rank correlation of two columns, ties at their average rank; one row.
 
-    Ranks come from counts by value, so only distinct values are ordered in one task.
+    Ranks come from counts by value, which are ordered by ranges.
     """
+    known = df.where(F.col(x).isNotNull() & F.col(y).isNotNull())
 
     def ranks(c: str) -> DataFrame:
-        counts = df.where(F.col(x).isNotNull() & F.col(y).isNotNull()).groupBy(F.col(c).alias(f"_{c}")).count()
-        before = F.sum("count").over(Window.orderBy(f"_{c}").rowsBetween(Window.unboundedPreceding, -1))
-        return counts.select(f"_{c}", (F.coalesce(before, F.lit(0)) + (F.col("count") + 1) / 2).alias(f"rank_{c}"))
+        return ordered_counts(known, F.col(c)).select(F.col("value").alias(f"_{c}"), (F.col("before") + (F.col("n") + 1) / 2).alias(f"rank_{c}"))
 
-    both = df.join(ranks(x), F.col(x) == F.col(f"_{x}")).join(ranks(y), F.col(y) == F.col(f"_{y}"))
+    both = known.join(ranks(x), F.col(x) == F.col(f"_{x}")).join(ranks(y), F.col(y) == F.col(f"_{y}"))
     return both.agg(F.corr(f"rank_{x}", f"rank_{y}").alias("rho"), F.count("*").alias("n"))
 
 

@@ -40,19 +40,15 @@ def combine(df: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, DataFrame]:
 def version_changes(stored: DataFrame, loaded: DataFrame, version: Sequence[str]) -> DataFrame:
     """(version columns, status) of each loaded version: new, unchanged or replaced.
 
-    Contents are compared as sets of rows: counts and sums of row hashes by version, so neither side
-    is collected and a version of any size is a few numbers before the join.
+    Contents are compared as sets of rows, nulls being equal to nulls: every different row knows which
+    side has it, so neither side is collected, and a version is what its rows say together.
     """
-
-    def digest(df: DataFrame, tag: str) -> DataFrame:
-        rows = df.distinct()
-        h = F.xxhash64(*(F.coalesce(F.col(c).cast("string"), F.lit("\0")) for c in sorted(df.columns)))
-        g = F.md5(F.concat_ws("\1", *(F.coalesce(F.col(c).cast("string"), F.lit("\0")) for c in sorted(df.columns))))
-        return rows.groupBy(*version).agg(F.count("*").alias(f"n_{tag}"), F.sum(h.cast("decimal(38,0)")).alias(f"h_{tag}"), F.bit_xor(F.conv(F.substring(g, 1, 15), 16, 10).cast("long")).alias(f"g_{tag}"))
-
-    joined = digest(loaded, "new").join(digest(stored, "old"), list(version), "left")
-    same = (F.col("n_new") == F.col("n_old")) & (F.col("h_new") == F.col("h_old")) & (F.col("g_new") == F.col("g_old"))
-    return joined.select(*version, F.when(F.col("n_old").isNull(), "new").when(same, "unchanged").otherwise("replaced").alias("status"))
+    columns = loaded.columns
+    both = loaded.select(*columns, F.lit(True).alias("_new"), F.lit(False).alias("_old")).unionByName(stored.select(*columns, F.lit(False).alias("_new"), F.lit(True).alias("_old")))
+    rows = both.groupBy(*columns).agg(F.max("_new").alias("_new"), F.max("_old").alias("_old"))
+    found = rows.groupBy(*version).agg(F.max("_new").alias("loaded"), F.max("_old").alias("known"), F.min(F.col("_new") == F.col("_old")).alias("same"))
+    status = F.when(~F.col("known"), "new").when(F.col("same"), "unchanged").otherwise("replaced")
+    return found.where("loaded").select(*version, status.alias("status"))
 
 
 def replace_by_key(stored: DataFrame, loaded: DataFrame, keys: Sequence[str]) -> DataFrame:

@@ -4,11 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from quarrymill.operators.upsert import latest, merge
+from quarrymill.session import use_checkpoints
 
 
 def on_time_weeks(events: DataFrame, when: str, lookback_weeks: int = 6) -> DataFrame:
@@ -18,17 +20,28 @@ def on_time_weeks(events: DataFrame, when: str, lookback_weeks: int = 6) -> Data
     return g.select(F.to_date("window.start").alias("week_start"), "event_type", "rows", "value")
 
 
-def upsert_stream(source: DataFrame, path: str, keys: Sequence[str], order: str, checkpoint: str) -> StreamingQuery:
-    """Each micro-batch merged into the Parquet table at path, which moves between two folders.
+def upsert_stream(source: DataFrame, path: str, keys: Sequence[str], order: str, checkpoint: str, buckets: int = 64) -> StreamingQuery:
+    """Each micro-batch merged into the Parquet table at path, whose partitions are buckets of the keys.
 
-    A batch that is run again merges to the same table.
+    Only the buckets that a batch touches are read and written; their rows are checkpointed before they
+    replace those that they come from. A batch that is run again merges to the same table.
     """
 
     def write(batch: DataFrame, epoch: int) -> None:
         spark = batch.sparkSession
-        new = latest(batch, keys, [order])
-        before, after = f"{path}/v{epoch - 1}", f"{path}/v{epoch}"
-        merged = merge(spark.read.parquet(before), new, keys).drop("action") if epoch else new
-        merged.write.mode("overwrite").parquet(after)
+        use_checkpoints(spark)
+        bucket = F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int")
+        new = latest(batch, keys, [order]).withColumn("bucket", bucket).checkpoint()
+        touched = [r[0] for r in new.select("bucket").distinct().collect()]  # at most `buckets` numbers
+        if not touched:
+            return
+        try:
+            stored = spark.read.schema(new.schema).parquet(path).where(F.col("bucket").isin(touched))
+        except AnalysisException as e:  # the first batch makes the table
+            if e.getCondition() != "PATH_NOT_FOUND":
+                raise
+            stored = new.limit(0)
+        merged = merge(stored.select(*new.columns), new, keys).drop("action").checkpoint()
+        merged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("bucket").parquet(path)
 
     return source.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()

@@ -52,9 +52,25 @@ def test_upsert_stream_merges_batches(spark, tmp_path):
     spark.createDataFrame([(2, 21, 2), (3, 30, 2)], schema).coalesce(1).write.parquet(f"{inbox}/b")
     stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).option("recursiveFileLookup", True).parquet(str(inbox))
     ingest.upsert_stream(stream, f"{tmp_path}/t", ["k"], "seq", f"{tmp_path}/c").awaitTermination()
-    out = spark.read.parquet(f"{tmp_path}/t/v1")
+    out = spark.read.parquet(f"{tmp_path}/t")
     assert {(r.k, r.v) for r in out.collect()} >= {(1, 10), (3, 30)} and duplicate_keys(out, ["k"]).count() == 0
 
+    # a second stream updates, and leaves the files of other buckets alone
+    before = {p: p.stat().st_mtime_ns for p in (tmp_path / "t").rglob("*.parquet")}
+    spark.createDataFrame([(2, 22, 3), (2, 23, 4)], schema).coalesce(1).write.parquet(f"{tmp_path}/more")
+    more = spark.readStream.schema(schema).parquet(f"{tmp_path}/more")
+    ingest.upsert_stream(more, f"{tmp_path}/t", ["k"], "seq", f"{tmp_path}/c2").awaitTermination()
+    out = spark.read.parquet(f"{tmp_path}/t")
+    assert {(r.k, r.v) for r in out.collect()} == {(1, 10), (2, 23), (3, 30)}
+    kept = [p for p in before if p.exists()]
+    assert len(kept) == len(before) - 1 and all(p.stat().st_mtime_ns == before[p] for p in kept)
+
+
+def test_reload_counts_what_it_wrote(spark, tmp_path):
+    df = spark.range(7)
+    assert tables.reload_table(df, f"{tmp_path}/r") == 7 and tables.reload_table(df.where("id > 4"), f"{tmp_path}/r") == 2
+    assert [r.id for r in spark.read.parquet(f"{tmp_path}/r").orderBy("id").collect()] == [5, 6]
+
 
 def test_late_weeks_are_dropped(spark, tmp_path):
     spark.sql("select timestamp'2024-03-20 10:00:00' ts, 'a' event_type, 2.0D value").write.parquet(f"{tmp_path}/in")
