@@ -10,31 +10,31 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quarrymill.llm import mixing, near_duplicates, packing, quality_rules, secrets
-from quarrymill.llm.common import fresh, rows_with, shared_folder
+from quarrymill.llm.common import rows_with, shared_folder
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the repetition rules reject go; rows without an id or text go with them."""
-    return rows_with(docs, quality_rules.repetition_rules(docs).where("kept").select("doc_id"))
+    """Documents that the repetition rules reject go; rows without a text have no words and go with them."""
+    return quality_rules.kept_rows(docs)
 
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates (similarity 0.8 or more) stays, the least id."""
+    """One document of each group of near duplicates (similarity 0.8 or more) stays, the least id.
+
+    Rows that repeat an id are one document, which stays or goes; rows without an id stay.
+    """
     return rows_with(docs, near_duplicates.near_duplicates(docs).where("not kept").select("doc_id"), how="left_anti")
 
 
 def secret_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Secrets are replaced in the texts; n_chars follows the text."""
-    clean = secrets.redact(docs, secrets.scan_secrets(docs, path_col="source"))
+    clean = secrets.redact_documents(docs, path_col="source")
     return clean.withColumn("n_chars", F.length("text").cast("long")).select(*docs.columns)
 
 
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Every document is repeated as often as the mix takes it; those it doesn't take go."""
-    key, times = fresh(docs, "_id"), fresh(docs, "_copies")
-    copies = mixing.mix_sources(docs).where("copies > 0").groupBy("doc_id").agg(F.max("copies")).toDF(key, times)
-    joined = docs.join(copies, F.col("doc_id") == F.col(key))
-    return joined.withColumn(times, F.explode(F.sequence(F.lit(1), F.col(times)))).select(*docs.columns)
+    """Every row is repeated as often as the mix takes it; those it doesn't take go."""
+    return mixing.mixed_rows(docs)
 
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

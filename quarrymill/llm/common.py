@@ -8,7 +8,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..session import shared_base
+from ..session import shared_base, use_checkpoints
 
 WORD = r"[^\x20\x09-\x0D]+"
 
@@ -66,8 +66,9 @@ def ranged_neighbours(df: DataFrame, key: str, carry: list[str], parts: int) ->
     the key after it (next_key); the order is a ring. Rows are sorted by range, so no task sees
     more than its range; only one row a range meets in the small table of the borders.
     """
+    use_checkpoints(df.sparkSession)
     cols = [key, *carry]
-    ranged = df.select(*cols).repartitionByRange(parts, F.col(key).desc()).withColumn("_p", F.spark_partition_id())
+    ranged = df.select(*cols).repartitionByRange(parts, F.col(key).desc()).withColumn("_p", F.spark_partition_id()).checkpoint()
     w = Window.partitionBy("_p").orderBy(F.col(key).desc())
     inner = ranged.select("*", F.lag(F.struct(*cols)).over(w).alias("_prev"), F.lead(key).over(w).alias("_next"))
     edge = ranged.groupBy("_p").agg(F.max_by(F.struct(*cols), key).alias("_top"), F.min_by(F.struct(*cols), key).alias("_end"))

@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import use_checkpoints
-from .common import n_words, unit
+from .common import fresh, n_words, unit
 
 BLOCK = 256
 SEED = 20_240_601
@@ -110,6 +110,27 @@ def pivotal_round(df: DataFrame, group: str, cap: str, mass: str, *, block: int
     return result
 
 
+def _numbered(key: Column) -> Column:
+    """key and a number from 1, which rows of equal keys share out; they are interchangeable."""
+    return F.struct(key.alias("key"), F.row_number().over(Window.partitionBy(key).orderBy(F.lit(0))).alias("n"))
+
+
+def mixed_rows(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", **options) -> DataFrame:
+    """Every row of docs as often as mix_sources (options: its own) takes it, with all its columns.
+
+    Rows meet their numbers of copies by id, source and size, so repeated and null ids keep their
+    own; texts are shuffled once.
+    """
+    key, number, times = (fresh(docs, c) for c in ("_key", "_n", "_times"))
+    mix = mix_sources(docs, id_col=id_col, text_col=text_col, source_col=source_col, **options)
+    taken = mix.select(_numbered(F.struct("doc_id", "source", "size")).alias("r"), "copies").select(F.col("r.key").alias("_mix_key"), F.col("r.n").alias("_mix_n"), F.col("copies").alias("_mix_copies"))
+    own = F.struct(F.col(id_col).alias("doc_id"), F.col(source_col).alias("source"), n_words(F.col(text_col)).alias("size"))
+    rows = docs.withColumn(key, own).withColumn(number, F.row_number().over(Window.partitionBy(key).orderBy(F.lit(0))))
+    # the numbers are compared as a difference, so rows stay where the window put them
+    joined = rows.join(taken, (F.col(key) == F.col("_mix_key")) & (F.col(number) - F.col("_mix_n") == 0))
+    return joined.where("_mix_copies > 0").withColumn(times, F.explode(F.sequence(F.lit(1), F.col("_mix_copies")))).select(*docs.columns)
+
+
 def mix_sources(docs: DataFrame, *, weights: Sequence[float] = (1.0, 2.0, 3.0), max_copies: float = 3.0, block: int = BLOCK, seed: int = SEED, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
     """Number of copies of each document in the mix: (doc_id, size, source_size, target, copies, taken).
 
@@ -121,9 +142,7 @@ def mix_sources(docs: DataFrame, *, weights: Sequence[float] = (1.0, 2.0, 3.0),
     """
     sized = docs.select(F.col(id_col).alias("doc_id"), F.col(source_col).alias("source"), n_words(F.col(text_col)).alias("size"))
     use_checkpoints(docs.sparkSession)
-    # rows that agree in all of these are interchangeable, so their numbers may go either way
-    alike = Window.partitionBy("doc_id", "source", "size").orderBy(F.lit(0))
-    sized = sized.withColumn("row", F.struct("doc_id", "source", "size", F.row_number().over(alike).alias("n"))).checkpoint()
+    sized = sized.withColumn("row", _numbered(F.struct("doc_id", "source", "size"))).checkpoint()
     sizes = sized.groupBy("source").agg(F.sum("size").alias("source_size"))
     targets = source_targets(sizes, weights, max_copies)
     asked = F.when(F.col("source_size") > 0, F.least(F.col("target") / F.col("source_size"), F.lit(float(max_copies)))).otherwise(0.0)

@@ -106,9 +106,25 @@ def measure(buf: np.ndarray, offsets: np.ndarray, least: int) -> dict[str, np.nd
     return out
 
 
-def repetition_rules(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", min_repeat: int = MIN_REPEAT, max_covered: float = MAX_COVERED, max_longest: float = MAX_LONGEST, min_words: int = 50) -> DataFrame:
+class Rules:
+    """The limits that a document must keep to."""
+
+    def __init__(self, min_repeat: int = MIN_REPEAT, max_covered: float = MAX_COVERED, max_longest: float = MAX_LONGEST, min_words: int = 50):
+        self.min_repeat, self.max_covered, self.max_longest, self.min_words = min_repeat, max_covered, max_longest, min_words
+
+    def apply(self, texts: pa.Array) -> dict[str, np.ndarray]:
+        """COLUMNS, base_failed and kept of each text."""
+        parts = [measure(buf, offsets, self.min_repeat) for *_, buf, offsets in text_blocks(texts)]
+        out = {c: np.concatenate([np.zeros(0, np.int64), *(p[c] for p in parts)]) for c in COLUMNS}
+        n = out["n_words"]
+        out["base_failed"] = (n < self.min_words) | (100 * out["n_repeat_words"] > 50 * n)
+        out["kept"] = ~out["base_failed"] & (out["n_covered"] <= self.max_covered * n) & (out["longest_repeat"] <= self.max_longest * n)
+        return out
+
+
+def repetition_rules(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", **limits) -> DataFrame:
     """(doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, n_covered,
-    longest_repeat, n_maximal, base_failed, kept) of each row.
+    longest_repeat, n_maximal, base_failed, kept) of each row; limits: those of Rules.
 
     n_covered: words in repeats of at least min_repeat words; longest_repeat: words of the longest.
     kept: base_failed is false, at most the share max_covered of the words is covered, and the
@@ -116,17 +132,24 @@ def repetition_rules(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     Rows keep their number, repeated ids included; other columns are not read. One pass without a
     shuffle; a task holds one Arrow batch and works through blocks of it.
     """
+    rules = Rules(**limits)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            parts = [measure(buf, offsets, min_repeat) for *_, buf, offsets in text_blocks(b.column(1))]
-            cols = [pa.array(np.concatenate([p[c] for p in parts]) if parts else np.zeros(0, np.int64), pa.int64()) for c in COLUMNS]
-            yield pa.RecordBatch.from_arrays([b.column(0), *cols], names=["doc_id", *COLUMNS])
+            found = rules.apply(b.column(1))
+            yield pa.RecordBatch.from_arrays([b.column(0), *(pa.array(x) for x in found.values())], names=["doc_id", *found])
 
     kind = docs.schema[id_col].dataType.simpleString()
     rows = docs.select(F.col(id_col), F.col(text_col).cast("string"))
-    out = rows.mapInArrow(run, f"doc_id {kind}, " + ", ".join(f"{c} long" for c in COLUMNS))
-    n = F.col("n_words")
-    failed = (n < min_words) | (100 * F.col("n_repeat_words") > 50 * n)
-    fine = (F.col("n_covered") <= max_covered * n) & (F.col("longest_repeat") <= max_longest * n)
-    return out.withColumn("base_failed", failed).withColumn("kept", ~failed & fine)
+    return rows.mapInArrow(run, f"doc_id {kind}, " + ", ".join(f"{c} long" for c in COLUMNS) + ", base_failed boolean, kept boolean")
+
+
+def kept_rows(docs: DataFrame, *, text_col: str = "text", **limits) -> DataFrame:
+    """The rows of docs that repetition_rules keeps, with all their columns, whatever their ids; no shuffle."""
+    rules, at = Rules(**limits), docs.columns.index(text_col)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            yield b.filter(pa.array(rules.apply(b.column(at))["kept"]))
+
+    return docs.mapInArrow(run, docs.schema)

@@ -420,31 +420,86 @@ def score_findings(found: DataFrame, forests: Sequence[Forest], language: Langua
     return found.select(*names, half_of(F.col("doc_id")).alias("half")).mapInArrow(run, f"{fields}, score double")
 
 
+def train_scanner(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", path_col: str | None = None, findings: DataFrame | None = None) -> tuple[Sequence[Forest], Language]:
+    """Forests and the language that they look at, from findings or else from those of docs that settle themselves.
+
+    Words are counted over all texts, without a bound; a training sample is bounded by MAX_FINDINGS.
+    """
+    language = train_language(docs, text_col=text_col)
+    if findings is not None:
+        return [train_forest(findings, language)], language
+    found = find_candidates(docs, id_col=id_col, text_col=text_col, path_col=path_col)
+    known = labelled_findings(found).withColumn("half", half_of(F.col("doc_id"))).persist()
+    forests = [train_forest(known.where(F.col("half") != k), language) for k in (0, 1)]
+    if not all(f.trees for f in forests):  # too few findings for two halves
+        forests = [train_forest(known, language)]
+    known.unpersist()
+    return forests, language
+
+
 def scan_secrets(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", path_col: str | None = None, findings: DataFrame | None = None, threshold: float = THRESHOLD) -> DataFrame:
     """One row a finding: doc_id, path, start, value, before, after, kind, score, is_secret.
 
     start counts characters from 0. findings: labelled rows (path, value, before, after, label) to
     train from; without them those that settle themselves, each half of the documents scored by the
-    forest of the other. Null and empty texts have no findings; rows that repeat an id give their
-    own. Words are counted over all texts, without a bound; a training sample is bounded by
-    MAX_FINDINGS.
+    forest of the other. Null and empty texts have no findings; rows that repeat an id, or have none,
+    give their own.
     """
-    language = train_language(docs, text_col=text_col)
-    found = find_candidates(docs, id_col=id_col, text_col=text_col, path_col=path_col).persist()
-    if findings is not None:
-        forests = [train_forest(findings, language)]
-    else:
-        known = labelled_findings(found).withColumn("half", half_of(F.col("doc_id"))).persist()
-        forests = [train_forest(known.where(F.col("half") != k), language) for k in (0, 1)]
-        if not all(f.trees for f in forests):  # too few findings for two halves
-            forests = [train_forest(known, language)]
-        known.unpersist()
+    forests, language = train_scanner(docs, id_col=id_col, text_col=text_col, path_col=path_col, findings=findings)
+    found = find_candidates(docs, id_col=id_col, text_col=text_col, path_col=path_col)
     return score_findings(found, forests, language).withColumn("is_secret", F.col("score") >= threshold)
 
 
+def redact_documents(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", path_col: str | None = None, findings: DataFrame | None = None, threshold: float = THRESHOLD, mark: str = "[secret]") -> DataFrame:
+    """docs with every secret that scan_secrets finds replaced by mark; all rows, columns and ids stay.
+
+    A row is searched, scored and cleaned where it is read, so repeated and null ids do no harm and
+    nothing is shuffled. Spans that overlap are one.
+    """
+    scanner = docs.sparkSession.sparkContext.broadcast(train_scanner(docs, id_col=id_col, text_col=text_col, path_col=path_col, findings=findings))
+    half, path = fresh(docs, "_half"), fresh(docs, "_path")
+    n, at = len(docs.columns), docs.columns.index(text_col)
+
+    def clean(text: str, path: str, turn: int) -> str:
+        forests, language = scanner.value
+        found = list(candidates(text))
+        if not found:
+            return text
+        x = np.array([language.features(value, before, after, path) for _, value, before, after, _ in found])
+        secret = forests[turn % len(forests)].score(x) >= threshold
+        parts, end = [], 0
+        for a, b in sorted((c[0], c[0] + len(c[1])) for c, ok in zip(found, secret.tolist(), strict=True) if ok):
+            if a >= end:
+                parts += [text[end:a], mark]
+            end = max(end, b)
+        return "".join([*parts, text[end:]])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            changed: dict[int, str] = {}
+            paths, turns = b.column(n), b.column(n + 1)
+            for lo, _, buf, offsets in text_blocks(b.column(at)):
+                for i in _rows_with_candidates(buf, offsets).tolist():
+                    text = buf[offsets[i] : offsets[i + 1]].tobytes().decode()
+                    new = clean(text, paths[lo + i].as_py() or "", turns[lo + i].as_py())
+                    if new != text:
+                        changed[lo + i] = new
+            cols = b.columns[:n]
+            if changed:
+                mask = np.zeros(b.num_rows, bool)
+                mask[list(changed)] = True
+                new = pa.array([changed[i] for i in sorted(changed)], cols[at].type)
+                cols[at] = pc.replace_with_mask(cols[at], pa.array(mask), new)
+            yield pa.RecordBatch.from_arrays(cols, names=b.schema.names[:n])
+
+    given = (F.col(path_col).cast("string") if path_col else F.lit("")).alias(path)
+    return docs.select(*docs.columns, given, half_of(F.col(id_col)).alias(half)).mapInArrow(run, docs.schema)
+
+
 def redact(docs: DataFrame, found: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", mark: str = "[secret]") -> DataFrame:
     """docs with every secret of found replaced by mark in its text; all rows and columns stay.
 
+    found may come from anywhere; its spans belong to ids, so ids are unique here (see redact_documents).
     Spans that overlap are one. They are collected by document, so their number is bounded by its text.
     """
     key, held = fresh(docs, "_id"), fresh(docs, "_spans")
