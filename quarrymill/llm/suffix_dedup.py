@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import suffixes
-from .arrays import U64, blocks, eights, mix, rows_of, span_hash, text_bytes
+from .arrays import U64, blocks, eights, mix, number_pairs, rows_of, span_hash, text_bytes
 
 WIDTH, GRAM = 50, 20
 SIDE = 15  # of a window's bytes beside its anchor, so many at least are on one side
@@ -197,15 +197,18 @@ def _answer(batches: Iterator[pa.RecordBatch], buckets: int, hot_from: int) -> I
         yield flush(last, *held)
 
 
-_PIECE = "key long, doc long, copy int, start int, n int, bytes binary"
+_PIECE = "key long, doc long, copy int, start int, n int, bytes binary, more binary"
 _SPAN = ["doc", "copy", "start", "n"]
 
 
-def _rows(doc, copy, start, n, key=None, data=None) -> pa.RecordBatch:
-    """Rows _PIECE; without data, windows that are removed already. n is 0 for a hot window."""
+def _rows(doc, copy, start, n, key=None, data=None, more=None) -> pa.RecordBatch:
+    """Rows _PIECE; without data, windows that are removed already. n is 0 for a hot window.
+
+    more: other places of the same text that hold the same bytes, as 32-bit numbers.
+    """
     key = np.zeros(len(doc), np.int64) if key is None else key
     data = pa.nulls(len(doc), pa.binary()) if data is None else data
-    cols = [pa.array(key), pa.array(doc), *(pa.array(x.astype(np.int32)) for x in (copy, start, n)), data]
+    cols = [pa.array(key), pa.array(doc), *(pa.array(x.astype(np.int32)) for x in (copy, start, n)), data, pa.nulls(len(doc), pa.binary()) if more is None else more]
     return pa.RecordBatch.from_arrays(cols, names=[c.split()[0] for c in _PIECE.split(", ")])
 
 
@@ -249,6 +252,21 @@ def window_classes(buf: np.ndarray, starts: np.ndarray, ends: np.ndarray, width:
     return number[np.searchsorted(used, starts)]
 
 
+def _once(at: np.ndarray, n: np.ndarray, hot: np.ndarray, number: np.ndarray, rows: np.ndarray, place) -> tuple[np.ndarray, np.ndarray, np.ndarray, pa.Array]:
+    """The first of the segments with equal bytes in a text, and the places of the others.
+
+    The first and the last window of a segment cover it, so their classes tell its bytes.
+    """
+    same = number_pairs(number_pairs(number_pairs(number[at], number[at + n - 1]), n), rows[at])
+    order = np.argsort(same, kind="stable")
+    head = np.flatnonzero(np.concatenate([[True], np.diff(same[order]) != 0])) if len(at) else order
+    size = np.diff(np.append(head, len(at)))
+    others = np.split(place(at[order]).astype("<i4"), head[1:])
+    more = pa.array([x[1:].tobytes() if len(x) > 1 else None for x in others] if (size > 1).any() else [None] * len(head), pa.binary())
+    one = order[head]
+    return at[one], n[one], hot[one], more
+
+
 def _shard(shard: Shard, flags: np.ndarray) -> Iterator[pa.RecordBatch]:
     """Windows removed within the shard, and segments for the others that flags (of its records) ask for."""
     buf, docs = shard.buf, shard.docs
@@ -271,9 +289,11 @@ def _shard(shard: Shard, flags: np.ndarray) -> Iterator[pa.RecordBatch]:
     least = np.empty(len(starts), np.int64)
     least[order] = np.repeat(np.minimum.reduceat(doc[order], first), np.diff(np.append(first, len(order))))
 
-    def made(at: np.ndarray, n: np.ndarray, key=None, data=None) -> pa.RecordBatch:
-        row = rows[at]
-        return _rows(docs[row], shard.copies[row], starts[at] - shard.offsets[row] + shard.bases[row], n, key, data)
+    def place(at: np.ndarray) -> np.ndarray:
+        return starts[at] - shard.offsets[rows[at]] + shard.bases[rows[at]]
+
+    def made(at: np.ndarray, n: np.ndarray, *rest) -> pa.RecordBatch:
+        return _rows(docs[rows[at]], shard.copies[rows[at]], place(at), n, *rest)
 
     gone = np.flatnonzero(doc > least)
     at, n = _runs(rows[gone], starts[gone])
@@ -283,13 +303,14 @@ def _shard(shard: Shard, flags: np.ndarray) -> Iterator[pa.RecordBatch]:
     hot = (away[turn[left]] & HOT) > 0
     at, n = _runs(np.where(hot, -1 - np.arange(len(left)), turn[left]), starts[left])
     at, hot = left[at], hot[at]
+    at, n, hot, more = _once(at, n, hot, number, rows, place)
     key = np.where(hot, U64(0), shard.hash[turn[at]])
     key[hot] = span_hash(buf, starts[at[hot]], starts[at[hot]] + WIDTH)
     size = n + (WIDTH - 1)
     end = np.cumsum(size)
     data = buf[np.repeat(starts[at] - (end - size), size) + np.arange(end[-1] if len(end) else 0)]
     segments = pa.BinaryArray.from_buffers(pa.binary(), len(at), [None, pa.py_buffer(np.concatenate([[0], end]).astype(np.int32)), pa.py_buffer(data)])
-    yield made(at, np.where(hot, 0, n), key.view(np.int64), segments)
+    yield made(at, np.where(hot, 0, n), key.view(np.int64), segments, more)
 
 
 def merge_sorted(runs: list[tuple[np.ndarray, np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -342,6 +363,16 @@ def _meet(doc: np.ndarray, sizes: np.ndarray, buf: np.ndarray) -> np.ndarray:
         keys = number.astype(U64)
 
 
+def _removed(doc: np.ndarray, copy: np.ndarray, start: np.ndarray, n: np.ndarray, shift: np.ndarray, more: list[bytes | None]) -> pa.RecordBatch:
+    """Rows _SPAN of removed windows: at start, and as far (shift) into the same bytes at other places."""
+    again = [(i, np.frombuffer(x, "<i4")) for i, x in enumerate(more) if x]
+    if again:
+        at = np.concatenate([np.full(len(x), i) for i, x in again])
+        start = np.concatenate([start, np.concatenate([x for _, x in again]) + shift[at]])
+        doc, copy, n = (np.concatenate([x, x[at]]) for x in (doc, copy, n))
+    return _rows(doc, copy, start, n).select(_SPAN)
+
+
 def _gone_of_hot(key: np.ndarray, doc: np.ndarray, window: np.ndarray, state: dict) -> np.ndarray:
     """For hot windows sorted by (key, doc): does a lesser document have it? state: what the last key began with."""
     head = np.ones(len(key), bool)
@@ -379,7 +410,8 @@ def _merge(batches: Iterator[pa.RecordBatch], most: int = 1 << 20) -> Iterator[p
         own = np.repeat(np.arange(len(n)), n)[gone]
         at = start[own] + gone - (np.cumsum(n) - n)[own]
         first, count = _runs(own, at)
-        yield _rows(doc[own[first]], copy[own[first]], at[first], count).select(_SPAN)
+        own, places = own[first], t.column(6).to_pylist()
+        yield _removed(doc[own], copy[own], at[first], count, at[first] - start[own], [places[i] for i in own.tolist()])
 
     held: list[pa.RecordBatch] = []
     size, state = 0, {}
@@ -393,7 +425,8 @@ def _merge(batches: Iterator[pa.RecordBatch], most: int = 1 << 20) -> Iterator[p
             window = np.frombuffer(b"".join(one.column(5).to_pylist()), np.uint8).reshape(-1, WIDTH)
             doc = one.column(1).to_numpy()
             at = np.flatnonzero(_gone_of_hot(one.column(0).to_numpy(), doc, window, state))
-            yield _rows(doc[at], one.column(2).to_numpy()[at], one.column(3).to_numpy()[at], np.ones(len(at))).select(_SPAN)
+            places = one.column(6).to_pylist()
+            yield _removed(doc[at], one.column(2).to_numpy()[at], one.column(3).to_numpy()[at], np.ones(len(at), np.int64), np.zeros(len(at), np.int64), [places[i] for i in at.tolist()])
         b = b.filter(pc.invert(hot))
         if not b.num_rows:
             continue

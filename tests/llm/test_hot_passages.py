@@ -57,6 +57,20 @@ def test_repeated_and_missing_ids_keep_their_rows(spark):
     assert [(r.n_bytes, r.n_removed) for r in nameless] == [(200, 0)]
 
 
+def test_a_line_repeated_in_one_text_is_one_segment(spark, monkeypatch):
+    rng = random.Random(8)
+    line = letters(rng, 23)
+    values = [letters(rng, 80) + line * 60 + letters(rng, 80), line * 40, letters(rng, 60) + line * 50, line * 3 + letters(rng, 90) + line * 3]
+    docs = spark.createDataFrame(list(enumerate(values)), "doc_id long, text string").repartition(4, "doc_id")
+    want = [(i, *x) for i, x in sorted(brute_removal(values, range(len(values))).items())]
+    held, real = [], suffix_dedup._segments
+    monkeypatch.setattr(suffix_dedup, "_segments", lambda *a: held.append(real(*a)) or held[-1])
+    for hot_from in (1, 1 << 16):
+        assert rows_of(suffix_dedup.remove_repeats(docs, hot_from=hot_from)) == want
+        meeting = held[-1].where("bytes is not null").groupBy("key", "bytes", "doc").count()
+        assert meeting.agg({"count": "max"}).first()[0] == 1
+
+
 def test_texts_beyond_a_shard_are_cut_in_pieces(spark, monkeypatch):
     monkeypatch.setattr(suffix_dedup, "UNIT_BYTES", 1 << 22)
     rng = np.random.default_rng(6)
