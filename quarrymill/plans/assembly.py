@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quarrymill.functions import dates, parsing, text
-from quarrymill.operators import assembly, families, forecast, upsert
+from quarrymill.operators import assembly, families, forecast, models, upsert
 from quarrymill.session import table
 
 from .bindings import GRID, INVENTORY, REVIEWS, SALES, SUCCESSORS, inventory, reviews, successors
@@ -207,3 +207,19 @@ def rolling_origins(spark: SparkSession, d: str) -> DataFrame:
     longest = n.agg(F.max("n")).first()[0] or 0
     lengths = spark.createDataFrame([(x,) for x in forecast.origins(longest, 12, 6, 6)], "train long")
     return n.join(F.broadcast(lengths), F.col("train") <= F.col("n") - 6).groupBy("train").agg(F.count("*").alias("series"))  # train lengths of a back-test
+
+
+@query()
+def fitted_trend_audit(spark: SparkSession, d: str) -> DataFrame:
+    """The multiplicative model's trend against recent sales, its slope changes and its seasonal swing."""
+    g = month_grid(spark, d)
+    parts = models.fitted_parts(g)
+    audit = assembly.trend_audit(g, parts.select("key", "trend_at_end"))
+    return audit.join(parts.drop("trend_at_end"), "key").select("key", "months", R4("trend_at_end"), R4("mean6"), R4("mean12"), R4("pct_diff"), "disconnected", "slope_changes", R4("min_pct"), R4("max_pct"))
+
+
+@query()
+def multiplicative_forecast(spark: SparkSession, d: str) -> DataFrame:
+    """Six months ahead with a 95 % band by trend x season."""
+    out = models.fit_models(month_grid(spark, d), "multiplicative", 6)
+    return out.select("key", "step", YM("target_month").alias("target"), R4("yhat"), R4("yhat_lower"), R4("yhat_upper"))
