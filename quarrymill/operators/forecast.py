@@ -74,6 +74,37 @@ def ses(ys: Column, horizon: int) -> Column:
     return F.when(F.size(ys) < 3, naive_last(ys, horizon)).otherwise(_repeat(best["level"], horizon))
 
 
+#: What holt searches: level, slope and damping.
+HOLT_LEVEL, HOLT_SLOPE, HOLT_DAMPING = (0.1, 0.3, 0.5, 0.8), (0.01, 0.1, 0.3), (0.8, 0.9, 0.98)
+
+
+def holt_fit(ys: Column) -> Column:
+    """struct(sse, a, b, phi, level, slope): exponential smoothing with a damped trend, by the least one-step error."""
+    tried = F.array(*(F.struct(F.lit(a).alias("a"), F.lit(b).alias("b"), F.lit(phi).alias("phi")) for a in HOLT_LEVEL for b in HOLT_SLOPE for phi in HOLT_DAMPING))
+    start = F.struct(F.element_at(ys, 1).alias("level"), F.lit(0.0).alias("slope"), F.lit(0.0).alias("sse"))
+
+    def fit(p: Column) -> Column:
+        def step(s: Column, y: Column) -> Column:
+            ahead = s["level"] + p["phi"] * s["slope"]
+            new = p["a"] * y + (1 - p["a"]) * ahead
+            return F.struct(new.alias("level"), (p["b"] * (new - s["level"]) + (1 - p["b"]) * p["phi"] * s["slope"]).alias("slope"), (s["sse"] + (y - ahead) * (y - ahead)).alias("sse"))
+
+        end = F.aggregate(F.slice(ys, F.lit(2), F.size(ys)), start, step)
+        return F.transform(F.array(end), lambda e: F.struct(F.round(e["sse"], 4).alias("sse"), p["a"].alias("a"), p["b"].alias("b"), p["phi"].alias("phi"), e["level"].alias("level"), e["slope"].alias("slope")))[0]
+
+    return F.array_min(F.transform(tried, fit))
+
+
+def holt(past: DataFrame, horizon: int, band: float = 1.96) -> DataFrame:
+    """(key, step, target_month, yhat, yhat_lower, yhat_upper) of histories (key, train_end, ys), clipped at 0."""
+    fitted = past.select("key", "train_end", (F.size("ys") - 1).alias("errors"), holt_fit(F.col("ys")).alias("f"))
+    rows = fitted.select("*", F.explode(F.sequence(F.lit(1), F.lit(horizon))).alias("step"))
+    phi, width = F.col("f.phi"), band * F.sqrt(F.col("f.sse") / F.greatest("errors", F.lit(1)))
+    yhat = F.col("f.level") + F.col("f.slope") * phi * (1 - F.pow(phi, "step")) / (1 - phi)
+    cut = lambda c: F.greatest(c, F.lit(0.0))
+    return rows.select("key", "step", F.add_months("train_end", F.col("step")).alias("target_month"), cut(yhat).alias("yhat"), cut(yhat - width).alias("yhat_lower"), cut(yhat + width).alias("yhat_upper"))
+
+
 def _intermittent(ys: Column, alpha: float, beta: float) -> Column:
     """struct(size, interval, gap, seen): Croston's sizes and intervals, updated where there is demand."""
     start = F.struct(F.lit(0.0).alias("z"), F.lit(1.0).alias("p"), F.lit(1.0).alias("q"), F.lit(False).alias("seen"))

@@ -87,25 +87,6 @@ def fitted_parts(grid: DataFrame, min_train: int = 24, least_change: float = 0.0
     return grid.where("units is not null").select("key", "month", "units").groupBy("key").applyInPandas(one, PARTS)
 
 
-def holt(y: np.ndarray, horizon: int, damped: bool = True) -> tuple[np.ndarray, float]:
-    """Exponential smoothing with an additive trend, by a grid search over one-step errors."""
-    best = (np.inf, y[-1], 0.0, 1.0)
-    for a in (0.1, 0.3, 0.5, 0.8):
-        for b in (0.01, 0.1, 0.3):
-            for phi in (0.8, 0.9, 0.98) if damped else (1.0,):
-                level, slope, sse = y[0], 0.0, 0.0
-                for v in y[1:]:
-                    ahead = level + phi * slope
-                    sse += (v - ahead) ** 2
-                    new = a * v + (1 - a) * ahead
-                    slope = b * (new - level) + (1 - b) * phi * slope
-                    level = new
-                if sse < best[0]:
-                    best = (sse, level, slope, phi)
-    sse, level, slope, phi = best
-    return level + slope * np.cumsum(phi ** np.arange(1, horizon + 1)), float(np.sqrt(sse / max(1, len(y) - 1)))
-
-
 def seasonal_ar(y: np.ndarray, horizon: int, season: int = 3) -> tuple[np.ndarray, float]:
     """(1,0,0)x(1,0,0) autoregression with a mean, by conditional least squares."""
     mu = y.mean()
@@ -120,7 +101,7 @@ def seasonal_ar(y: np.ndarray, horizon: int, season: int = 3) -> tuple[np.ndarra
     return np.array(out[len(y) :]) + mu, spread
 
 
-MODELS = {"trend_and_season": trend_and_season, "multiplicative": multiplicative_forecast, "holt": holt, "seasonal_ar": seasonal_ar}
+MODELS = {"trend_and_season": trend_and_season, "multiplicative": multiplicative_forecast, "seasonal_ar": seasonal_ar}
 
 
 def fit_models(grid: DataFrame, model: str, horizon: int = 6, min_train: int = 24, band: float = 1.96) -> DataFrame:

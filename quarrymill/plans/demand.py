@@ -247,9 +247,17 @@ def regression_forecast(spark: SparkSession, d: str) -> DataFrame:
     return models.fit_models(month_grid(spark, d), "trend_and_season")
 
 
-@query()
+@query(f"""WITH RECURSIVE {GRID}, g AS (SELECT key, i, n, units FROM grid WHERE n >= 24),
+tried AS (SELECT a, b, phi FROM (SELECT unnest([0.1, 0.3, 0.5, 0.8])::DOUBLE AS a), (SELECT unnest([0.01, 0.1, 0.3])::DOUBLE AS b), (SELECT unnest([0.8, 0.9, 0.98])::DOUBLE AS phi)),
+walk AS (SELECT key, n, a, b, phi, 1::BIGINT AS i, units AS level, 0.0::DOUBLE AS slope, 0.0::DOUBLE AS sse FROM g, tried WHERE i = 1
+  UNION ALL SELECT key, n, a, b, phi, i, nw, b * (nw - level) + (1 - b) * phi * slope, sse + (y - ahead) * (y - ahead) FROM (SELECT *, a * y + (1 - a) * ahead AS nw FROM (
+    SELECT w.key, w.n, a, b, phi, g.i, level, slope, sse, g.units AS y, level + phi * slope AS ahead FROM walk w JOIN g ON g.key = w.key AND g.i = w.i + 1))),
+best AS (SELECT key, n, arg_min({{'sse': round(sse, 4), 'phi': phi, 'level': level, 'slope': slope}}, (round(sse, 4), a, b, phi)) AS f FROM walk WHERE i = n GROUP BY 1, 2),
+x AS (SELECT key, s.step, f.level + f.slope * f.phi * (1 - f.phi ** s.step) / (1 - f.phi) AS y, 1.96 * sqrt(f.sse / (n - 1)) AS w FROM best, (SELECT unnest([1, 2, 3, 4, 5, 6]) AS step) s)
+SELECT key, CAST(step AS INTEGER) AS step, round(greatest(y, 0) + 1e-9, 4) AS yhat, round(greatest(y - w, 0) + 1e-9, 4) AS yhat_lower, round(greatest(y + w, 0) + 1e-9, 4) AS yhat_upper FROM x""")
 def holt_forecast(spark: SparkSession, d: str) -> DataFrame:
-    return models.fit_models(month_grid(spark, d), "holt")
+    out = forecast.holt(forecast.histories(month_grid(spark, d), min_history=24), 6)
+    return out.select("key", "step", *(F.round(F.col(c) + 1e-9, 4).alias(c) for c in ("yhat", "yhat_lower", "yhat_upper")))
 
 
 @query()
