@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from .arrays import Memo, counts_by_row, number_spans, rows_of, text_blocks
 
 CHUNK_BYTES = 1 << 16
-MOST_STATES, MOST_PAIRS, MOST_SEGMENTS = 100_000, 500_000, 1_000_000
+MOST_STATES, MOST_PAIRS, MOST_SEGMENTS = 200_000, 500_000, 1_000_000
 STRIDE = 256  # characters between the states that a chunk remembers
 WARM = 128  # characters before a chunk from which its entry state is guessed
 START = (("", None, 0),)
