@@ -146,10 +146,10 @@ def repetition_rules(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
 
 def kept_rows(docs: DataFrame, *, text_col: str = "text", **limits) -> DataFrame:
     """The rows of docs that repetition_rules keeps, with all their columns, whatever their ids; no shuffle."""
-    rules, at = Rules(**limits), docs.columns.index(text_col)
+    rules = Rules(**limits)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            yield b.filter(pa.array(rules.apply(b.column(at))["kept"]))
+    @F.arrow_udf("boolean")
+    def kept(texts: pa.Array) -> pa.Array:
+        return pa.array(rules.apply(texts)["kept"])
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.where(kept(F.col(text_col).cast("string")))  # only texts go to Python, only verdicts come back

@@ -457,9 +457,6 @@ def redact_documents(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     nothing is shuffled. Spans that overlap are one.
     """
     scanner = docs.sparkSession.sparkContext.broadcast(train_scanner(docs, id_col=id_col, text_col=text_col, path_col=path_col, findings=findings))
-    half, path = fresh(docs, "_half"), fresh(docs, "_path")
-    n, at = len(docs.columns), docs.columns.index(text_col)
-
     def clean(text: str, path: str, turn: int) -> str:
         forests, language = scanner.value
         found = list(candidates(text))
@@ -474,26 +471,20 @@ def redact_documents(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
             end = max(end, b)
         return "".join([*parts, text[end:]])
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            changed: dict[int, str] = {}
-            paths, turns = b.column(n), b.column(n + 1)
-            for lo, _, buf, offsets in text_blocks(b.column(at)):
-                for i in _rows_with_candidates(buf, offsets).tolist():
-                    text = buf[offsets[i] : offsets[i + 1]].tobytes().decode()
-                    new = clean(text, paths[lo + i].as_py() or "", turns[lo + i].as_py())
-                    if new != text:
-                        changed[lo + i] = new
-            cols = b.columns[:n]
-            if changed:
-                mask = np.zeros(b.num_rows, bool)
-                mask[list(changed)] = True
-                new = pa.array([changed[i] for i in sorted(changed)], cols[at].type)
-                cols[at] = pc.replace_with_mask(cols[at], pa.array(mask), new)
-            yield pa.RecordBatch.from_arrays(cols, names=b.schema.names[:n])
-
-    given = (F.col(path_col).cast("string") if path_col else F.lit("")).alias(path)
-    return docs.select(*docs.columns, given, half_of(F.col(id_col)).alias(half)).mapInArrow(run, docs.schema)
+    @F.arrow_udf("string")
+    def cleaned(texts: pa.Array, paths: pa.Array, turns: pa.Array) -> pa.Array:
+        out: list[str | None] = [None] * len(texts)
+        for lo, _, buf, offsets in text_blocks(texts):
+            for i in _rows_with_candidates(buf, offsets).tolist():
+                text = buf[offsets[i] : offsets[i + 1]].tobytes().decode()
+                new = clean(text, paths[lo + i].as_py() or "", turns[lo + i].as_py())
+                if new != text:
+                    out[lo + i] = new
+        return pa.array(out, pa.string())
+
+    given = F.col(path_col).cast("string") if path_col else F.lit("")
+    text = F.col(text_col).cast("string")
+    return docs.withColumn(text_col, F.coalesce(cleaned(text, given, half_of(F.col(id_col))), text))  # only changed texts come back
 
 
 def redact(docs: DataFrame, found: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", mark: str = "[secret]") -> DataFrame:
