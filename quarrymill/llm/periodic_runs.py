@@ -20,8 +20,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .arrays import U64, counts_by_row, mix, number_spans, text_blocks, words
-from .common import WORD
 
+GAP = r"[\x20\x09-\x0D]+"  # between words
 SHORT = 8  # periods up to here are found by direct lags
 LEAST, TIMES = 6, 4  # words, and periods, that a run has at least
 _MOST, _ODD = U64(0xFFFFFFFFFFFFFFFF), U64(0xD6E8FEB86659FD93)
@@ -205,7 +205,7 @@ def with_planted_runs(docs: DataFrame, *, id_col: str = "doc_id", text_col: str
     """
     h = F.crc32(F.col(id_col).cast("string"))
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"), h.alias("h"))
-    w = F.when(F.col("h") % 10 == 0, F.regexp_extract_all("text", F.lit(WORD), F.lit(0)))
+    w = F.when(F.col("h") % 10 == 0, F.array_remove(F.split("text", GAP), ""))
     rows = rows.select("doc_id", "text", w.alias("w"), F.expr("h div 10").alias("g"))
     rows = rows.select("doc_id", "text", "w", "g", F.size("w").cast("long").alias("n")).select("*", F.expr("if(n > 0, g % n, 0)").alias("a"))
     rows = rows.select("*", F.expr("1 + (n - a) div (3 + g % 8)").alias("p"))
