@@ -74,6 +74,8 @@ def zero_rates(grid: DataFrame, share: float = 0.1) -> DataFrame:
 
 
 def tile_features(grid: DataFrame, width: int = 12) -> DataFrame:
-    """(key, lumpiness, stability): variance of the tiles' variances, and of their means."""
-    tiles = grid.groupBy("key", F.floor((F.col("i") - 1) / width).alias("tile")).agg(F.var_pop("units").alias("v"), F.avg("units").alias("m"))
-    return tiles.groupBy("key").agg(F.var_pop("v").alias("lumpiness"), F.var_pop("m").alias("stability"))
+    """(key, lumpiness, stability): sample variance of whole tiles' sample variances, and of their means; null below two tiles."""
+    whole = F.floor(F.col("n") / width)
+    tiles = grid.groupBy("key", F.floor((F.col("i") - 1) / width).alias("tile"), whole.alias("tiles")).agg(F.var_samp("units").alias("v"), F.avg("units").alias("m"))
+    inside = (F.col("tile") < F.col("tiles")) & (F.col("tiles") >= 2)
+    return tiles.groupBy("key").agg(F.var_samp(F.when(inside, F.col("v"))).alias("lumpiness"), F.var_samp(F.when(inside, F.col("m"))).alias("stability"))

@@ -31,77 +31,7 @@ def trend_and_season(y: np.ndarray, horizon: int, order: int = 3, knots: int = 6
     return ahead, float(np.std(y - x @ beta))
 
 
-def multiplicative(y: np.ndarray, order: int = 3, knots: int = 6, prior: float = 0.25, rounds: int = 8) -> tuple[np.ndarray, np.ndarray, int]:
-    """(trend coefficients, season coefficients, number of trend columns) of y = trend x (1 + season).
-
-    Both are ridge regressions, solved in turn with the other held; slope changes and seasons are drawn to 0.
-    """
-    n, k = len(y), 2 + knots
-    x = _design(np.arange(n, dtype=float), n, order, knots)
-    trend_x, season_x = x[:, :k], x[:, k:]
-    pull = np.concatenate([[1e-6, 1e-6], np.full(knots, 1 / (prior * n))])
-    season, b, c = np.zeros(n), np.zeros(k), np.zeros(2 * order)
-    for _ in range(rounds):
-        a = trend_x * (1 + season)[:, None]
-        b = np.linalg.solve(a.T @ a + np.diag(pull), a.T @ y)
-        level = trend_x @ b
-        a = season_x * level[:, None]
-        c = np.linalg.solve(a.T @ a + 0.1 * max(1.0, float(np.mean(level**2))) * np.eye(2 * order), a.T @ (y - level))
-        season = season_x @ c
-    return b, c, k
-
-
-def multiplicative_forecast(y: np.ndarray, horizon: int, order: int = 3, knots: int = 6) -> tuple[np.ndarray, float]:
-    """(forecast, residual spread) of the multiplicative model."""
-    n = len(y)
-    b, c, k = multiplicative(y, order, knots)
-
-    def at(t: np.ndarray) -> np.ndarray:
-        x = _design(t, n, order, knots)
-        return (x[:, :k] @ b) * (1 + x[:, k:] @ c)
-
-    return at(np.arange(n, n + horizon, dtype=float)), float(np.std(y - at(np.arange(n, dtype=float))))
-
-
-PARTS = "key long, trend_at_end double, slope_changes int, min_pct double, max_pct double"
-
-
-def fitted_parts(grid: DataFrame, min_train: int = 24, least_change: float = 0.01) -> DataFrame:
-    """(key, trend_at_end, slope_changes, min_pct, max_pct) of the multiplicative model of each series.
-
-    slope_changes counts those above least_change of the mean; min_pct and max_pct are the season's
-    swing in percent of the trend. Shorter series give no rows.
-    """
-
-    def one(df: pd.DataFrame) -> pd.DataFrame:
-        df = df.sort_values("month")
-        y = df["units"].to_numpy(float)
-        if len(y) < min_train:
-            return pd.DataFrame({c.split()[0]: pd.Series([], dtype=object) for c in PARTS.split(", ")})
-        b, c, k = multiplicative(y)
-        x = _design(np.arange(len(y), dtype=float), len(y), 3, 6)
-        season = 100 * (x[-12:, k:] @ c)
-        changes = int((np.abs(b[2:]) / len(y) > least_change * max(abs(float(y.mean())), 1e-9)).sum())
-        return pd.DataFrame({"key": [df["key"].iloc[0]], "trend_at_end": [float(x[-1, :k] @ b)], "slope_changes": [np.int32(changes)], "min_pct": [season.min()], "max_pct": [season.max()]})
-
-    return grid.where("units is not null").select("key", "month", "units").groupBy("key").applyInPandas(one, PARTS)
-
-
-def seasonal_ar(y: np.ndarray, horizon: int, season: int = 3) -> tuple[np.ndarray, float]:
-    """(1,0,0)x(1,0,0) autoregression with a mean, by conditional least squares."""
-    mu = y.mean()
-    d = y - mu
-    m = season + 1
-    x = np.stack([d[m - 1 : -1], d[m - season : -season], d[: -m]], axis=1)
-    beta = np.linalg.lstsq(x.T @ x + 1e-6 * np.eye(3), x.T @ d[m:], rcond=None)[0]
-    spread = float(np.std(d[m:] - x @ beta))
-    out = list(d)
-    for _ in range(horizon):
-        out.append(float(np.clip(beta @ [out[-1], out[-season], out[-m]], -4 * np.abs(d).max() - 1, 4 * np.abs(d).max() + 1)))
-    return np.array(out[len(y) :]) + mu, spread
-
-
-MODELS = {"trend_and_season": trend_and_season, "multiplicative": multiplicative_forecast, "seasonal_ar": seasonal_ar}
+MODELS = {"trend_and_season": trend_and_season}
 
 
 def fit_models(grid: DataFrame, model: str, horizon: int = 6, min_train: int = 24, band: float = 1.96) -> DataFrame:

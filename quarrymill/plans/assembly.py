@@ -6,8 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quarrymill.functions import dates, parsing, text
-from quarrymill.operators import assembly, families, forecast, models, upsert
-from quarrymill.session import table
+from quarrymill.operators import assembly, families, forecast, trend_model, upsert
+from quarrymill.session import table, use_checkpoints
 
 from .bindings import GRID, INVENTORY, REVIEWS, SALES, SUCCESSORS, inventory, reviews, successors
 from .bindings import grid as month_grid
@@ -19,6 +19,12 @@ R6 = lambda c: F.round(c, 6)
 R4 = lambda c: F.round(F.col(c) + 1e-9, 4).alias(c)
 YM = lambda c: F.date_format(c, "yyyy-MM")
 
+def known_changeovers(spark: SparkSession, d: str) -> DataFrame:
+    """(key) of parts that a dated changeover names, old or new."""
+    dated = successors(spark, d).where("changeover is not null")
+    return dated.select(F.explode(F.array("old", "new")).alias("key")).distinct()
+
+
 #: A planning sheet: what customers of a nation ordered by clerk's month, as rows of year and month name.
 _SHEET = """sheet AS (SELECT CAST(o_custkey AS VARCHAR) AS item, strftime(o_orderdate, '%Y-%m') AS month, CAST(sum(o_totalprice) AS DOUBLE) AS qty FROM orders GROUP BY 1, 2)"""
 
@@ -211,15 +217,17 @@ def rolling_origins(spark: SparkSession, d: str) -> DataFrame:
 
 @query()
 def fitted_trend_audit(spark: SparkSession, d: str) -> DataFrame:
-    """The multiplicative model's trend against recent sales, its slope changes and its seasonal swing."""
+    """The trend model against recent sales, its slope changes and its seasonal swing; each series is fitted once."""
     g = month_grid(spark, d)
-    parts = models.fitted_parts(g)
+    use_checkpoints(spark)
+    parts = trend_model.fit_trends(g, known_changeovers(spark, d)).checkpoint()
     audit = assembly.trend_audit(g, parts.select("key", "trend_at_end"))
-    return audit.join(parts.drop("trend_at_end"), "key").select("key", "months", R4("trend_at_end"), R4("mean6"), R4("mean12"), R4("pct_diff"), "disconnected", "slope_changes", R4("min_pct"), R4("max_pct"))
+    rest = parts.select("key", "known_changeover", "slope_changes", "places", "min_pct", "max_pct")
+    return audit.join(rest, "key").select("key", "months", R4("trend_at_end"), R4("mean6"), R4("mean12"), R4("pct_diff"), "disconnected", "known_changeover", "slope_changes", "places", R4("min_pct"), R4("max_pct"))
 
 
 @query()
 def multiplicative_forecast(spark: SparkSession, d: str) -> DataFrame:
-    """Six months ahead with a 95 % band by trend x season."""
-    out = models.fit_models(month_grid(spark, d), "multiplicative", 6)
+    """Six months ahead with a simulated 95 % band by trend x season; parts with a known changeover get the wider prior."""
+    out = trend_model.trend_forecast(trend_model.fit_trends(month_grid(spark, d), known_changeovers(spark, d)))
     return out.select("key", "step", YM("target_month").alias("target"), R4("yhat"), R4("yhat_lower"), R4("yhat_upper"))

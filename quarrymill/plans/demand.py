@@ -177,7 +177,8 @@ def grid_zero_rates(spark: SparkSession, d: str) -> DataFrame:
     return grid.zero_rates(month_grid(spark, d)).select("key", R6("zero_rate").alias("zero_rate"), R6("near_zero_rate").alias("near_zero_rate"))
 
 
-@query(f"""WITH {GRID}, t AS (SELECT key, (i - 1) // 12 AS b, var_pop(units) AS v, avg(units) AS m FROM grid GROUP BY 1, 2) SELECT key, round(var_pop(v), 4) AS lumpiness, round(var_pop(m), 4) AS stability FROM t GROUP BY 1""")
+@query(f"""WITH {GRID}, t AS (SELECT key, (i - 1) // 12 AS b, n // 12 AS k, var_samp(units) AS v, avg(units) AS m FROM grid GROUP BY 1, 2, 3)
+SELECT key, round(var_samp(v) FILTER (b < k AND k >= 2), 4) AS lumpiness, round(var_samp(m) FILTER (b < k AND k >= 2), 4) AS stability FROM t GROUP BY 1""")
 def grid_tile_features(spark: SparkSession, d: str) -> DataFrame:
     return grid.tile_features(month_grid(spark, d)).select("key", F.round("lumpiness", 4).alias("lumpiness"), F.round("stability", 4).alias("stability"))
 
@@ -260,11 +261,6 @@ def holt_forecast(spark: SparkSession, d: str) -> DataFrame:
     return out.select("key", "step", *(F.round(F.col(c) + 1e-9, 4).alias(c) for c in ("yhat", "yhat_lower", "yhat_upper")))
 
 
-@query()
-def seasonal_ar_forecast(spark: SparkSession, d: str) -> DataFrame:
-    return models.fit_models(month_grid(spark, d), "seasonal_ar")
-
-
 @query("""SELECT c_mktsegment AS channel, count(DISTINCT o_custkey) AS customers, strftime(o_orderdate, '%Y-%m') AS ym, round(sum(o_totalprice), 2) AS amount, count(*) AS "rows" FROM orders JOIN customer ON o_custkey = c_custkey GROUP BY 1, 3""")
 def training_facts(spark: SparkSession, d: str) -> DataFrame:
     o, c = table(spark, d, "orders"), table(spark, d, "customer").select("c_custkey", "c_mktsegment")

@@ -202,22 +202,3 @@ def test_models_follow_a_line(spark, model):
     assert len(out) == 3 and all(r.yhat_lower <= r.yhat <= r.yhat_upper for r in out)
     assert abs(out[0].yhat - (50 + 2 * 48)) < 25
     assert models.fit_models(series(spark, y[:10].tolist()), model).count() == 0
-
-
-def test_multiplicative_model_finds_trend_and_season(spark):
-    import numpy as np
-
-    from quarrymill.operators import assembly, models
-
-    t = np.arange(60)
-    season = 0.3 * np.sin(2 * np.pi * t / 12)
-    up, dead = (100 + 2.0 * t) * (1 + season), np.where(t < 40, 50.0, 0.0)
-    ahead, spread = models.multiplicative_forecast(up, 6)
-    k = np.arange(60, 66)
-    assert np.allclose(ahead, (100 + 2.0 * k) * (1 + 0.3 * np.sin(2 * np.pi * k / 12)), rtol=0.08) and spread < 6
-    rows = [(key, f"{2019 + i // 12}-{i % 12 + 1:02d}-01", float(y[i]), i + 1, 60) for key, y in ((1, up), (2, dead)) for i in range(60)]
-    grid = spark.createDataFrame(rows, "key long, month string, units double, i int, n int").withColumn("month", F.to_date("month"))
-    parts = {r.key: r for r in models.fitted_parts(grid).collect()}
-    assert abs(parts[1].trend_at_end - 218) < 12 and -33 < parts[1].min_pct < -24 and 24 < parts[1].max_pct < 33
-    audit = {r.key: r for r in assembly.trend_audit(grid, models.fitted_parts(grid).select("key", "trend_at_end")).collect()}
-    assert not audit[1].disconnected and audit[2].disconnected and audit[2].mean6 == 0 and audit[2].pct_diff is None
