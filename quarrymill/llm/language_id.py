@@ -26,13 +26,59 @@ from .arrays import LOWER, SPACE, U64, mix, span_hash, text_blocks, words
 BUCKETS = 1 << 15
 KAPPA = 5.0  # pseudo-pages that a parent's prior counts as
 TEMPER = 0.25  # of the text's log likelihood, whose features are not independent
-_DROP = re.compile(r"(?is)<(script|style)\b.*?</\1\s*>|<!--.*?-->|<(nav)\b.*?</nav\s*>")
-_TAG = re.compile(r"(?s)<[^>]*>")
+#: Elements whose content no reader sees as text of the page.
+HIDDEN = ("script", "style", "nav")
+_OPENS = re.compile(r"(?i)<(?:!--|(script|style|nav)\b)?")
 
 
 def visible_text(page: str | None) -> str:
-    """What a reader sees of a page: no scripts, styles, comments, navigation or tags."""
-    return entities.unescape(_TAG.sub(" ", _DROP.sub(" ", page))) if page else ""
+    """What a reader sees of a page: no scripts, styles, comments, navigation or tags.
+
+    One pass: each '<' begins a comment, a hidden element or a tag, which its closing part ends; where
+    none follows, '<' is text (of hidden elements, a tag). That a closing part is missing is found once for the page and
+    remembered, so broken markup takes no longer than other text.
+    """
+    if not page:
+        return ""
+    low, out, at, missing = page.lower() if page.isascii() else _ascii_lower(page), [], 0, set()
+
+    def after(close: str, start: int) -> int:
+        """Where the next `close` ends, or -1."""
+        while close not in missing:
+            found = low.find(close, start)
+            end = found + len(close)
+            if found >= 0 and close[:2] != "</":
+                return end
+            bracket = low.find(">", end) if found >= 0 else -1
+            if bracket >= 0 and not low[end:bracket].strip():
+                return bracket + 1
+            start = end
+            if bracket < 0:
+                missing.add(close)
+        return -1
+
+    while (m := _OPENS.search(page, at)) is not None:
+        out.append(page[at : m.start()])
+        kind = m[1].lower() if m[1] else "--" if m[0] == "<!--" else ""
+        end = after("-->" if kind == "--" else f"</{kind}", m.end()) if kind else -1
+        if end < 0:
+            end = after(">", m.start() + 1)
+        if end < 0:
+            out.append(page[m.start() :])
+            at = len(page)
+            break
+        out.append(" ")
+        at = end
+    out.append(page[at:])
+    return entities.unescape("".join(out))
+
+
+def _ascii_lower(text: str) -> str:
+    """A-Z in lower case, character by character, so that places stay."""
+    return text.translate(_LOWER)
+
+
+_LOWER = {i: i + 32 for i in range(65, 91)}
 
 
 def _features(buf: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -98,8 +144,9 @@ def host_of(url: Column) -> Column:
 
 
 def declared_language(page: Column) -> Column:
-    """The two-letter language of the html element, '' where it has none."""
-    return F.lower(F.regexp_extract(F.coalesce(page, F.lit("")), r"(?i)<html\b[^>]*?\blang\s*=\s*[\"']?([a-zA-Z]{2})", 1))
+    """The language of the first html element, without its region, '' where it has none; data-lang and xml:lang are other attributes."""
+    element = F.regexp_extract(F.coalesce(page, F.lit("")), r"(?i)<html\b([^>]*+)", 1)
+    return F.lower(F.regexp_extract(element, r"(?i)\slang\s*=\s*[\"']?([a-zA-Z]+)", 1))
 
 
 def identify_languages(pages: DataFrame, model: TextModel, *, id_col: str = "page_id", url_col: str = "url", html_col: str = "html", kappa: float = KAPPA, temper: float = TEMPER) -> DataFrame:

@@ -29,7 +29,7 @@ from .common import first_rows, fresh
 
 TREES, DEPTH, MAX_FINDINGS = 30, 8, 6000
 THRESHOLD = 0.5
-MIN_LENGTH = 8
+MIN_LENGTH = 8  # of a candidate that no credential's name announces
 
 #: Names after which a value is a credential.
 NAMES = ("password", "passwd", "pwd", "secret", "token", "api_key", "apikey", "access_key", "auth", "credential", "private_key")
@@ -44,15 +44,17 @@ _NAMED = re.compile(r"(?i)(?:" + "|".join(NAMES) + r")$")
 #: Public formats of credentials.
 FORMATS = re.compile(r"(?:AKIA|ASIA)[0-9A-Z]{12,16}|gh[pousr]_[0-9A-Za-z]{36}|xox[abpr]-[0-9A-Za-z-]{10,}|AIza[0-9A-Za-z_-]{35}|sk_live_[0-9A-Za-z]{16,}|eyJ[0-9A-Za-z_-]{10,}\.[0-9A-Za-z_-]{10,}\.[0-9A-Za-z_-]*")
 #: What a text holds, besides words that look random, if it has candidates: names and beginnings of formats.
-_HINTS = "(?i)" + "|".join((*NAMES, "PRIVATE KEY-----", "AKIA", "ASIA", "gh[pousr]_", "xox[abpr]-", "AIza", "sk_live_", "eyJ"))
-#: A private key in armour, with or without its last line.
-BLOCK = re.compile(r"-----BEGIN (?:[A-Z0-9]+ )*PRIVATE KEY-----(?:[^-]{0,20000}-----END (?:[A-Z0-9]+ )*PRIVATE KEY-----|(?:\s+[A-Za-z0-9+/=]{16,})*)")
+_HINTS = "(?i)" + "|".join((*NAMES, "PRIVATE KEY-----", "PRIVATE KEY BLOCK-----", "AKIA", "ASIA", "gh[pousr]_", "xox[abpr]-", "AIza", "sk_live_", "eyJ"))
+#: The first and last lines of a private key in armour, and a line of such a key.
+_BEGIN = re.compile(r"-----BEGIN (?:[A-Z0-9]+ )*PRIVATE KEY(?: BLOCK)?-----")
+_END = re.compile(r"-----END (?:[A-Z0-9]+ )*PRIVATE KEY(?: BLOCK)?-----")
+_LINES = re.compile(r"(?:\s+[A-Za-z0-9+/=]{16,})*+")
 #: Names before a value that is a digest, an id or a version.
 OTHER_NAMES = ("commit", "sha", "sha1", "sha256", "sha512", "md5", "checksum", "digest", "hash", "etag", "revision", "uuid", "guid", "id", "build", "version", "fingerprint", "isbn", "doi")
 _OTHER = re.compile(r"(?i)(?:^|[^a-z0-9])(?:" + "|".join(OTHER_NAMES) + r")$")
+_LETTER = re.compile(r"[A-Za-z]")
 _OWN_NAME = re.compile(r"([A-Za-z][\w.-]*)[:=]+\S")
 _UNSPOKEN = re.compile(r"(?i)[bcdfghjklmnpqrstvwxz]{6}")  # letters of no language
-_KEY = re.compile(r"([A-Za-z][\w.-]*)[\\\"'`]*\s*(?:[:=]+>?)\s*[\\\"'`]*$")
 #: Formats of what is no credential: addresses, numbers, dates, versions, placeholders.
 PLAIN = re.compile(r"[^@\s]+@[^@\s]+\.\w+|\(?\+?[\d().:/-]+\)?|https?://\S+|v?\d+(?:\.\d+)+\w*|[a-z]+\d{1,4}|x+|\*+|<[^>]*>|\$?\{[^}]*\}|[A-Za-z]+(?:[-'/][A-Za-z]+)*", re.IGNORECASE)
 FEATURES = ("length", "digits", "upper", "lower", "other", "kinds", "transitions", "distinct", "entropy", "hex", "rarity", "covered", "named", "other_name", "quoted", "path_depth", "path_test", "before_known", "after_known", "before_length")
@@ -82,12 +84,43 @@ def candidates(text: str) -> Iterator[tuple[int, str, str, str, str]]:
         if _possible(word) or near >= 0 or at > first:
             last = before[0] if before[1] in ("=", ":", ":=", "=>") else before[1]
             for (a, b), kind in sorted(_spans(word, [(a - m.start(), b - m.start()) for a, b in named[first:at]]).items()):
-                key = _KEY.search(word, max(0, a - 100), a)
-                yield m.start() + a, word[a:b], key[1] if key else last, after.group() if after else "", kind
+                yield m.start() + a, word[a:b], _given_name(word, a) or last, after.group() if after else "", kind
         before = (before[1], word)
-    if "PRIVATE KEY-----" in text:
-        for m in BLOCK.finditer(text):
-            yield m.start(), m.group(), "", "", "block"
+    if "PRIVATE KEY" in text:
+        for a, b in key_blocks(text):
+            yield a, text[a:b], "", "", "block"
+
+
+def key_blocks(text: str) -> Iterator[tuple[int, int]]:
+    """Spans of private keys in armour: from each first line to its last line, whatever stands between.
+
+    A first line without a last line before the next first line takes the lines of key that follow it.
+    """
+    begins = list(_BEGIN.finditer(text))
+    ends, k = [m.end() for m in _END.finditer(text)], 0
+    for m, following in zip(begins, [*(x.start() for x in begins[1:]), len(text)], strict=True):
+        while k < len(ends) and ends[k] <= m.end():
+            k += 1
+        yield m.start(), ends[k] if k < len(ends) and ends[k] <= following else _LINES.match(text, m.end()).end()
+
+
+def _given_name(word: str, at: int) -> str:
+    """The name that the value at `at` of a word is given to by ':' or '=', or ''."""
+
+    def back(i: int, chars: str) -> int:
+        while i and word[i - 1] in chars:
+            i -= 1
+        return i
+
+    i = back(at, "\\\"'`")
+    if i and word[i - 1] == ">" and i > 1 and word[i - 2] in ":=":
+        i -= 1
+    sign = back(i, ":=")
+    end = j = back(sign, "\\\"'`")
+    while j and (word[j - 1].isalnum() or word[j - 1] in "_.-"):
+        j -= 1
+    name = _LETTER.search(word, j, end) if sign < i else None
+    return word[name.start() : end] if name else ""
 
 
 def _spans(word: str, named: list[tuple[int, int]]) -> dict[tuple[int, int], str]:
@@ -98,7 +131,7 @@ def _spans(word: str, named: list[tuple[int, int]]) -> dict[tuple[int, int], str
     out: dict[tuple[int, int], str] = {}
 
     def add(span: tuple[int, int], kind: str) -> None:
-        if span[1] - span[0] >= MIN_LENGTH:
+        if span[1] - span[0] >= MIN_LENGTH or kind == "assigned":
             out.setdefault(span, kind)
 
     for a, b in named:
@@ -162,23 +195,18 @@ def pair_counts(counts: list[tuple[str, int]]) -> np.ndarray:
 
 
 class Language:
-    """Character transitions of ordinary text, and its common words as a sorted array of bytes."""
+    """Character transitions of ordinary text, and its common words."""
 
     def __init__(self, counts: list[tuple[str, int]], pairs: np.ndarray | None = None):
         """counts: the common words; pairs: counts of transitions, from counts where not given."""
-        words_ = sorted(w.encode() for w, _ in counts)
-        self.common = np.array(words_, f"S{max(map(len, words_), default=1)}")
-        self.longest = max((len(w) for w, _ in counts), default=0)
+        self.common = frozenset(w for w, _ in counts)
+        self.lengths = sorted({len(w) for w in self.common if len(w) >= 3})
         pairs = np.ones((128, 128)) + (pair_counts(counts) if pairs is None else pairs)
         self.logs = np.log(pairs / pairs.sum(axis=1, keepdims=True))
 
     def known(self, pieces: list[str]) -> np.ndarray:
         """Which of the pieces are common words?"""
-        if not len(self.common) or not pieces:
-            return np.zeros(len(pieces), bool)
-        asked = np.array([p.encode(errors="replace") for p in pieces])
-        at = np.minimum(np.searchsorted(self.common, asked), len(self.common) - 1)
-        return self.common[at] == asked
+        return np.array([p in self.common for p in pieces], bool)
 
     def rarity(self, value: str) -> float:
         """Mean negative log probability of a transition."""
@@ -190,12 +218,9 @@ class Language:
         v, n = value.lower(), 0
         for run in _LETTERS.finditer(v):
             text, i = run.group(), 0
-            for lo in range(0, len(text), 1000):
-                spans = [(j, k) for j in range(lo, min(lo + 1000, len(text))) for k in range(3, min(self.longest, len(text) - j) + 1)]
-                size = {j: k for (j, k), ok in zip(spans, self.known([text[j : j + k] for j, k in spans]), strict=True) if ok}  # the longest comes last
-                while i < min(lo + 1000, len(text)):
-                    n += size.get(i, 0)
-                    i += size.get(i, 1)
+            while i < len(text):
+                size = next((k for k in reversed(self.lengths) if i + k <= len(text) and text[i : i + k] in self.common), 0)
+                n, i = n + size, i + max(1, size)
         return n / max(1, len(v))
 
     def features(self, value: str, before: str, after: str, path: str) -> list[float]:
@@ -299,7 +324,7 @@ def _rows_with_candidates(buf: np.ndarray, offsets: np.ndarray) -> np.ndarray:
 
 
 def word_counts(docs: DataFrame, *, text_col: str = "text") -> DataFrame:
-    """(word, n) of all words of letters, over all texts.
+    """(word, n) of all words of three letters or more, of any script, over all texts.
 
     Batches count before anything is shuffled, so a frequent word is a row a batch.
     """
@@ -311,7 +336,8 @@ def word_counts(docs: DataFrame, *, text_col: str = "text") -> DataFrame:
                 low = LOWER[buf]
                 starts, ends, _ = words(low, offsets)
                 odd = np.concatenate([[0], np.cumsum(~(((low >= 97) & (low <= 122)) | (low >= 128)))])
-                ok = (odd[ends] == odd[starts]) & (ends - starts >= 3) & (ends - starts <= 24)
+                letters = np.concatenate([[0], np.cumsum((low & 0xC0) != 0x80)])
+                ok = (odd[ends] == odd[starts]) & (letters[ends] - letters[starts] >= 3)
                 starts, ends = starts[ok], ends[ok]
                 number, at = number_spans(low, starts, ends)
                 n = np.bincount(number, minlength=len(at))
