@@ -8,15 +8,26 @@ from pyspark.sql import functions as F
 #: Plural forms that the suffix rules would miss.
 IRREGULAR = {"batteries": "battery", "people": "person", "children": "child", "lenses": "lens"}
 #: Patterns that an excerpt must not show.
-EMAIL, PHONE = r"[\w.+-]+@[\w-]+(\.[\w-]+)+", r"\+?\d[\d ()-]{7,}\d"
+EMAIL, PHONE = r"(?U)[\w.+-]+@[\w-]+(\.[\w-]+)+", r"\+?\d[\d ()-]{7,}\d"
 #: What stands in their place.
 EMAIL_MASK, PHONE_MASK = "[email removed]", "[number removed]"
 #: What a shortened text does not end with before its dots.
 LOOSE_ENDS = " ,;:-"
 
+#: How months are written.
+MONTH = "(?:jan(?:uary)?|feb(?:ruary)?|mar(?:ch)?|apr(?:il)?|may|june?|july?|aug(?:ust)?|sep(?:t(?:ember)?)?|oct(?:ober)?|nov(?:ember)?|dec(?:ember)?)"
+#: What has digits but is no figure: dates in digits, days with months, years, periods.
+NO_FIGURES = "(?iU)" + "|".join((
+    r"\b\d{4}-\d{1,2}(?:-\d{1,2})?\b", r"\b\d{1,2}[/.]\d{1,2}[/.]\d{2,4}\b",
+    rf"\b\d{{1,2}}(?:st|nd|rd|th)?\s+(?:of\s+)?{MONTH}\b\.?(?:,?\s+\d{{4}})?", rf"\b{MONTH}\.?\s+\d{{1,2}}(?:st|nd|rd|th)?\b(?:,?\s+\d{{4}})?",
+    r"\b(?:19|20)\d{2}\b", r"\b\d+\s*(?:months?|years?|weeks?|days?)\b",
+))
+#: A number, in the digits 0 to 9, that is no part of a word, and what makes it a percentage.
+FIGURE = r"(?iU)(?<![\w.])(?:[0-9]{1,3}(?:,[0-9]{3})+|[0-9]+(?:\.[0-9]+)?)(?!\w)(?:\s*(?:%|per\s?cent\b))?"
+
 
 def single_spaced(t: Column) -> Column:
-    return F.trim(F.regexp_replace(t, r"\s+", " "))
+    return F.trim(F.regexp_replace(t, r"(?U)\s+", " "))
 
 
 def shorten(t: Column, size: int) -> Column:
@@ -53,10 +64,16 @@ def theme_key(theme: Column) -> Column:
     return F.array_join(F.array_sort(F.transform(F.split(single_spaced(F.lower(theme)), " "), theme_stem)), " ")
 
 
-def numbers_in(t: Column) -> Column:
-    """array<string> of the numbers of a text, dates left out."""
-    plain = F.regexp_replace(t, r"\d{4}-\d{2}(-\d{2})?", " ")
-    return F.regexp_extract_all(plain, F.lit(r"\d+(?:\.\d+)?%?"), F.lit(0))
+def figures(t: Column) -> Column:
+    """array<struct<value, percent, written>>: the figures of a text; dates, years, periods and parts of codes are none."""
+    plain = F.regexp_replace(F.coalesce(t, F.lit("")), NO_FIGURES, " ")
+    written = F.regexp_extract_all(plain, F.lit(FIGURE), F.lit(0))
+
+    def read(w: Column) -> Column:
+        value = F.regexp_replace(F.regexp_extract(w, r"[\d,.]+", 0), ",", "").cast("double")
+        return F.struct(value.alias("value"), w.rlike(r"(?i)(%|per\s?cent)$").alias("percent"), F.trim(w).alias("written"))
+
+    return F.transform(written, read)
 
 
 def words_found(t: Column, words: list[str]) -> Column:
@@ -66,5 +83,5 @@ def words_found(t: Column, words: list[str]) -> Column:
 
 
 def identifiers(t: Column) -> Column:
-    """array<string>, distinct, of snake_case names."""
-    return F.array_distinct(F.regexp_extract_all(t, F.lit(r"\b[a-z]+(?:_[a-z0-9]+)+\b"), F.lit(0)))
+    """array<string>, distinct, of lower-case snake_case names."""
+    return F.array_distinct(F.regexp_extract_all(t, F.lit(r"(?U)(?<!\w)[a-z][a-z0-9]*(?:_[a-z0-9]+)+(?!\w)"), F.lit(0)))

@@ -110,13 +110,21 @@ def channel_mismatch(rows: DataFrame, channel: str, anchor: str, share: float =
 
 
 def forecast_is_valid(weekly: DataFrame, weeks: int = 48) -> DataFrame:
-    """(key, version, rows, is_valid): contiguous weeks, ordered percentiles, nothing negative."""
+    """(key, version, rows, contiguous, negative, unordered, is_valid) of weekly (key, version, week_end, mean, p70, p80, p90).
+
+    contiguous: `weeks` weeks, one after the other, each once. negative: rows with any of the four values
+    below 0. unordered: rows that have all three percentiles but not p70 <= p80 <= p90.
+    """
     day = F.col("week_end")
+    below = [F.coalesce(F.col(c) < 0, F.lit(False)) for c in ("mean", "p70", "p80", "p90")]
+    disorder = (F.col("p70") > F.col("p80")) | (F.col("p80") > F.col("p90"))
+    complete = F.col("p70").isNotNull() & F.col("p80").isNotNull() & F.col("p90").isNotNull()
     g = weekly.groupBy("key", "version").agg(
-        F.count("*").alias("rows"), F.countDistinct("week_end").alias("n"), F.datediff(F.max(day), F.min(day)).alias("span"),
-        F.count_if((F.col("mean") < 0) | (F.col("p80") > F.col("p90")) | (F.col("mean") < 0)).alias("bad"),
-    )
-    return g.select("key", "version", "rows", ((F.col("n") == weeks) & (F.col("rows") == weeks) & (F.col("span") == 7 * (weeks - 1)) & (F.col("bad") == 0)).alias("is_valid"))
+        F.count("*").alias("rows"), F.count_distinct("week_end").alias("n"), F.datediff(F.max(day), F.min(day)).alias("span"),
+        F.count_if(below[0] | below[1] | below[2] | below[3]).alias("negative"), F.count_if(complete & disorder).alias("unordered"),
+    )
+    g = g.withColumn("contiguous", (F.col("n") == weeks) & (F.col("rows") == weeks) & (F.col("span") == 7 * (weeks - 1)))
+    return g.select("key", "version", "rows", "contiguous", "negative", "unordered", (F.col("contiguous") & (F.col("negative") == 0) & (F.col("unordered") == 0)).alias("is_valid"))
 
 
 def ambiguous_values(rows: DataFrame, key: str, value: str) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from quarrymill.functions.text import excerpt, theme_key
+from quarrymill.functions.text import excerpt, single_spaced, theme_key
 
 
 def tally(rows: DataFrame, *by: str, small: int = 10) -> DataFrame:
@@ -71,34 +71,23 @@ def area_trend(rows: DataFrame, recent_start: Column, least: int = 5) -> DataFra
 
 
 def excerpts(rows: DataFrame, most: int, size: int) -> DataFrame:
-    """(place, area, uid, excerpt): negative reviews taken in turn from the areas, largest areas first."""
-    bad = rows.where("sentiment = 'negative'")
-    depth = F.row_number().over(Window.partitionBy("area").orderBy(F.desc("rating"), "uid"))
-    inside = bad.withColumn("depth", depth).where(F.col("depth") <= most)
-    area = bad.groupBy("area").agg(F.count("*").alias("n"))
-    ranked = inside.join(area, "area").orderBy("depth", F.desc("n"), "area").limit(most)
-    place = F.row_number().over(Window.orderBy("depth", F.desc("n"), "area"))
-    return ranked.select(place.alias("place"), "area", "uid", excerpt(F.col("text"), size).alias("excerpt"))
+    """(place, area, uid, excerpt): negative reviews, the most confident first, taken in turn from the areas.
 
-
-def violations(items: DataFrame, areas: DataFrame, banned: list[str], numbers: DataFrame) -> DataFrame:
-    """(rank, rule) of action items (rank, title, description, area, strength) that break a rule.
-
-    Rules: title and description within their lengths, a known area and strength, no banned wording,
-    no field names, and only numbers that the summary (column number) has.
+    rows: (uid, sentiment, confidence, area, text). Areas come in order of their best confidence, then
+    of their names; a text that several reviews have, but for case and spaces, is quoted once, from
+    the most confident of them, then from the least uid. Unknown confidence is 0; reviews without a
+    text are left out. Only the `most` first of each area meet in one order.
     """
-    from quarrymill.functions.text import identifiers, numbers_in, words_found
-
-    text = F.concat_ws(" ", "title", "description")
-    known = areas.select(F.col("area").alias("_area")).distinct()
-    have = numbers.agg(F.collect_set("number").alias("_have"))  # the numbers of one summary
-    j = items.join(known, F.col("area") == F.col("_area"), "left").crossJoin(F.broadcast(have))
-    rules = F.array(
-        F.when(F.length("title") > 80, "title_length"), F.when(F.length("description") > 600, "description_length"), F.when(F.col("_area").isNull(), "unknown_area"),
-        F.when(~F.coalesce(F.col("strength").isin("strong", "moderate", "limited"), F.lit(False)), "unknown_strength"), F.when(F.size(words_found(text, banned)) > 0, "banned_wording"),
-        F.when(F.size(identifiers(text)) > 0, "field_name"), F.when(F.size(F.array_except(F.transform(numbers_in(text), lambda n: F.rtrim(n, F.lit("%"))), F.col("_have"))) > 0, "unsupported_number"),
-    )
-    return j.select("rank", F.explode(F.filter(rules, lambda r: r.isNotNull())).alias("rule"))
+    sure = F.coalesce("confidence", F.lit(0.0))
+    said = rows.where("sentiment = 'negative'").select("uid", "area", "text", sure.alias("sure"), F.lower(single_spaced(F.col("text"))).alias("key")).where("key <> ''")
+    order = F.struct((-F.col("sure")).alias("sure"), F.col("uid").alias("uid"))
+    once = said.groupBy("key").agg(F.min_by(F.struct("uid", "area", "text", "sure"), order).alias("r")).select("r.*")
+    depth = F.row_number().over(Window.partitionBy("area").orderBy(F.desc("sure"), "uid"))
+    inside = once.withColumn("depth", depth).where(F.col("depth") <= most)
+    best = once.groupBy("area").agg(F.max("sure").alias("best")).withColumnRenamed("area", "_area")
+    turn = [F.col("depth"), F.desc("best"), F.col("area")]
+    ranked = inside.join(best, F.col("area").eqNullSafe(F.col("_area"))).orderBy(*turn).limit(most)
+    return ranked.select(F.row_number().over(Window.orderBy(*turn)).alias("place"), "area", "uid", excerpt(F.col("text"), size).alias("excerpt"))
 
 
 def overall(rows: DataFrame) -> DataFrame:

@@ -72,14 +72,21 @@ def item_scores(folds: DataFrame) -> DataFrame:
 
 
 def tournament(scores: DataFrame, current: str, min_folds: int = 3, margin: float = 0.05) -> DataFrame:
-    """(key, best, best_wape, current_wape, verdict): switch only with enough folds and a clear gain."""
-    w = Window.partitionBy("key").orderBy("mean_wape", "method")
-    ranked = scores.where("mean_wape is not null").withColumn("r", F.row_number().over(w))
-    own = scores.where(F.col("method") == current).select("key", F.col("mean_wape").alias("current_wape"))
-    best = ranked.where("r = 1").select("key", F.col("method").alias("best"), F.col("mean_wape").alias("best_wape"), "folds")
+    """(key, best, best_wape, current_wape, folds, verdict) of scores (key, method, folds, median_wape).
+
+    best has the least median error, of equals the first by name. The current method stays where no
+    method was scored on min_folds folds, where it is the best itself, where it has no score, and where
+    the gain is not more than the margin. folds: the most that any method of the item has.
+    """
+    at = F.when(F.col("median_wape").isNotNull(), F.struct("median_wape", "method"))
+    g = scores.groupBy("key").agg(F.min(at).alias("b"), F.max(F.when(F.col("method") == current, F.col("median_wape"))).alias("current_wape"), F.max("folds").alias("folds"))
+    g = g.select("key", F.col("b.method").alias("best"), F.col("b.median_wape").alias("best_wape"), "current_wape", "folds")
     gain = F.col("current_wape") - F.col("best_wape")
-    verdict = F.when(F.col("folds") < min_folds, "too_few_folds").when(F.col("best") == current, "keep").when(F.coalesce(gain < margin, F.lit(False)), "keep_within_margin").otherwise("switch")
-    return best.join(own, "key", "left").select("key", "best", "best_wape", "current_wape", verdict.alias("verdict"))
+    verdict = (
+        F.when(F.col("folds") < min_folds, "too_few_folds").when(F.col("best").isNull() | (F.col("best") == current), "keep").when(F.col("current_wape").isNull(), "no_baseline")
+        .when(gain > margin + 1e-9, "switch").otherwise("keep_within_margin")
+    )
+    return g.select("*", verdict.alias("verdict"))
 
 
 def spearman(df: DataFrame, x: str, y: str) -> DataFrame:

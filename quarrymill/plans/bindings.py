@@ -115,7 +115,7 @@ families AS (SELECT code, min(family) AS family, min(c) AS changeover, bool_and(
 
 
 def reviews(spark: SparkSession, d: str) -> DataFrame:
-    """(uid, source, kind, sentiment, rating, area, product, themes, day, text) of every document."""
+    """(uid, source, kind, sentiment, rating, area, product, themes, day, text, confidence) of every document."""
     docs, labels = table(spark, d, "documents"), table(spark, d, "labels")
     labels = labels.groupBy("doc_id").agg(F.max("quality").alias("quality"), F.max("toxic").alias("toxic"))
     sentiment = F.when(F.col("toxic") == 1, "negative").when(F.col("quality") == 1, "positive").when(F.col("quality") == 0, "negative").otherwise("neutral")
@@ -125,6 +125,7 @@ def reviews(spark: SparkSession, d: str) -> DataFrame:
         F.when(F.col("doc_id") % 3 == 0, "service").otherwise("product").alias("kind"), sentiment.alias("sentiment"), (F.col("doc_id") % 5 + 1).cast("int").alias("rating"),
         F.col("source").alias("area"), F.concat(F.lit("p"), (F.col("doc_id") % 37).cast("string")).alias("product"), words.alias("themes"),
         F.date_add(F.lit("2024-01-01").cast("date"), (F.col("doc_id") % 365).cast("int")).alias("day"), "text",
+        F.when(F.col("doc_id") % 13 != 0, (F.col("doc_id") * 37 % 101) / 100).alias("confidence"),
     )
 
 
@@ -132,7 +133,7 @@ REVIEWS = """lab AS (SELECT doc_id, max(quality) AS quality, max(toxic) AS toxic
 reviews AS (SELECT 'd' || d.doc_id AS uid, CASE WHEN d.doc_id % 2 = 0 THEN 'shop' ELSE 'market' END AS source, CASE WHEN d.doc_id % 3 = 0 THEN 'service' ELSE 'product' END AS kind,
   CASE WHEN toxic = 1 THEN 'negative' WHEN quality = 1 THEN 'positive' WHEN quality = 0 THEN 'negative' ELSE 'neutral' END AS sentiment, CAST(d.doc_id % 5 + 1 AS INTEGER) AS rating,
   d.source AS area, 'p' || (d.doc_id % 37) AS product, ['Price ' || lang, CASE WHEN d.doc_id % 3 = 0 THEN 'late deliveries' ELSE 'delivery late' END, 'sizes ' || (d.doc_id % 4)] AS themes,
-  DATE '2024-01-01' + CAST(d.doc_id % 365 AS INTEGER) AS day, text FROM documents d LEFT JOIN lab l ON l.doc_id = d.doc_id)"""
+  DATE '2024-01-01' + CAST(d.doc_id % 365 AS INTEGER) AS day, text, CASE WHEN d.doc_id % 13 <> 0 THEN (d.doc_id * 37 % 101) / 100 END AS confidence FROM documents d LEFT JOIN lab l ON l.doc_id = d.doc_id)"""
 
 
 def invoices(spark: SparkSession, d: str) -> DataFrame:

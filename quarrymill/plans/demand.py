@@ -63,16 +63,17 @@ def item_method_scores(spark: SparkSession, d: str) -> DataFrame:
 
 
 @query(f"""WITH {_FOLDS}, f AS (SELECT key, method, train_end, sum(CAST(round(60 * abs(predicted - actual)) AS BIGINT)) / (60 * nullif(CAST(sum(actual) AS BIGINT), 0)) AS w FROM scored GROUP BY ALL),
-s AS (SELECT key, method, count(*) AS folds, round(list_reduce(list_sort(list(w) FILTER (w IS NOT NULL)), lambda x, y: x + y) / count(w) + 1e-9, 6) AS w FROM f GROUP BY 1, 2),
-b AS (SELECT *, row_number() OVER (PARTITION BY key ORDER BY w, method) AS r FROM s WHERE w IS NOT NULL)
-SELECT b.key, b.method AS best, b.w AS best_wape, c.w AS current_wape, CASE WHEN b.folds < 3 THEN 'too_few_folds' WHEN b.method = 'mean12' THEN 'keep' WHEN c.w - b.w < 0.05 THEN 'keep_within_margin' ELSE 'switch' END AS verdict
-FROM b LEFT JOIN s c ON c.key = b.key AND c.method = 'mean12' WHERE r = 1""")
+s AS (SELECT key, method, count(w) AS folds, round(median(w) + 1e-9, 6) AS w FROM f GROUP BY 1, 2),
+n AS (SELECT key, max(folds) AS folds, max(w) FILTER (method = 'mean12') AS current_wape FROM s GROUP BY 1),
+b AS (SELECT key, method, w, row_number() OVER (PARTITION BY key ORDER BY w, method) AS r FROM s WHERE w IS NOT NULL)
+SELECT n.key, b.method AS best, b.w AS best_wape, n.current_wape, n.folds,
+  CASE WHEN n.folds < 3 THEN 'too_few_folds' WHEN b.method IS NULL OR b.method = 'mean12' THEN 'keep' WHEN n.current_wape IS NULL THEN 'no_baseline' WHEN n.current_wape - b.w > 0.05 + 1e-9 THEN 'switch' ELSE 'keep_within_margin' END AS verdict
+FROM n LEFT JOIN b ON b.key = n.key AND b.r = 1""")
 def method_tournament(spark: SparkSession, d: str) -> DataFrame:
     """Which method an item should use, by exact errors: units are whole, and means of 3, 6 or 12 are sixtieths."""
     e = F.sum(F.round(60 * F.abs(F.col("predicted") - F.col("actual"))).cast("long")) / (60 * F.nullif(F.sum("actual").cast("long"), F.lit(0)))
     folds = _folds(spark, d).groupBy("key", "method", "train_end").agg(e.alias("w"))
-    by_size = F.aggregate(F.array_sort(F.collect_list("w")), F.lit(0.0), lambda a, x: a + x)
-    scores = folds.groupBy("key", "method").agg(F.count("*").alias("folds"), R6(F.try_divide(by_size, F.count("w")) + 1e-9).alias("mean_wape"))
+    scores = folds.groupBy("key", "method").agg(F.count("w").alias("folds"), R6(F.median("w") + 1e-9).alias("median_wape"))
     return scoring.tournament(scores, "mean12")
 
 

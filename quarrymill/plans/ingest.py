@@ -203,10 +203,19 @@ def flattened_reports(spark: SparkSession, d: str) -> DataFrame:
     return flat.select("market", "item", "units", "revenue")
 
 
-@query(f"""WITH {WEEKLY} SELECT key, version, count(*) AS "rows", count(DISTINCT week_end) = 52 AND count(*) = 52 AND max(week_end) - min(week_end) = 357 AS is_valid FROM weekly WHERE week_end BETWEEN DATE '2000-01-01' AND DATE '2000-12-23' GROUP BY 1, 2""")
+@query(f"""WITH {WEEKLY}, w AS (SELECT key, version, week_end, CASE WHEN key % 5 = 1 AND month(week_end) = 3 THEN NULL ELSE mean END AS mean, mean + key % 7 - CASE WHEN key % 4 = 2 THEN -1 ELSE 3 END AS p70,
+  CASE WHEN key % 11 = 3 AND dayofyear(week_end) < 8 THEN -5.0 WHEN key % 6 = 5 THEN NULL ELSE p80 END AS p80, p90, year(week_end) AS y FROM weekly)
+SELECT key * 100 + y - 1900 AS key, version, count(*) AS "rows", count(DISTINCT week_end) = 52 AND count(*) = 52 AND max(week_end) - min(week_end) = 357 AS contiguous,
+  count(*) FILTER (coalesce(mean, 0) < 0 OR coalesce(p70, 0) < 0 OR coalesce(p80, 0) < 0 OR coalesce(p90, 0) < 0) AS negative, count(*) FILTER (NOT (p70 <= p80 AND p80 <= p90) AND p70 IS NOT NULL AND p80 IS NOT NULL AND p90 IS NOT NULL) AS unordered,
+  contiguous AND negative = 0 AND unordered = 0 AS is_valid FROM w GROUP BY key, y, version""")
 def valid_forecasts(spark: SparkSession, d: str) -> DataFrame:
-    w = weekly_forecast(spark, d).where("week_end between '2000-01-01' and '2000-12-23'")
-    return checks.forecast_is_valid(w, 52)
+    """Every part group's forecast of every year; some values are taken away, negative or out of order."""
+    w, key = weekly_forecast(spark, d), F.col("key")
+    mean = F.when((key % 5 == 1) & (F.month("week_end") == 3), None).otherwise(F.col("mean"))
+    p70 = F.col("mean") + key % 7 - F.when(key % 4 == 2, -1).otherwise(3)
+    p80 = F.when((key % 11 == 3) & (F.dayofyear("week_end") < 8), -5.0).when(key % 6 == 5, None).otherwise(F.col("p80"))
+    rows = w.select((key * 100 + F.year("week_end") - 1900).alias("key"), "version", "week_end", mean.alias("mean"), p70.alias("p70"), p80.alias("p80"), "p90")
+    return checks.forecast_is_valid(rows, 52)
 
 
 @query(f"""WITH r AS (SELECT p_partkey AS key, p_partkey % 2 = 0 AS s, p_partkey % 3 = 0 AS f, p_partkey % 5 = 0 AS i FROM part) SELECT key, s AS in_sales, f AS in_forecast, i AS in_stock, CASE WHEN s AND f THEN 'forecast' WHEN f THEN 'forecast_only' WHEN s THEN 'sales_only' ELSE 'stock_only' END AS status FROM r WHERE s OR f OR i""")

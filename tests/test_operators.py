@@ -167,7 +167,9 @@ def test_small_functions(spark):
     assert one(spark, text.shorten(F.lit("one two, - three four"), 14)) == "one two..."
     assert one(spark, text.excerpt(F.lit("write to a.b@c.de. Thanks"), 80)) == "write to [email removed]. Thanks"
     assert one(spark, text.excerpt(F.lit("mail a.b@c.de or  +44 1234 567890 now"), 80)) == "mail [email removed] or [number removed] now"
-    assert one(spark, text.numbers_in(F.lit("3 of 40% since 2024-05 and 7.5"))) == ["3", "40%", "7.5"]
+    told = one(spark, text.figures(F.lit("SKU D35500 in the last 12 months, 1,200 of 2025, 3rd May: 45% and 7.5 per cent, .5 or 1,2345 since 2024-05-01 on 3/4/24; Mai 9x")))
+    assert [(f.value, f.percent, f.written) for f in told] == [(1200.0, False, "1,200"), (45.0, True, "45%"), (7.5, True, "7.5 per cent"), (1.0, False, "1"), (2345.0, False, "2345")]
+    assert one(spark, text.identifiers(F.lit("small_sample and a_b1 not Big_sample _x_y x__y ends_ é_small_a small_sample"))) == ["small_sample", "a_b1"]
     assert one(spark, text.words_found(F.lit("Huge and HUGE win"), ["huge", "win"])) == ["huge", "win"]
 
 
@@ -187,12 +189,32 @@ def test_missing_totals_and_duplicates(spark):
     assert upsert.duplicate_keys(rows, ["market", "item"]).first().rows == 2
 
 
-def test_action_item_rules(spark):
-    items = spark.createDataFrame([(1, "Fix sizes", "12 of 40 reviews mention sizes.", "fit", "strong"), (2, "Massive win", "primary_aspect is 99%.", "nope", "huge")], "rank int, title string, description string, area string, strength string")
-    areas = spark.createDataFrame([("fit",)], "area string")
-    numbers = spark.createDataFrame([("12",), ("40",)], "number string")
-    got = {(r.rank, r.rule) for r in ops.violations(items, areas, ["massive"], numbers).collect()}
-    assert got == {(2, x) for x in ("unknown_area", "unknown_strength", "banned_wording", "field_name", "unsupported_number")}
+def test_excerpts_go_by_confidence_and_quote_a_text_once(spark):
+    rows = [("a", "X", 0.9, "Too  small"), ("b", "X", None, "broke"), ("c", "Y", 0.95, "late"), ("d", "Y", 0.9, "TOO small"), ("e", "Y", 0.5, "cold"), ("f", None, 0.1, "odd"), ("g", "Z", 1.0, " ")]
+    df = spark.createDataFrame([(u, "negative", c, a, t) for u, a, c, t in rows], "uid string, sentiment string, confidence double, area string, text string")
+    got = ops.excerpts(df, 5, 40).orderBy("place").collect()
+    assert [(r.place, r.area, r.uid, r.excerpt) for r in got] == [(1, "Y", "c", "late"), (2, "X", "a", "Too small"), (3, None, "f", "odd"), (4, "Y", "e", "cold"), (5, "X", "b", "broke")]
+
+
+def test_tournament_keeps_what_it_cannot_beat(spark):
+    rows = [
+        ("margin", "now", 3, 0.30), ("margin", "new", 3, 0.25), ("wins", "now", 3, 0.30), ("wins", "new", 3, 0.20), ("few", "now", 2, 0.9), ("few", "new", 2, 0.1), ("blind", "now", 3, None), ("blind", "new", 3, 0.1),
+        ("same", "now", 3, 0.2), ("same", "zzz", 3, 0.2), ("other", "new", 3, 0.1), ("none", "now", 3, None), ("mixed", "now", 1, 0.9), ("mixed", "new", 3, 0.1),
+    ]
+    got = {r["key"]: (r["best"], r["verdict"]) for r in scoring.tournament(spark.createDataFrame(rows, "key string, method string, folds long, median_wape double"), "now").collect()}
+    assert got == {
+        "margin": ("new", "keep_within_margin"), "wins": ("new", "switch"), "few": ("new", "too_few_folds"), "blind": ("new", "no_baseline"), "same": ("now", "keep"), "other": ("new", "no_baseline"), "none": (None, "keep"), "mixed": ("new", "switch"),
+    }
+
+
+def test_forecasts_with_negative_or_unordered_values_are_not_valid(spark):
+    def week(k, i, mean=5.0, p70=6.0, p80=7.0, p90=8.0):
+        return (k, 1, f"2000-01-{1 + 7 * i:02d}", mean, p70, p80, p90)
+
+    rows = [week(1, i) for i in range(3)] + [week(2, 0), week(2, 1, p80=-5.0), week(2, 2)] + [week(3, i, p70=None) for i in range(3)] + [week(4, 0), week(4, 2)] + [week(5, 0, p70=9.0), week(5, 1, mean=None), week(5, 2)] + [week(6, 0), week(6, 0), week(6, 2)]
+    df = spark.createDataFrame(rows, "key int, version int, week_end string, mean double, p70 double, p80 double, p90 double").withColumn("week_end", F.to_date("week_end"))
+    got = {r["key"]: (r["contiguous"], r["negative"], r["unordered"], r["is_valid"]) for r in checks.forecast_is_valid(df, 3).collect()}
+    assert got == {1: (True, 0, 0, True), 2: (True, 1, 1, False), 3: (True, 0, 0, True), 4: (False, 0, 0, False), 5: (True, 0, 1, False), 6: (False, 0, 0, False)}
 
 
 @pytest.mark.parametrize("model", list(models.MODELS))
