@@ -28,3 +28,9 @@ def minus(a: Column, b: Column) -> Column:
 def upto(n: Column) -> Column:
     """0, 1, ..., n - 1 for n >= 1."""
     return F.sequence(F.lit(0), n - 1)
+
+
+def middle(values: Column) -> Column:
+    """The median of an array without nulls, the mean of the two middle values; null for none."""
+    n = F.size(values)
+    return let(F.array_sort(values), lambda s: (F.get(s, F.floor((n - 1) / 2).cast("int")) + F.get(s, F.floor(n / 2).cast("int"))) / 2)

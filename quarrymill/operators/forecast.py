@@ -11,6 +11,8 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from quarrymill.functions.folds import total
+
 ALPHAS = (0.1, 0.2, 0.3, 0.5, 0.7, 0.9)
 
 
@@ -19,10 +21,11 @@ def origins(n_months: int, min_train: int, horizon: int, stride: int) -> list[in
     return list(range(min_train, n_months - horizon + 1, stride))
 
 
-def histories(grid: DataFrame, train_ends: Sequence[str] | None = None, min_history: int = 12) -> DataFrame:
+def histories(grid: DataFrame, train_ends: Sequence[str] | None = None, min_history: int = 12, ahead: int = 0) -> DataFrame:
     """(key, train_end, ys) for each origin, a month start as text; without origins, the last month.
 
-    A key's months are collected once and cut at each origin.
+    A key's months are collected once and cut at each origin. With `ahead`, actuals is the array of so
+    many months after the origin, 0 beyond the grid's end.
     """
     at = grid.where("units is not null")
     held = at.groupBy("key").agg(F.array_sort(F.collect_list(F.struct("month", "units"))).alias("x"))
@@ -33,7 +36,9 @@ def histories(grid: DataFrame, train_ends: Sequence[str] | None = None, min_hist
         ends = F.array(*(F.lit(x).cast("date") for x in train_ends))
         joined = held.select("key", "x", F.explode(ends).alias("train_end"))
     ys = F.transform(F.filter("x", lambda x: x["month"] <= F.col("train_end")), lambda x: x["units"])
-    return joined.select("key", "train_end", ys.alias("ys")).where(F.size("ys") >= min_history)
+    later = F.transform(F.filter("x", lambda x: x["month"] > F.col("train_end")), lambda x: x["units"])
+    padded = [F.slice(F.concat(later, F.array_repeat(F.lit(0.0), ahead)), 1, ahead).alias("actuals")] if ahead else []
+    return joined.select("key", "train_end", ys.alias("ys"), *padded).where(F.size("ys") >= min_history)
 
 
 def _repeat(level: Column, horizon: int) -> Column:
@@ -173,6 +178,20 @@ def forecast(past: DataFrame, horizon: int, methods: Sequence[str]) -> DataFrame
     )
 
 
+def fold_errors(past: DataFrame, horizon: int, methods: Sequence[str]) -> DataFrame:
+    """(key, train_end, method, steps, error, absolute, actual): sums over the steps of each fold.
+
+    past: histories with actuals. A series' folds are scored where its months are, so nothing is joined
+    and no step is a row.
+    """
+    made = F.array(*(F.struct(F.lit(m).alias("method"), METHODS[m](F.col("ys"), horizon).alias("values")) for m in methods))
+    rows = past.select("key", "train_end", "actuals", F.explode(made).alias("f"))
+    errors = F.zip_with("f.values", "actuals", lambda v, a: F.greatest(v, F.lit(0.0)) - a)
+    return rows.select("key", "train_end", "f.method", errors.alias("e"), "actuals").select(
+        "key", "train_end", "method", F.lit(horizon).alias("steps"), total(F.col("e")).alias("error"), total(F.transform("e", F.abs)).alias("absolute"), total(F.col("actuals")).alias("actual")
+    )
+
+
 def naive_route(grid: DataFrame, train_end: str, months: int, horizon: int, low: float = 0.6, high: float = 1.4) -> DataFrame:
     """(key, target_month, yhat, yhat_lower, yhat_upper): mean over calendar months, absent ones as 0."""
     end = F.to_date(F.lit(train_end))

@@ -8,16 +8,17 @@ from pyspark.sql import functions as F
 from ..session import use_checkpoints
 
 
-def ordered_counts(df: DataFrame, value: Column) -> DataFrame:
+def ordered_counts(df: DataFrame, value: Column, weight: Column | None = None) -> DataFrame:
     """(value, n, before) of each distinct value that is not null: its rows, and the rows of lesser values.
 
+    weight: how many rows a row stands for.
     Values are dealt out by range and counted on within their range; one row a range gives what lies
     before it. The ranges are checkpointed, so that both readings see the same ones.
     """
     spark = df.sparkSession
     use_checkpoints(spark)
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    counts = df.select(value.alias("value")).where("value is not null").groupBy("value").agg(F.count("*").alias("n"))
+    counts = df.select(value.alias("value"), (F.lit(1) if weight is None else weight).cast("long").alias("weight")).where("value is not null").groupBy("value").agg(F.sum("weight").alias("n"))
     ranged = counts.repartitionByRange(parts, "value").withColumn("_p", F.spark_partition_id()).checkpoint()
     upto = Window.orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)
     starts = ranged.groupBy("_p").agg(F.sum("n").alias("_n")).select("_p", F.coalesce(F.sum("_n").over(upto), F.lit(0)).alias("_start"))  # a row a range
@@ -25,12 +26,28 @@ def ordered_counts(df: DataFrame, value: Column) -> DataFrame:
     return ranged.join(F.broadcast(starts), "_p").select("value", "n", (F.col("_start") + F.coalesce(inner, F.lit(0))).alias("before"))
 
 
+def exact_medians(df: DataFrame, values: dict[str, Column]) -> DataFrame:
+    """One row with the median of each named column, the mean of the two middle values; null without values.
+
+    All columns go through one count, one deal by range and one checkpoint.
+    """
+    spark = df.sparkSession
+    use_checkpoints(spark)
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    each = F.explode(F.array(*(F.struct(F.lit(k).alias("which"), v.cast("double").alias("value")) for k, v in enumerate(values.values())))).alias("e")
+    counts = df.select(each).select("e.which", "e.value").where("value is not null").groupBy("which", "value").agg(F.count("*").alias("n"))
+    ranged = counts.repartitionByRange(parts, "which", "value").withColumn("_p", F.spark_partition_id()).checkpoint()
+    ranges = ranged.groupBy("which", "_p").agg(F.sum("n").alias("_n"))  # a row a range and column
+    column = Window.partitionBy("which")
+    upto = column.orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)
+    starts = ranges.select(F.col("which").alias("_which"), F.col("_p").alias("_part"), F.coalesce(F.sum("_n").over(upto), F.lit(0)).alias("_start"), F.sum("_n").over(column).alias("_total"))
+    inner = F.sum("n").over(Window.partitionBy("which", "_p").orderBy("value").rowsBetween(Window.unboundedPreceding, -1))
+    placed = ranged.withColumn("inner", F.coalesce(inner, F.lit(0))).join(F.broadcast(starts), (F.col("which") == F.col("_which")) & (F.col("_p") == F.col("_part")))
+    before, last = F.col("_start") + F.col("inner"), F.col("_total") - 1
+    inside = lambda k: (before <= k) & (k < before + F.col("n"))
+    at = lambda k, which: F.max(F.when((F.col("which") == which) & inside(k), F.col("value")))
+    return placed.agg(*(((at(F.floor(last / 2), k) + at(F.ceil(last / 2), k)) / 2).alias(name) for k, name in enumerate(values)))
+
+
 def exact_median(df: DataFrame, value: Column, name: str) -> DataFrame:
-    """One row with the median of a column, the mean of the two middle values; null without values."""
-    counts = ordered_counts(df, value)
-    total = counts.agg(F.sum("n").alias("total"))
-    last = F.col("total") - 1
-    inside = lambda k: (F.col("before") <= k) & (k < F.col("before") + F.col("n"))
-    low, high = F.floor(last / 2), F.ceil(last / 2)
-    middle = counts.crossJoin(F.broadcast(total))  # one row
-    return middle.agg(((F.max(F.when(inside(low), F.col("value"))) + F.max(F.when(inside(high), F.col("value")))) / 2).alias(name))
+    return exact_medians(df, {name: value})

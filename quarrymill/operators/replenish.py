@@ -8,8 +8,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.folds import let, middle, total
 from ..session import use_checkpoints
-from .ordered import exact_median
+from .ordered import exact_medians
 
 EVENT_SHARE, FULL_TRUST = 0.3, 4
 COVER_MIN, COVER_MAX, DEFAULT_COVER, DEFAULT_LOT_MONTHS = 0.25, 4.0, 1.0, 3.0
@@ -34,22 +35,24 @@ def raw_habits(months: DataFrame) -> DataFrame:
     """(key, events, lot, cover, per_year, recent_sales) from a grid (key, month, sales, stock, received).
 
     An order event is a month that receives at least 0.3 of the median positive receipt. cover is the
-    median of last month's stock by the month's sales over two events or more, cut to 0.25..4.
+    median of last month's stock by the month's sales over two events or more, cut to 0.25..4. A key's
+    months are collected once; all else are folds over them.
     """
-    whole, order = Window.partitionBy("key"), Window.partitionBy("key").orderBy("month")
-    got = F.coalesce("received", F.lit(0.0))
-    m = months.select("*", got.alias("got"), F.lag("stock").over(order).alias("stock_before"), F.row_number().over(Window.partitionBy("key").orderBy(F.col("month").desc())).alias("back"))
-    m = m.withColumn("usual", F.median(F.when(F.col("got") > 0, F.col("got"))).over(whole))
-    event = (F.col("got") > 0) & (F.col("got") >= EVENT_SHARE * F.col("usual"))
-    ratio = F.when(event & F.col("stock_before").isNotNull() & (F.col("sales") > 0), F.col("stock_before") / F.col("sales"))
-    first = F.min(F.when(F.col("sales").isNotNull(), F.col("month")))
-    active = F.months_between(F.max("month"), first) + 1
-    out = m.groupBy("key").agg(
-        F.count_if(event).alias("events"), F.median(F.when(event, F.col("got"))).alias("lot"), F.count(ratio).alias("n_ratios"), F.median(ratio).alias("ratio"),
-        active.alias("active"), F.avg(F.when(F.col("back") <= 12, F.col("sales"))).alias("recent_sales"),
+    held = months.groupBy("key").agg(F.array_sort(F.collect_list(F.struct("month", "sales", "stock", F.coalesce("received", F.lit(0.0)).alias("got")))).alias("x"))
+    usual = middle(F.filter(F.transform("x", lambda r: r["got"]), lambda g: g > 0))
+    seen = F.transform("x", lambda r, i: F.struct(r["got"].alias("got"), r["sales"].alias("sales"), F.get("x", i - 1)["stock"].alias("before")))
+    events = let(usual, lambda u: F.filter(seen, lambda e: (e["got"] > 0) & (e["got"] >= EVENT_SHARE * u)))
+    sold = F.filter("x", lambda r: r["sales"].isNotNull())
+    active = F.months_between(F.element_at("x", -1)["month"], F.get("sold", 0)["month"]) + 1
+    year = F.filter(F.transform(F.slice("x", F.greatest(F.size("x") - 11, F.lit(1)), F.lit(12)), lambda r: r["sales"].cast("double")), lambda v: v.isNotNull())
+    m = held.select("key", "x", events.alias("found"), sold.alias("sold"), year.alias("year"))
+    ratios = F.filter(F.transform("found", lambda e: F.when(e["before"].isNotNull() & (e["sales"] > 0), e["before"] / e["sales"])), lambda r: r.isNotNull())
+    out = m.select(
+        "key", F.size("found").cast("long").alias("events"), middle(F.transform("found", lambda e: e["got"])).alias("lot"), ratios.alias("ratios"),
+        active.alias("active"), F.try_divide(total(F.col("year")), F.size("year")).alias("recent_sales"),
     )
     return out.select(
-        "key", "events", "lot", F.when(F.col("n_ratios") >= 2, F.least(F.greatest("ratio", F.lit(COVER_MIN)), F.lit(COVER_MAX))).alias("cover"),
+        "key", "events", "lot", F.when(F.size("ratios") >= 2, F.least(F.greatest(middle(F.col("ratios")), F.lit(COVER_MIN)), F.lit(COVER_MAX))).alias("cover"),
         F.try_divide(F.col("events") * 12.0, F.col("active")).alias("per_year"), "recent_sales",
     )
 
@@ -60,7 +63,7 @@ def learn_habits(months: DataFrame) -> DataFrame:
     use_checkpoints(months.sparkSession)
     raw = raw_habits(months).checkpoint()  # a row an item, read three times
     usable = (F.col("events") >= 3) & F.col("lot").isNotNull() & (F.col("recent_sales") > 0)
-    pooled = exact_median(raw, F.col("cover"), "c").crossJoin(exact_median(raw, F.when(usable, F.col("lot") / F.col("recent_sales")), "r"))  # each is one row
+    pooled = exact_medians(raw, {"c": F.col("cover"), "r": F.when(usable, F.col("lot") / F.col("recent_sales"))})
     market = pooled.select(
         F.coalesce("c", F.lit(DEFAULT_COVER)).alias("m_cover"), F.coalesce("r", F.lit(DEFAULT_LOT_MONTHS)).alias("m_ratio"),
         F.col("c").isNull().alias("default_cover"), F.col("r").isNull().alias("default_lot"),
@@ -156,12 +159,14 @@ def weekly_to_monthly(weekly: DataFrame, shrink: float = 1.0, min_coverage: floa
 def uplift_ratios(monthly: DataFrame) -> DataFrame:
     """One row (r80, r90): median percentile by mean, or the defaults."""
     ok = monthly.where("mean > 0")
-    found = exact_median(ok, F.col("p80") / F.col("mean"), "a").crossJoin(exact_median(ok, F.col("p90") / F.col("mean"), "b"))  # each is one row
+    found = exact_medians(ok, {"a": F.col("p80") / F.col("mean"), "b": F.col("p90") / F.col("mean")})
     return found.select(F.coalesce("a", F.lit(DEFAULT_RATIOS[0])).alias("r80"), F.coalesce("b", F.lit(DEFAULT_RATIOS[1])).alias("r90"))
 
 
 def scenarios(own: DataFrame, market: DataFrame, weight: float) -> DataFrame:
     """(key, month, mean, p80, p90): own forecasts (key, month, own) blended with the market's at a weight."""
+    use_checkpoints(own.sparkSession)
+    market = market.checkpoint()  # read for the ratios and for the join
     joined = own.join(market, ["key", "month"], "left").crossJoin(F.broadcast(uplift_ratios(market)))  # one row
     o = F.greatest("own", F.lit(0.0))
     blend = F.col("mean").isNotNull() & F.lit(weight > 0)

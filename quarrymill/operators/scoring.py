@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.folds import middle, total
 from .ordered import ordered_counts
 
 
@@ -63,12 +64,17 @@ def absolute_percentage_error(actual: Column, predicted: Column) -> Column:
     return 100 * F.try_divide(F.abs(actual - predicted), F.nullif(F.abs(actual), F.lit(0.0)))
 
 
-def item_scores(folds: DataFrame) -> DataFrame:
-    """(key, method, folds, mean_wape, median_wape, pooled_wape) from fold rows (key, method, train_end, actual, predicted)."""
-    each = folds.groupBy("key", "method", "train_end").agg(wape(F.col("actual"), F.col("predicted")).alias("w"), F.sum(F.abs(F.col("predicted") - F.col("actual"))).alias("e"), F.sum(F.abs("actual")).alias("a"))
-    return each.groupBy("key", "method").agg(
-        F.count("*").alias("folds"), F.avg("w").alias("mean_wape"), F.median("w").alias("median_wape"), F.try_divide(F.sum("e"), F.nullif(F.sum("a"), F.lit(0.0))).alias("pooled_wape")
-    )
+def score_folds(errors: DataFrame) -> DataFrame:
+    """(method, rows, wape, bias) of forecast.fold_errors; actuals are not negative."""
+    actual = F.nullif(F.sum("actual"), F.lit(0.0))
+    return errors.groupBy("method").agg(F.sum("steps").alias("rows"), F.try_divide(F.sum("absolute"), actual).alias("wape"), F.try_divide(F.sum("error"), actual).alias("bias"))
+
+
+def item_scores(errors: DataFrame) -> DataFrame:
+    """(key, method, folds, mean_wape, median_wape, pooled_wape) of forecast.fold_errors; a fold without units counts, but has no error."""
+    each = errors.withColumn("w", F.try_divide("absolute", F.nullif("actual", F.lit(0.0))))
+    g = each.groupBy("key", "method").agg(F.count("*").alias("folds"), F.collect_list("w").alias("w"), F.sum("absolute").alias("e"), F.sum("actual").alias("a"))  # a number a fold
+    return g.select("key", "method", "folds", F.try_divide(total(F.col("w")), F.size("w")).alias("mean_wape"), middle(F.col("w")).alias("median_wape"), F.try_divide("e", F.nullif("a", F.lit(0.0))).alias("pooled_wape"))
 
 
 def tournament(scores: DataFrame, current: str, min_folds: int = 3, margin: float = 0.05) -> DataFrame:
@@ -94,13 +100,19 @@ def spearman(df: DataFrame, x: str, y: str) -> DataFrame:
 
     Ranks come from counts by value, which are ordered by ranges.
     """
-    known = df.where(F.col(x).isNotNull() & F.col(y).isNotNull())
+    known = df.where(F.col(x).isNotNull() & F.col(y).isNotNull()).groupBy(F.col(x).alias("x"), F.col(y).alias("y")).agg(F.count("*").alias("n"))
+    weighed = lambda c: known.groupBy(c).agg(F.sum("n").alias("n"))
 
     def ranks(c: str) -> DataFrame:
-        return ordered_counts(known, F.col(c)).select(F.col("value").alias(f"_{c}"), (F.col("before") + (F.col("n") + 1) / 2).alias(f"rank_{c}"))
-
-    both = known.join(ranks(x), F.col(x) == F.col(f"_{x}")).join(ranks(y), F.col(y) == F.col(f"_{y}"))
-    return both.agg(F.corr(f"rank_{x}", f"rank_{y}").alias("rho"), F.count("*").alias("n"))
+        return ordered_counts(weighed(c), F.col(c), F.col("n")).select(F.col("value").alias(f"_{c}"), (F.col("before") + (F.col("n") + 1) / 2).alias(f"rank_{c}"))
+
+    # equal pairs are one row, so a value that most rows share meets its rank once for each value beside it
+    both = known.join(ranks("x"), F.col("x") == F.col("_x")).join(ranks("y"), F.col("y") == F.col("_y"))
+    a, b, n = F.col("rank_x"), F.col("rank_y"), F.col("n")
+    s = both.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), *(F.sum(e).alias(k) for k, e in (("a", a * n), ("b", b * n), ("aa", a * a * n), ("bb", b * b * n), ("ab", a * b * n))))
+    spread = lambda p, q, pq: F.col(pq) - F.col(p) * F.col(q) / F.col("n")
+    scale = F.sqrt(spread("a", "a", "aa") * spread("b", "b", "bb"))
+    return s.select(F.try_divide(spread("a", "b", "ab"), F.nullif(scale, F.lit(0.0))).alias("rho"), "n")
 
 
 def two_grain_accuracy(rows: DataFrame, item: str = "item", family: str = "family") -> DataFrame:

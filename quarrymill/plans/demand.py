@@ -36,6 +36,10 @@ def _predictions(spark: SparkSession, d: str, methods: tuple[str, ...] = _METHOD
     return forecast.forecast(past, HORIZON, methods)
 
 
+def _fold_errors(spark: SparkSession, d: str) -> DataFrame:
+    return forecast.fold_errors(forecast.histories(month_grid(spark, d), ENDS, ahead=HORIZON), HORIZON, _METHODS)
+
+
 def _folds(spark: SparkSession, d: str) -> DataFrame:
     actual = month_sales(spark, d).select("key", F.col("month").alias("target_month"), F.col("units").alias("actual"))
     return _predictions(spark, d).join(actual, ["key", "target_month"], "left").withColumn("actual", F.coalesce("actual", F.lit(0.0)))
@@ -44,7 +48,7 @@ def _folds(spark: SparkSession, d: str) -> DataFrame:
 @query(f"""WITH {_FOLDS} SELECT method, count(*) AS "rows", round(sum(abs(predicted - actual)) / sum(actual), 6) AS wape, round(sum(predicted - actual) / sum(actual), 6) AS bias FROM scored GROUP BY 1""")
 def forecast_error_by_method(spark: SparkSession, d: str) -> DataFrame:
     """Rolling back-test of the simple methods at series level."""
-    s = scoring.score_by_series(_predictions(spark, d), month_sales(spark, d))
+    s = scoring.score_folds(_fold_errors(spark, d))
     return s.select("method", "rows", R6("wape").alias("wape"), R6("bias").alias("bias"))
 
 
@@ -58,7 +62,7 @@ def forecast_error_of_totals(spark: SparkSession, d: str) -> DataFrame:
 @query(f"""WITH {_FOLDS}, f AS (SELECT key, method, train_end, sum(abs(predicted - actual)) AS e, nullif(sum(actual), 0) AS a FROM scored GROUP BY ALL)
 SELECT key, method, count(*) AS folds, round(avg(e / a), 6) AS mean_wape, round(median(e / a), 6) AS median_wape, round(sum(e) / nullif(sum(coalesce(a, 0)), 0), 6) AS pooled_wape FROM f GROUP BY 1, 2""")
 def item_method_scores(spark: SparkSession, d: str) -> DataFrame:
-    s = scoring.item_scores(_folds(spark, d))
+    s = scoring.item_scores(_fold_errors(spark, d))
     return s.select("key", "method", "folds", R6("mean_wape").alias("mean_wape"), R6("median_wape").alias("median_wape"), R6("pooled_wape").alias("pooled_wape"))
 
 
