@@ -13,8 +13,20 @@ from quarrymill.llm import mixing, near_duplicates, packing, quality_rules, secr
 from quarrymill.llm.common import rows_with, shared_folder
 
 
+#: Rows of an Arrow batch. Spark's default of 10,000 whole texts is some 30 MB, which an executor holds several times over.
+BATCH_ROWS = "1000"
+
+
+def _bounded_batches(spark: SparkSession) -> None:
+    """Texts go to Python in batches of BATCH_ROWS, or fewer where the session says so; results do not depend on it."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(key)) <= int(BATCH_ROWS):
+        spark.conf.set(key, BATCH_ROWS)
+
+
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the repetition rules reject go; rows without a text have no words and go with them."""
+    _bounded_batches(spark)
     return quality_rules.kept_rows(docs)
 
 
@@ -23,22 +35,26 @@ def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
     Rows that repeat an id are one document, which stays or goes; rows without an id stay.
     """
+    _bounded_batches(spark)
     return rows_with(docs, near_duplicates.near_duplicates(docs).where("not kept").select("doc_id"), how="left_anti")
 
 
 def secret_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Secrets are replaced in the texts; n_chars follows the text."""
+    _bounded_batches(spark)
     clean = secrets.redact_documents(docs, path_col="source")
     return clean.withColumn("n_chars", F.length("text").cast("long")).select(*docs.columns)
 
 
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every row is repeated as often as the mix takes it; those it doesn't take go."""
+    _bounded_batches(spark)
     return mixing.mixed_rows(docs)
 
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token sequences of 1024, as their pieces."""
+    _bounded_batches(spark)
     import public_tokenizers
 
     return packing.pack_documents(docs, public_tokenizers.path("byte_bpe_50k.json"), added_tokens=True)
