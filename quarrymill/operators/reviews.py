@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -129,8 +131,79 @@ def placeholder(windows: DataFrame) -> DataFrame:
     return windows.where("not is_used").withColumn("title", text)
 
 
-def document(rows: DataFrame) -> DataFrame:
-    """(source, json): counts and the area tallies of a source as one JSON document."""
-    areas = tally(rows, "source", "area").groupBy("source").agg(F.array_sort(F.collect_list(F.struct("area", "reviews", "negatives"))).alias("areas"))
-    totals = rows.groupBy("source").agg(F.count("*").alias("reviews"), F.count_if(F.col("sentiment") == "negative").alias("negatives"))
-    return totals.join(areas, "source").select("source", F.to_json(F.struct("reviews", "negatives", "areas")).alias("json"))
+#: What the rows of a scope are counted by, in one pass: section, and its columns.
+SECTIONS = {
+    "sentiment": (), "by_review_type_and_source": ("kind", "source"), "by_group": ("kind", "area"), "by_group_and_source": ("kind", "area", "source"), "monthly_negative": ("month",), "by_product": ("kind", "product"),
+}
+
+
+def scoped(rows: DataFrame) -> DataFrame:
+    """rows once for all sources and once for their own (column scope), with month, and recent: in the last third of the scope's days."""
+    each = rows.withColumn("scope", F.explode(F.array(F.lit("All"), "source"))).withColumn("month", F.date_format("day", "yyyy-MM"))
+    span = each.groupBy("scope").agg(F.min("day").alias("start"), F.max("day").alias("end"))  # a row a scope
+    third = F.greatest(F.lit(1), F.floor((F.datediff("end", "start") + 1) / 3)).cast("int")
+    return each.join(span.withColumn("recent_start", F.date_add(F.date_sub("end", third), 1)), "scope").withColumn("recent", F.col("day") >= F.col("recent_start"))
+
+
+def section_tallies(rows: DataFrame) -> DataFrame:
+    """(scope, section, kind, area, source, month, product, reviews, positive, neutral, negatives, recent_reviews, recent_negatives).
+
+    All sections of all scopes come of one pass with grouping sets; columns that a section does not have are null.
+    """
+    columns = ["scope", "kind", "area", "source", "month", "product"]
+    sets = [["scope", *c] for c in SECTIONS.values()]
+    given = scoped(rows).na.fill("unknown", ["kind", "area", "source"])
+    bad = F.col("sentiment") == "negative"
+    g = given.groupingSets([[F.col(c) for c in own] for own in sets], *columns).agg(
+        F.grouping_id(*columns).alias("id"), F.count("*").alias("reviews"), *(F.count_if(F.col("sentiment") == x).alias(n) for x, n in (("positive", "positive"), ("neutral", "neutral"), ("negative", "negatives"))),
+        F.count_if("recent").alias("recent_reviews"), F.count_if(F.col("recent") & bad).alias("recent_negatives"),
+    )
+    bits = {name: sum(1 << (len(columns) - 1 - i) for i, c in enumerate(columns) if c != "scope" and c not in own) for name, own in SECTIONS.items()}
+    section = F.coalesce(*(F.when(F.col("id") == b, name) for name, b in bits.items()))
+    return g.select("scope", section.alias("section"), *columns[1:], "reviews", "positive", "neutral", "negatives", "recent_reviews", "recent_negatives")
+
+
+def document(rows: DataFrame, small: int = 30, few: int = 5, products: int = 10, least: int = 3, themes: int = 15) -> DataFrame:
+    """(scope, json): all sections of a scope's reviews as one JSON document.
+
+    Every entry has reviews, negatives, their share in percent, and small_sample (fewer than `small`
+    reviews); groups and types also their last third against the rest, few_mentions where both have fewer
+    than `few` negatives. Groups come by negatives, then reviews, then name. At most `products` products
+    with `least` negatives or more, and `themes` themes, are listed.
+    """
+    pct = lambda n, m: F.round(100 * F.try_divide(n, F.nullif(m, F.lit(0).cast("long"))), 1)
+    part = lambda n, m: F.struct(n.alias("reviews"), m.alias("negatives"), pct(m, n).alias("negative_share_pct"), (n < small).alias("small_sample"))
+    n, m, rn, rm = (F.col(c) for c in ("reviews", "negatives", "recent_reviews", "recent_negatives"))
+    trend = F.struct(part(rn, rm).alias("recent"), part(n - rn, m - rm).alias("earlier"), (m < few).alias("few_mentions")).alias("trend")
+    own = [n.alias("reviews"), m.alias("negatives"), pct(m, n).alias("negative_share_pct"), (n < small).alias("small_sample")]
+    t = section_tallies(rows).withColumn("place", F.row_number().over(Window.partitionBy("scope", "section", "kind").orderBy(F.desc("negatives"), F.desc("reviews"), "area", "product")))
+
+    def listed(section: str, entry: Column, order: Sequence[Column], where: Column | None = None) -> Column:
+        """array of the entries of a section, in order."""
+        chosen = (F.col("section") == section) & (F.lit(True) if where is None else where)
+        return F.transform(F.array_sort(F.collect_list(F.when(chosen, F.struct(F.struct(*order).alias("o"), entry.alias("e"))))), lambda x: x["e"])
+
+    named = lambda c: F.struct(F.col(c).alias("name"), *own, trend)
+    by_size = [-m, -n, F.col("area"), F.col("product")]
+    of = lambda kind: F.col("kind") == kind
+    whole = lambda c: F.max(F.when(F.col("section") == "sentiment", F.col(c)))
+    sums = t.groupBy("scope").agg(
+        F.struct(*(whole(c).alias(c) for c in ("reviews", "positive", "neutral", "negatives")), pct(whole("negatives"), whole("reviews")).alias("negative_share_pct")).alias("sentiment"),
+        listed("by_review_type_and_source", F.struct("kind", "source", *own, trend), [F.col("kind"), F.col("source")]).alias("by_review_type_and_source"),
+        listed("by_group", named("area"), by_size, of("product")).alias("product_by_sector_group"), listed("by_group", named("area"), by_size, of("service")).alias("service_by_aspect"),
+        listed("by_group_and_source", F.struct("kind", F.col("area").alias("name"), "source", *own), [F.col("kind"), F.col("area"), F.col("source")]).alias("groups_by_source"),
+        listed("monthly_negative", F.struct("month", *own), [F.col("month")]).alias("monthly_negative"),
+        listed("by_product", F.struct(F.col("product").alias("name"), *own), by_size, of("product") & F.col("product").isNotNull() & (m >= least) & (F.col("place") <= products + 1)).alias("p"),
+    )
+
+    every = scoped(rows)
+    said = every.where("sentiment = 'negative'").select("scope", "uid", F.explode("themes").alias("theme")).withColumn("key", theme_key(F.col("theme"))).where("key <> ''")
+    spelled = said.distinct().groupBy("scope", "key", "theme").agg(F.count("*").alias("k"))
+    label = spelled.groupBy("scope", "key").agg(F.min(F.struct((-F.col("k")).alias("k"), "theme"))["theme"].alias("theme"))
+    counted = said.select("scope", "uid", "key").distinct().groupBy("scope", "key").agg(F.count("*").alias("count")).join(label, ["scope", "key"])
+    top = counted.withColumn("r", F.row_number().over(Window.partitionBy("scope").orderBy(F.desc("count"), "key"))).where(F.col("r") <= themes)
+    told = top.groupBy("scope").agg(F.transform(F.array_sort(F.collect_list(F.struct("r", "theme", "count"))), lambda x: F.struct(x["theme"].alias("theme"), x["count"].alias("count"))).alias("top_negative_themes"))
+    window = every.groupBy("scope").agg(F.struct(F.min("start").cast("string").alias("start"), F.max("end").cast("string").alias("end"), F.max("recent_start").cast("string").alias("recent_start"), F.count("*").alias("reviews"), F.count_if("recent").alias("recent_reviews")).alias("window"))
+    sections = ["by_review_type_and_source", "product_by_sector_group", "service_by_aspect", "groups_by_source", "monthly_negative"]
+    whole_document = F.struct("window", "scope", F.lit(small).alias("small_sample_threshold_reviews"), "sentiment", *sections, F.slice("p", 1, products).alias("products_most_negative"), F.coalesce("top_negative_themes", F.array().cast("array<struct<theme:string,count:bigint>>")).alias("top_negative_themes"))
+    return sums.join(window, "scope").join(told, "scope", "left").select("scope", F.to_json(whole_document, {"ignoreNullFields": "false"}).alias("json"))

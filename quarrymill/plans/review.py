@@ -162,3 +162,19 @@ def grounded_replies(spark: SparkSession, d: str) -> DataFrame:
 def accepted_items(spark: SparkSession, d: str) -> DataFrame:
     """The items of replies that break no rule."""
     return grounding.check_replies(planted_replies(spark, d), summary_documents(spark, d))[1]
+
+
+@query(f"""WITH {REVIEWS}, e AS (SELECT 'All' AS scope, * FROM reviews UNION ALL SELECT source, * FROM reviews), b AS (SELECT scope, min(day) AS s, max(day) AS t FROM e GROUP BY 1),
+x AS (SELECT e.*, strftime(day, '%Y-%m') AS month, day > t - CAST(greatest(1, (t - s + 1) // 3) AS INTEGER) AS recent FROM e JOIN b ON b.scope = e.scope)
+SELECT scope, CASE WHEN grouping(month) = 0 THEN 'monthly_negative' WHEN grouping(product) = 0 THEN 'by_product' WHEN grouping(area) = 0 AND grouping(source) = 0 THEN 'by_group_and_source' WHEN grouping(area) = 0 THEN 'by_group' WHEN grouping(kind) = 0 THEN 'by_review_type_and_source' ELSE 'sentiment' END AS section,
+  kind, area, source, month, product, count(*) AS reviews, count(*) FILTER (sentiment = 'positive') AS positive, count(*) FILTER (sentiment = 'neutral') AS neutral, count(*) FILTER (sentiment = 'negative') AS negatives, count(*) FILTER (recent) AS recent_reviews, count(*) FILTER (recent AND sentiment = 'negative') AS recent_negatives
+FROM x GROUP BY GROUPING SETS ((scope), (scope, kind, source), (scope, kind, area), (scope, kind, area, source), (scope, month), (scope, kind, product))""")
+def scope_sections(spark: SparkSession, d: str) -> DataFrame:
+    """Counts of every section of every scope's summary, from one pass."""
+    return ops.section_tallies(reviews(spark, d))
+
+
+@query()
+def scope_summaries(spark: SparkSession, d: str) -> DataFrame:
+    """The whole summary document of each scope."""
+    return ops.document(reviews(spark, d))
