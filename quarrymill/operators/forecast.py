@@ -201,22 +201,22 @@ def naive_route(grid: DataFrame, train_end: str, months: int, horizon: int, low:
     return rows.select("key", F.add_months(end, F.col("h")).alias("target_month"), "yhat", (F.col("yhat") * low).alias("yhat_lower"), (F.col("yhat") * high).alias("yhat_upper"))
 
 
-def seasonal_factors(totals: DataFrame, shrink: float = 1.0) -> DataFrame:
-    """(month_of_year, factor) from monthly totals (month, units), all 1 below 24 months.
+def seasonal_factors(totals: DataFrame, shrink: float = 1.0, by: Sequence[str] = ()) -> DataFrame:
+    """(by, month_of_year, factor) from monthly totals (by, month, units), all 1 below 24 months.
 
     Ratios to the centred 2 x 12 moving average, averaged by month of the year, scaled to mean 1 and
-    drawn towards 1. The totals are a row a month, which one task orders.
+    drawn towards 1. The totals are a row a month (and group, such as an origin), which one task orders.
     """
-    w = Window.orderBy("month")
+    w = Window.partitionBy(*by).orderBy("month")
     inner = F.sum("units").over(w.rowsBetween(-5, 5))
     average = (F.lag("units", 6).over(w) + 2 * inner + F.lead("units", 6).over(w)) / 24
     ratio = F.when(average != 0, F.col("units") / average)
-    found = totals.select("month", ratio.alias("r")).where("r is not null").groupBy(F.month("month").alias("month_of_year")).agg(F.avg("r").alias("f"))
-    n = totals.agg(F.count("*").alias("n"))
-    year = totals.sparkSession.range(1, 13).select(F.col("id").cast("int").alias("month_of_year"))
-    full = year.join(found, "month_of_year", "left").crossJoin(F.broadcast(n)).withColumn("f", F.when(F.col("n") < 24, 1.0).otherwise(F.coalesce("f", F.lit(1.0))))
-    scaled = F.col("f") / F.avg("f").over(Window.partitionBy())
-    return full.select("month_of_year", (1 + shrink * (scaled - 1)).alias("factor"))
+    found = totals.select(*by, "month", ratio.alias("r")).where("r is not null").groupBy(*by, F.month("month").alias("month_of_year")).agg(F.avg("r").alias("f"))
+    n = totals.groupBy(*by).agg(F.count("*").alias("n"))
+    year = n.select(*by, "n", F.explode(F.sequence(F.lit(1), F.lit(12))).alias("month_of_year"))
+    full = year.join(found, [*by, "month_of_year"], "left").withColumn("f", F.when(F.col("n") < 24, 1.0).otherwise(F.coalesce("f", F.lit(1.0))))
+    scaled = F.col("f") / F.avg("f").over(Window.partitionBy(*by))
+    return full.select(*by, "month_of_year", (1 + shrink * (scaled - 1)).alias("factor"))
 
 
 def seasonal_forecast(grid: DataFrame, train_end: str, horizon: int, min_history: int = 12, shrink: float = 1.0) -> DataFrame:

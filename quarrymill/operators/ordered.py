@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -26,27 +28,29 @@ def ordered_counts(df: DataFrame, value: Column, weight: Column | None = None) -
     return ranged.join(F.broadcast(starts), "_p").select("value", "n", (F.col("_start") + F.coalesce(inner, F.lit(0))).alias("before"))
 
 
-def exact_medians(df: DataFrame, values: dict[str, Column]) -> DataFrame:
-    """One row with the median of each named column, the mean of the two middle values; null without values.
+def exact_medians(df: DataFrame, values: dict[str, Column], by: Sequence[str] = ()) -> DataFrame:
+    """(by, the median of each named column): the mean of the two middle values; null without values.
 
-    All columns go through one count, one deal by range and one checkpoint.
+    All columns and groups go through one count, one deal by range and one checkpoint. `by` is for a
+    short list of groups, such as origins; without it there is one row.
     """
     spark = df.sparkSession
     use_checkpoints(spark)
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    keys = [*by, "which"]
     each = F.explode(F.array(*(F.struct(F.lit(k).alias("which"), v.cast("double").alias("value")) for k, v in enumerate(values.values())))).alias("e")
-    counts = df.select(each).select("e.which", "e.value").where("value is not null").groupBy("which", "value").agg(F.count("*").alias("n"))
-    ranged = counts.repartitionByRange(parts, "which", "value").withColumn("_p", F.spark_partition_id()).checkpoint()
-    ranges = ranged.groupBy("which", "_p").agg(F.sum("n").alias("_n"))  # a row a range and column
-    column = Window.partitionBy("which")
+    counts = df.select(*by, each).select(*by, "e.which", "e.value").where("value is not null").groupBy(*keys, "value").agg(F.count("*").alias("n"))
+    ranged = counts.repartitionByRange(parts, *keys, "value").withColumn("_p", F.spark_partition_id()).checkpoint()
+    ranges = ranged.groupBy(*keys, "_p").agg(F.sum("n").alias("_n"))  # a row a range, column and group
+    column = Window.partitionBy(*keys)
     upto = column.orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)
-    starts = ranges.select(F.col("which").alias("_which"), F.col("_p").alias("_part"), F.coalesce(F.sum("_n").over(upto), F.lit(0)).alias("_start"), F.sum("_n").over(column).alias("_total"))
-    inner = F.sum("n").over(Window.partitionBy("which", "_p").orderBy("value").rowsBetween(Window.unboundedPreceding, -1))
-    placed = ranged.withColumn("inner", F.coalesce(inner, F.lit(0))).join(F.broadcast(starts), (F.col("which") == F.col("_which")) & (F.col("_p") == F.col("_part")))
+    starts = ranges.select(*keys, "_p", F.coalesce(F.sum("_n").over(upto), F.lit(0)).alias("_start"), F.sum("_n").over(column).alias("_total"))
+    inner = F.sum("n").over(Window.partitionBy(*keys, "_p").orderBy("value").rowsBetween(Window.unboundedPreceding, -1))
+    placed = ranged.withColumn("inner", F.coalesce(inner, F.lit(0))).join(F.broadcast(starts), [*keys, "_p"])
     before, last = F.col("_start") + F.col("inner"), F.col("_total") - 1
     inside = lambda k: (before <= k) & (k < before + F.col("n"))
     at = lambda k, which: F.max(F.when((F.col("which") == which) & inside(k), F.col("value")))
-    return placed.agg(*(((at(F.floor(last / 2), k) + at(F.ceil(last / 2), k)) / 2).alias(name) for k, name in enumerate(values)))
+    return placed.groupBy(*by).agg(*(((at(F.floor(last / 2), k) + at(F.ceil(last / 2), k)) / 2).alias(name) for k, name in enumerate(values)))
 
 
 def exact_median(df: DataFrame, value: Column, name: str) -> DataFrame:

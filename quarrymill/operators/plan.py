@@ -10,10 +10,12 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.folds import total
+from ..session import use_checkpoints
 from .adjustments import by_item
-from .forecast import seasonal_forecast
+from .forecast import seasonal_factors, seasonal_forecast
 from .grid import last_known
-from .replenish import confidence, in_order, learn_habits, po_share, replay, uplift_ratios, weekly_to_monthly
+from .replenish import confidence, held_months, in_order, learn_habits, po_share, pooled_habits, replay, shares_by, uplift_ratios, weekly_to_monthly
 
 SEASONAL_MONTHS = 24  # with fewer the seasonal shape is flat
 CASES = ("mean", "p80", "p90")
@@ -238,23 +240,33 @@ def summary(planned: DataFrame, decided: DataFrame) -> DataFrame:
 def backtest(months: DataFrame, origins: Sequence[str], horizon: int = 6, min_history: int = 12, demand_shrink: float = 0.5, use_po_share: bool = True) -> DataFrame:
     """(train_end, key, step, target_month, predicted): the replay at past origins, from what was known then.
 
-    Demand is the own seasonal forecast, for the market's has no history. Origins are a short list;
-    each is a plan of its own over the months up to it.
+    Demand is the own seasonal forecast, for the market's has no history. The origin is a column: a
+    key's months are collected once and cut at each origin, and habits, medians, shape and share are
+    grouped by it, so the plan does not grow with the origins and months is read once.
     """
-    made = []
-    for train_end in origins:
-        end = F.to_date(F.lit(train_end))
-        past = months.where(F.col("month") <= end)
-        start = starting_position(past).select("key", "stock0", "po0")
-        own = seasonal_forecast(past.select("key", "month", F.col("sales").alias("units")), train_end, horizon, min_history, demand_shrink)
-        rows = own.groupBy("key").agg(F.transform(F.array_sort(F.collect_list(F.struct("step", "predicted"))), lambda x: x["predicted"]).alias("d")).join(start, "key")
-        rows = rows.join(learn_habits(past.select("key", "month", "sales", "stock", "received")), "key")
-        rows = rows.crossJoin(F.broadcast(po_share(past))) if use_po_share else rows.withColumn("po_share", F.lit(1.0))  # one row
-        rows = rows.withColumn("r", replay(F.col("d"), F.coalesce("stock0", F.lit(0.0)), F.col("po0"), F.col("cover"), F.col("lot"), F.col("po_share")))
-        units = F.transform("d", lambda x, i: F.when(F.col("stock0").isNull(), x).otherwise(F.get("r", i)["known"] + F.get("r", i)["new"]))
-        flat = rows.select("key", F.posexplode(units).alias("pos", "predicted"))
-        made.append(flat.select(end.alias("train_end"), "key", (F.col("pos") + 1).alias("step"), F.add_months(end, F.col("pos") + 1).alias("target_month"), "predicted"))
-    out = made[0]
-    for x in made[1:]:
-        out = out.unionByName(x)
-    return out
+    use_checkpoints(months.sparkSession)
+    held = held_months(months).checkpoint()
+    end = F.col("train_end")
+    at = held.select("key", "x", F.explode(F.array(*(F.lit(x).cast("date") for x in origins))).alias("train_end"))
+    at = at.select("train_end", "key", F.filter("x", lambda r: r["month"] <= end).alias("x")).where(F.size("x") > 0)
+
+    totals = held.select(F.explode("x").alias("r")).where("r.sales is not null").groupBy(F.col("r.month").alias("month")).agg(F.sum("r.sales").alias("units"))  # a row a month
+    totals = totals.select("month", "units", F.explode(F.array(*(F.lit(x).cast("date") for x in origins))).alias("train_end")).where(F.col("month") <= end)
+    factors = seasonal_factors(totals, demand_shrink, ["train_end"]).groupBy("train_end").agg(F.transform(F.array_sort(F.collect_list(F.struct("month_of_year", "factor"))), lambda f: f["factor"]).alias("f"))
+
+    of_month = lambda day: F.get("f", F.month(day) - 1)
+    recent = F.filter("x", lambda r: r["sales"].isNotNull())
+    known = F.filter(F.slice("x", F.greatest(F.size("x") - 2, F.lit(1)), F.lit(3)), lambda r: r["stock"].isNotNull())
+    rows = at.join(F.broadcast(factors), "train_end").select(  # a row an origin
+        "train_end", "key", "f", recent.alias("sold"), F.try_element_at(known, F.lit(-1))["stock"].alias("stock0"), F.coalesce(F.element_at("x", -1)["open_po"], F.lit(0.0)).alias("po0")
+    ).where(F.size("sold") >= min_history)
+    year = F.slice("sold", F.greatest(F.size("sold") - 11, F.lit(1)), F.lit(12))
+    level = total(F.transform(year, lambda r: r["sales"] / F.greatest(of_month(r["month"]), F.lit(0.05)))) / F.size(year)
+    rows = rows.select("train_end", "key", "stock0", "po0", "f", level.alias("level"))
+    demand = F.transform(F.sequence(F.lit(1), F.lit(horizon)), lambda h: F.greatest(F.col("level") * of_month(F.add_months(end, h)), F.lit(0.0)))
+    rows = rows.withColumn("d", demand).join(pooled_habits(at, ["train_end"]), ["train_end", "key"])
+    rows = rows.join(F.broadcast(shares_by(at, ["train_end"])), "train_end") if use_po_share else rows.withColumn("po_share", F.lit(1.0))  # a row an origin
+    rows = rows.withColumn("r", replay(F.col("d"), F.coalesce("stock0", F.lit(0.0)), F.col("po0"), F.col("cover"), F.col("lot"), F.col("po_share")))
+    units = F.transform("d", lambda x, i: F.when(F.col("stock0").isNull(), x).otherwise(F.get("r", i)["known"] + F.get("r", i)["new"]))
+    flat = rows.select("train_end", "key", F.posexplode(units).alias("pos", "predicted"))
+    return flat.select("train_end", "key", (F.col("pos") + 1).alias("step"), F.add_months(end, F.col("pos") + 1).alias("target_month"), "predicted")

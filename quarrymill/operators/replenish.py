@@ -5,6 +5,8 @@ The replay is a recurrence over a short horizon, so it is a fold over an array o
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -31,54 +33,68 @@ LOW = ("YOUNG_PRODUCT_BACKUP", "SALES_ONLY_NO_STOCK", "HABIT_POOLED", "HABIT_MAR
 MEDIUM = ("HABIT_BLENDED", "DEMAND_OWN_NO_AMAZON", "DEMAND_OWN_AMAZON_OFF", "SEASONALITY_FLAT")
 
 
-def raw_habits(months: DataFrame) -> DataFrame:
-    """(key, events, lot, cover, per_year, recent_sales) from a grid (key, month, sales, stock, received).
+def held_months(months: DataFrame) -> DataFrame:
+    """(key, x): a key's months in order, as structs of month, sales, stock, open_po (where months has it) and got."""
+    carried = [c for c in ("month", "sales", "stock", "open_po") if c in months.columns]
+    return months.groupBy("key").agg(F.array_sort(F.collect_list(F.struct(*carried, F.coalesce("received", F.lit(0.0)).alias("got")))).alias("x"))
+
+
+def raw_habits(held: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """(by, key, events, lot, cover, per_year, recent_sales) of held_months.
 
     An order event is a month that receives at least 0.3 of the median positive receipt. cover is the
-    median of last month's stock by the month's sales over two events or more, cut to 0.25..4. A key's
-    months are collected once; all else are folds over them.
+    median of last month's stock by the month's sales over two events or more, cut to 0.25..4. All are
+    folds over a key's months.
     """
-    held = months.groupBy("key").agg(F.array_sort(F.collect_list(F.struct("month", "sales", "stock", F.coalesce("received", F.lit(0.0)).alias("got")))).alias("x"))
     usual = middle(F.filter(F.transform("x", lambda r: r["got"]), lambda g: g > 0))
     seen = F.transform("x", lambda r, i: F.struct(r["got"].alias("got"), r["sales"].alias("sales"), F.get("x", i - 1)["stock"].alias("before")))
     events = let(usual, lambda u: F.filter(seen, lambda e: (e["got"] > 0) & (e["got"] >= EVENT_SHARE * u)))
     sold = F.filter("x", lambda r: r["sales"].isNotNull())
     active = F.months_between(F.element_at("x", -1)["month"], F.get("sold", 0)["month"]) + 1
     year = F.filter(F.transform(F.slice("x", F.greatest(F.size("x") - 11, F.lit(1)), F.lit(12)), lambda r: r["sales"].cast("double")), lambda v: v.isNotNull())
-    m = held.select("key", "x", events.alias("found"), sold.alias("sold"), year.alias("year"))
+    m = held.select(*by, "key", "x", events.alias("found"), sold.alias("sold"), year.alias("year"))
     ratios = F.filter(F.transform("found", lambda e: F.when(e["before"].isNotNull() & (e["sales"] > 0), e["before"] / e["sales"])), lambda r: r.isNotNull())
     out = m.select(
-        "key", F.size("found").cast("long").alias("events"), middle(F.transform("found", lambda e: e["got"])).alias("lot"), ratios.alias("ratios"),
+        *by, "key", F.size("found").cast("long").alias("events"), middle(F.transform("found", lambda e: e["got"])).alias("lot"), ratios.alias("ratios"),
         active.alias("active"), F.try_divide(total(F.col("year")), F.size("year")).alias("recent_sales"),
     )
     return out.select(
-        "key", "events", "lot", F.when(F.size("ratios") >= 2, F.least(F.greatest(middle(F.col("ratios")), F.lit(COVER_MIN)), F.lit(COVER_MAX))).alias("cover"),
+        *by, "key", "events", "lot", F.when(F.size("ratios") >= 2, F.least(F.greatest(middle(F.col("ratios")), F.lit(COVER_MIN)), F.lit(COVER_MAX))).alias("cover"),
         F.try_divide(F.col("events") * 12.0, F.col("active")).alias("per_year"), "recent_sales",
     )
 
 
 def learn_habits(months: DataFrame) -> DataFrame:
-    """(key, cover, lot, events, per_year, source, own_cover, default_cover, default_lot): own habits, drawn
+    """pooled_habits of a grid (key, month, sales, stock, received)."""
+    return pooled_habits(held_months(months))
+
+
+def pooled_habits(held: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """(by, key, cover, lot, events, per_year, source, own_cover, default_cover, default_lot) of held_months: own habits, drawn
     to the market's median by few events; default_*: the market has no median of it, so a constant serves."""
-    use_checkpoints(months.sparkSession)
-    raw = raw_habits(months).checkpoint()  # a row an item, read three times
+    use_checkpoints(held.sparkSession)
+    raw = raw_habits(held, by).checkpoint()  # a row an item (and group), read twice
     usable = (F.col("events") >= 3) & F.col("lot").isNotNull() & (F.col("recent_sales") > 0)
-    pooled = exact_medians(raw, {"c": F.col("cover"), "r": F.when(usable, F.col("lot") / F.col("recent_sales"))})
-    market = pooled.select(
-        F.coalesce("c", F.lit(DEFAULT_COVER)).alias("m_cover"), F.coalesce("r", F.lit(DEFAULT_LOT_MONTHS)).alias("m_ratio"),
-        F.col("c").isNull().alias("default_cover"), F.col("r").isNull().alias("default_lot"),
-    )
+    pooled = exact_medians(raw, {"c": F.col("cover"), "r": F.when(usable, F.col("lot") / F.col("recent_sales"))}, by)
     w = F.least(F.col("events") / FULL_TRUST, F.lit(1.0))
-    pooled_lot = F.col("m_ratio") * F.coalesce("recent_sales", F.lit(0.0))
-    joined = raw.crossJoin(F.broadcast(market))  # one row
+    m_cover, pooled_lot = F.coalesce("c", F.lit(DEFAULT_COVER)), F.coalesce("r", F.lit(DEFAULT_LOT_MONTHS)) * F.coalesce("recent_sales", F.lit(0.0))
+    joined = raw.join(F.broadcast(pooled), list(by), "left") if by else raw.crossJoin(F.broadcast(pooled))  # a row a group, or one
     return joined.select(
-        "key", F.when(F.col("cover").isNull(), F.col("m_cover")).otherwise(w * F.col("cover") + (1 - w) * F.col("m_cover")).alias("cover"),
+        *by, "key", F.when(F.col("cover").isNull(), m_cover).otherwise(w * F.col("cover") + (1 - w) * m_cover).alias("cover"),
         F.greatest(F.when(F.col("lot").isNull(), pooled_lot).otherwise(w * F.col("lot") + (1 - w) * pooled_lot), F.lit(0.0)).alias("lot"),
         "events", "per_year", F.when(F.col("events") == 0, "pooled").when(w >= 1, "own").otherwise("blended").alias("source"),
-        F.col("cover").isNotNull().alias("own_cover"), "default_cover", "default_lot",
+        F.col("cover").isNotNull().alias("own_cover"), F.col("c").isNull().alias("default_cover"), F.col("r").isNull().alias("default_lot"),
     )
 
 
+def shares_by(held: DataFrame, by: Sequence[str]) -> DataFrame:
+    """(by, po_share) of held_months, as po_share has it."""
+    pairs = F.filter(F.transform("x", lambda r, i: F.struct(F.get("x", i - 1)["open_po"].alias("po"), r["got"].alias("got"))), lambda p: p["po"] > 0)
+    sums = held.select(*by, pairs.alias("p")).select(*by, total(F.transform("p", lambda p: F.least(p["got"], p["po"]))).alias("got"), total(F.transform("p", lambda p: p["po"].cast("double"))).alias("po"))
+    g = sums.groupBy(*by).agg(F.sum("got").alias("got"), F.sum("po").alias("po"))
+    return g.select(*by, F.coalesce(F.least(F.greatest(F.try_divide("got", F.nullif("po", F.lit(0.0))), F.lit(PO_MIN)), F.lit(PO_MAX)), F.lit(1.0)).alias("po_share"))
+
+
 def po_share(months: DataFrame) -> DataFrame:
     """One row (po_share): of open orders at a month's end, the share received in the next month, 0.2..1."""
     order = Window.partitionBy("key").orderBy("month")

@@ -197,12 +197,15 @@ walk AS (SELECT key, ds, cover, lot, stock0, po0, po_share, -1 AS step, coalesce
 SELECT '{origin}' AS train_end, key, CAST(step + 1 AS INTEGER) AS step, round(CASE WHEN stock0 IS NULL THEN ds[step + 1] ELSE units END + 1e-9, 4) AS predicted FROM walk WHERE step >= 0"""
 
 
-@query(f"""SELECT * FROM ({_origin_sql('2000-06-01', 3)}) UNION ALL SELECT * FROM ({_origin_sql('2001-02-01', 3)})""")
+_ORIGINS = ("1999-12-01", "2000-03-01", "2000-06-01", "2000-09-01", "2001-02-01")
+
+
+@query(" UNION ALL ".join(f"SELECT * FROM ({_origin_sql(o, 3)})" for o in _ORIGINS))
 def replay_backtest(spark: SparkSession, d: str) -> DataFrame:
-    """The replay at two past origins, from what was known then."""
+    """The replay at past origins, from what was known then."""
     use_checkpoints(spark)
     inv = inventory(spark, d).checkpoint()
-    out = planning.backtest(inv, ["2000-06-01", "2001-02-01"], 3)
+    out = planning.backtest(inv, _ORIGINS, 3)
     return out.select(F.date_format("train_end", "yyyy-MM-dd").alias("train_end"), "key", "step", F.round(F.col("predicted") + 1e-9, 4).alias("predicted"))
 
 

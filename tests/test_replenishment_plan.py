@@ -225,3 +225,10 @@ def test_backtest_is_the_replay_at_each_origin(spark, inputs):
     alone = plan.backtest(months.where("month <= '2026-05-01'"), ["2026-05-01"], 3).collect()
     pick = lambda rows: sorted((r.key, r.step, round(r.predicted, 6)) for r in rows if str(r.train_end) == "2026-05-01")
     assert pick(out) == pick(alone)  # nothing after an origin is read
+
+
+def test_backtest_reads_the_months_once_whatever_the_origins(spark, inputs):
+    months, _ = inputs
+    nodes = lambda origins: [line.split("(")[0].strip(" :+-*") for line in plan.backtest(months, origins, 3)._jdf.queryExecution().optimizedPlan().toString().splitlines()]
+    few, many = nodes(["2026-03-01"]), nodes([f"{y}-{m:02d}-01" for y in (2025, 2026) for m in range(1, 13)])
+    assert len(few) == len(many) and sum("Union" in x for x in many) == 0
