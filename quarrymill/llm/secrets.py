@@ -200,7 +200,10 @@ class Language:
     def __init__(self, counts: list[tuple[str, int]], pairs: np.ndarray | None = None):
         """counts: the common words; pairs: counts of transitions, from counts where not given."""
         self.common = frozenset(w for w, _ in counts)
-        self.lengths = sorted({len(w) for w in self.common if len(w) >= 3})
+        lengths: dict[str, set[int]] = {}
+        for w in self.common:
+            lengths.setdefault(w[:3], set()).add(len(w))
+        self.starts = {head: tuple(sorted(found, reverse=True)) for head, found in lengths.items() if len(head) == 3}
         pairs = np.ones((128, 128)) + (pair_counts(counts) if pairs is None else pairs)
         self.logs = np.log(pairs / pairs.sum(axis=1, keepdims=True))
 
@@ -219,7 +222,7 @@ class Language:
         for run in _LETTERS.finditer(v):
             text, i = run.group(), 0
             while i < len(text):
-                size = next((k for k in reversed(self.lengths) if i + k <= len(text) and text[i : i + k] in self.common), 0)
+                size = next((k for k in self.starts.get(text[i : i + 3], ()) if text[i : i + k] in self.common), 0)
                 n, i = n + size, i + max(1, size)
         return n / max(1, len(v))
 
