@@ -89,16 +89,22 @@ def seasonal_ar(past: DataFrame, horizon: int, band: float = 1.96) -> DataFrame:
     The band is that of the forecast errors' variance, which grows by the squared responses to a shock.
     Histories of fewer than 24 months give no rows.
     """
-    long = past.where(F.size("ys") >= 24).select("key", "train_end", F.slice("ys", -HELD, HELD).alias("held"), fit(F.col("ys")).alias("f"))
-    f = F.col("f")
+    long = past.where(F.size("ys") >= 24)
     shock = F.concat(F.array(*[F.lit(0.0)] * (HELD - 1)), F.array(F.lit(1.0)))
-    paths = long.select("key", "train_end", "f", _ahead(f, F.col("held"), f["c"], horizon).alias("path"), F.concat(F.array(F.lit(1.0)), _ahead(f, shock, F.lit(0.0), horizon)).alias("response"))
-    rows = paths.select("key", "train_end", "f", "response", F.posexplode("path").alias("pos", "y"))
-    spread = band * F.sqrt(F.col("f.variance") * total(F.transform(F.slice("response", F.lit(1), F.col("pos") + 1), lambda x: x * x)))
+
+    def steps(f: Column) -> Column:
+        """array<struct<y, spread>>: the path, and how far its errors reach."""
+        path = _ahead(f, F.slice("ys", -HELD, HELD), f["c"], horizon)
+        response = F.concat(F.array(F.lit(1.0)), _ahead(f, shock, F.lit(0.0), horizon))
+        reach = lambda r, i: band * F.sqrt(f["variance"] * total(F.transform(F.slice(r, F.lit(1), i + 1), lambda x: x * x)))
+        return let(response, lambda r: F.transform(path, lambda y, i: F.struct(y.alias("y"), reach(r, i).alias("spread"))))
+
+    rows = long.select("key", "train_end", F.posexplode(let(fit(F.col("ys")), steps)).alias("pos", "s"))  # one expression, so a series is fitted once
+    y, spread = F.col("s.y"), F.col("s.spread")
     cut = lambda c: F.greatest(c, F.lit(0.0))
     return rows.select(
         "key", "train_end", (F.col("pos") + 1).alias("step"), F.add_months("train_end", F.col("pos") + 1).alias("target_month"),
-        cut(F.col("y")).alias("yhat"), cut(F.col("y") - spread).alias("yhat_lower"), cut(F.col("y") + spread).alias("yhat_upper"),
+        cut(y).alias("yhat"), cut(y - spread).alias("yhat_lower"), cut(y + spread).alias("yhat_upper"),
     )
 
 

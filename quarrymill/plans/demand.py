@@ -183,9 +183,9 @@ def grid_zero_rates(spark: SparkSession, d: str) -> DataFrame:
 
 
 @query(f"""WITH {GRID}, t AS (SELECT key, (i - 1) // 12 AS b, n // 12 AS k, var_samp(units) AS v, avg(units) AS m FROM grid GROUP BY 1, 2, 3)
-SELECT key, round(var_samp(v) FILTER (b < k AND k >= 2), 4) AS lumpiness, round(var_samp(m) FILTER (b < k AND k >= 2), 4) AS stability FROM t GROUP BY 1""")
+SELECT key, round(var_samp(v) FILTER (b < k AND k >= 2) + 1e-7, 4) AS lumpiness, round(var_samp(m) FILTER (b < k AND k >= 2) + 1e-7, 4) AS stability FROM t GROUP BY 1""")
 def grid_tile_features(spark: SparkSession, d: str) -> DataFrame:
-    return grid.tile_features(month_grid(spark, d)).select("key", F.round("lumpiness", 4).alias("lumpiness"), F.round("stability", 4).alias("stability"))
+    return grid.tile_features(month_grid(spark, d)).select("key", F.round(F.col("lumpiness") + 1e-7, 4).alias("lumpiness"), F.round(F.col("stability") + 1e-7, 4).alias("stability"))
 
 
 @query(f"""WITH {GRID} SELECT g.key, strftime(g.month, '%Y-%m') AS ym, g.units AS actual, p.units AS prior_year, round(sum(g.units) OVER (PARTITION BY g.key ORDER BY g.month ROWS BETWEEN 2 PRECEDING AND CURRENT ROW) / 3, 6) AS trailing FROM grid g LEFT JOIN sales p ON p.key = g.key AND p.month = g.month - INTERVAL 12 MONTH""")
