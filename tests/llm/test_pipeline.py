@@ -57,7 +57,7 @@ def test_stages_keep_columns_and_take_effect(spark, tmp_path):
             assert docs.groupBy("doc_id").count().agg({"count": "max"}).first()[0] <= 3
 
 
-def test_registered_queries_name_all_ten():
+def test_registered_queries_name_all_thirteen():
     from quarrymill.llm.queries import QUERIES
 
-    assert sorted(int(x.split("_")[0][2:]) for x in QUERIES) == list(range(1, 11))
+    assert sorted(int(x.split("_")[0][2:]) for x in QUERIES) == list(range(1, 14))
