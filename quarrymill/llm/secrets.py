@@ -16,11 +16,13 @@ from __future__ import annotations
 import math
 import pickle
 import re
-from collections.abc import Iterator, Sequence
+from collections.abc import Iterable, Iterator, Sequence
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -30,6 +32,8 @@ from .common import first_rows, fresh
 TREES, DEPTH, MAX_FINDINGS = 30, 8, 6000
 THRESHOLD = 0.5
 MIN_LENGTH = 8  # of a candidate that no credential's name announces
+BITS, PROBES = 1 << 27, 4  # of the filter of common words: 16 MB, whatever the corpus holds
+HEADS, STEP = 1 << 17, 32  # masks of the lengths that words have which begin alike: 1 MB
 
 #: Names after which a value is a credential.
 NAMES = ("password", "passwd", "pwd", "secret", "token", "api_key", "apikey", "access_key", "auth", "credential", "private_key")
@@ -194,16 +198,91 @@ def pair_counts(counts: list[tuple[str, int]]) -> np.ndarray:
     return pairs
 
 
+def _hash(text: str) -> int:
+    return xxhash.xxh3_64_intdigest(text.encode())
+
+
+def _head(key: str) -> int:
+    return BITS // 64 + _hash(key) % HEADS
+
+
+def word_bits(word: str) -> Iterator[tuple[int, int]]:
+    """(slot, bit) of all that a CommonWords of 64-bit slots holds of a word: its places in the filter, and its
+    length in the mask of its first three characters. Each STEP characters of it have a mask of their own.
+    """
+    h = _hash(word)
+    for k in range(PROBES):
+        place = (h + k * (h >> 32 | 1)) % BITS
+        yield place >> 6, place & 63
+    key, done = word[:3], 0
+    while len(word) - done >= STEP:
+        yield _head(key), STEP
+        done += STEP
+        key = word[:done]
+    yield _head(key), len(word) - done
+
+
+class CommonWords:
+    """A Bloom filter of words, and what lengths they have by how they begin. Its size is fixed.
+
+    All words that it was made of are found. Another is found with odds of about
+    (1 - exp(-PROBES * words / BITS)) ** PROBES: 1e-6 for a million words, 0.004 for ten million.
+    """
+
+    def __init__(self, slots: np.ndarray, bits: np.ndarray):
+        """Numbers of slots, and what their 64 bits are."""
+        self.held = np.zeros(BITS // 64 + HEADS, np.uint64)
+        self.held[slots] = bits
+
+    @classmethod
+    def of(cls, words: Iterable[str]) -> CommonWords:
+        masks = _masks(words)
+        return cls(np.fromiter(masks, np.int64, len(masks)), np.fromiter(masks.values(), np.uint64, len(masks)))
+
+    @cached_property
+    def _slots(self) -> memoryview:
+        return memoryview(self.held)
+
+    def __getstate__(self) -> dict:
+        return {"held": self.held}
+
+    def __contains__(self, word: str) -> bool:
+        h, slots = _hash(word), self._slots
+        step = h >> 32 | 1
+        for _ in range(PROBES):
+            place = h % BITS
+            if not slots[place >> 6] >> (place & 63) & 1:
+                return False
+            h += step
+        return True
+
+    def longest(self, text: str, at: int) -> int:
+        """Length of the longest word, of three characters or more, that begins there; 0 for none."""
+        sizes, key, done, room = [], text[at : at + 3], 0, len(text) - at
+        while len(key) >= 3:
+            mask = self._slots[_head(key)]
+            sizes += [done + k for k in range(min(STEP, room - done + 1)) if mask >> k & 1] if mask else []
+            done += STEP
+            if not mask >> STEP & 1 or done > room:
+                break
+            key = text[at : at + done]
+        return next((k for k in reversed(sizes) if k >= 3 and text[at : at + k] in self), 0)
+
+
+def _masks(words: Iterable[str]) -> dict[int, int]:
+    masks: dict[int, int] = {}
+    for w in words:
+        for slot, bit in word_bits(w):
+            masks[slot] = masks.get(slot, 0) | 1 << bit
+    return masks
+
+
 class Language:
     """Character transitions of ordinary text, and its common words."""
 
-    def __init__(self, counts: list[tuple[str, int]], pairs: np.ndarray | None = None):
-        """counts: the common words; pairs: counts of transitions, from counts where not given."""
-        self.common = frozenset(w for w, _ in counts)
-        lengths: dict[str, set[int]] = {}
-        for w in self.common:
-            lengths.setdefault(w[:3], set()).add(len(w))
-        self.starts = {head: tuple(sorted(found, reverse=True)) for head, found in lengths.items() if len(head) == 3}
+    def __init__(self, counts: list[tuple[str, int]], pairs: np.ndarray | None = None, common: CommonWords | None = None):
+        """counts: common words; pairs: counts of transitions; common: the words. Both are made from counts where not given."""
+        self.common = CommonWords.of(w for w, _ in counts) if common is None else common
         pairs = np.ones((128, 128)) + (pair_counts(counts) if pairs is None else pairs)
         self.logs = np.log(pairs / pairs.sum(axis=1, keepdims=True))
 
@@ -222,7 +301,7 @@ class Language:
         for run in _LETTERS.finditer(v):
             text, i = run.group(), 0
             while i < len(text):
-                size = next((k for k in self.starts.get(text[i : i + 3], ()) if text[i : i + k] in self.common), 0)
+                size = self.common.longest(text, i)
                 n, i = n + size, i + max(1, size)
         return n / max(1, len(v))
 
@@ -361,11 +440,28 @@ def common_from(total: int) -> int:
     return max(3, math.isqrt(total) // 500)
 
 
+def common_words(counts: DataFrame, least: int) -> CommonWords:
+    """Of the rows (word, n), the words with n of `least` or more.
+
+    Tasks make bits of their words and aggregates join these by slot, so the driver receives as
+    many numbers as a CommonWords has slots at most, whatever the number of words.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            masks = _masks(b.column(0).to_pylist())
+            bits = np.fromiter(masks.values(), np.uint64, len(masks)).view(np.int64)
+            yield pa.RecordBatch.from_arrays([pa.array(list(masks), pa.int32()), pa.array(bits)], names=["slot", "bits"])
+
+    held = counts.where(F.col("n") >= least).select("word").mapInArrow(run, "slot int, bits long")
+    slots = held.groupBy("slot").agg(F.bit_or("bits").alias("bits")).toArrow()
+    return CommonWords(slots["slot"].to_numpy(), slots["bits"].to_numpy().view(np.uint64))
+
+
 def train_language(docs: DataFrame, *, text_col: str = "text") -> Language:
     """Transitions over all words of all texts, and every word that is common by common_from.
 
-    The driver receives 128 x 128 sums and the common words, whose number grows with the corpus: at
-    most total / common_from(total).
+    The driver receives 128 x 128 sums and the slots of CommonWords, which do not grow with the corpus.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -380,10 +476,9 @@ def train_language(docs: DataFrame, *, text_col: str = "text") -> Language:
     for pair, n in counts.mapInArrow(run, "pair int, n long").groupBy("pair").agg(F.sum("n")).collect():
         pairs[pair] = n
     pairs = pairs.reshape(128, 128)
-    least = common_from(int(pairs[ord(" ")].sum()))  # a word has one transition from the blank
-    common = counts.where(F.col("n") >= least).toArrow()
+    common = common_words(counts, common_from(int(pairs[ord(" ")].sum())))  # a word has one transition from the blank
     counts.unpersist()
-    return Language(list(zip(common["word"].to_pylist(), common["n"].to_pylist(), strict=True)), pairs)
+    return Language([], pairs, common)
 
 
 def labelled_findings(found: DataFrame) -> DataFrame:

@@ -66,6 +66,27 @@ def test_language_is_counted_over_all_words(spark):
     assert secrets.common_from(10**10) > secrets.common_from(10**8) > secrets.common_from(10**4)
 
 
+def test_common_words_are_held_in_a_fixed_size(spark):
+    import pickle
+    import random
+
+    rng = random.Random(3)
+    letters = "abcdeéžшщ字語"
+    make = lambda k: "".join(rng.choice(letters) for _ in range(k))
+    common = {make(k) for k in [*range(3, 140), 1000] for _ in range(8)}
+    counts = spark.createDataFrame([(w, 5) for w in common] + [(make(9) + "z", 4) for _ in range(300)], "word string, n long")
+    held = pickle.loads(pickle.dumps(secrets.common_words(counts.repartition(7), 5)))
+    assert held.held.nbytes == pickle.loads(pickle.dumps(secrets.CommonWords.of(["abc"]))).held.nbytes
+    assert (held.held == secrets.CommonWords.of(common).held).all()
+    assert all(w in held for w in common) and not any(make(8) + "z" in held for _ in range(3000)) and "" not in held
+    sizes = sorted({len(w) for w in common}, reverse=True)
+    for w in rng.sample(sorted(common), 60):
+        text = make(2) + w + make(rng.randrange(5))
+        for at in range(len(text) + 1):
+            assert held.longest(text, at) == next((k for k in sizes if at + k <= len(text) and text[at : at + k] in common), 0)
+    assert "absent" not in secrets.common_words(counts, 6)  # no word is common
+
+
 def planted(rng, n):
     """(text, value, is it a secret?) of many forms."""
     hexes = lambda k: f"{rng.getrandbits(4 * k):0{k}x}"
