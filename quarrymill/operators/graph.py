@@ -7,24 +7,50 @@ from pyspark.sql import functions as F
 
 from ..session import use_checkpoints
 
+HUBS = 1024
+
+
+def large_keys(rows: DataFrame, key: str) -> DataFrame:
+    """(key) that more than one in HUBS of the rows have: fewer than HUBS keys, whatever the table is."""
+    total = rows.count()
+    return rows.groupBy(key).count().where(F.col("count") * HUBS > total).select(key).checkpoint()
+
+
+def join_large(rows: DataFrame, values: DataFrame, key: str, large: DataFrame) -> DataFrame:
+    """rows joined with values, which have a row a key; large: keys (large_keys) that rows have very often.
+
+    Rows of those keys stay where they lie and meet the values of fewer than HUBS keys, which are
+    broadcast; only the others are shuffled, of which no key has more than one row in HUBS.
+    """
+    few = values.join(F.broadcast(large), key, "left_semi")
+    hot = rows.join(F.broadcast(few), key)
+    return hot.unionByName(rows.join(F.broadcast(large), key, "left_anti").join(values, key))
+
 
 def connected_components(edges: DataFrame) -> DataFrame:
     """(a, b) to (node, component): the least node that each one reaches.
 
-    Rounds of hooking and pointer jumping: every node takes the least label among its own and its
-    neighbours', then the label of its label, until none changes. Aggregates combine before they
-    shuffle, so a node with most edges is no hot group. Labels are checkpointed, so a lost executor
-    costs one round. Edges with a null end, or to the same node, are left out.
+    Rounds of pointer jumping and hooking: every node's label becomes the label of its label, then
+    the least among its own and its neighbours', and so does that of the node that it had as label,
+    until none changes; a chain in any order takes some log(nodes) rounds. Aggregates combine before
+    they shuffle, and joins keep hubs and large components out of the shuffle, so neither is a hot group.
+    Labels are checkpointed, so a lost executor costs one round. Edges with a null end, or to the
+    same node, are left out.
     """
     use_checkpoints(edges.sparkSession)
     both = edges.select(F.col("a").alias("node"), F.col("b").alias("to")).union(edges.select("b", "a")).where("node != to").distinct().checkpoint()
+    hubs = large_keys(both, "to")
     labels = both.groupBy("node").agg(F.least(F.min("to"), F.col("node")).alias("component")).checkpoint()
+    none = F.lit(None).cast(labels.schema["node"].dataType)
+    least = F.min("component").alias("component"), F.max("old").alias("old")
     while True:
-        told = both.join(labels.withColumnRenamed("node", "to"), "to").select("node", "component")
-        nearest = told.unionByName(labels).groupBy("node").agg(F.min("component").alias("component"))
         jump = labels.select(F.col("node").alias("component"), F.col("component").alias("further"))
-        new = nearest.join(jump, "component", "left").select("node", F.least("component", "further").alias("component"))
-        new = new.join(labels.withColumnRenamed("component", "old"), "node").withColumn("changed", F.col("component") != F.col("old")).drop("old").checkpoint()
+        further = join_large(labels, jump, "component", large_keys(labels, "component")).select("node", F.col("further").alias("component"), F.col("component").alias("old")).checkpoint()
+        told = join_large(both, further.select(F.col("node").alias("to"), "component"), "to", hubs).select("node", "component", none.alias("old"))
+        own = told.unionByName(further).groupBy("node").agg(*least)
+        also = F.struct(F.col("old").alias("node"), "component", none.alias("old"))
+        new = own.select(F.inline(F.array(F.struct("node", "component", "old"), also))).groupBy("node").agg(*least)
+        new = new.select("node", "component", (F.col("component") != F.col("old")).alias("changed")).checkpoint()
         labels = new.drop("changed")
         if new.where("changed").isEmpty():
             return labels

@@ -127,6 +127,38 @@ def test_components(spark):
     assert got == {i: 0 for i in range(10)} | {20: 20, 22: 20, 25: 20}
 
 
+def test_components_with_hubs_chains_and_no_edges(spark):
+    rng = np.random.default_rng(8)
+    edges = [(5000, i) for i in range(3000)] + [(i, 5000) for i in range(0, 3000, 7)]  # a hub, some edges twice
+    edges += [(int(a), int(b)) for a, b in rng.integers(6000, 9000, (1400, 2))] + list(zip(p := (9000 + rng.permutation(60)).tolist(), p[1:]))
+    edges += [(None, 1), (7, None), (9999, 9999)]
+    root = {}
+
+    def find(x):
+        while root.setdefault(x, x) != x:
+            x = root[x]
+        return x
+
+    for a, b in edges:
+        if a is not None and b is not None and a != b:
+            a, b = find(a), find(b)
+            root[max(a, b)] = min(a, b)
+    df = spark.createDataFrame(edges, "a long, b long")
+    got = {r.node: r.component for r in graph.connected_components(df).collect()}
+    assert got == {x: find(x) for x in root}
+    assert graph.connected_components(df.where("a < 0")).count() == 0
+
+
+def test_large_keys_are_few_and_stay_out_of_the_shuffle(spark):
+    rows = spark.range(40_000).select(F.when(F.col("id") < 9000, -1).otherwise(F.col("id")).alias("k"))
+    values = rows.distinct().withColumn("v", F.col("k") * 2)
+    large = graph.large_keys(rows, "k")
+    assert [r.k for r in large.collect()] == [-1]
+    assert graph.large_keys(rows.where("k < 0 or k % 40 = 0"), "k").count() < graph.HUBS  # of few rows, many are large
+    joined = graph.join_large(rows, values, "k", large)
+    assert joined.count() == 40_000 and joined.where("v != 2 * k").isEmpty()
+
+
 def test_split_forecast_keeps_the_total(spark):
     f = spark.createDataFrame([(1, 10.0), (2, 4.0)], "key long, predicted double")
     r = spark.createDataFrame([(1, 11, 0.25), (1, 12, 0.75)], "family long, code long, ratio double")
