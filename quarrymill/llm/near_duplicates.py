@@ -21,6 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.graph import connected_components as components
+from ..operators.graph import few_tasks
 from ..session import use_checkpoints
 from .arrays import LOWER, mix, shingles, span_hash, text_blocks, words
 
@@ -29,6 +30,7 @@ LOST = 1e-7  # odds that two sets of the asked similarity share no list
 GROUP = 1000  # documents that one copy of a leader's set is compared with
 PAIRS = 1 << 14  # pairs of a list that are compared at a time
 LIST_BLOCK = 2048  # members of a list that one task compares with as many others
+TASK_TEXTS = 2000  # texts or sketches that a task may well hold
 MARGIN = 6.0  # standard errors below the threshold at which an estimate rules a pair out
 NONE = np.uint32(0xFFFFFFFF)
 
@@ -198,6 +200,8 @@ def _links(pairs: DataFrame, texts: DataFrame, width: int, share: tuple[int, int
 
     A leader's set goes to one group for every GROUP of its pairs, the other sets to their groups.
     """
+    n = pairs.count()
+    pairs = few_tasks(pairs, n)
     groups = pairs.groupBy("a").agg(F.count("*").alias("n")).select("a", F.ceil(F.col("n") / GROUP).cast("int").alias("parts"))
     sent = pairs.join(groups, "a").select(F.col("b").alias("doc"), F.col("a").alias("leader"), F.pmod(F.xxhash64("b"), "parts").cast("int").alias("part"))
     own = groups.select(F.col("a").alias("doc"), F.col("a").alias("leader"), F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"))
@@ -209,8 +213,9 @@ def _links(pairs: DataFrame, texts: DataFrame, width: int, share: tuple[int, int
                 data = pa.BinaryArray.from_buffers(pa.binary(), hi - lo, [None, pa.py_buffer((8 * at).astype(np.int32)), pa.py_buffer(h)])
                 yield pa.RecordBatch.from_arrays([*(b.column(i).slice(lo, hi - lo) for i in range(3)), data], names=["leader", "part", "doc", "set"])
 
-    rows = sent.unionByName(own).join(texts, "doc").select("leader", "part", "doc", "text").mapInArrow(to_sets, "leader long, part int, doc long, set binary")
-    dealt = rows.repartition(parts, "leader", "part").sortWithinPartitions("leader", "part", F.col("doc") != F.col("leader"), "doc")
+    rows = few_tasks(sent.unionByName(own).join(texts, "doc"), 2 * n, TASK_TEXTS)
+    rows = rows.select("leader", "part", "doc", "text").mapInArrow(to_sets, "leader long, part int, doc long, set binary")
+    dealt = few_tasks(rows.repartition(parts, "leader", "part"), 2 * n, TASK_TEXTS).sortWithinPartitions("leader", "part", F.col("doc") != F.col("leader"), "doc")
     return dealt.mapInArrow(lambda it: _verify(it, share), "a long, b long")
 
 
@@ -239,12 +244,15 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     # equal sets are one class, under the least id
     classes = sketched.where("n_shingles > 0 and doc_id is not null").groupBy(*sets).agg(F.min(F.struct("doc_id", "sketch", "keys")).alias("m"))
     classes = classes.select(*sets, F.col("m.doc_id").alias("rep"), "m.sketch", "m.keys").checkpoint()
+    n = classes.count()
+    classes, most = few_tasks(classes, n, TASK_TEXTS), n * n_lists  # rows of lists at most
     listed = classes.select(F.col("rep").alias("doc"), F.explode("keys").alias("key"))
     shared = listed.groupBy("key").agg(F.min("doc").alias("leader"), F.max("doc").alias("last"), F.count("*").alias("members")).where("leader < last")
-    lists = listed.join(shared.select("key", "leader", "members"), "key").checkpoint()
+    lists = few_tasks(listed.join(shared.select("key", "leader", "members"), "key"), most).checkpoint()
 
     one = classes.groupBy(F.col("rep").alias("doc")).agg(F.min(F.struct("n_shingles", "sketch", "keys")).alias("s")).select("doc", F.col("s.n_shingles").alias("n"), F.col("s.sketch").alias("sketch"), F.col("s.keys").alias("lists"))
-    texts = source.join(lists.select(F.col("doc").alias("doc_id")).distinct(), "doc_id", "left_semi").groupBy(F.col("doc_id").alias("doc")).agg(F.min("text").alias("text")).checkpoint()
+    texts = source.join(few_tasks(lists.select(F.col("doc").alias("doc_id")).distinct(), n), "doc_id", "left_semi").groupBy(F.col("doc_id").alias("doc")).agg(F.min("text").alias("text"))
+    texts = few_tasks(texts, n, TASK_TEXTS).checkpoint()
 
     def filtered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -252,7 +260,7 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
             ok = may_link(_matrix(b.column(4)), _matrix(b.column(5)), n_a, n_b, least)
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1)], names=["a", "b"]).filter(pa.array(ok))
 
-    stars = lists.where("doc != leader").select(F.col("leader").alias("a"), F.col("doc").alias("b")).distinct()
+    stars = few_tasks(lists.where("doc != leader").select(F.col("leader").alias("a"), F.col("doc").alias("b")).distinct(), most)
     stars = stars.join(one.select("doc", "n", "sketch").toDF("a", "n_a", "sketch_a"), "a").join(one.select("doc", "n", "sketch").toDF("b", "n_b", "sketch_b"), "b").select("a", "b", "n_a", "n_b", "sketch_a", "sketch_b").mapInArrow(filtered, "a long, b long").checkpoint()
     links = _links(stars, texts, width, share, parts).checkpoint()
     found = components(links)
@@ -275,7 +283,9 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     # a block meets itself among its rows with side -1; rows of two blocks meet only those of the other
     again = rest.repartition(parts, "key").sortWithinPartitions("key").mapInArrow(lambda it: _cross_pairs(it, least), "a long, b long").distinct()
     again = again.join(stars, ["a", "b"], "left_anti").checkpoint()
-    found = components(links.unionByName(_links(again, texts, width, share, parts)).checkpoint())
+    more = _links(again, texts, width, share, parts).checkpoint()
+    if not more.isEmpty():  # a component is a star of its nodes; only new links join them
+        found = components(found.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(more))
 
     # the class of each row's set, then its component
     named = sketched.select("doc_id", *sets).join(classes.select(*sets, "rep"), sets, "left").join(found.withColumnRenamed("node", "rep"), "rep", "left")
