@@ -16,7 +16,7 @@ from __future__ import annotations
 import math
 import pickle
 import re
-from collections.abc import Iterable, Iterator, Sequence
+from collections.abc import Callable, Iterable, Iterator, Sequence
 from functools import cached_property
 
 import numpy as np
@@ -371,23 +371,49 @@ class Forest:
         return out / max(1, len(self.trees))
 
 
-def find_candidates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", path_col: str | None = None) -> DataFrame:
-    """One row a candidate: doc_id, path, start, value, before, after, kind. Whole texts; null has none."""
+FOUND = ["doc_id", "path", "start", "value", "before", "after", "kind"]
+
+
+def _found(b: pa.RecordBatch) -> pa.RecordBatch:
+    """(doc_id, text, path) to one row a candidate."""
+    keys, paths, out = b.column(0).to_pylist(), b.column(2).to_pylist(), []
+    for lo, _, buf, offsets in text_blocks(b.column(1)):
+        for i in _rows_with_candidates(buf, offsets):
+            text = buf[offsets[i] : offsets[i + 1]].tobytes().decode()
+            out += [(keys[lo + i], paths[lo + i] or "", *c) for c in candidates(text)]
+    cols = list(zip(*out, strict=True)) or [()] * 7
+    kinds = [b.schema.field(0).type, pa.string(), pa.int64(), *[pa.string()] * 4]
+    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, kinds, strict=True)], names=FOUND)
+
 
+def _labelled(b: pa.RecordBatch) -> pa.RecordBatch:
+    """Those rows of FOUND that settle themselves, with their label."""
+    labels = pa.array([settled(v, k, w) for v, w, k in zip(*(b.column(i).to_pylist() for i in (3, 4, 6)), strict=True)], pa.int32())
+    return pa.RecordBatch.from_arrays([*b.columns, labels], names=[*b.schema.names, "label"]).filter(labels.is_valid())
+
+
+def _search(docs: DataFrame, make: Callable[[pa.RecordBatch], pa.RecordBatch], more: str, id_col: str, text_col: str, path_col: str | None) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            keys, paths, out = b.column(0).to_pylist(), b.column(2).to_pylist(), []
-            for lo, _, buf, offsets in text_blocks(b.column(1)):
-                for i in _rows_with_candidates(buf, offsets):
-                    text = buf[offsets[i] : offsets[i + 1]].tobytes().decode()
-                    out += [(keys[lo + i], paths[lo + i] or "", *c) for c in candidates(text)]
-            cols = list(zip(*out, strict=True)) or [()] * 7
-            kinds = [b.schema.field(0).type, pa.string(), pa.int64(), *[pa.string()] * 4]
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, kinds, strict=True)], names=["doc_id", "path", "start", "value", "before", "after", "kind"])
+            yield make(b)
 
     kind = docs.schema[id_col].dataType.simpleString()
     path = F.col(path_col).cast("string") if path_col else F.lit("")
-    return docs.select(F.col(id_col), F.col(text_col).cast("string"), path.alias("path")).mapInArrow(run, f"doc_id {kind}, path string, start long, value string, before string, after string, kind string")
+    rows = docs.select(F.col(id_col), F.col(text_col).cast("string"), path.alias("path"))
+    return rows.mapInArrow(run, f"doc_id {kind}, path string, start long, value string, before string, after string, kind string{more}")
+
+
+def find_candidates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", path_col: str | None = None) -> DataFrame:
+    """One row a candidate: doc_id, path, start, value, before, after, kind. Whole texts; null has none."""
+    return _search(docs, _found, "", id_col, text_col, path_col)
+
+
+def settled_candidates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", path_col: str | None = None) -> DataFrame:
+    """labelled_findings of find_candidates in one pass.
+
+    Two passes in a stage hold two Python workers a core, which stay with the executor.
+    """
+    return _search(docs, lambda b: _labelled(_found(b)), ", label int", id_col, text_col, path_col)
 
 
 def _rows_with_candidates(buf: np.ndarray, offsets: np.ndarray) -> np.ndarray:
@@ -486,12 +512,10 @@ def labelled_findings(found: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            labels = [settled(v, k, w) for v, w, k in zip(*(b.column(i).to_pylist() for i in (3, 4, 6)), strict=True)]
-            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(labels, pa.int32())], names=[*b.schema.names, "label"])
+            yield _labelled(b)
 
-    names = ["doc_id", "path", "start", "value", "before", "after", "kind"]
-    fields = ", ".join(f"{c} {found.schema[c].dataType.simpleString()}" for c in names)
-    return found.select(*names).mapInArrow(run, f"{fields}, label int").where("label is not null")
+    fields = ", ".join(f"{c} {found.schema[c].dataType.simpleString()}" for c in FOUND)
+    return found.select(*FOUND).mapInArrow(run, f"{fields}, label int")
 
 
 def half_of(value) -> Column:
@@ -552,8 +576,7 @@ def train_scanner(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "t
     language = train_language(docs, text_col=text_col)
     if findings is not None:
         return [train_forest(findings, language)], language
-    found = find_candidates(docs, id_col=id_col, text_col=text_col, path_col=path_col)
-    known = labelled_findings(found).withColumn("half", half_of(F.col("doc_id"))).persist()
+    known = settled_candidates(docs, id_col=id_col, text_col=text_col, path_col=path_col).withColumn("half", half_of(F.col("doc_id"))).persist()
     forests = [train_forest(known.where(F.col("half") != k), language) for k in (0, 1)]
     if not all(f.trees for f in forests):  # too few findings for two halves
         forests = [train_forest(known, language)]
