@@ -44,9 +44,11 @@ def family_tags(spark: SparkSession, d: str) -> DataFrame:
 
 @query("""SELECT l_partkey AS key, arg_min(n_name, (l_orderkey, l_linenumber)) AS region FROM lineitem JOIN supplier ON l_suppkey = s_suppkey JOIN nation ON s_nationkey = n_nationkey WHERE l_linenumber <> 1 GROUP BY 1""")
 def first_regions(spark: SparkSession, d: str) -> DataFrame:
+    """The nation of each part's first line by order and number; of lines alike in both, the one that the table has first."""
     s = table(spark, d, "supplier").join(table(spark, d, "nation"), F.col("s_nationkey") == F.col("n_nationkey")).select("s_suppkey", "n_name")
-    rows = table(spark, d, "lineitem").join(s, F.col("l_suppkey") == F.col("s_suppkey"))
-    named = rows.select(F.col("l_partkey").alias("key"), F.when(F.col("l_linenumber") != 1, F.col("n_name")).alias("region"), F.struct("l_orderkey", "l_linenumber").alias("o"))
+    lines = table(spark, d, "lineitem").select("l_partkey", "l_suppkey", "l_linenumber", F.struct("l_orderkey", "l_linenumber", "_metadata.file_path", "_metadata.row_index").alias("o"))
+    rows = lines.join(s, F.col("l_suppkey") == F.col("s_suppkey"))
+    named = rows.select(F.col("l_partkey").alias("key"), F.when(F.col("l_linenumber") != 1, F.col("n_name")).alias("region"), "o")
     return scope.first_region(named, "key", "region", "o")
 
 
