@@ -21,6 +21,21 @@ def dot(a: Column, b: Column) -> Column:
     return total(F.zip_with(a, b, lambda x, y: x * y))
 
 
+def plus_product(c: Column, a: Column, b: Column) -> Column:
+    """c + a * b, rounded once; a has at most 26 significant bits, such as a count or a half of one.
+
+    b is cut in two, so that both products are exact, and what the first sum loses is added with the second.
+    """
+
+    def cut(x: Column) -> Column:
+        return let(x * 134217729.0 - (x * 134217729.0 - x), lambda high: let(F.struct((a * high).alias("p"), (a * (x - high)).alias("q")), added))
+
+    def added(e: Column) -> Column:
+        return let(c + e["p"], lambda s: s + ((c - (s - (s - c))) + (e["p"] - (s - c)) + e["q"]))
+
+    return let(b, cut)
+
+
 def minus(a: Column, b: Column) -> Column:
     return F.zip_with(a, b, lambda x, y: x - y)
 
