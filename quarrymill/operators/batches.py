@@ -53,7 +53,8 @@ def fit_alike(rows: DataFrame, alike: list[str], fit: Callable[[dict[str, list]]
                 made[i]["key"] = columns["key"][i]
             yield pa.RecordBatch.from_pylist(made, schema=arrow)
 
-    return rows.mapInArrow(run, out)
+    # series take far longer to fit than to move, so they are dealt over all cores, however few bytes they are
+    return rows.repartition(rows.sparkSession.sparkContext.defaultParallelism, "key").mapInArrow(run, out)
 
 
 def solve(a: np.ndarray, b: np.ndarray) -> np.ndarray:
