@@ -220,7 +220,7 @@ def fitted_trend_audit(spark: SparkSession, d: str) -> DataFrame:
     """The trend model against recent sales, its slope changes and its seasonal swing; each series is fitted once."""
     g = month_grid(spark, d)
     use_checkpoints(spark)
-    parts = trend_model.fit_trends(g, known_changeovers(spark, d)).checkpoint()
+    parts = trend_model.fit_trends(g, known_changeovers(spark, d), ahead=False).checkpoint()
     audit = assembly.trend_audit(g, parts.select("key", "trend_at_end"))
     rest = parts.select("key", "known_changeover", "slope_changes", "places", "min_pct", "max_pct")
     return audit.join(rest, "key").select("key", "months", R4("trend_at_end"), R4("mean6"), R4("mean12"), R4("pct_diff"), "disconnected", "known_changeover", "slope_changes", "places", R4("min_pct"), R4("max_pct"))
