@@ -1,9 +1,10 @@
 """Fits of many series at once: each series by itself, over all cores, whatever else is in its batch."""
 
 import numpy as np
+from test_series_models import arrays, trending
 from test_trend_model import DAYS, frame, made
 
-from quarrymill.operators import trend_model
+from quarrymill.operators import smoothing, trend_model
 
 
 def test_a_series_trend_does_not_depend_on_its_batch():
@@ -29,3 +30,19 @@ def test_few_series_are_dealt_over_all_cores(spark):
     assert len(rows) == 8 and all(r["forecast"] is None for r in rows)
     whole = {r["key"]: r for r in trend_model.fit_trends(grid).collect()}
     assert all(abs(r["trend_at_end"] - whole[r["key"]]["trend_at_end"]) < 1e-9 and len(whole[r["key"]]["forecast"]) == 6 for r in rows)
+
+
+def test_a_series_smoothing_does_not_depend_on_its_batch():
+    ys = np.array([trending(s, 36) for s in range(40)])
+    for damped in (True, False):
+        together = smoothing.search(ys, damped)
+        alone = smoothing.search(ys[:1], damped)
+        assert all(np.allclose(a[0], b[0], rtol=1e-12, atol=1e-12) for a, b in zip(alone, together, strict=True))
+
+
+def test_both_forms_come_of_one_pass(spark):
+    past = arrays(spark, {k: trending(k, 30) for k in range(5)})
+    both = smoothing.smoothed_forecasts(past, 3)
+    assert both._jdf.queryExecution().optimizedPlan().toString().count("MapInArrow") == 1
+    each = [r for damped in (True, False) for r in smoothing.smoothed_forecast(past, 3, damped).collect()]
+    assert sorted(map(tuple, both.collect())) == sorted(map(tuple, each)) and len(each) == 30
