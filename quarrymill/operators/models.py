@@ -1,17 +1,16 @@
-"""Regression and smoothing models of single series, fitted in grouped tasks.
+"""Regression models of single series, fitted in Arrow tasks, all series of a length at a time.
 
-Each key is a few hundred numbers; Spark deals the keys out. The fits are least squares and grid
-searches in numpy, close to but not the same as the libraries that the models are known from.
+Each key is a few hundred numbers; Spark deals the keys out. The fits are least squares in numpy, close
+to but not the same as the libraries that the models are known from.
 """
 
 from __future__ import annotations
 
 import numpy as np
-import pandas as pd
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
-RESULT = "key long, step int, target_month date, yhat double, yhat_lower double, yhat_upper double"
-
+from .batches import fit_alike, series_rows
 
 def _design(t: np.ndarray, n: int, order: int, knots: int) -> np.ndarray:
     """Trend with changes of slope in the first 80 % of the history, and a Fourier year."""
@@ -21,14 +20,17 @@ def _design(t: np.ndarray, n: int, order: int, knots: int) -> np.ndarray:
     return np.stack(cols, axis=1)
 
 
-def trend_and_season(y: np.ndarray, horizon: int, order: int = 3, knots: int = 6, prior: float = 0.05) -> tuple[np.ndarray, float]:
-    """(forecast, residual spread): ridge regression, slope changes and seasons drawn to 0."""
-    n = len(y)
+def trend_and_season(ys: np.ndarray, horizon: int, order: int = 3, knots: int = 6, prior: float = 0.05) -> tuple[np.ndarray, np.ndarray]:
+    """(forecast, residual spread) of series of one length, a row each: ridge regression, slope changes and seasons drawn to 0.
+
+    Each series is solved by itself, so that its last bits do not depend on the others.
+    """
+    n = ys.shape[1]
     x = _design(np.arange(n, dtype=float), n, order, knots)
     weight = np.concatenate([[1e-6, 1e-6], np.full(knots, 1 / (prior * n)), np.full(2 * order, 0.1)])
-    beta = np.linalg.solve(x.T @ x + np.diag(weight), x.T @ y)
+    beta = np.linalg.solve(x.T @ x + np.diag(weight), x.T @ ys[..., None])
     ahead = _design(np.arange(n, n + horizon, dtype=float), n, order, knots) @ beta
-    return ahead, float(np.std(y - x @ beta))
+    return ahead[..., 0], np.std(ys - (x @ beta)[..., 0], axis=1)
 
 
 MODELS = {"trend_and_season": trend_and_season}
@@ -37,17 +39,14 @@ MODELS = {"trend_and_season": trend_and_season}
 def fit_models(grid: DataFrame, model: str, horizon: int = 6, min_train: int = 24, band: float = 1.96) -> DataFrame:
     """(key, step, target_month, yhat, yhat_lower, yhat_upper), clipped at 0; shorter series give no rows."""
     fit = MODELS[model]
+    rows = series_rows(grid, min_train).select("key", "ys", F.date_from_unix_date(F.element_at("days", -1)).alias("last"))
+
+    def one(c: dict[str, list]) -> list[dict]:
+        yhat, spread = fit(np.array(c["ys"], float), horizon)
+        wide = band * spread[:, None]
+        cut = [np.maximum(x, 0).tolist() for x in (yhat, yhat - wide, yhat + wide)]
+        return [{"last": last, "path": [dict(zip(("yhat", "yhat_lower", "yhat_upper"), p, strict=True)) for p in zip(*own, strict=True)]} for last, *own in zip(c["last"], *cut, strict=True)]
 
-    def one(df: pd.DataFrame) -> pd.DataFrame:
-        df = df.sort_values("month")
-        y = df["units"].to_numpy(float)
-        if len(y) < min_train:
-            return pd.DataFrame({c.split()[0]: pd.Series([], dtype=object) for c in RESULT.split(", ")})
-        yhat, spread = fit(y, horizon)
-        months = pd.date_range(pd.Timestamp(df["month"].iloc[-1]) + pd.DateOffset(months=1), periods=horizon, freq="MS")
-        return pd.DataFrame({
-            "key": df["key"].iloc[0], "step": np.arange(1, horizon + 1, dtype=np.int32), "target_month": months.date,
-            "yhat": np.maximum(yhat, 0), "yhat_lower": np.maximum(yhat - band * spread, 0), "yhat_upper": np.maximum(yhat + band * spread, 0),
-        })
-
-    return grid.where("units is not null").select("key", "month", "units").groupBy("key").applyInPandas(one, RESULT)
+    fitted = fit_alike(rows, ["ys"], one, "last date, path array<struct<yhat:double,yhat_lower:double,yhat_upper:double>>")
+    steps = fitted.select("key", "last", F.posexplode("path").alias("pos", "f"))
+    return steps.select("key", (F.col("pos") + 1).alias("step"), F.add_months("last", F.col("pos") + 1).alias("target_month"), "f.*")

@@ -2,9 +2,9 @@
 
 import numpy as np
 from test_series_models import arrays, trending
-from test_trend_model import DAYS, frame, made
+from test_trend_model import DAYS, MONTHS, frame, made
 
-from quarrymill.operators import smoothing, trend_model
+from quarrymill.operators import models, smoothing, trend_model
 
 
 def test_a_series_trend_does_not_depend_on_its_batch():
@@ -46,3 +46,19 @@ def test_both_forms_come_of_one_pass(spark):
     assert both._jdf.queryExecution().optimizedPlan().toString().count("MapInArrow") == 1
     each = [r for damped in (True, False) for r in smoothing.smoothed_forecast(past, 3, damped).collect()]
     assert sorted(map(tuple, both.collect())) == sorted(map(tuple, each)) and len(each) == 30
+
+
+def test_regressions_go_to_python_in_batches_and_equal_single_fits(spark):
+    series = {k: made(k, 30 + k % 3) for k in range(12)}
+    out = models.fit_models(frame(spark, series), "trend_and_season")
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert "MapInArrow" in plan and "FlatMapGroups" not in plan
+    got = {(r["key"], r["step"]): r for r in out.collect()}
+    assert len(got) == 72 and all(str(got[k, h]["target_month"]) == MONTHS[len(y) - 1 + h] for k, y in series.items() for h in range(1, 7))
+    for k, y in series.items():
+        x = models._design(np.arange(len(y), dtype=float), len(y), 3, 6)
+        weight = np.concatenate([[1e-6, 1e-6], np.full(6, 1 / (0.05 * len(y))), np.full(6, 0.1)])
+        beta = np.linalg.solve(x.T @ x + np.diag(weight), x.T @ y)
+        want, spread = models._design(np.arange(len(y), len(y) + 6, dtype=float), len(y), 3, 6) @ beta, np.std(y - x @ beta)
+        assert np.allclose([got[k, h]["yhat"] for h in range(1, 7)], np.maximum(want, 0), rtol=1e-10)
+        assert np.allclose([got[k, h]["yhat_upper"] for h in range(1, 7)], np.maximum(want + 1.96 * spread, 0), rtol=1e-10)
